@@ -43,18 +43,56 @@ def op4_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from attesta.llm.neardup import duplicate_classes
+
+    return duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from attesta.llm.decontam import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from attesta.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from attesta.llm.quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from attesta.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from attesta.llm.tool_calls import TURN_SCHEMAS, link_tool_calls, turns_as_calls
+
+    calls, results = turns_as_calls(table(spark, sf_dir, "conversations"))
+    return link_tool_calls(calls, results, TURN_SCHEMAS).withColumn("errors", F.array_join("errors", ";"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_warc_revisits": op2_warc_revisits,
     "op3_token_shards": op3_token_shards,
     "op4_cube_mix": op4_cube_mix,
+    "op5_bagminhash": op5_bagminhash,
+    "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
+    "op8_quality": op8_quality,
+    "op9_maxscore": op9_maxscore,
+    "op10_tool_calls": op10_tool_calls,
 }
 ORACLES: dict[str, str] = {
     "op2_warc_revisits": """
@@ -64,4 +102,26 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
         FROM f""",
+    "op9_maxscore": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+                   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+        SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 10""",
+    "op10_tool_calls": """
+        WITH RECURSIVE t AS (SELECT *, conv_id || '-' || turn AS id, conv_id || '-' || (turn - 1) AS before, conv_id || '-' || (turn - 2) AS second, coalesce(role = 'assistant', false) AS answer FROM conversations),
+             ids AS (SELECT DISTINCT id FROM t WHERE NOT answer),
+             c AS (SELECT t.conv_id, t.id AS call_id, t.turn, t.role, t.text, CASE WHEN turn > 0 THEN coalesce(ids.id, CASE WHEN turn > 1 THEN second END) END AS after
+                   FROM t LEFT JOIN ids ON t.before = ids.id WHERE NOT answer),
+             d AS (SELECT call_id, 0 AS depth FROM c WHERE after IS NULL OR after NOT IN (SELECT id FROM ids)
+                   UNION ALL SELECT c.call_id, d.depth + 1 FROM c JOIN d ON c.after = d.call_id),
+             r AS (SELECT conv_id, before AS call_id, turn AS result_ord, text FROM t WHERE answer)
+        SELECT c.conv_id, c.call_id, c.turn AS ord, d.depth, r.result_ord, CASE WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+               CASE WHEN c.role IN ('user', 'system') THEN '' ELSE 'unknown_tool' END AS errors,
+               '{"after":' || coalesce(to_json(c.after)::VARCHAR, 'null') || ',"arguments":{"chars":' || length(c.text) || ',"text":' || to_json(c.text)::VARCHAR || ',"turn":' || c.turn || '},"id":'
+               || to_json(c.call_id)::VARCHAR || ',"name":' || to_json(c.role)::VARCHAR || ',"result":' || coalesce(to_json(r.text)::VARCHAR, 'null') || '}' AS json
+        FROM c JOIN d USING (call_id) LEFT JOIN r USING (call_id)
+        UNION ALL
+        SELECT r.conv_id, r.call_id, NULL, NULL, r.result_ord, 'orphan_result', NULL, NULL FROM r WHERE r.call_id NOT IN (SELECT id FROM ids)""",
 }
