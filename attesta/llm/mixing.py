@@ -83,13 +83,13 @@ class Flight:
 
     def step(self) -> None:
         """Move along the vector that changes neither the sum of probabilities nor that of probability times size."""
-        (a, p, seed, _), (b, q, _, _), (c, r, _, _) = self.held
+        (a, p, i, _), (b, q, j, _), (c, r, k, _) = self.held
         u = (c - b, a - c, b - a)
         if u == (0, 0, 0):
             u = (1.0, -1.0, 0.0)
         up = min((1 - x if d > 0 else x) / abs(d) for x, d in zip((p, q, r), u, strict=True) if d)
         down = min((x if d > 0 else 1 - x) / abs(d) for x, d in zip((p, q, r), u, strict=True) if d)
-        move = up if _uniform(seed) < down / (up + down) else -down
+        move = up if _uniform(3 * i + 5 * j + 7 * k) < down / (up + down) else -down
         still = []
         for unit, d in zip(self.held, u, strict=True):
             unit[1] += move * d
