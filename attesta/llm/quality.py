@@ -54,16 +54,16 @@ def encode(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     total = int(first[-1])
     of = np.repeat(first[:-1], n_words) + (np.arange(len(h)) - np.repeat(firsts[:-1], n_words)) // PASSAGE
     out = np.zeros((total, FEATURES), np.float32)
-    if not len(h):
+    if not len(raw):
         return out, first
     kind = _CLASS[raw]
-    begins = np.zeros(len(raw), np.int64)
-    new = np.flatnonzero(np.diff(of, prepend=-1))
-    begins[start[new]] = np.diff(of[new], prepend=0)
-    byte_of = np.cumsum(begins)
+    # A passage's bytes go from its first word to the next passage's, a text's first passage from the text's start.
+    nth = np.arange(total) - np.repeat(first[:-1], per_doc)
+    begin = np.where(nth == 0, np.repeat(offsets[:-1], per_doc), np.append(start, 0)[np.minimum(np.repeat(firsts[:-1], per_doc) + nth * PASSAGE, len(h))])
+    byte_of = np.cumsum(np.bincount(begin[begin < len(raw)], minlength=len(raw))) - 1
     pair = np.empty(len(raw), np.int64)
-    pair[0] = 3
     pair[1:] = kind[:-1]
+    pair[offsets[:-1][offsets[:-1] < len(raw)]] = 3
     pair = pair * CLASSES + kind
     grams = np.bincount(byte_of * CLASSES**2 + pair, minlength=total * CLASSES**2).reshape(total, -1)
     out[:, : CLASSES**2] = np.sqrt(grams / np.maximum(grams.sum(axis=1, keepdims=True), 1))
