@@ -56,7 +56,7 @@ def unpack_block(data: bytes) -> np.ndarray:
         at += size
     if bits == 8:
         return np.ascontiguousarray(np.stack(planes).T).view("<u4").reshape(-1)[:n]
-    flat = np.unpackbits(np.stack(planes), axis=1, count=n).T
+    flat = np.ascontiguousarray(np.unpackbits(np.stack(planes), axis=1, count=n).T)
     return np.packbits(flat, axis=1, bitorder="little").view("<u4").reshape(-1)
 
 
