@@ -9,12 +9,14 @@ looked at. Points hit random registers; each register keeps its earliest point.
 Two bags agree in a register with the probability of their weighted Jaccard
 similarity, whatever their sizes.
 
-Registers are banded. Documents of a band are compared with the band's leader,
-not with one another: a leader is drawn anew for each band, links that hold are
-merged into classes, and bands whose members are then still in different classes
-go on with twice as many leaders a round until every pair of theirs is in one
-class or compared. A link counts if the bags' overlap, computed in full,
-reaches the similarity asked for.
+Registers are banded, and documents that share a band, directly or through
+others, form a family of candidates. Within a family all documents are compared:
+its members are dealt into blocks, each pair of blocks is a task of its own, and
+a task keeps the shingles of two blocks in memory and emits only the links that
+join what it had not joined before, so neither pairs nor crowds are ever
+written out. A family beyond FAMILY members is compared band by band instead,
+again in blocks. A link counts if the bags' overlap, computed in full, reaches
+the similarity asked for; classes are what links connect.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm._hash import SHINGLE, bags, lowered, mix, salt, shingles, slices, unit, words
@@ -36,6 +38,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 #: Units of weight below one root process; a greater weight has several roots.
 ROOT_BITS = 8
+#: Members of a block, and of a family that is compared as a whole.
+BLOCK, FAMILY = 128, 8192
 #: Bits of the broadcast filter for candidates (its size is fixed; what it lets through in excess, a join removes).
 FILTER_BITS = 1 << 22
 _LEVEL = [salt(100 + i) for i in range(ROOT_BITS + 1)]
@@ -155,11 +159,62 @@ def overlap(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def _links(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+def linked(values: list[np.ndarray], sides: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of bags of similarity or more, enough of them to connect all that such pairs connect.
+
+    ``sides``: 0 for the first block's bags, 1 for the second's; pairs are across
+    blocks or, if there is one block, within it. Bags that are connected already
+    aren't compared.
+    """
+    sizes = np.array([len(v) for v in values])
+    order = np.lexsort((sizes, sides))
+    values, sides, sizes = [values[i] for i in order], sides[order], sizes[order]
+    flat = np.concatenate(values) if len(values) else np.zeros(0, np.uint64)
+    distinct, ids = np.unique(flat, return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    group, one, out = np.arange(len(values)), not sides.any(), []
+    mark = np.zeros(len(distinct), bool)
+    for x in np.flatnonzero(sides == 0).tolist():
+        if one:
+            low, high = x + 1, len(values)
+        else:
+            low, high = int(np.searchsorted(sides, 1)), len(values)
+        low += int(np.searchsorted(sizes[low:high], np.ceil(sizes[x] * similarity - 1e-9), "left"))
+        high = low + int(np.searchsorted(sizes[low:high], np.floor(sizes[x] / similarity + 1e-9), "right"))
+        if low >= high or (group[low:high] == group[x]).all():
+            continue
+        mine = ids[starts[x] : starts[x + 1]]
+        mark[mine] = True
+        hits = np.concatenate([[0], np.cumsum(mark[ids[starts[low] : starts[high]]])])
+        mark[mine] = False
+        both = hits[starts[low + 1 : high + 1] - starts[low]] - hits[starts[low:high] - starts[low]]
+        union = sizes[x] + sizes[low:high] - both
+        for y in (low + np.flatnonzero((both >= similarity * union - 1e-9) & (group[low:high] != group[x]))).tolist():
+            if group[y] != group[x]:
+                out.append((int(order[x]), int(order[y])))
+                group[group == group[y]] = group[x]
+    return out
+
+
+def _compare(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links of each (cell, i, j) in turn; rows come sorted by these."""
+    held: list[tuple] = []
+    at = None
+
+    def done() -> Iterator[pa.RecordBatch]:
+        if len(held) > 1:
+            pairs = linked([np.frombuffer(h[1], np.uint64) for h in held], np.array([h[0] for h in held]), similarity)
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array([held[p[k]][2] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
+        held.clear()
+
     for batch in batches:
-        a, b, x, y = batch.columns
-        keep = [i for i in range(len(batch)) if overlap(x[i].as_py(), y[i].as_py()) >= similarity]
-        yield pa.RecordBatch.from_arrays([a.take(pa.array(keep, pa.int64())), b.take(pa.array(keep, pa.int64()))], ["a", "b"])
+        for cell, i, j, side, print_, bag in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (cell, i, j) != at:
+                yield from done()
+                at = (cell, i, j)
+            held.append((side, bag, print_))
+    yield from done()
 
 
 def components(stage: Stage, edges: DataFrame, name: str) -> DataFrame:
@@ -215,72 +270,34 @@ def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: in
     ids = signed.select("doc_id", "print")
     first = stage.put(ids.groupBy("print").agg(F.min("doc_id").alias("first_id")), "first")
 
-    nodes = signed.where(F.size("bands") > 0).groupBy("print").agg(F.first("bands").alias("bands"))
-    nodes = stage.put(nodes, "nodes").select(F.explode("bands").alias("band"), "print")
-    leaders = nodes.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("band", "print").alias("h"), "print")).alias("lead"))
-    leaders = stage.put(leaders.where("n > 1").select("band", F.col("lead.print").alias("leader")), "leaders")
-    members = stage.put(nodes.join(leaders, "band").where("print != leader"), "members")
-    stage.drop("nodes")
-    pairs = members.select(F.least("leader", "print").alias("a"), F.greatest("leader", "print").alias("b")).distinct()
-    pairs = stage.put(pairs, "pairs")
-
-    wanted = spark.sparkContext.broadcast(_filter_of(pairs.select(F.col("a").alias("print")).union(pairs.select(F.col("b").alias("print")))))
+    nodes = stage.put(signed.where(F.size("bands") > 0).groupBy("print").agg(F.first("bands").alias("bands")), "nodes").select(F.explode("bands").alias("band"), "print")
+    leaders = nodes.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("leader"))
+    leaders = stage.put(leaders.where("n > 1"), "leaders")
+    members = stage.put(nodes.join(leaders, "band"), "members")
+    stage.drop("nodes", "leaders")
+    families = components(stage, members.where("print != leader").select(F.col("leader").alias("a"), F.col("print").alias("b")), "families").withColumnRenamed("node", "print").withColumnRenamed("label", "cell")
+    sizes = stage.put(families.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    placed = stage.put(families.join(sizes, "cell"), "placed")
+    wide = members.select("print", F.unhex(F.hex("band")).alias("cell"), "n").join(placed.where(F.col("n") > FAMILY).select("print"), "print", "left_semi")
+    placed = placed.where(F.col("n") <= FAMILY).select("print", "cell", "n").unionByName(wide)
+
+    wanted = spark.sparkContext.broadcast(_filter_of(families))
     bag = rows.select("text").mapInArrow(partial(_bags, wanted=wanted), "print binary, bag binary")
     bag = stage.put(bag.groupBy("print").agg(F.first("bag").alias("bag")), "bags")
-    links, done, labels = [], [], None
-
-    def compare(pairs: DataFrame, name: str) -> None:
-        """Adds the links among ``pairs`` and labels all linked texts anew."""
-        nonlocal labels
-        both = pairs.join(bag.select(F.col("print").alias("a"), F.col("bag").alias("x")), "a").join(bag.select(F.col("print").alias("b"), F.col("bag").alias("y")), "b")
-        found = both.select("a", "b", "x", "y").mapInArrow(partial(_links, similarity=similarity), "a binary, b binary")
-        links.append(stage.put(found, f"links-{name}"))
-        done.append(pairs)
-        every = links[0]
-        for part in links[1:]:
-            every = every.union(part)
-        labels = components(stage, every, f"labels-{name}")
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        """The pairs whose texts are in different classes so far."""
-        of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-        out = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        return out.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
-
-    one = pairs.select(F.col("a").alias("of"), "a", "b").union(pairs.select(F.col("b").alias("of"), "a", "b"))
-    one = one.groupBy("of").agg(F.min(F.struct(F.xxhash64("a", "b").alias("h"), "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-    compare(stage.put(one, "pairs-one"), "one")
-    rest = stage.put(apart(pairs.join(done[0], ["a", "b"], "left_anti")), "pairs-rest")
-    compare(rest, "rest")
-
-    # Bands whose members are still in several classes: more leaders, each compared with all others of other classes.
-    active = members.select("band", "print")
-    many, turn = 1, 0
-    while True:
-        turn, many = turn + 1, many * 2
-        labelled = active.join(labels.select(F.col("node").alias("print"), "label"), "print", "left").withColumn("label", F.coalesce("label", "print"))
-        split = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("band")
-        split = stage.put(split, f"split-{turn}")
-        active = stage.put(labelled.join(split, "band"), f"active-{turn}")
-        if active.isEmpty():
-            break
-        ranked = active.withColumn("h", F.xxhash64("band", "print", F.lit(turn)))
-
-
-        chosen = ranked.withColumn("r", F.row_number().over(Window.partitionBy("band").orderBy("h", "print"))).where(F.col("r") <= many)
-        chosen = stage.put(chosen.select("band", F.col("print").alias("leader"), F.col("label").alias("leader_label"), "r"), f"leaders-{turn}")
-        met = active.join(chosen, "band").where("label != leader_label")
-        pairs = stage.put(met.select(F.least("leader", "print").alias("a"), F.greatest("leader", "print").alias("b")).distinct(), f"pairs-{turn}")
-        for old in done:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        compare(stage.put(pairs, f"new-{turn}"), str(turn))
-        active = stage.put(active.select("band", "print").join(chosen.select("band", F.col("leader").alias("print")), ["band", "print"], "left_anti"), f"left-{turn}")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = placed.withColumn("m", F.pmod(F.xxhash64("print"), blocks).cast("int")).withColumn("k", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("cell", F.least("m", "k").alias("i"), F.greatest("m", "k").alias("j"), (F.col("m") > F.col("k")).cast("int").alias("side"), "print")
+    dealt = dealt.join(bag, "print").select("cell", "i", "j", "side", "print", "bag")
+    sides = dealt.repartitionByRange("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+    links = stage.put(sides.mapInArrow(partial(_compare, similarity=similarity), "a binary, b binary"), "links")
+    stage.drop("bags", "members")
+    labels = components(stage, links, "labels")
 
     named = first.join(labels.select(F.col("node").alias("print"), "label"), "print", "left").withColumn("label", F.coalesce("label", "print"))
     named = stage.put(named, "named")
     lowest = stage.put(named.groupBy("label").agg(F.min("first_id").alias("class_id")), "lowest")
     classes = stage.put(named.join(lowest, "label").select("print", "class_id"), "classes")
-    stage.drop("bags", "members", "pairs", "leaders")
+    stage.drop("named", "lowest", "links", "placed", "sizes")
     return ids.join(classes, "print").select("doc_id", "class_id")
 
 

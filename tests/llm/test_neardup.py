@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from attesta.llm._hash import bags
-from attesta.llm.neardup import BANDS, ROWS, deduplicated, duplicate_classes, signatures
+from attesta.llm import neardup
+from attesta.llm.neardup import BANDS, ROWS, deduplicated, duplicate_classes, linked, overlap, signatures
 
 
 def bag(text):
@@ -72,8 +73,11 @@ def test_whole_table_against_brute_force(spark, sf_dir):
     assert classes(duplicate_classes(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
-def test_chains_bridges_and_crowded_bands(docs_of, prose):
-    """A crowd of texts that share most of a passage, with single links across it, keeps every link."""
+@pytest.mark.parametrize("block,family", [(128, 8192), (7, 8192), (5, 10)])
+def test_chains_bridges_and_crowded_bands(docs_of, prose, monkeypatch, block, family):
+    """A crowd of texts that share most of a passage, with single links across it, keeps every link, however it is cut into blocks."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "FAMILY", family)
     rnd = random.Random(3)
     base = prose(120, 1).split()
     rows = []
@@ -112,3 +116,23 @@ def test_one_of_each_class_stays(docs_of, prose):
 
 def test_band_arithmetic():
     assert 1 - (1 - 0.8**ROWS) ** BANDS == pytest.approx(1, abs=1e-5)
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_blocks_keep_all_that_is_connected(two):
+    rnd = np.random.default_rng(5)
+    base = np.unique(rnd.integers(0, 2**63, 60, dtype=np.uint64))
+    for _ in range(20):
+        values = [np.unique(np.concatenate([rnd.choice(base, rnd.integers(30, 60), replace=False), rnd.integers(0, 2**63, rnd.integers(0, 12), dtype=np.uint64)])) for _ in range(40)] + [base, base.copy(), base[:48]]
+        sides = rnd.integers(0, 2, len(values)) if two else np.zeros(len(values), np.int64)
+
+        def parts(pairs):
+            up = list(range(len(values)))
+            for a, b in pairs:
+                up = [up[a] if u == up[b] else u for u in up]
+            return sorted(tuple(i for i, u in enumerate(up) if u == g) for g in set(up))
+
+        every = [(a, b) for a in range(len(values)) for b in range(a) if (sides[a] != sides[b] or not two) and overlap(values[a].tobytes(), values[b].tobytes()) >= 0.8]
+        got = linked(values, sides, 0.8)
+        assert parts(got) == parts(every) and len(got) < len(values)
+        assert all(overlap(values[a].tobytes(), values[b].tobytes()) >= 0.8 for a, b in got)
