@@ -178,7 +178,7 @@ def _absorb(kept: dict, gone: dict, stage: str) -> None:
         kept[name] = list(dict.fromkeys([*kept[name], *gone[name]]))
     kept["quality"] = min(kept["quality"], gone["quality"])
     kept["stages"] = list(dict.fromkeys([*kept["stages"], stage]))
-    kept["absorbed"].append((gone["ord"], stage))
+    kept["absorbed"] = [*kept["absorbed"], *gone["absorbed"], (gone["ord"], stage)]
 
 
 def fold_equal(rows: list[dict]) -> list[dict]:
