@@ -261,11 +261,19 @@ def deduplicate(records: DataFrame) -> DataFrame:
     rows = rows.withColumn("stages", F.array().cast("array<string>")).withColumn("absorbed", F.array().cast("array<struct<ord:bigint,stage:string>>")).withColumn("conflicts", F.lit(0))
     rows = rows.select(*_COLUMNS)
     print_of = F.pandas_udf(lambda s: s.map(lambda d: json.dumps(_folded(json.loads(d)), ensure_ascii=False, sort_keys=True, separators=(",", ":"))), "string")
-    equal = rows.withColumn("fingerprint", F.sha2(print_of("data"), 256)).groupBy("fingerprint").applyInPandas(lambda f: _fold(f.drop(columns="fingerprint"), False), _RECORD)
-    named = equal.where("identity is not null").groupBy("identity").applyInPandas(lambda f: _fold(f, True), _RECORD)
+    printed = rows.withColumn("fingerprint", F.sha2(print_of("data"), 256))
+    equal = _folded_groups(printed, "fingerprint", lambda f: _fold(f, False))
+    named = _folded_groups(equal.where("identity is not null"), "identity", lambda f: _fold(f, True))
     return named.unionByName(equal.where("identity is null"))
 
 
+def _folded_groups(rows: DataFrame, key: str, fold) -> DataFrame:
+    """Each group of two or more folded; a row that is alone in its group stays as it is and never leaves the JVM."""
+    sized = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    alone = sized.where("_n = 1").select(*_COLUMNS)
+    return sized.where("_n > 1").select(*dict.fromkeys([*_COLUMNS, key])).groupBy(key).applyInPandas(fold, _RECORD).unionByName(alone)
+
+
 def dedup_metrics(before: DataFrame, after: DataFrame) -> DataFrame:
     """input_records, output_records, duplicates_removed, one count a stage and identity_conflicts_retained."""
     stages = ("source_or_content", "exact_normalized_record", "schema_identity")
