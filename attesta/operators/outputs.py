@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions import text
@@ -97,3 +97,10 @@ def structured_records(records: DataFrame, schema: Sequence[Mapping], schema_nam
         F.struct("evidence_quality_score", F.col("evidence_support_statuses").alias("support_statuses")).alias("quality"),
         F.struct(F.lit(schema_name).alias("name"), F.lit(schema_version).alias("schema_version"), F.array(*(F.lit(f["field_name"]) for f in schema)).alias("fields")).alias("schema_metadata"),
     )
+
+
+def legacy_records(documents: DataFrame) -> DataFrame:
+    """Records of the older layout: a random id, a running title, the content and a few tags. ``documents``: ord, domain, cleaned_content, category, confidence_score."""
+    n = F.row_number().over(Window.orderBy("ord"))  # titles are numbered through the whole output
+    short = F.substring(F.regexp_replace(F.uuid(), "-", ""), 1, 6)
+    return documents.select("ord", F.concat("domain", F.lit("-"), short).alias("id"), "domain", F.concat(F.lit("Extracted Knowledge "), n.cast("string")).alias("title"), F.col("cleaned_content").alias("content"), F.array("category").alias("tags"), "confidence_score", F.lit("validated").alias("validation_status"))

@@ -149,10 +149,18 @@ def eligible() -> Column:
 
 
 def compatibility(rows: DataFrame, most: int) -> DataFrame:
-    """Rank by score and input order; the first ``most`` selected ones stay, priorities run on through the rest."""
-    w = Window.orderBy(F.when(F.col("decision") == "select", 0).otherwise(1), F.desc("final_score"), "ord")
-    out = rows.withColumn("priority", F.row_number().over(w))
-    return out.withColumn("kept", (F.col("decision") == "select") & (F.col("priority") <= most))
+    """Adds kept (the ``most`` selected rows of greatest score) and priority: the kept by score, then all others in input order."""
+    best = Window.partitionBy("decision").orderBy(F.desc("final_score"), "ord")
+    out = rows.withColumn("_rank", F.row_number().over(best)).withColumn("kept", (F.col("decision") == "select") & (F.col("_rank") <= most))
+    rest = F.row_number().over(Window.partitionBy("kept").orderBy("ord")) + F.sum(F.col("kept").cast("int")).over(Window.partitionBy())
+    return out.withColumn("priority", F.when(F.col("kept"), F.col("_rank")).otherwise(rest).cast("int")).drop("_rank")
+
+
+def exploration_starts(candidates: DataFrame, most: int) -> DataFrame:
+    """The first canonical URL of each host, selected candidates before seeds, ``most`` hosts. ``candidates``: ord, url, selected, user_seed."""
+    rows = candidates.where("selected or user_seed").withColumn("canonical_url", urls.canonical_url(F.col("url"))).where("canonical_url is not null")
+    rows = rows.withColumn("domain", urls.host_of(F.col("canonical_url"))).withColumn("turn", F.when(F.col("selected"), 0).otherwise(1))
+    return first_by(rows, ["domain"], ["turn", "ord"]).orderBy("turn", "ord").limit(most).drop("turn")
 
 
 def counts_map(df: DataFrame, column: str) -> DataFrame:

@@ -287,6 +287,44 @@ def domain_share(spark, sf_dir):
     return metrics.largest_share(table(spark, sf_dir, "pages").select(urls.host_of(F.col("url")).alias("h")), "h")
 
 
+@query(
+    f"""WITH q AS (SELECT *, {_FINAL} AS fs FROM {_EVAL}), d AS (SELECT page_id, fs, CASE WHEN len(hard) = 0 AND preview_success AND topic_relevance_score >= 0.5 AND fs >= 0.55 THEN 'select' ELSE 'reject' END AS decision FROM q),
+    r AS (SELECT *, decision = 'select' AND row_number() OVER (PARTITION BY decision ORDER BY fs DESC, page_id) <= 2 AS kept, row_number() OVER (PARTITION BY decision ORDER BY fs DESC, page_id) AS n FROM d)
+    SELECT page_id, kept, (CASE WHEN kept THEN n ELSE (SELECT count(*) FROM r WHERE kept) + row_number() OVER (PARTITION BY kept ORDER BY page_id) END)::INTEGER AS priority FROM r"""
+)
+def compatibility_ranks(spark, sf_dir):
+    rows = sources.evaluate(profiled(spark, sf_dir), POLICY)
+    return sources.compatibility(rows, 2).select("page_id", "kept", "priority")
+
+
+@query(
+    """WITH c AS (SELECT page_id, {canonical} AS canonical_url, {host} AS domain, CASE WHEN page_id % 7 = 0 THEN 0 ELSE 1 END AS turn FROM pages WHERE page_id % 7 = 0 OR page_id % 3 = 0),
+    f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY domain ORDER BY turn, page_id) = 1) SELECT page_id, canonical_url, domain FROM f ORDER BY turn, page_id LIMIT 8"""
+)
+def exploration_starts(spark, sf_dir):
+    p = F.col("page_id")
+    rows = table(spark, sf_dir, "pages").select("page_id", p.alias("ord"), "url", (p % 7 == 0).alias("selected"), (p % 3 == 0).alias("user_seed"))
+    return sources.exploration_starts(rows, 8).select("page_id", "canonical_url", "domain")
+
+
+@query("SELECT min(page_id) AS ord, lower(trim(t)) AS query FROM (SELECT page_id, regexp_extract(html, '<title>(\\S+)', 1) AS t FROM pages) WHERE trim(t) <> '' GROUP BY 2 ORDER BY 1 LIMIT 20")
+def distinct_queries(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select(F.col("page_id").alias("ord"), F.regexp_extract("html", r"<title>(\S+)", 1).alias("query"))
+    return sources.distinct_queries(rows, 20).select("ord", F.lower(text.strip(F.col("query"))).alias("query"))
+
+
+@query(
+    f"""WITH e AS (SELECT {{canonical}} AS c, page_id, CASE WHEN len(hard) = 0 THEN 'select' ELSE 'reject' END AS decision, hard FROM {_EVAL}), d AS (SELECT c, arg_min(decision, page_id) AS decision, arg_min(hard, page_id) AS hard FROM e WHERE page_id % 2 = 0 GROUP BY 1),
+    r AS (SELECT DISTINCT c FROM (SELECT {{canonical}} AS c FROM pages)) SELECT r.c AS canonical_url, CASE d.decision WHEN 'select' THEN 'selected' WHEN 'reject' THEN 'rejected' ELSE 'pending' END AS selection_state, CASE WHEN d.decision = 'reject' THEN array_to_string(d.hard, ',') ELSE '' END AS rejection_reasons FROM r LEFT JOIN d USING (c)"""
+)
+def registry_decisions(spark, sf_dir):
+    rows = sources.evaluate(profiled(spark, sf_dir), POLICY).withColumn("canonical_url", urls.canonical_url(F.col("url")))
+    outcome = F.when(F.size("hard_reasons") == 0, "select").otherwise("reject")
+    seen = sources.first_by(rows.where("page_id % 2 = 0"), ["canonical_url"], ["ord"]).select("canonical_url", outcome.alias("decision"), F.col("hard_reasons").alias("reasons"))
+    out = sources.registry_decisions(rows.select("canonical_url").distinct(), seen)
+    return out.select("canonical_url", "selection_state", F.array_join("rejection_reasons", ",").alias("rejection_reasons"))
+
+
 # Text and silver
 
 _CLEAN = r"trim(regexp_replace(regexp_replace(array_to_string(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[\t ]+', ' ', 'g'))), chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), '^\n+|\n+$', '', 'g'), chr(10))"
@@ -386,6 +424,16 @@ def build_previews(spark, sf_dir):
     return out.select("url", "title", "domain", "relevant_text", F.col("approximate_word_count").cast("long").alias("approximate_word_count"), F.col("preview_word_count").cast("long").alias("preview_word_count"), "fetch_success")
 
 
+@query("SELECT d.doc_id, b.doc_id AS bronze_id FROM documents d LEFT JOIN (SELECT doc_id, k, row_number() OVER (PARTITION BY k ORDER BY doc_id DESC) AS n FROM (SELECT doc_id, unnest(CASE WHEN doc_id % 2 = 0 THEN ['s' || doc_id, 'c' || (doc_id // 4)] ELSE ['s' || doc_id] END) AS k FROM documents WHERE doc_id % 5 <> 0)) b ON b.n = 1 AND b.k = CASE WHEN d.doc_id % 3 = 0 THEN 'c' || (d.doc_id // 4) ELSE 's' || d.doc_id END")
+def bronze_join(spark, sf_dir):
+    d = F.col("doc_id")
+    group = F.concat(F.lit("c"), F.floor(d / 4).cast("string"))
+    own = F.concat(F.lit("s"), d.cast("string"))
+    docs = documents(spark, sf_dir).select("doc_id", F.when(d % 3 == 0, group).otherwise(own).alias("source"))
+    bronze = documents(spark, sf_dir).select("ord", own.alias("source_url"), F.when(d % 2 == 0, group).alias("canonical_url"), (d % 5 != 0).alias("success"), d.alias("bronze_id"))
+    return silver.join_by_either_url(docs, bronze).select("doc_id", "bronze_id")
+
+
 @query("SELECT count(*) AS total, count(*) FILTER (trim(text) = '') AS empty, count(*) FILTER (trim(text) <> '' AND {words} < 60) AS thin, count(*) FILTER (trim(text) <> '' AND {words} >= 60) AS usable FROM documents")
 def stage_metrics(spark, sf_dir):
     c = F.col("content")

@@ -211,6 +211,15 @@ def rejection_union(spark, sf_dir):
     return evidence.rejections(gate, empty).groupBy("stage").agg(F.count(F.lit(1)).alias("n"), F.count("reasons").alias("with_reasons"))
 
 
+@query("SELECT doc_id, coalesce(CASE WHEN n % 2 = 0 THEN 0.75::DOUBLE END, CASE WHEN n % 3 = 0 THEN CASE WHEN n % 9 = 0 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END END, 0.5) AS source_score FROM (SELECT doc_id, substr(source, 4)::INTEGER AS n FROM documents)")
+def source_score(spark, sf_dir):
+    """The first table scores even sources, the second every third one, with a score that is no number or beyond 1."""
+    docs = documents(spark, sf_dir).withColumn("n", F.substring("source", 4, 9).cast("int")).withColumnRenamed("source", "source_url")
+    of = lambda rule, score: docs.where(rule).groupBy(F.col("source_url").alias("url")).agg(F.first(score).alias("score"), F.min("ord").alias("ord"))
+    out = evidence.source_scores(docs, of("n % 2 = 0", F.lit("0.75")), of("n % 3 = 0", F.when(F.col("n") % 9 == 0, "7").otherwise("n/a")))
+    return out.select("doc_id", "source_score")
+
+
 # Resolution and deduplication
 
 
@@ -369,6 +378,13 @@ def graph_claims(spark, sf_dir):
     return outputs.claims(rows, refs.union(more), doc_chunks(spark, sf_dir)).select("resolution_key", "predicate", "claim_id")
 
 
+@query(r"SELECT doc_id, 'Extracted Knowledge ' || row_number() OVER (ORDER BY doc_id) AS title, lang AS domain, 'validated' AS validation_status FROM documents")
+def legacy_records(spark, sf_dir):
+    """Records of the older layout; their ids are random and left out."""
+    rows = documents(spark, sf_dir).withColumn("cleaned_content", F.col("content")).withColumn("category", F.lit("general")).withColumn("domain", F.col("lang")).withColumn("confidence_score", F.lit(0.9))
+    return outputs.legacy_records(rows).select(F.col("ord").alias("doc_id"), "title", "domain", "validation_status")
+
+
 # The first slice from pages to counts
 
 

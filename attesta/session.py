@@ -40,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or ""
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("on a cluster, set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         path = tempfile.mkdtemp(prefix="attesta-")

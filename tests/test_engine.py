@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attesta.plans.engine import Engine, NotApproved
-from attesta.sources import config, files, providers
+from attesta.sources import config, files, planning, providers
 from attesta.streaming import ingest
 
 REQUEST = {
@@ -92,6 +92,15 @@ def test_configuration(tmp_path):
         config.Settings.load(environment={"ATTESTA_CHUNK_TARGET_TOKENS": "0"})
 
 
+def test_plans_and_contracts():
+    made = planning.plan({"research": {"queries": ["Q one", "q ONE", "two"]}, "sources": {"source_policy": {"blocked_source_types": ["forum"]}}}, "Topic", 2)
+    assert made["search_queries"] == ["Q one", "q ONE"] and made["excluded_source_types"] == ["forum"] and planning.query_terms(made) == ["Topic", "Q one"]
+    assert planning.plan({}, "") == {} and planning.plan({}, "T")["search_queries"] == ["T"]
+    strict = planning.strict_schema({"title": "x", "properties": {"a": {"type": "object", "default": 1}, "b": {"anyOf": [{"type": "object", "properties": {"c": {}}}]}}})
+    assert strict["required"] == ["a", "b"] and strict["properties"]["a"] == {"type": "object", "additionalProperties": False, "required": []} and strict["properties"]["b"]["anyOf"][0]["required"] == ["c"] and "title" not in strict
+    assert planning.json_safe({1: (1, None, {2})}) == {"1": [1, None, "{2}"]}
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "é"), (2, None)], "a long, b string").coalesce(1)
     files.write_records(df, str(tmp_path / "x.json"), "json")
