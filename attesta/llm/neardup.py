@@ -220,24 +220,33 @@ def _compare(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
 def components(stage: Stage, edges: DataFrame, name: str) -> DataFrame:
     """node and label (its component's smallest node) of the nodes of ``edges`` (a, b).
 
-    Each round takes the smallest label of all neighbours, then the label's own
-    label, so chains shorten by half; each round is written out, and only the
-    number of changes comes to the driver.
+    Each round hooks every node to its smallest neighbour, takes that one's hook,
+    and goes on with the edges between hooks, far fewer each time (half the nodes
+    go at least). Each round is written out; only whether edges are left comes to
+    the driver. The rounds' hooks are put together at the end.
     """
-    both = stage.put(edges.select("a", "b").union(edges.select("b", "a")).distinct(), f"{name}-both")
-    labels = stage.put(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("label")), f"{name}-0")
-    step = 0
-    while True:
-        step += 1
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        new = stage.put(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")), f"{name}-{step}n")
-        up = new.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        jumped = stage.put(new.join(up, "label").select("node", "old", F.col("up").alias("label")), f"{name}-{step}")
-        stage.drop(f"{name}-{step}n", f"{name}-{step - 1}")
-        labels = jumped.select("node", "label")
-        if jumped.where("label != old").isEmpty():
-            stage.drop(f"{name}-both")
-            return labels
+    pair = lambda x, y: (F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
+    left = stage.put(edges.where("a != b").select(*pair("a", "b")).distinct(), f"{name}-0")
+    hooks: list[DataFrame] = []
+    while not left.isEmpty():
+        k = len(hooks) + 1
+        near = left.select(F.col("a").alias("node"), F.col("b").alias("near")).union(left.select("b", "a")).groupBy("node").agg(F.min("near").alias("near"))
+        first = stage.put(near.select("node", F.least("node", "near").alias("up")), f"{name}-{k}f")
+        hook = stage.put(first.join(first.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up")), f"{name}-{k}h")
+        side = lambda c, h=hook: h.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}"))
+        across = left.join(side("a"), "a").join(side("b"), "b").select(*pair("up_a", "up_b"))
+        # A hook that itself hangs on another one keeps that edge.
+        hanging = hook.where("node != up").join(hook.select(F.col("up").alias("node")).distinct(), "node", "left_semi").select(*pair("node", "up"))
+        left = stage.put(across.union(hanging).where("a != b").distinct(), f"{name}-{k}")
+        stage.drop(f"{name}-{k}f", f"{name}-{k - 1}")
+        hooks.append(hook)
+    if not hooks:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    labels = hooks[-1].select("node", F.col("up").alias("label"))
+    for hook in reversed(hooks[:-1]):
+        above = labels.select(F.col("node").alias("up"), "label")
+        labels = hook.join(above, "up", "left").select("node", F.coalesce("label", "up").alias("label"))
+    return stage.put(labels, f"{name}-labels")
 
 
 def _filter_of(prints: DataFrame) -> np.ndarray:

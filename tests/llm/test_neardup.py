@@ -7,6 +7,7 @@ import pytest
 from attesta.llm._hash import bags
 from attesta.llm import neardup
 from attesta.llm.neardup import BANDS, ROWS, deduplicated, duplicate_classes, linked, overlap, signatures
+from attesta.session import Stage
 
 
 def bag(text):
@@ -136,3 +137,16 @@ def test_blocks_keep_all_that_is_connected(two):
         got = linked(values, sides, 0.8)
         assert parts(got) == parts(every) and len(got) < len(values)
         assert all(overlap(values[a].tobytes(), values[b].tobytes()) >= 0.8 for a, b in got)
+
+
+def test_components(spark):
+    rnd = random.Random(9)
+    edges = [(rnd.randint(0, 400), rnd.randint(0, 400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(150)] + [(2000, 2001 + i) for i in range(80)] + [(5, 5)]
+    up = {n: n for e in edges for n in e}
+    for a, b in edges:
+        low, high = sorted((up[a], up[b]))
+        up = {n: low if u == high else u for n, u in up.items()}
+    lone = {n for n in up if all(n not in e or e[0] == e[1] for e in edges)}
+    out = neardup.components(Stage(spark, "test"), spark.createDataFrame(edges, "a long, b long"), "c")
+    assert {r.node: r.label for r in out.collect()} == {n: u for n, u in up.items() if n not in lone}
+    assert neardup.components(Stage(spark, "test"), spark.createDataFrame([], "a long, b long"), "c").count() == 0
