@@ -462,6 +462,11 @@ _ASCII = "(SELECT doc_id, regexp_replace(left(text, 400), '[^\\x00-\\x7f]+', ' '
 _NAMES = rf"(SELECT doc_id, list_filter(l, lambda x, i: list_position(l, x) = i) AS names FROM (SELECT doc_id, regexp_extract_all(text, '\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\b') AS l FROM {_ASCII}))"
 
 
+def whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' whole texts; the SQL beside reads only what _ASCII leaves of them."""
+    return documents(spark, sf_dir).withColumn("cleaned_content", F.col("content"))
+
+
 def ascii_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 400 characters of the documents, those outside ASCII blanked: SQL's word ends know ASCII alone."""
     return documents(spark, sf_dir).withColumn("cleaned_content", F.regexp_replace(F.substring("content", 1, 400), r"[^\x00-\x7f]+", " "))
@@ -469,7 +474,7 @@ def ascii_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(rf"SELECT doc_id, (i - 1)::INTEGER AS nth, name, CASE WHEN contains(lower(name), 'th') THEN 'TH' WHEN contains(lower(name), 'on') THEN 'ON' ELSE 'UNKNOWN' END AS type FROM (SELECT doc_id, unnest(names) AS name, unnest(range(1, len(names) + 1)) AS i FROM {_NAMES})")
 def entities(spark, sf_dir):
-    return enrich.mentions(ascii_documents(spark, sf_dir), {"th": "TH", "on": "ON"}).select(F.col("ord").alias("doc_id"), "nth", "name", "type")
+    return enrich.mentions(whole_documents(spark, sf_dir), {"th": "TH", "on": "ON"}).select(F.col("ord").alias("doc_id"), "nth", "name", "type")
 
 
 @query(rf"SELECT doc_id, names[i] AS source_entity, names[j] AS target_entity, CASE WHEN names[j] = 'The' THEN 'TO_THE' WHEN names[i] = 'The' THEN 'OF_THE' ELSE 'RELATED_TO' END AS relation_type FROM (SELECT doc_id, names, unnest(range(1, len(names) + 1)) AS i FROM {_NAMES}) a, LATERAL (SELECT unnest(range(a.i + 1, len(a.names) + 1)) AS j)")
