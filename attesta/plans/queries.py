@@ -467,11 +467,6 @@ def whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).withColumn("cleaned_content", F.col("content"))
 
 
-def ascii_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 400 characters of the documents, those outside ASCII blanked: SQL's word ends know ASCII alone."""
-    return documents(spark, sf_dir).withColumn("cleaned_content", F.regexp_replace(F.substring("content", 1, 400), r"[^\x00-\x7f]+", " "))
-
-
 @query(rf"SELECT doc_id, (i - 1)::INTEGER AS nth, name, CASE WHEN contains(lower(name), 'th') THEN 'TH' WHEN contains(lower(name), 'on') THEN 'ON' ELSE 'UNKNOWN' END AS type FROM (SELECT doc_id, unnest(names) AS name, unnest(range(1, len(names) + 1)) AS i FROM {_NAMES})")
 def entities(spark, sf_dir):
     return enrich.mentions(whole_documents(spark, sf_dir), {"th": "TH", "on": "ON"}).select(F.col("ord").alias("doc_id"), "nth", "name", "type")
@@ -480,7 +475,7 @@ def entities(spark, sf_dir):
 @query(rf"SELECT doc_id, names[i] AS source_entity, names[j] AS target_entity, CASE WHEN names[j] = 'The' THEN 'TO_THE' WHEN names[i] = 'The' THEN 'OF_THE' ELSE 'RELATED_TO' END AS relation_type FROM (SELECT doc_id, names, unnest(range(1, len(names) + 1)) AS i FROM {_NAMES}) a, LATERAL (SELECT unnest(range(a.i + 1, len(a.names) + 1)) AS j)")
 def cooccurrence(spark, sf_dir):
     rules = [{"source_type": "The", "relation_type": "OF_THE"}, {"target_type": "The", "relation_type": "TO_THE"}]
-    return enrich.relations(ascii_documents(spark, sf_dir), rules).select(F.col("ord").alias("doc_id"), "source_entity", "target_entity", "relation_type")
+    return enrich.relations(whole_documents(spark, sf_dir), rules).select(F.col("ord").alias("doc_id"), "source_entity", "target_entity", "relation_type")
 
 
 @query(r"SELECT doc_id, complete AS completeness_score, amount AS content_score, floor((round(complete * 100) + round(amount * 100) + 1) / 2) / 100.0::DOUBLE AS overall_quality_score, floor((round(complete * 100) + round(amount * 100) + 1) / 2) / 100.0::DOUBLE >= 0.4 AND c >= 0.25 AS passed FROM (SELECT doc_id, (doc_id % 8) / 8.0::DOUBLE AS c, round((CASE WHEN text <> '' THEN 1 ELSE 0 END + CASE WHEN doc_id % 2 > 0 THEN 1 ELSE 0 END + CASE WHEN doc_id % 3 > 0 THEN 1 ELSE 0 END + 1) / 4.0::DOUBLE, 2) AS complete, least(round(len(regexp_extract_all(text, '\S+')) / 100.0::DOUBLE, 2), 1.0) AS amount FROM documents)")
