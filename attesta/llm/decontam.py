@@ -149,23 +149,48 @@ class ItemIndex:
         return best
 
 
+def _hits(column: pa.Array, index: ItemIndex) -> Iterator[tuple]:
+    """Row, item, similarity, start and words of what the index finds in a column of texts."""
+    for at, raw, offsets in slices(lowered(column)):
+        h, _, _, firsts = words(raw, offsets)
+        for gram, known in index.known.items():
+            grams, first = shingles(h, firsts, gram)
+            seen = np.flatnonzero(np.isin(grams, known))
+            for doc in np.unique(np.searchsorted(first, seen, "right") - 1).tolist():
+                for item, (s, start, width) in index.search(grams[first[doc] : first[doc + 1]], gram).items():
+                    yield at + doc, index.ids[item], s, start, width + gram - 1
+
+
 def _search(batches: Iterator[pa.RecordBatch], index) -> Iterator[pa.RecordBatch]:
-    index = index.value
     for batch in batches:
-        rows: list[tuple] = []
-        for at, raw, offsets in slices(lowered(batch.column(1))):
-            h, _, _, firsts = words(raw, offsets)
-            for gram, known in index.known.items():
-                grams, first = shingles(h, firsts, gram)
-                seen = np.flatnonzero(np.isin(grams, known))
-                for doc in np.unique(np.searchsorted(first, seen, "right") - 1).tolist():
-                    for item, (s, start, width) in index.search(grams[first[doc] : first[doc + 1]], gram).items():
-                        rows.append((at + doc, index.ids[item], s, start, width + gram - 1))
+        rows = list(_hits(batch.column(1), index.value))
         if rows:
             who, item, s, start, n = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(who)), pa.array(item, pa.int64()), pa.array(s, pa.float64()), pa.array(start, pa.int64()), pa.array(n, pa.int64())], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
 
 
+def _clean(batches: Iterator[pa.RecordBatch], index, column: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        stays = np.ones(batch.num_rows, bool)
+        stays[[hit[0] for hit in _hits(batch.column(column), index.value)]] = False
+        yield batch.filter(pa.array(stays))
+
+
+def _indexes(benchmark: DataFrame, similarity: float, radius: int | None) -> Iterator[ItemIndex]:
+    """Indexes of the benchmark's parts that have words."""
+    ids, texts, held = [], [], 0
+    for r in benchmark.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
+        size = len((r["text"] or "").encode())
+        if ids and (len(ids) >= ITEMS_AT_ONCE or held + size > TEXT_AT_ONCE):
+            yield ItemIndex(ids, texts, similarity, radius)
+            ids, texts, held = [], [], 0
+        ids.append(r["item_id"])
+        texts.append(r["text"])
+        held += size
+    if ids:
+        yield ItemIndex(ids, texts, similarity, radius)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, item_id, similarity, start_word and n_words of each document and benchmark item that it holds.
 
@@ -181,24 +206,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id long, similarity double, start_word long, n_words long"
-    out, ids, texts, held = spark.createDataFrame([], schema), [], [], 0
-
-    def take() -> None:
-        nonlocal out, ids, texts, held
-        index = ItemIndex(ids, texts, similarity, radius)
+    out = spark.createDataFrame([], schema)
+    for index in _indexes(benchmark, similarity, radius):
         if index.ids:
             out = out.unionByName(rows.mapInArrow(partial(_search, index=spark.sparkContext.broadcast(index)), schema))
-        ids, texts, held = [], [], 0
-
-    for r in benchmark.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
-        size = len((r["text"] or "").encode())
-        if ids and (len(ids) >= ITEMS_AT_ONCE or held + size > TEXT_AT_ONCE):
-            take()
-        ids.append(r["item_id"])
-        texts.append(r["text"])
-        held += size
-    if ids:
-        take()
     return out
 
 
@@ -206,3 +217,12 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame
     """The documents that hold no benchmark item; those without id stay."""
     found = contaminated(docs, benchmark, **kwargs).select(F.col("doc_id").alias("found_id")).distinct()
     return docs.join(found, F.col("doc_id") == F.col("found_id"), "left_anti")
+
+
+def decontaminated_rows(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int | None = None, text_col: str = "text") -> DataFrame:
+    """The rows whose own text holds no benchmark item, whatever their ids, without a shuffle."""
+    out = docs
+    for index in _indexes(benchmark, similarity, radius):
+        if index.ids:
+            out = out.mapInArrow(partial(_clean, index=docs.sparkSession.sparkContext.broadcast(index), column=docs.columns.index(text_col)), docs.schema)
+    return out

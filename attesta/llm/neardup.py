@@ -319,4 +319,21 @@ def deduplicated(docs: DataFrame, **kwargs) -> DataFrame:
     return kept.unionByName(docs.where("doc_id is null"))
 
 
-__all__ = ["SHINGLE", "deduplicated", "duplicate_classes", "overlap", "signatures"]
+def deduplicated_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
+    """One row of each class, that of the smallest id, decided for each row by its id and text.
+
+    Rows without id come after those with one: a class without ids keeps one row.
+    Texts that share an id stand for themselves, each in its own class. Of equal
+    ids in a class the text of the smallest SHA-256 stays.
+    """
+    stage = Stage(docs.sparkSession, "dedup")
+    name, body = F.col(id_col), F.col(text_col)
+    sha = F.substring(F.unhex(F.sha2(F.coalesce(body, F.lit("")), 256)), 1, 16)
+    key = F.struct(name.isNull().alias("lost"), F.coalesce(name, F.lit("0").cast(docs.schema[id_col].dataType)).alias("id"), body.isNull().alias("void"), sha.alias("sha"))
+    classes = duplicate_classes(docs.select(key.alias("row_key"), body.alias("row_text")), id_col="row_key", text_col="row_text", **kwargs)
+    keep = stage.put(classes.where("doc_id = class_id").select(F.col("doc_id").alias("kept_key")).distinct(), "keep")
+    kept = docs.withColumn("row_key", key).join(keep, F.col("row_key") == F.col("kept_key"), "left_semi")
+    return kept.dropDuplicates(["row_key"]).drop("row_key")
+
+
+__all__ = ["SHINGLE", "deduplicated", "deduplicated_rows", "duplicate_classes", "overlap", "signatures"]

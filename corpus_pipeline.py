@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from attesta.llm.decontam import decontaminated
+from attesta.llm.decontam import decontaminated_rows
 from attesta.llm.mixing import mixed_documents
-from attesta.llm.neardup import deduplicated
+from attesta.llm.neardup import deduplicated_rows
 from attesta.llm.quality import accepted
 from attesta.llm.queries import tokenizer_path
 from attesta.llm.token_shards import token_shards
@@ -24,13 +24,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one of the smallest id."""
-    return deduplicated(docs)
+    """One document of each class of near-duplicates, the one of the smallest id; ids may be null or repeated."""
+    return deduplicated_rows(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminated_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
