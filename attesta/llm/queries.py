@@ -79,7 +79,7 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from attesta.llm.tool_calls import TURN_SCHEMAS, link_tool_calls, turns_as_calls
 
     calls, results = turns_as_calls(table(spark, sf_dir, "conversations"))
-    return link_tool_calls(calls, results, TURN_SCHEMAS).withColumn("errors", F.array_join("errors", ";"))
+    return link_tool_calls(calls, results, TURN_SCHEMAS, by_conversation=True).withColumn("errors", F.array_join("errors", ";"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -61,7 +61,7 @@ def depths(stage: Stage, calls: DataFrame) -> DataFrame:
     return at.select("call_id", F.when(F.col("up").isNull(), F.col("depth")).cast("int").alias("depth"))
 
 
-def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
+def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, by_conversation: bool = False) -> DataFrame:
     """One row for each call and result of its: conv_id, call_id, ord, depth, status, errors and json.
 
     ``calls`` has conv_id, call_id, ord, name, arguments (JSON text) and after
@@ -75,28 +75,41 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
     what is wrong with the arguments by schema (not_json, not_an_object,
     unknown_tool, missing:f, type:f, unknown:f). ``json`` has its keys in order;
     arguments that don't parse are a string in it. Other columns are ignored.
+
+    ``by_conversation``: ids hold within their conversation, and only calls equal
+    in full are repeats; different ones that share an id are kept with the status
+    duplicate_id, without depth or result.
     """
+    scope = F.coalesce(F.concat(F.length(F.col("conv_id").cast("string")).cast("string"), F.lit(":"), F.col("conv_id").cast("string")), F.lit("-"))
+    key = (lambda c: F.concat(scope, F.lit("/"), F.col(c))) if by_conversation else F.col
     stage = Stage(calls.sparkSession, "calls")
-    every = calls.select("conv_id", "call_id", F.col("ord").cast("long").alias("ord"), "name", "arguments", "after")
-    one = F.min(F.struct("ord", "arguments", "name", "after", "conv_id")).alias("c")
-    named = every.where("call_id is not null").groupBy("call_id").agg(one).select("call_id", "c.*")
+    every = calls.select("conv_id", key("call_id").alias("call_id"), F.col("ord").cast("long").alias("ord"), "name", "arguments", key("after").alias("after"), F.col("call_id").alias("id"), F.col("after").alias("after_id"))
+    whole = F.struct("ord", "arguments", "name", "after", "conv_id", "id", "after_id")
+    named = every.where("call_id is not null").groupBy("call_id").agg(F.min(whole).alias("c")).select("call_id", "c.*")
     named = stage.put(named, "named")
     deep = stage.put(depths(stage, named), "depths")
     placed = named.join(deep, "call_id").unionByName(every.where("call_id is null").withColumn("depth", F.lit(0)))
-    answers = results.select(F.col("conv_id").alias("result_conv"), F.col("call_id").alias("result_of"), F.col("ord").cast("long").alias("result_ord"), "content")
+    answers = results.select(F.col("conv_id").alias("result_conv"), key("call_id").alias("result_of"), F.col("call_id").alias("result_id"), F.col("ord").cast("long").alias("result_ord"), "content")
     answers = stage.put(answers, "answers")
     linked = placed.join(answers, F.col("call_id") == F.col("result_of"), "left")
     value = F.coalesce(F.to_json(F.try_parse_json("arguments")), quoted(F.col("arguments")))
     has_result = F.col("result_of").isNotNull()
     json = F.concat(
-        F.lit('{"after":'), quoted(F.col("after")), F.lit(',"arguments":'), value, F.lit(',"id":'), quoted(F.col("call_id")), F.lit(',"name":'), quoted(F.col("name")),
+        F.lit('{"after":'), quoted(F.col("after_id")), F.lit(',"arguments":'), value, F.lit(',"id":'), quoted(F.col("id")), F.lit(',"name":'), quoted(F.col("name")),
         F.lit(',"result":'), F.when(has_result, quoted(F.col("content"))).otherwise("null"), F.lit("}"),
     )
     errors = argument_errors(F.coalesce("name", F.lit("")), F.col("arguments"), schemas)
-    found = linked.select("conv_id", "call_id", "ord", "depth", "result_ord", F.when(has_result, "linked").otherwise("no_result").alias("status"), errors.alias("errors"), json.alias("json"))
+    found = linked.select("conv_id", F.col("id").alias("call_id"), "ord", "depth", "result_ord", F.when(has_result, "linked").otherwise("no_result").alias("status"), errors.alias("errors"), json.alias("json"))
     orphans = answers.join(named.select(F.col("call_id").alias("known_id")), F.col("result_of") == F.col("known_id"), "left_anti")
-    orphans = orphans.select(F.col("result_conv").alias("conv_id"), F.col("result_of").alias("call_id"), F.lit(None).cast("long").alias("ord"), F.lit(None).cast("int").alias("depth"), "result_ord", F.lit("orphan_result").alias("status"), F.lit(None).cast("array<string>").alias("errors"), F.lit(None).cast("string").alias("json"))
-    return found.unionByName(orphans)
+    orphans = orphans.select(F.col("result_conv").alias("conv_id"), F.col("result_id").alias("call_id"), F.lit(None).cast("long").alias("ord"), F.lit(None).cast("int").alias("depth"), "result_ord", F.lit("orphan_result").alias("status"), F.lit(None).cast("array<string>").alias("errors"), F.lit(None).cast("string").alias("json"))
+    out = found.unionByName(orphans)
+    if by_conversation:
+        first = named.select("call_id", whole.alias("first"))
+        others = every.where("call_id is not null").distinct().join(first, "call_id").where(~whole.eqNullSafe(F.col("first")))
+        others = others.withColumn("result_of", F.lit(None).cast("string")).withColumn("content", F.lit(None).cast("string"))
+        none = lambda kind: F.lit(None).cast(kind)
+        out = out.unionByName(others.select("conv_id", F.col("id").alias("call_id"), "ord", none("int").alias("depth"), none("long").alias("result_ord"), F.lit("duplicate_id").alias("status"), errors.alias("errors"), json.alias("json")))
+    return out
 
 
 #: What the turns of a conversation count as.
