@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -16,6 +17,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+#: Bytes of an Arrow batch that Python functions over texts get.
+BATCH_BYTES = 4 << 20
 
 
 def build_session(app: str = "attesta", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -50,6 +53,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app]
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same DataFrame; from now on its session hands BATCH_BYTES at most (or one row) to Python at once.
+
+    The setting is Spark's own and read when a query is planned; a smaller one stays.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    set_to = re.fullmatch(r"(\d+)\s*([kmg]?)b?", conf.get(name).strip().lower())
+    if set_to is None or int(set_to[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[set_to[2]] > BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 class Stage:
     """Tables and files of one operator call, in the shared folder.
 
