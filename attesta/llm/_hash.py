@@ -1,8 +1,10 @@
 """Vectorised hashing of words and word shingles over Arrow batches.
 
 A word is a maximal run of bytes other than ASCII white space (0x20 and
-0x09-0x0D) of the lower-cased text. All functions work on one slice of a batch
-at a time, so memory is bounded by SLICE_BYTES (or by one text, if it is longer).
+0x09-0x0D) of the lower-cased text. A batch is worked on in slices of about
+SLICE_BYTES, and a text that is longer in windows that end at white space, so
+what is held besides a batch and a text's word hashes is bounded by SLICE_BYTES
+(or by one word, if it is longer).
 """
 
 from __future__ import annotations
@@ -14,7 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1 << 18
+#: Texts handled at once.
+SLICE_ROWS = 2048
+#: Bytes whose 64-bit sums are held at once.
+_PIECE = 1 << 16
 #: Words in a shingle.
 SHINGLE = 5
 
@@ -22,6 +28,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[0x21:0x7F] = True
 _MIX_A, _MIX_B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _powers: dict[str, np.ndarray] = {}
@@ -46,17 +54,13 @@ def unit(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) * (1.0 / (1 << 53))
 
 
-def _power(which: str, base: np.uint64, n: int) -> np.ndarray:
-    have = _powers.get(which)
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
-        out = np.full(size, base, np.uint64)
+def _powers_of(which: str, base: np.uint64) -> np.ndarray:
+    """Powers 0 to _PIECE of ``base`` modulo 2**64."""
+    if which not in _powers:
+        out = np.full(_PIECE + 1, base, np.uint64)
         out[0] = 1
-        out = np.multiply.accumulate(out)
-        if size <= 4 * SLICE_BYTES:
-            _powers[which] = out
-        return out
-    return have
+        _powers[which] = np.multiply.accumulate(out)
+    return _powers[which]
 
 
 def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -71,15 +75,58 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     at = 0
     while at < len(texts):
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
+        end = max(at + 1, min(at + SLICE_ROWS, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1))
         yield at, raw[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
 
 
-def lowered(texts: pa.Array) -> pa.Array:
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    return pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+def _after_word(here: np.ndarray) -> np.ndarray:
+    """For each byte but the first three, whether the character before it is surely no white space, within ASCII or beyond."""
+    one, two, three = here[2:-1], here[1:-2], here[:-3]
+    wide = (one >= 0x80) & (two != 0xC2) & (three != 0xE1) & (three != 0xE2) & ((three != 0xE3) | (two != 0x80))
+    return _VISIBLE[one] | wide
+
+
+def windows(raw: np.ndarray, tokens: bool = False) -> Iterator[np.ndarray]:
+    """One text in parts of about SLICE_BYTES, each but the first beginning with white space, so that no word goes across a cut.
+
+    ``tokens``: only where that white space follows a character of another kind,
+    where every byte-level pre-tokenisation cuts as well. A part is longer only
+    if it has no such place.
+    """
+    at = 0
+    while len(raw) - at > SLICE_BYTES:
+        cut, reach = 0, at + SLICE_BYTES
+        while not cut and reach < len(raw):
+            first = max(at + 3, reach - SLICE_BYTES)
+            here = raw[first - 3 : reach]
+            found = np.flatnonzero(_SPACE[here[3:]] & _after_word(here)) if tokens else np.flatnonzero(_SPACE[here[3:]])
+            if len(found):
+                cut = first + int(found[-1])
+            reach += SLICE_BYTES
+        if not cut:
+            break
+        yield raw[at:cut]
+        at = cut
+    yield raw[at:]
+
+
+def low(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slice with its texts lower-cased."""
+    texts = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(raw)))
+    _, after, data = pc.utf8_lower(texts).buffers()
+    return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), np.frombuffer(after, np.int64)[: len(offsets)]
+
+
+def word_hashes(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, hashes of the lower-cased words, for each row the index of its first word) of consecutive slices of a string column."""
+    for at, raw, offsets in slices(texts):
+        if len(raw) <= SLICE_BYTES:
+            h, _, _, firsts = words(*low(raw, offsets))
+        else:
+            h = np.concatenate([words(*low(part, np.array([0, len(part)])))[0] for part in windows(raw)])
+            firsts = np.array([0, len(h)])
+        yield at, h, firsts
 
 
 def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -100,10 +147,20 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     last[inner[inner > 0] - 1] = True
     start = np.flatnonzero(solid & first)
     end = np.flatnonzero(solid & last) + 1
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _power("p", _BASE, n)[:n], out=sums[1:])
-    h = (sums[end] - sums[start]) * _power("i", _INVERSE, n)[start]
+    h = np.zeros(len(start), np.uint64)
+    up, down = _powers_of("p", _BASE), _powers_of("i", _INVERSE)
+    sums = np.zeros(min(n, _PIECE) + 1, np.uint64)
+    for left in range(0, n, _PIECE):
+        right = min(n, left + _PIECE)
+        np.cumsum((raw[left:right].astype(np.uint64) + np.uint64(1)) * up[: right - left], out=sums[1 : right - left + 1])
+        a, b = int(np.searchsorted(end, left, "right")), int(np.searchsorted(start, right))
+        if a == b:
+            continue
+        part = sums[np.minimum(end[a:b], right) - left] - sums[np.maximum(start[a:b] - left, 0)]
+        scale = down[np.maximum(start[a:b] - left, 0)]
+        if start[a] < left:  # a word that began in an earlier piece
+            scale[0] = pow(int(_BASE), int(left - start[a]), 1 << 64)
+        h[a:b] += part * scale
     return mix(h ^ ((end - start).astype(np.uint64) << np.uint64(48))), start, end, np.searchsorted(start, offsets)
 
 
