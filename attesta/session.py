@@ -14,11 +14,14 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 #: Bytes of an Arrow batch that Python functions over texts get.
 BATCH_BYTES = 4 << 20
+#: Partitions that a table is written in, at most, for each core of the cluster.
+FILES_A_CORE = 2
 
 
 def build_session(app: str = "attesta", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -65,31 +68,76 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-class Stage:
-    """Tables and files of one operator call, in the shared folder.
+def compact(df: DataFrame) -> DataFrame:
+    """The same rows in no more than FILES_A_CORE partitions a core, without a shuffle.
+
+    For the last step before a table is written: filters and joins leave many
+    small partitions, and each would be a file.
+    """
+    return df.coalesce(max(1, FILES_A_CORE * df.sparkSession.sparkContext.defaultParallelism))
 
-    ``put`` writes a DataFrame as Parquet and reads it again. That cuts the
-    lineage at a durable copy: a lost executor costs a reread, never a
-    recomputation of everything before it.
+
+class Stage:
+    """Tables and files of one operator call.
+
+    ``put`` writes a DataFrame as Parquet into the shared folder and reads it
+    again. That cuts the lineage at a durable copy: a lost executor costs a
+    reread, never a recomputation of everything before it. ``keep`` is for
+    smaller steps between such tables: executors keep the rows on their disks,
+    and what a lost one had is computed again from its lineage. ``close`` gives
+    up all that was kept; files that nothing reads any more go by ``drop``.
     """
 
     def __init__(self, spark: SparkSession, what: str):
         self.spark = spark
         self.uri = f"{shared_dir(spark)}/attesta/{what}-{uuid.uuid4().hex}"
+        self.kept: list[DataFrame] = []
 
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.add(name)
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.append(df.persist(StorageLevel.DISK_ONLY))
+        return df
+
+    def close(self, *but: str) -> None:
+        while self.kept:
+            self.kept.pop().unpersist()
+        self.drop(*sorted(self.tables - {*but}))
+
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(conf).delete(path, True)
+            _delete(self.spark, self.path(name))
+            self.tables.discard(name)
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/attesta/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, uri: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all tables and files that operators of this application have put into the shared folder. Results that read them are void then."""
+    _delete(spark, _scratch(spark))
+
+
+def _at_end() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        clear_scratch(spark)
+
+
+atexit.register(_at_end)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
