@@ -9,7 +9,7 @@ what is held besides a batch and a text's word hashes is bounded by SLICE_BYTES
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def fresh(name: str, taken: Sequence[str]) -> str:
+    """The name, with underscores until none of the taken ones is the same."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def salt(n: int) -> np.uint64:
     return mix(np.array([n], np.uint64) + _BASE)[0]
 
@@ -169,6 +176,14 @@ def shingles(hashes: np.ndarray, firsts: np.ndarray, size: int = SHINGLE) -> tup
 
     A row of fewer words, but one at least, has one shingle of all its words.
     """
+    if len(firsts) == 2 and len(hashes) > size:  # one long text: no index of places
+        out = np.empty(len(hashes) - size + 1, np.uint64)
+        for at in range(0, len(out), _PIECE):
+            acc = np.zeros(min(_PIECE, len(out) - at), np.uint64)
+            for k in range(size):
+                acc = _stepped(acc, hashes[at + k : at + k + len(acc)], k)
+            out[at : at + len(acc)] = mix(acc)
+        return out, np.array([0, len(out)])
     counts = np.diff(firsts)
     per_row = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     out_firsts = np.concatenate([[0], np.cumsum(per_row)])
@@ -182,17 +197,27 @@ def shingles(hashes: np.ndarray, firsts: np.ndarray, size: int = SHINGLE) -> tup
         h = padded[at + k]
         if short:
             h = np.where(at + k < left, h, np.uint64(0))
-        acc += h * _STEP[k % 5]
-        acc ^= acc >> np.uint64(29)
-        acc *= _MIX_A
+        acc = _stepped(acc, h, k)
     return mix(acc), out_firsts
 
 
+def _stepped(acc: np.ndarray, h: np.ndarray, k: int) -> np.ndarray:
+    """Word ``k`` of each shingle taken into its running hash."""
+    acc = acc + h * _STEP[k % 5]
+    acc ^= acc >> np.uint64(29)
+    acc *= _MIX_A
+    return acc
+
+
 def bags(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, element and multiplicity of the distinct shingles of each row, sorted by row and element."""
-    rows = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-    order = np.lexsort((hashes, rows))
-    r, h = rows[order], hashes[order]
+    if len(firsts) == 2:
+        h = np.sort(hashes)
+        r = np.broadcast_to(np.int64(0), h.shape)
+    else:
+        rows = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+        order = np.lexsort((hashes, rows))
+        r, h = rows[order], hashes[order]
     if not len(h):
         return r, h, np.zeros(0, np.int64)
     new = np.empty(len(h), bool)

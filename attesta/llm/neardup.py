@@ -9,20 +9,22 @@ looked at. Points hit random registers; each register keeps its earliest point.
 Two bags agree in a register with the probability of their weighted Jaccard
 similarity, whatever their sizes.
 
-Registers are banded, and documents that share a band, directly or through
-others, form a family of candidates. Within a family all documents are compared:
-its members are dealt into blocks, each pair of blocks is a task of its own, and
-a task keeps the shingles of two blocks in memory and emits only the links that
-join what it had not joined before, so neither pairs nor crowds are ever
-written out. A family beyond FAMILY members is compared band by band instead,
-again in blocks. A link counts if the bags' overlap, computed in full, reaches
-the similarity asked for; classes are what links connect.
+Registers are banded; documents that share a band are candidates, and every pair
+of candidates is compared or proven to be connected already. First each document
+is compared with one leader of each of its bands, the one that shares most bands
+with others: a leader's bag is held and its candidates' bags pass by, a crowded
+leader's in parts of PART, so this is linear. Most bands are connected by that.
+In those that aren't, the documents that their leader didn't reach are compared
+with all others, block by block, and a task emits only the links that join what
+it hadn't joined before; so pairs are never written out. The same holds for
+bands of every size. A link counts if the bags' overlap, computed in full,
+reaches the similarity asked for; classes are what links connect.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
@@ -30,18 +32,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm._hash import SHINGLE, bags, lowered, mix, salt, shingles, slices, unit, words
-from attesta.session import Stage
+from attesta.llm._hash import SHINGLE, bags, fresh, mix, salt, shingles, unit, word_hashes
+from attesta.session import Stage, compact, small_batches
 
 SIMILARITY = 0.8
 #: Bands and registers a band: a pair of similarity 0.8 meets in some band but for 3 in a million.
 BANDS, ROWS = 24, 4
 #: Units of weight below one root process; a greater weight has several roots.
 ROOT_BITS = 8
-#: Members of a block, and of a family that is compared as a whole.
-BLOCK, FAMILY = 128, 8192
-#: Bits of the broadcast filter for candidates (its size is fixed; what it lets through in excess, a join removes).
-FILTER_BITS = 1 << 22
+#: Members of a block, and candidates that one copy of their leader's bag is compared with.
+BLOCK, PART = 128, 1024
+#: Least and most bits of the broadcast filter for candidates; what it lets through in excess, a join removes.
+FILTER_BITS = (1 << 16, 1 << 26)
+#: Units of weight whose points are drawn at once.
+_UNITS = 1 << 16
 _LEVEL = [salt(100 + i) for i in range(ROOT_BITS + 1)]
 _POINT, _GAP, _TURN, _ROOT = salt(1), salt(2), salt(3), salt(4)
 
@@ -50,12 +54,10 @@ def _exp(h: np.ndarray) -> np.ndarray:
     return -np.log1p(-unit(h))
 
 
-def _leaves(elem: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each unit of weight: index of its element, key of its process, time of its first point."""
-    roots = (weight + (1 << ROOT_BITS) - 1) >> ROOT_BITS
-    who = np.repeat(np.arange(len(elem)), roots)
-    low = (np.arange(len(who)) - np.repeat(np.cumsum(roots) - roots, roots)) << ROOT_BITS
-    t = _exp(mix(elem[who] ^ mix(low.astype(np.uint64) + _ROOT))) / (1 << ROOT_BITS)
+def _leaves(elem: np.ndarray, weight: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each unit of weight below the root processes at ``low``: index of its root, key of its process, time of its first point."""
+    who = np.arange(len(elem))
+    t = _exp(mix(elem ^ mix(low.astype(np.uint64) + _ROOT))) / (1 << ROOT_BITS)
     for level in range(ROOT_BITS - 1, -1, -1):
         half = 1 << level
         h = mix(elem[who] ^ (low.astype(np.uint64) * _POINT + _LEVEL[level]))
@@ -72,10 +74,27 @@ def _leaves(elem: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def signatures(row: np.ndarray, elem: np.ndarray, weight: np.ndarray, rows: int, registers: int = BANDS * ROWS) -> np.ndarray:
-    """(rows, registers) identities of the earliest points; row, elem and weight give the bags. A row without elements has zeros."""
+    """(rows, registers) identities of the earliest points; row, elem and weight give the bags. A row without elements has zeros.
+
+    Root processes are followed about _UNITS units of weight at a time, so memory doesn't grow with a bag.
+    """
     best, ident = np.full(rows * registers, np.inf), np.zeros(rows * registers, np.uint64)
-    who, key, t = _leaves(elem, weight)
-    at_row = row[who]
+    roots = (weight + (1 << ROOT_BITS) - 1) >> ROOT_BITS
+    done, sums = 0, np.cumsum(roots)
+    total = int(sums[-1]) if len(sums) else 0
+    step = _UNITS if total == len(elem) and (weight == 1).all() else _UNITS >> ROOT_BITS
+    while done < total:
+        nth = np.arange(done, min(done + step, total))
+        who = np.searchsorted(sums, nth, "right")
+        low = (nth - (sums[who] - roots[who])) << ROOT_BITS
+        at, key, t = _leaves(elem[who], weight[who], low)
+        _follow(best, ident, row[who[at]], key, t, rows, registers)
+        done += step
+    return ident.reshape(rows, registers)
+
+
+def _follow(best: np.ndarray, ident: np.ndarray, at_row: np.ndarray, key: np.ndarray, t: np.ndarray, rows: int, registers: int) -> None:
+    """Follow processes point by point while any may still be the earliest of a register."""
     point, points = 0, 1
     while len(key):
         k = np.arange(point, point + points, dtype=np.uint64)
@@ -94,7 +113,6 @@ def signatures(row: np.ndarray, elem: np.ndarray, weight: np.ndarray, rows: int,
         go = t < best.reshape(rows, registers).max(axis=1)[at_row]
         key, t, at_row = key[go], t[go], at_row[go]
         point, points = point + points, 1 if not point else min(points * 2, 64)
-    return ident.reshape(rows, registers)
 
 
 def band_keys(sig: np.ndarray, bands: int, width: int) -> np.ndarray:
@@ -107,44 +125,40 @@ def band_keys(sig: np.ndarray, bands: int, width: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _prints(raw: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+def _prints(hashes: np.ndarray, firsts: np.ndarray) -> list[bytes]:
     """128-bit fingerprint of each text's sequence of words."""
-    text, cuts = raw.tobytes(), offsets.tolist()
-    return [hashlib.md5(b" ".join(text[a:b].split()), usedforsecurity=False).digest() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    words, cuts = memoryview(np.ascontiguousarray(hashes)).cast("B"), (firsts * 8).tolist()
+    return [hashlib.md5(words[a:b], usedforsecurity=False).digest() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _sign(batches: Iterator[pa.RecordBatch], bands: int, width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at, raw, offsets in slices(lowered(batch.column(1))):
-            n = len(offsets) - 1
-            h, _, _, firsts = words(raw, offsets)
-            row, elem, weight = bags(*shingles(h, firsts))
-            keys = band_keys(signatures(row, elem, weight, n, bands * width), bands, width)
+        for at, h, firsts in word_hashes(batch.column(1)):
+            n = len(firsts) - 1
+            keys = band_keys(signatures(*bags(*shingles(h, firsts)), n, bands * width), bands, width)
             some = np.diff(firsts) > 0
             ends = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(_prints(raw, offsets), pa.binary()), lists], ["doc_id", "print", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(_prints(h, firsts), pa.binary()), lists], ["doc_id", "print", "bands"])
 
 
 def _bags(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
     """print and bag of the texts that the filter lets through: their distinct (shingle, unit of weight) hashes, sorted."""
     bits = wanted.value
     for batch in batches:
-        for at, raw, offsets in slices(lowered(batch.column(0))):
-            prints = _prints(raw, offsets)
-            place = np.frombuffer(b"".join(p[:8] for p in prints), "<u8") % np.uint64(FILTER_BITS)
+        for _, h, firsts in word_hashes(batch.column(0)):
+            prints = _prints(h, firsts)
+            place = np.frombuffer(b"".join(p[:8] for p in prints), "<u8") % np.uint64(64 * len(bits))
             keep = np.flatnonzero(bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1))
-            if not len(keep):
-                continue
-            h, _, _, firsts = words(raw, offsets)
-            all_h, first = shingles(h, firsts)
             out = []
             for i in keep.tolist():
-                _, elem, weight = bags(all_h[first[i] : first[i + 1]], np.array([0, first[i + 1] - first[i]]))
+                grams, first = shingles(h[firsts[i] : firsts[i + 1]], np.array([0, firsts[i + 1] - firsts[i]]))
+                _, elem, weight = bags(grams, first)
                 who = np.repeat(np.arange(len(elem)), weight)
                 nth = np.arange(len(who)) - np.repeat(np.cumsum(weight) - weight, weight)
                 out.append(np.sort(mix(elem[who] + nth.astype(np.uint64) * _GAP)).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([prints[i] for i in keep.tolist()], pa.binary()), pa.array(out, pa.binary())], ["print", "bag"])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([prints[i] for i in keep.tolist()], pa.binary()), pa.array(out, pa.binary())], ["print", "bag"])
 
 
 def overlap(a: bytes, b: bytes) -> float:
@@ -159,12 +173,12 @@ def overlap(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def linked(values: list[np.ndarray], sides: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+def linked(values: list[np.ndarray], sides: np.ndarray, similarity: float, labels: Sequence | None = None) -> list[tuple[int, int]]:
     """Pairs of bags of similarity or more, enough of them to connect all that such pairs connect.
 
     ``sides``: 0 for the first block's bags, 1 for the second's; pairs are across
-    blocks or, if there is one block, within it. Bags that are connected already
-    aren't compared.
+    blocks or, if there is one block, within it. Bags that are connected already,
+    by equal ``labels`` or by pairs found, aren't compared.
     """
     sizes = np.array([len(v) for v in values])
     order = np.lexsort((sizes, sides))
@@ -173,6 +187,9 @@ def linked(values: list[np.ndarray], sides: np.ndarray, similarity: float) -> li
     distinct, ids = np.unique(flat, return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     group, one, out = np.arange(len(values)), not sides.any(), []
+    if labels is not None:
+        codes: dict = {}
+        group = np.array([codes.setdefault(labels[i], n) for n, i in enumerate(order.tolist())])
     mark = np.zeros(len(distinct), bool)
     for x in np.flatnonzero(sides == 0).tolist():
         if one:
@@ -196,24 +213,42 @@ def linked(values: list[np.ndarray], sides: np.ndarray, similarity: float) -> li
     return out
 
 
+def _links(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+
+def _stars(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links of (leader, part, role, print, bag) rows sorted by the first three: one bag is held, the leader's (role 0)."""
+    leader, held = b"", b""
+    for batch in batches:
+        found = []
+        for of, role, print_, bag in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
+            if role == 0:
+                leader, held = of, bag
+            elif of == leader and overlap(held, bag) >= similarity - 1e-9:
+                found.append((leader, print_))
+        if found:
+            yield _links(found)
+
+
 def _compare(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Links of each (cell, i, j) in turn; rows come sorted by these."""
+    """Links of each (band, i, j) in turn; rows come sorted by these."""
     held: list[tuple] = []
     at = None
 
     def done() -> Iterator[pa.RecordBatch]:
         if len(held) > 1:
-            pairs = linked([np.frombuffer(h[1], np.uint64) for h in held], np.array([h[0] for h in held]), similarity)
+            pairs = linked([np.frombuffer(h[1], np.uint64) for h in held], np.array([h[0] for h in held]), similarity, [h[3] for h in held])
             if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array([held[p[k]][2] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
+                yield _links([(held[a][2], held[b][2]) for a, b in pairs])
         held.clear()
 
     for batch in batches:
-        for cell, i, j, side, print_, bag in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for cell, i, j, side, print_, bag, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (cell, i, j) != at:
                 yield from done()
                 at = (cell, i, j)
-            held.append((side, bag, print_))
+            held.append((side, bag, print_, label))
     yield from done()
 
 
@@ -222,44 +257,77 @@ def components(stage: Stage, edges: DataFrame, name: str) -> DataFrame:
 
     Each round hooks every node to its smallest neighbour, takes that one's hook,
     and goes on with the edges between hooks, far fewer each time (half the nodes
-    go at least). Each round is written out; only whether edges are left comes to
-    the driver. The rounds' hooks are put together at the end.
+    go at least). Only whether edges are left comes to the driver. Each round's
+    edges are written out, so the lineage stays short. The rounds' hooks are put
+    together at the end.
     """
     pair = lambda x, y: (F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
-    left = stage.put(edges.where("a != b").select(*pair("a", "b")).distinct(), f"{name}-0")
+    left = stage.put(compact(edges.where("a != b").select(*pair("a", "b")).distinct()), f"{name}-0")
     hooks: list[DataFrame] = []
     while not left.isEmpty():
-        k = len(hooks) + 1
         near = left.select(F.col("a").alias("node"), F.col("b").alias("near")).union(left.select("b", "a")).groupBy("node").agg(F.min("near").alias("near"))
-        first = stage.put(near.select("node", F.least("node", "near").alias("up")), f"{name}-{k}f")
-        hook = stage.put(first.join(first.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up")), f"{name}-{k}h")
+        first = stage.keep(near.select("node", F.least("node", "near").alias("up")))
+        hook = stage.keep(first.join(first.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up")))
         side = lambda c, h=hook: h.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}"))
         across = left.join(side("a"), "a").join(side("b"), "b").select(*pair("up_a", "up_b"))
         # A hook that itself hangs on another one keeps that edge.
         hanging = hook.where("node != up").join(hook.select(F.col("up").alias("node")).distinct(), "node", "left_semi").select(*pair("node", "up"))
-        left = stage.put(across.union(hanging).where("a != b").distinct(), f"{name}-{k}")
-        stage.drop(f"{name}-{k}f", f"{name}-{k - 1}")
+        after = across.union(hanging).where("a != b").distinct()
         hooks.append(hook)
+        left = stage.put(compact(after), f"{name}-{len(hooks)}")
     if not hooks:
         return left.select(F.col("a").alias("node"), F.col("b").alias("label"))
     labels = hooks[-1].select("node", F.col("up").alias("label"))
     for hook in reversed(hooks[:-1]):
         above = labels.select(F.col("node").alias("up"), "label")
         labels = hook.join(above, "up", "left").select("node", F.coalesce("label", "up").alias("label"))
-    return stage.put(labels, f"{name}-labels")
+    return stage.put(compact(labels), f"{name}-labels")
 
 
 def _filter_of(prints: DataFrame) -> np.ndarray:
-    """Bit set of the prints' places: FILTER_BITS / 64 rows at most come to the driver."""
+    """Bit set of the prints' places, 16 bits a print within FILTER_BITS; a row for each 64 bits at most comes to the driver."""
+    bits = min(FILTER_BITS[1], max(FILTER_BITS[0], 1 << (16 * prints.count()).bit_length()))
     low = F.concat(*(F.substring(F.hex("print"), 2 * i + 1, 2) for i in range(7, -1, -1)))
-    place = F.conv(F.substring(low, 9, 8), 16, 10).cast("long") % FILTER_BITS  # the low 32 bits suffice: FILTER_BITS divides them
+    place = F.conv(F.substring(low, 9, 8), 16, 10).cast("long") % bits  # the low 32 bits suffice: ``bits`` divides them
     got = prints.select((place / 64).cast("int").alias("w"), place.alias("p")).withColumn("bit", F.expr("shiftleft(1L, cast(p % 64 as int))"))
     rows = got.groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out = np.zeros(bits // 64, np.uint64)
     out[rows["w"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
     return out
 
 
+def _star_links(pairs: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
+    """Links of (leader, print) pairs whose bags are similar. A leader's bag is copied once for PART candidates."""
+    parts = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    dealt = pairs.join(parts, "leader").withColumn("part", F.pmod(F.xxhash64("print"), "parts").cast("int"))
+    members = dealt.join(bag, "print").select("leader", "part", F.lit(1).alias("role"), "print", "bag")
+    heads = parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(bag.withColumnRenamed("print", "leader"), "leader")
+    heads = heads.select("leader", "part", F.lit(0).alias("role"), F.col("leader").alias("print"), "bag")
+    rows = heads.unionByName(members).repartition("leader", "part").sortWithinPartitions("leader", "part", "role")
+    return small_batches(rows).mapInArrow(partial(_stars, similarity=similarity), "a binary, b binary")
+
+
+def _rest_links(stage: Stage, members: DataFrame, labels: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
+    """Links within the bands that hold several components: members outside their leader's component against all members.
+
+    Of bands of the same members one is gone through. ``members``: band, leader, print.
+    """
+    named = members.join(labels.select(F.col("node").alias("print"), "label"), "print", "left").withColumn("label", F.coalesce("label", "print"))
+    bands = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.when(F.col("print") == F.col("leader"), F.col("label"))).alias("chief"), F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("print").cast("decimal(38,0)")).alias("sum"))
+    open_ = bands.where("low != high").groupBy("n", "sum").agg(F.min_by(F.struct("band", "chief"), "band").alias("b")).select("b.band", "b.chief")
+    rows = named.join(open_, "band").select("band", "print", "label", (F.col("label") != F.col("chief")).alias("out"))
+    rows = stage.keep(rows)
+    blocks = lambda c: F.ceil(F.count_if(c) / BLOCK).cast("int")
+    sizes = rows.groupBy("band").agg(blocks(F.col("out")).alias("outs"), blocks(~F.col("out")).alias("ins"))
+    dealt = rows.join(sizes, "band")
+    mine = F.when(F.col("out"), F.pmod(F.xxhash64("print"), "outs")).otherwise(F.col("outs") + F.pmod(F.xxhash64("print"), "ins")).cast("int")
+    other = F.when(F.col("out"), F.sequence(F.lit(0), F.col("outs") + F.col("ins") - 1)).otherwise(F.sequence(F.lit(0), F.col("outs") - 1))
+    dealt = dealt.withColumn("m", mine).withColumn("k", F.explode(other))
+    dealt = dealt.select("band", F.least("m", "k").alias("i"), F.greatest("m", "k").alias("j"), (F.col("m") > F.col("k")).cast("int").alias("side"), "print", "label")
+    cells = dealt.join(bag, "print").select("band", "i", "j", "side", "print", "bag", "label").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return stage.put(compact(small_batches(cells).mapInArrow(partial(_compare, similarity=similarity), "a binary, b binary")), "rest")
+
+
 def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, width: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and class_id (the class's smallest doc_id) of every row.
 
@@ -269,71 +337,61 @@ def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: in
     A text of one to four words has one shingle. Null and empty texts and those
     of white space have no words and are one class. Null ids stay and never
     name a class unless all its ids are null; repeated rows are each returned;
-    other columns are ignored; an empty table gives an empty result.
+    other columns are ignored; an empty table gives an empty result. A very long
+    text is read in parts; its bag, 8 bytes a word, is held as a whole.
     """
     spark = docs.sparkSession
     stage = Stage(spark, "neardup")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    signed = stage.put(rows.mapInArrow(partial(_sign, bands=bands, width=width), f"doc_id {kind}, print binary, bands array<long>"), "signed")
+    signed = stage.keep(small_batches(rows).mapInArrow(partial(_sign, bands=bands, width=width), f"doc_id {kind}, print binary, bands array<long>"))
     ids = signed.select("doc_id", "print")
-    first = stage.put(ids.groupBy("print").agg(F.min("doc_id").alias("first_id")), "first")
-
-    nodes = stage.put(signed.where(F.size("bands") > 0).groupBy("print").agg(F.first("bands").alias("bands")), "nodes").select(F.explode("bands").alias("band"), "print")
-    leaders = nodes.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("leader"))
-    leaders = stage.put(leaders.where("n > 1"), "leaders")
-    members = stage.put(nodes.join(leaders, "band"), "members")
-    stage.drop("nodes", "leaders")
-    families = components(stage, members.where("print != leader").select(F.col("leader").alias("a"), F.col("print").alias("b")), "families").withColumnRenamed("node", "print").withColumnRenamed("label", "cell")
-    sizes = stage.put(families.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    placed = stage.put(families.join(sizes, "cell"), "placed")
-    wide = members.select("print", F.unhex(F.hex("band")).alias("cell"), "n").join(placed.where(F.col("n") > FAMILY).select("print"), "print", "left_semi")
-    placed = placed.where(F.col("n") <= FAMILY).select("print", "cell", "n").unionByName(wide)
-
-    wanted = spark.sparkContext.broadcast(_filter_of(families))
-    bag = rows.select("text").mapInArrow(partial(_bags, wanted=wanted), "print binary, bag binary")
-    bag = stage.put(bag.groupBy("print").agg(F.first("bag").alias("bag")), "bags")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = placed.withColumn("m", F.pmod(F.xxhash64("print"), blocks).cast("int")).withColumn("k", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("cell", F.least("m", "k").alias("i"), F.greatest("m", "k").alias("j"), (F.col("m") > F.col("k")).cast("int").alias("side"), "print")
-    dealt = dealt.join(bag, "print").select("cell", "i", "j", "side", "print", "bag")
-    sides = dealt.repartitionByRange("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    links = stage.put(sides.mapInArrow(partial(_compare, similarity=similarity), "a binary, b binary"), "links")
-    stage.drop("bags", "members")
-    labels = components(stage, links, "labels")
-
-    named = first.join(labels.select(F.col("node").alias("print"), "label"), "print", "left").withColumn("label", F.coalesce("label", "print"))
-    named = stage.put(named, "named")
-    lowest = stage.put(named.groupBy("label").agg(F.min("first_id").alias("class_id")), "lowest")
-    classes = stage.put(named.join(lowest, "label").select("print", "class_id"), "classes")
-    stage.drop("named", "lowest", "links", "placed", "sizes")
-    return ids.join(classes, "print").select("doc_id", "class_id")
-
-
-def deduplicated(docs: DataFrame, **kwargs) -> DataFrame:
-    """One row of each class, that of the smallest id; rows without id are kept."""
-    stage = Stage(docs.sparkSession, "dedup")
-    classes = duplicate_classes(docs, **kwargs)
-    keep = stage.put(classes.where("doc_id = class_id").select(F.col("doc_id").alias("kept_id")).distinct(), "keep")
-    kept = docs.join(keep, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+
+    nodes = signed.where(F.size("bands") > 0).groupBy("print").agg(F.first("bands").alias("bands")).select(F.explode("bands").alias("band"), "print")
+    shared = nodes.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = stage.put(compact(nodes.join(shared, "band")), "members")
+    central = members.groupBy("print").agg(F.sum("n").alias("degree"))
+    ranked = members.join(central, "print").groupBy("band").agg(F.max(F.struct("degree", "print")).alias("top")).select("band", F.col("top.print").alias("leader"))
+    led = stage.put(compact(members.select("band", "print").join(ranked, "band")), "led")
+
+    wanted = spark.sparkContext.broadcast(_filter_of(led.select("print").distinct()))
+    bag = small_batches(rows.select("text")).mapInArrow(partial(_bags, wanted=wanted), "print binary, bag binary")
+    bag = stage.keep(bag.groupBy("print").agg(F.first("bag").alias("bag")))
+    pairs = stage.keep(led.where("leader != print").select("leader", "print").distinct())
+    links = _star_links(pairs, bag, similarity)
+    labels = components(stage, links, "stars")
+    rest = _rest_links(stage, led, labels, bag, similarity)
+    if not rest.isEmpty():
+        labels = components(stage, labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(rest), "labels")
+
+    first = ids.groupBy("print").agg(F.min("doc_id").alias("first_id"))
+    named = stage.keep(first.join(labels.select(F.col("node").alias("print"), "label"), "print", "left").withColumn("label", F.coalesce("label", "print")))
+    lowest = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
+    classes = named.join(lowest, "label").select("print", "class_id")
+    out = stage.put(compact(ids.join(classes, "print").select("doc_id", "class_id")), "classes")
+    stage.close("classes")
+    wanted.unpersist()
+    return out
 
 
-def deduplicated_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
     """One row of each class, that of the smallest id, decided for each row by its id and text.
 
     Rows without id come after those with one: a class without ids keeps one row.
     Texts that share an id stand for themselves, each in its own class. Of equal
-    ids in a class the text of the smallest SHA-256 stays.
+    ids in a class the text of the smallest SHA-256 stays, of rows equal in both
+    one. Null and empty texts are a class; all columns stay, whatever their
+    names; an empty table gives an empty result.
     """
     stage = Stage(docs.sparkSession, "dedup")
     name, body = F.col(id_col), F.col(text_col)
     sha = F.substring(F.unhex(F.sha2(F.coalesce(body, F.lit("")), 256)), 1, 16)
     key = F.struct(name.isNull().alias("lost"), F.coalesce(name, F.lit("0").cast(docs.schema[id_col].dataType)).alias("id"), body.isNull().alias("void"), sha.alias("sha"))
     classes = duplicate_classes(docs.select(key.alias("row_key"), body.alias("row_text")), id_col="row_key", text_col="row_text", **kwargs)
-    keep = stage.put(classes.where("doc_id = class_id").select(F.col("doc_id").alias("kept_key")).distinct(), "keep")
-    kept = docs.withColumn("row_key", key).join(keep, F.col("row_key") == F.col("kept_key"), "left_semi")
-    return kept.dropDuplicates(["row_key"]).drop("row_key")
+    mine, kept = fresh("row_key", docs.columns), fresh("kept_key", docs.columns)
+    keep = stage.put(compact(classes.where("doc_id = class_id").select(F.col("doc_id").alias(kept)).distinct()), "keep")
+    left = docs.withColumn(mine, key).join(keep, F.col(mine) == F.col(kept), "left_semi")
+    return compact(left.dropDuplicates([mine]).drop(mine))
 
 
-__all__ = ["SHINGLE", "deduplicated", "deduplicated_rows", "duplicate_classes", "overlap", "signatures"]
+__all__ = ["SHINGLE", "deduplicated", "duplicate_classes", "overlap", "signatures"]

@@ -74,11 +74,11 @@ def test_whole_table_against_brute_force(spark, sf_dir):
     assert classes(duplicate_classes(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
-@pytest.mark.parametrize("block,family", [(128, 8192), (7, 8192), (5, 10)])
-def test_chains_bridges_and_crowded_bands(docs_of, prose, monkeypatch, block, family):
+@pytest.mark.parametrize("block,part", [(128, 1024), (7, 3), (5, 10)])
+def test_chains_bridges_and_crowded_bands(docs_of, prose, monkeypatch, block, part):
     """A crowd of texts that share most of a passage, with single links across it, keeps every link, however it is cut into blocks."""
     monkeypatch.setattr(neardup, "BLOCK", block)
-    monkeypatch.setattr(neardup, "FAMILY", family)
+    monkeypatch.setattr(neardup, "PART", part)
     rnd = random.Random(3)
     base = prose(120, 1).split()
     rows = []
@@ -107,12 +107,26 @@ def test_empty_table_and_clashing_columns(spark, docs_of):
     df = spark.createDataFrame([(1, "a b c", "x", "y"), (2, "a b c", "x", "y")], "doc_id long, text string, band string, label string")
     assert classes(duplicate_classes(df)) == [("1", "1"), ("2", "1")]
     assert [r.doc_id for r in deduplicated(df).collect()] == [1]
+    df = spark.createDataFrame([(1, "a b c", "x", "y"), (2, "a b c", "x", "y")], "doc_id long, text string, row_key string, kept_key string")
+    assert [tuple(r) for r in deduplicated(df).collect()] == [(1, "a b c", "x", "y")]
 
 
 def test_one_of_each_class_stays(docs_of, prose):
-    text = prose(100, 8)
-    rows = [(3, text), (1, text), (1, text), (2, prose(50, 9)), (None, text)]
-    assert sorted(map(str, (r.doc_id for r in deduplicated(docs_of(rows)).collect()))) == ["1", "2", "None"]
+    text, other, third = prose(100, 8), prose(90, 10), prose(80, 11)
+    rows = [(3, text), (1, text), (1, text), (2, prose(50, 9)), (None, text), (5, text), (5, other), (7, third), (None, prose(20, 12)), (None, prose(20, 12))]
+    kept = sorted((str(r.doc_id), r.text) for r in deduplicated(docs_of(rows)).collect())
+    assert kept == sorted([("1", text), ("2", prose(50, 9)), ("5", other), ("7", third), ("None", prose(20, 12))])
+    assert deduplicated(docs_of([])).count() == 0
+
+
+def test_signatures_in_parts_are_the_same(monkeypatch):
+    rnd = np.random.default_rng(2)
+    row, elem, w = np.zeros(3000, np.int64), rnd.integers(0, 2**63, 3000, dtype=np.uint64), rnd.integers(1, 700, 3000)
+    whole = signatures(row, elem, w, 1)
+    for units in (1 << 8, 1 << 12):
+        monkeypatch.setattr(neardup, "_UNITS", units)
+        assert (signatures(row, elem, w, 1) == whole).all()
+        assert (signatures(row, elem, np.ones(3000, np.int64), 1) == signatures(row, elem, np.ones(3000, np.int64), 1)).all()
 
 
 def test_band_arithmetic():
