@@ -84,14 +84,16 @@ class Stage:
     again. That cuts the lineage at a durable copy: a lost executor costs a
     reread, never a recomputation of everything before it. ``keep`` is for
     smaller steps between such tables: executors keep the rows on their disks,
-    and what a lost one had is computed again from its lineage. ``close`` gives
-    up all that was kept; files that nothing reads any more go by ``drop``.
+    and what a lost one had is computed again from its lineage. ``close`` gives up
+    all that was kept and all tables but those named. What a result still reads
+    goes when the application ends, or by clear_scratch.
     """
 
     def __init__(self, spark: SparkSession, what: str):
         self.spark = spark
-        self.uri = f"{shared_dir(spark)}/attesta/{what}-{uuid.uuid4().hex}"
+        self.uri = f"{_scratch(spark)}/{what}-{uuid.uuid4().hex}"
         self.kept: list[DataFrame] = []
+        self.tables: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}"
