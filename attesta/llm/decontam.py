@@ -25,17 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm._hash import SHINGLE, lowered, shingles, slices, words
+from attesta.llm._hash import SHINGLE, shingles, word_hashes
+from attesta.session import Stage, compact, small_batches
 
 SIMILARITY = 0.8
 BITS, BLOCKS = 64, 4
 _WIDTH = BITS // BLOCKS
 #: Share of windows of just the similarity asked for that may lie beyond the radius.
 MISS = 1e-3
-#: Items of one index; a larger benchmark takes several passes, so a broadcast index stays under about 150 MB.
-ITEMS_AT_ONCE = 2000
-#: Bytes of item text of one index.
-TEXT_AT_ONCE = 8_000_000
+#: Items and bytes of item text of one index, which is about 60 MB then; a larger benchmark takes several passes, with one index at a time.
+ITEMS_AT_ONCE, TEXT_AT_ONCE = 1000, 4_000_000
 _CHUNK = 1 << 15
 
 
@@ -50,6 +49,15 @@ def radius_for(similarity: float, bits: int = BITS, miss: float = MISS) -> int:
     return bits
 
 
+def known_places(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Places of the hashes that are among the sorted ``known``."""
+    found = [np.zeros(0, np.int64)]
+    for at in range(0, len(h), _CHUNK):
+        part = h[at : at + _CHUNK]
+        found.append(at + np.flatnonzero(known[np.minimum(np.searchsorted(known, part), len(known) - 1)] == part))
+    return np.concatenate(found)
+
+
 def sums(h: np.ndarray) -> np.ndarray:
     """Running sums of the bits of shingle hashes, one row more than there are shingles."""
     out = np.zeros((len(h) + 1, BITS), np.int32)
@@ -69,9 +77,8 @@ class ItemIndex:
         self.similarity = similarity
         self.radius = radius_for(similarity) if radius is None else radius
         self.ids, self.grams, self.words, self.hashes, self.bags = [], [], [], [], []
-        for at, raw, offsets in slices(lowered(pa.array(texts, pa.string()))):
-            h, _, _, firsts = words(raw, offsets)
-            for i in range(len(offsets) - 1):
+        for at, h, firsts in word_hashes(pa.array(texts, pa.string())):
+            for i in range(len(firsts) - 1):
                 if n := int(firsts[i + 1] - firsts[i]):
                     grams, _ = shingles(h[firsts[i] : firsts[i + 1]], np.array([0, n]), min(n, SHINGLE))
                     self.ids.append(ids[at + i])
@@ -121,7 +128,7 @@ class ItemIndex:
 
     def search(self, h: np.ndarray, gram: int) -> dict[int, tuple[float, int, int]]:
         """Item to (similarity, first shingle, shingles) of its best window; of equal ones the first. ``h``: a document's shingles."""
-        hits = np.flatnonzero(np.isin(h, self.known[gram]))
+        hits = known_places(h, self.known[gram])
         best: dict[int, tuple[float, int, int]] = {}
         if not len(hits):
             return best
@@ -151,11 +158,10 @@ class ItemIndex:
 
 def _hits(column: pa.Array, index: ItemIndex) -> Iterator[tuple]:
     """Row, item, similarity, start and words of what the index finds in a column of texts."""
-    for at, raw, offsets in slices(lowered(column)):
-        h, _, _, firsts = words(raw, offsets)
+    for at, h, firsts in word_hashes(column):
         for gram, known in index.known.items():
             grams, first = shingles(h, firsts, gram)
-            seen = np.flatnonzero(np.isin(grams, known))
+            seen = known_places(grams, known)
             for doc in np.unique(np.searchsorted(first, seen, "right") - 1).tolist():
                 for item, (s, start, width) in index.search(grams[first[doc] : first[doc + 1]], gram).items():
                     yield at + doc, index.ids[item], s, start, width + gram - 1
@@ -176,19 +182,23 @@ def _clean(batches: Iterator[pa.RecordBatch], index, column: int) -> Iterator[pa
         yield batch.filter(pa.array(stays))
 
 
-def _indexes(benchmark: DataFrame, similarity: float, radius: int | None) -> Iterator[ItemIndex]:
-    """Indexes of the benchmark's parts that have words."""
-    ids, texts, held = [], [], 0
-    for r in benchmark.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
-        size = len((r["text"] or "").encode())
+def _indexes(benchmark: DataFrame, similarity: float, radius: int | None) -> Iterator[tuple[ItemIndex, bool]]:
+    """Indexes of the benchmark's parts that have words, and whether each is the last."""
+    ids, texts, held, ready = [], [], 0, None
+    for r in benchmark.select("item_id", "text").where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).orderBy("item_id", "text").toLocalIterator():
+        size = len(r["text"].encode())
         if ids and (len(ids) >= ITEMS_AT_ONCE or held + size > TEXT_AT_ONCE):
-            yield ItemIndex(ids, texts, similarity, radius)
+            if ready is not None:
+                yield ready, False
+            ready = ItemIndex(ids, texts, similarity, radius)
             ids, texts, held = [], [], 0
         ids.append(r["item_id"])
         texts.append(r["text"])
         held += size
+    if ready is not None:
+        yield ready, not ids
     if ids:
-        yield ItemIndex(ids, texts, similarity, radius)
+        yield ItemIndex(ids, texts, similarity, radius), True
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,29 +210,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     nothing; null ids stay; repeated rows are each returned; other columns are
     ignored; an empty table on either side gives an empty result. The benchmark
     is read to the driver in parts of ITEMS_AT_ONCE items and TEXT_AT_ONCE bytes
-    at most (one item, if it alone is longer).
+    at most (one item, if it alone is longer). Each part but the last has its
+    hits written before the next index is broadcast, so one is alive at a time.
     """
     spark = docs.sparkSession
+    stage = Stage(spark, "decontam")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id long, similarity double, start_word long, n_words long"
     out = spark.createDataFrame([], schema)
-    for index in _indexes(benchmark, similarity, radius):
-        if index.ids:
-            out = out.unionByName(rows.mapInArrow(partial(_search, index=spark.sparkContext.broadcast(index)), schema))
+    for n, (index, last) in enumerate(_indexes(benchmark, similarity, radius)):
+        sent = spark.sparkContext.broadcast(index)
+        found = small_batches(rows).mapInArrow(partial(_search, index=sent), schema)
+        if last:
+            return found if n == 0 else out.unionByName(found)
+        out = out.unionByName(stage.put(compact(found), f"hits-{n}"))
+        sent.unpersist()
     return out
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
-    """The documents that hold no benchmark item; those without id stay."""
-    found = contaminated(docs, benchmark, **kwargs).select(F.col("doc_id").alias("found_id")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("found_id"), "left_anti")
-
+def decontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int | None = None, text_col: str = "text") -> DataFrame:
+    """The rows whose own text holds no benchmark item, whatever their ids, without a shuffle.
 
-def decontaminated_rows(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int | None = None, text_col: str = "text") -> DataFrame:
-    """The rows whose own text holds no benchmark item, whatever their ids, without a shuffle."""
-    out = docs
-    for index in _indexes(benchmark, similarity, radius):
-        if index.ids:
-            out = out.mapInArrow(partial(_clean, index=docs.sparkSession.sparkContext.broadcast(index), column=docs.columns.index(text_col)), docs.schema)
-    return out
+    Null and empty texts stay; repeated rows are each judged; all columns stay;
+    an empty table on either side removes nothing. A benchmark of several parts
+    (see contaminated) takes a pass for each; what is left after all but the
+    last is written, so that one index is alive at a time.
+    """
+    spark, out = docs.sparkSession, docs
+    stage = Stage(spark, "decontam")
+    for n, (index, last) in enumerate(_indexes(benchmark, similarity, radius)):
+        sent = spark.sparkContext.broadcast(index)
+        out = small_batches(out).mapInArrow(partial(_clean, index=sent, column=docs.columns.index(text_col)), docs.schema)
+        if not last:
+            out = stage.put(compact(out), f"left-{n}")
+            stage.drop(f"left-{n - 1}")
+            sent.unpersist()
+    return compact(out)

@@ -4,7 +4,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
-from attesta.llm._hash import lowered, shingles, slices, words
+from attesta.llm._hash import low, shingles, slices, words
+from attesta.llm import decontam
 from attesta.llm.decontam import ItemIndex, contaminated, decontaminated, radius_for
 
 
@@ -79,14 +80,18 @@ def test_odd_rows(spark, docs_of, prose):
     docs = [(1, None), (2, ""), (3, item), (None, item), (3, item), (4, prose(200_000, 3) + " " + item), (5, " ".join(item.split()[:37]))]
     got = contaminated(docs_of(docs), items.dropDuplicates())
     assert found(got) == brute(docs, [(1, item)])
-    assert sorted(map(str, (r.doc_id for r in decontaminated(docs_of(docs), items).collect()))) == ["1", "2", "None"]
+    assert sorted(map(str, (r.doc_id for r in decontaminated(docs_of(docs), items).collect()))) == ["1", "2"]
+    kept = decontaminated(docs_of([(6, item), (6, "clean words only"), (None, item), (None, None), (7, "x"), (7, "x")]), items)
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [("6", "clean words only"), ("7", "x"), ("7", "x"), ("None", "None")]
+    assert decontaminated(docs_of(docs), items.limit(0)).count() == len(docs) and decontaminated(docs_of([]), items).count() == 0
     assert contaminated(docs_of([]), items).count() == 0
     assert contaminated(docs_of(docs), items.limit(0)).count() == 0
 
 
 def test_word_hashes_agree_with_python(prose):
     texts = [prose(n, n) for n in (0, 1, 4, 5, 9)] + [None, "  a\tb ", "É é", "a  b", "x" * 100]
-    for _, raw, offsets in slices(lowered(pa.array(texts))):
+    for _, raw, offsets in slices(pa.array(texts)):
+        raw, offsets = low(raw, offsets)
         h, start, end, firsts = words(raw, offsets)
         text = raw.tobytes()
         mine = [[text[a:b].decode() for a, b in zip(start[firsts[i] : firsts[i + 1]], end[firsts[i] : firsts[i + 1]])] for i in range(len(texts))]
@@ -96,3 +101,12 @@ def test_word_hashes_agree_with_python(prose):
         assert len(set(names.values())) == len(names)
         _, first = shingles(h, firsts)
         assert np.diff(first).tolist() == [max(min(len(w), 1), len(w) - 4) for w in mine]
+
+
+def test_a_benchmark_of_several_parts(spark, docs_of, prose, monkeypatch):
+    monkeypatch.setattr(decontam, "ITEMS_AT_ONCE", 2)
+    items = [(i, prose(30, i)) for i in range(5)] + [(9, None), (10, "")]
+    docs = [(i, f"{prose(20, 50 + i)} {items[i % 5][1]}" if i % 2 else prose(60, 70 + i)) for i in range(20)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert found(contaminated(docs_of(docs), table)) == brute(docs, items)
+    assert sorted(r.doc_id for r in decontaminated(docs_of(docs), table).collect()) == list(range(0, 20, 2))
