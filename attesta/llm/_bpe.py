@@ -24,6 +24,8 @@ from attesta.llm._hash import mix
 
 #: Bytes of a pre-token that goes through the table; longer ones have a dictionary of their own.
 KEY_BYTES = 16
+#: Bytes of longer ones that a worker remembers.
+LONG_BYTES = 4 << 20
 LETTER, NUMBER, OTHER, SPACE, UNSURE = range(5)
 #: Suffixes that the byte-level pattern splits off after an apostrophe (fixed values).
 CONTRACTIONS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
@@ -122,11 +124,11 @@ def pieces(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Tokenizer:
     """A tokenizer file, its pre-token table and its cache of long pre-tokens.
 
-    ``slots`` (a power of two) bounds the table: it is emptied when it is half
-    full, so memory does not grow with the corpus.
+    ``slots`` (a power of two) bounds the table, LONG_BYTES the cache: both are
+    emptied when either is full, so memory does not grow with the corpus.
     """
 
-    def __init__(self, path: str, slots: int = 1 << 21, ids: bool = True):
+    def __init__(self, path: str, slots: int = 1 << 19, ids: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer as Library
 
@@ -138,9 +140,13 @@ class Tokenizer:
             spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
             and model.get("type") == "BPE" and not model.get("dropout") and spec.get("truncation") is None and spec.get("padding") is None
         )
-        self.special = [t["content"].encode() for t in spec.get("added_tokens", [])]
+        added = spec.get("added_tokens", [])
+        self.special = [t["content"].encode() for t in added]
+        #: Whether a text may be encoded in parts that are cut before white space.
+        self.cuts = self.plain and not any(t["content"].split() != [t["content"]] or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
         self.slots, self.ids = slots, ids
         self.long: dict[bytes, int] = {}
+        self.long_bytes = 0
         self._empty()
 
     def _empty(self) -> None:
@@ -149,6 +155,7 @@ class Tokenizer:
         self.val = np.zeros(self.slots, np.int32)
         self.used = 0
         self.long.clear()
+        self.long_bytes = 0
         self.pool, self.pool_n = np.zeros(1 << 16, np.uint32), 0
         self.at, self.n, self.values = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32), 0
 
@@ -206,7 +213,7 @@ class Tokenizer:
         self.used += len(h)
 
     def _values(self, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        if self.used * 2 > self.slots or len(self.long) > self.slots // 16:
+        if self.used * 2 > self.slots or self.long_bytes > LONG_BYTES:
             self._empty()
             self.warm()
         out = np.empty(len(start), np.int32)
@@ -236,6 +243,7 @@ class Tokenizer:
             keys = [text[a : a + b] for a, b in zip(start[long].tolist(), size[long].tolist(), strict=True)]
             if absent := [k for k in dict.fromkeys(keys) if k not in self.long]:
                 self.long.update(zip(absent, self._add(self.pretokens(absent)).tolist(), strict=True))
+                self.long_bytes += sum(len(k) + 100 for k in absent)
             out[long] = [self.long[k] for k in keys]
         return out
 

@@ -118,6 +118,18 @@ def windows(raw: np.ndarray, tokens: bool = False) -> Iterator[np.ndarray]:
     yield raw[at:]
 
 
+def token_parts(texts: pa.Array, cut: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
+    """(first row, bytes, offsets, whether its rows end here): slices, and for a long text its windows where every byte-level pre-tokenisation cuts (unless not ``cut``)."""
+    for at, raw, offsets in slices(texts):
+        if len(raw) <= SLICE_BYTES or not cut:
+            yield at, raw, offsets, True
+            continue
+        left = len(raw)
+        for part in windows(raw, tokens=True):
+            left -= len(part)
+            yield at, part, np.array([0, len(part)]), left == 0
+
+
 def low(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The slice with its texts lower-cased."""
     texts = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(raw)))

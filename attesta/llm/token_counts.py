@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta.llm import _bpe
-from attesta.llm._hash import mix, slices
-from attesta.session import Stage
+from attesta.llm._hash import mix, token_parts
+from attesta.session import Stage, small_batches
 
 #: Pre-tokens in the broadcast table.
 FREQUENT = 8192
@@ -95,7 +95,7 @@ def _read(row: dict) -> tuple[np.ndarray, ...]:
 def _summarise(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[pa.RecordBatch]:
     held, waiting = _NONE, []
     for batch in batches:
-        for _, raw, offsets in slices(batch.column(0)):
+        for _, raw, offsets, _ in token_parts(batch.column(0)):
             k1, k2, size = _keys(raw, offsets)
             h = mix(k1 + mix(k2 + size.astype(np.uint64)))
             _, at, n = np.unique(h, return_index=True, return_counts=True)
@@ -117,7 +117,7 @@ def frequent_lengths(docs: DataFrame, path: str, frequent: int = FREQUENT, text_
     """Keys and token counts of the most frequent pre-tokens of the whole corpus, ``frequent`` at most."""
     spark = docs.sparkSession
     stage = Stage(spark, "frequent")
-    level = stage.put(docs.select(text_col).mapInArrow(partial(_summarise, keep=frequent), _SUMMARY), "0")
+    level = stage.put(small_batches(docs.select(text_col)).mapInArrow(partial(_summarise, keep=frequent), _SUMMARY), "0")
     rows, depth = level.count(), 0
     while rows > FAN_IN:
         rows, depth = -(-rows // FAN_IN), depth + 1
@@ -140,15 +140,18 @@ def _count(batches: Iterator[pa.RecordBatch], path: str, tier) -> Iterator[pa.Re
             model.tier = tier.value
             model._empty()
             model.warm()
+    cut = not path.endswith(".model") and model.cuts
     for batch in batches:
-        for at, raw, offsets in slices(batch.column(1)):
+        n_bytes, n_tokens = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+        for at, raw, offsets, _ in token_parts(batch.column(1), cut):
+            rows = slice(at, at + len(offsets) - 1)
+            n_bytes[rows] += np.diff(offsets)
             if path.endswith(".model"):
                 text = raw.tobytes()
-                n = [len(x) for x in model.encode([text[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], num_threads=1)]
+                n_tokens[rows] += [len(x) for x in model.encode([text[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], num_threads=1)]
             else:
-                n = model.run(raw, offsets)[1]
-            ids = batch.column(0).slice(at, len(offsets) - 1)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(offsets)), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+                n_tokens[rows] += model.run(raw, offsets)[1]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes), pa.array(n_tokens)], ["doc_id", "n_bytes", "n_tokens"])
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 1024, frequent: int = FREQUENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,12 +161,14 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, frequent: int =
     no begin, end or other special token is added, special strings inside texts
     count as the library has it by default, nothing is truncated. Null and empty
     texts have 0 bytes and 0 tokens; a null id stays; repeated rows are counted
-    each; other columns are ignored; an empty table gives an empty result.
+    each; other columns are ignored; an empty table gives an empty result. A very
+    long text is encoded in parts that pre-tokenisation cuts anyway, where the
+    file allows it.
     """
     tier = None
     spark: SparkSession = docs.sparkSession
     if path.endswith(".json") and _bpe.Tokenizer(path, slots=1 << 10).plain:
         tier = spark.sparkContext.broadcast(frequent_lengths(docs, path, frequent, text_col))
     kind = docs.schema[id_col].dataType.simpleString()
-    counted = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(partial(_count, path=path, tier=tier), f"doc_id {kind}, n_bytes long, n_tokens long")
+    counted = small_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(partial(_count, path=path, tier=tier), f"doc_id {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -25,13 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm._hash import slices
+from attesta.llm._hash import token_parts
 from attesta.llm.token_counts import loaded
-from attesta.session import Stage
+from attesta.session import Stage, small_batches
 
 MAGIC = b"ATBPS1\r\n"
 #: Ids of a block; a block is what a reader has to decode to get at one id.
 BLOCK = 1 << 16
+#: Bytes of text of a shard, about, with DOC_BYTES for each document's entry; there are as many shards as cores at least.
+SHARD_BYTES, DOC_BYTES = 64 << 20, 32
 _DOCS, _CHUNKS = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")]), np.dtype([("offset", "<u8"), ("first", "<u8"), ("n", "<u4")])
 
 
@@ -68,7 +70,9 @@ class ShardWriter:
         self.at = len(MAGIC)
 
     def add(self, ids: np.ndarray, docs: np.ndarray) -> None:
-        self.docs.append(docs)
+        """Ids of some documents, or a part of one's, and the entries of those that end with them."""
+        if len(docs):
+            self.docs.append(docs)
         self.held.append(ids)
         self.held_n += len(ids)
         if self.held_n >= self.block:
@@ -156,25 +160,34 @@ def opened(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
+#: How the files of attempts that have not ended begin.
+DRAFT = ".draft-"
+
+
 def _write(batches: Iterator[pa.RecordBatch], uri: str, path: str, end_id: int | None, block: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Each task writes one shard under a name of its own attempt and renames it: a repeated task leaves the same file."""
     task = TaskContext.get()
     shard = task.partitionId()
     system, folder = opened(uri)
-    name, draft = f"{folder}/shard-{shard:08d}.atb", f"{folder}/.shard-{shard:08d}.{task.taskAttemptId()}"
-    model, n_docs = loaded(path, True), 0
+    name, draft = f"{folder}/shard-{shard:08d}.atb", f"{folder}/{DRAFT}{shard:08d}.{task.taskAttemptId()}"
+    model, n_docs, begun = loaded(path, True), 0, 0
     with system.open_output_stream(draft) as out:
         writer = ShardWriter(out, block, bits)
         for batch in batches:
-            for at, raw, offsets in slices(batch.column(1)):
+            for at, raw, offsets, whole in token_parts(batch.column(1), model.cuts):
                 ids, n = model.run(raw, offsets)
+                if not whole:
+                    begun += len(ids)
+                    writer.add(ids, np.zeros(0, _DOCS))
+                    continue
                 if end_id is not None:
-                    ends = np.cumsum(n)
-                    ids = np.insert(ids, ends, end_id)
+                    ids = np.insert(ids, np.cumsum(n), end_id)
                     n = n + 1
                 docs = np.zeros(len(n), _DOCS)
                 key = batch.column(0).slice(at, len(n))
                 docs["id"], docs["null"], docs["n"] = key.fill_null(0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False), n
+                docs["n"][0] += begun
+                begun = 0
                 writer.add(ids, docs)
                 n_docs += len(n)
         writer.close()
@@ -192,14 +205,21 @@ def write_shards(docs: DataFrame, uri: str, path: str, end_id: int | None = 2, b
     neighbours. A null id comes first, rows of equal ids are ordered by their
     text, a null text is empty, repeated rows are written each; other columns
     are ignored. The returned table (shard, file, docs, ids, start) has one row
-    a shard: it is collected to add up where each shard starts.
+    a shard: it is collected to add up where each shard starts. A very long text
+    is encoded and written in parts. What failed attempts have left goes at the
+    end; an empty table gives no shard.
     """
     spark = docs.sparkSession
     system, folder = opened(uri)
     system.create_dir(folder, recursive=True)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    done = rows.mapInArrow(partial(_write, uri=uri, path=path, end_id=end_id, block=block, bits=bits), "shard long, file string, docs long, ids long").collect()
+    size = rows.agg(F.sum(F.octet_length("text").cast("long") + DOC_BYTES).alias("n")).collect()[0]["n"] or 0
+    shards = max(spark.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
+    rows = rows.repartitionByRange(shards, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    done = small_batches(rows).mapInArrow(partial(_write, uri=uri, path=path, end_id=end_id, block=block, bits=bits), "shard long, file string, docs long, ids long").collect()
+    for info in system.get_file_info(pafs.FileSelector(folder)):
+        if info.base_name.startswith(DRAFT):
+            system.delete_file(info.path)
     start, table = 0, []
     for r in sorted(done, key=lambda r: r.shard):
         table.append((r.shard, r.file, r.docs, r.ids, start))

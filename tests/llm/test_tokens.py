@@ -33,6 +33,25 @@ def test_ids_are_the_librarys(slots):
     assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("size", [8, 64, 700])
+def test_texts_in_parts_are_the_librarys(monkeypatch, size):
+    import pyarrow as pa
+
+    from attesta.llm import _hash
+
+    monkeypatch.setattr(_hash, "SLICE_BYTES", size)
+    texts, library = ["".join(t or "" for t in odd_texts(60, seed)) for seed in range(40)] + odd_texts(500, 77), Library.from_file(PATH)
+    mine = _bpe.Tokenizer(PATH)
+    assert mine.cuts
+    got, parts = [[] for _ in texts], 0
+    for at, raw, offsets, whole in _hash.token_parts(pa.array(texts)):
+        ids, n = mine.run(raw, offsets)
+        parts += not whole
+        for i, x in enumerate(np.split(ids, np.cumsum(n)[:-1])):
+            got[at + i] += x.tolist()
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts] and parts > 100
+
+
 def test_counts_of_a_whole_table(spark, sf_dir):
     library = Library.from_file(PATH)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -88,7 +107,7 @@ def test_shards_of_a_whole_table(spark, sf_dir):
 
 @pytest.mark.parametrize("block,bits", [(1 << 16, 8), (3, 1), (1, 8)])
 def test_shards_of_odd_rows(spark, docs_of, block, bits):
-    rows = [(i * 7 % 50, t) for i, t in enumerate(odd_texts(42, 3))] + [(None, "no id")]
+    rows = [(i * 7 % 50, t) for i, t in enumerate(odd_texts(42, 3))] + [(None, "no id"), (60, "long text, 漢字 in parts\n\n " * 30_000), (61, "x" * 300_000)]
     check(rows, [tuple(r) for r in token_shards(docs_of(rows), PATH, block=block, bits=bits).collect()])
     assert token_shards(docs_of([]), PATH).count() == 0
 
