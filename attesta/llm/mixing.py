@@ -9,6 +9,11 @@ another becomes 0 or 1. Each step looks at three undecided documents, and the
 undecided ones that a task is left with, two a source at most, go through the
 same steps with those of other tasks. The last two of a source are rounded to
 the combination that comes nearest to the target.
+
+Targets fill up by weight: a source's is its weight times a level that all
+share, or its limit if that is less. The level is raised step by step, each an
+aggregate over the sources' table, to where the targets add up; no source is
+gathered on the driver.
 """
 
 from __future__ import annotations
@@ -18,40 +23,57 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attesta.session import Stage
+from attesta.llm._hash import fresh
+from attesta.session import Stage, compact, small_batches
 
 #: Of the sources in order, null last.
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Words to take, as a share of all words, and the most copies of a document.
 SHARE, MOST = 1.5, 2.0
 #: Documents that one task moves at the first level.
-TASK_ROWS = 20_000
+TASK_ROWS = 50_000
 #: Tasks whose undecided documents one task of the next level takes.
 FAN_IN = 1000
-#: Sources beyond which the driver refuses to hold the table of targets.
-MAX_SOURCES = 1_000_000
+#: Sources up to which the table of targets is broadcast; a longer one is joined by shuffle.
+BROADCAST_SOURCES = 10_000
 _EPS = 1e-9
+_PLACE_BITS = 33  # of monotonically_increasing_id
+
 
+def targets(sources: DataFrame, stage: Stage, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """Adds target: words to take of each source (source, size), by weight, but no more than ``most`` times its size; what is over goes to the others by weight.
 
-def targets(sizes: Sequence[int], weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> list[float]:
-    """Words to take of each source: by weight, but no more than ``most`` times its size; what is over goes to the others by weight."""
-    size = np.array(sizes, np.float64)
-    w = np.array([weights[i % len(weights)] for i in range(len(size))])
-    out, free, left = np.zeros(len(size)), size > 0, share * size.sum()
-    while free.any() and left > 0:
-        want = left * w / w[free].sum()
-        full = free & (want >= most * size)
-        if not full.any():
-            out[free] = want[free]
+    Weights go round by the sources' order, null last. The table is sorted by
+    range, so a source's place is its place in its partition and the sizes of
+    those before, which alone come to the driver.
+    """
+    order = [F.col("source").isNull(), F.col("source")]
+    placed = stage.put(sources.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "placed")
+    part = F.shiftrightunsigned("at", _PLACE_BITS)
+    before, offsets = 0, []
+    for r in sorted(placed.groupBy(part.alias("part")).count().collect()):
+        offsets.append((r["part"], before % len(weights)))
+        before += r["count"]
+    starts = F.broadcast(placed.sparkSession.createDataFrame(offsets, "part long, start long"))
+    rank = F.col("start") + F.col("at").bitwiseAND((1 << _PLACE_BITS) - 1)
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (rank % len(weights) + 1).cast("int"))
+    placed = placed.withColumn("part", part).join(starts, "part").withColumn("weight", weight).drop("at", "part", "start")
+    limit, level = F.col("size") * float(most), 0.0
+    some = F.col("size") > 0
+    while True:
+        full = some & (F.col("weight") * level >= limit)
+        got = placed.agg(F.sum("size").alias("all"), F.sum(F.when(full, limit)).alias("held"), F.sum(F.when(some & ~full, F.col("weight"))).alias("free")).collect()[0]
+        if not got["free"]:
             break
-        out[full] = most * size[full]
-        left -= out[full].sum()
-        free &= ~full
-    return out.tolist()
+        raised = (share * got["all"] - (got["held"] or 0.0)) / got["free"]
+        if raised <= level * (1 + 1e-12):
+            break
+        level = raised
+    return placed.withColumn("target", F.when(some, F.least(F.col("weight") * level, limit)).otherwise(0.0)).drop("weight")
 
 
 class Flight:
@@ -107,7 +129,7 @@ def _uniform(seed: int) -> float:
     return (x ^ x >> 33) / 2**64
 
 
-_COLUMNS = ["doc_id", "size", "source", "source_size", "target", "base", "p", "seed"]
+_COLUMNS = ["doc_id", "size", "source", "source_size", "target", "base", "p", "seed", "row_key"]
 
 
 def _fly(batches: Iterator[pa.RecordBatch], last: bool, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -119,7 +141,7 @@ def _fly(batches: Iterator[pa.RecordBatch], last: bool, schema: pa.Schema) -> It
         if last:
             flight.land()
         for unit in flight.held:
-            done.append((*unit[3][:6], unit[1], unit[3][7], -1))
+            done.append((*unit[3][:6], unit[1], *unit[3][7:], -1))
         flight.held = []
 
     def packed() -> pa.RecordBatch:
@@ -145,50 +167,44 @@ def sizes_of(text) -> F.Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, copies and taken (words) of every document.
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", key: Column | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies and taken (words) of every document, and its ``key`` as row_key, if one is given.
 
-    Draws depend on ids and sizes alone, so reruns agree. Null ids stay; rows of
+    Draws depend on ids and texts alone, so reruns agree. Null ids stay; rows of
     a null source are a source of their own, last in order; documents without
     words are drawn but take nothing; repeated rows are drawn each; other
-    columns are ignored; an empty table gives an empty result. The sources'
-    sizes (a row each) are collected to the driver, MAX_SOURCES at most.
+    columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     stage = Stage(spark, "mix")
-    rows = stage.put(docs.select(F.col(id_col).alias("doc_id"), sizes_of(F.col(text_col)).alias("size"), F.col(source_col).alias("source")), "sizes")
-    per_source = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(per_source) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources to mix")
-    per_source.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    goal = targets([r["size"] for r in per_source], weights, share, most)
-    plan = []
-    for r, t in zip(per_source, goal, strict=True):
-        f = t / r["size"] if r["size"] else 0.0
-        plan.append((r["source"], r["size"], t, int(f), f - int(f)))
-    kind = rows.schema["source"].dataType.simpleString()
-    plan_df = spark.createDataFrame(plan, f"of {kind}, source_size long, target double, base int, p double")
-    if len(plan) <= 10_000:
-        plan_df = F.broadcast(plan_df)
-    seed = F.xxhash64("doc_id", "size")
-    units = rows.join(plan_df, F.col("source").eqNullSafe(F.col("of"))).withColumn("seed", seed).select(*_COLUMNS)
+    held = F.lit(None).cast("int") if key is None else key
+    rows = stage.keep(docs.select(F.col(id_col).alias("doc_id"), sizes_of(F.col(text_col)).alias("size"), F.col(source_col).alias("source"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("seed"), held.alias("row_key")))
+    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), stage, weights, share, most)
+    often = F.when(F.col("size") > 0, F.col("target") / F.col("size")).otherwise(0.0)
+    plan = sources.select(F.col("source").alias("of"), F.col("size").alias("source_size"), "target", F.floor(often).cast("int").alias("base"), (often - F.floor(often)).alias("p"), "n")
+    plan = stage.keep(plan)
+    count, documents = plan.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).collect()[0]
+    plan = plan.drop("n")
+    units = rows.join(F.broadcast(plan) if count <= BROADCAST_SOURCES else plan, F.col("source").eqNullSafe(F.col("of"))).select(*_COLUMNS)
     schema = T.StructType([*units.schema.fields, T.StructField("extra", T.IntegerType())])
     arrow = _arrow(schema)
-    tasks = max(1, -(-sum(r["n"] for r in per_source) // TASK_ROWS))
+    tasks = max(1, -(-documents // TASK_ROWS))
     order = ("source", "seed", "doc_id", "size")
-    table = stage.put(units.repartition(tasks, "seed").sortWithinPartitions(*order).mapInArrow(partial(_fly, last=False, schema=arrow), schema), "level0")
+    fly = lambda df, last: small_batches(df.sortWithinPartitions(*order)).mapInArrow(partial(_fly, last=last, schema=arrow), schema)
+    table = stage.put(compact(fly(units.repartition(tasks, "seed"), False)), "level0")
     parts, level = [table.where("extra >= 0")], 0
     while tasks > FAN_IN:
         tasks, level = -(-tasks // FAN_IN), level + 1
-        table = stage.put(table.where("extra < 0").select(*_COLUMNS).repartition(tasks, "seed").sortWithinPartitions(*order).mapInArrow(partial(_fly, last=False, schema=arrow), schema), f"level{level}")
+        table = stage.put(compact(fly(table.where("extra < 0").select(*_COLUMNS).repartition(tasks, "seed"), False)), f"level{level}")
         parts.append(table.where("extra >= 0"))
-    ends = table.where("extra < 0").select(*_COLUMNS).repartition("source").sortWithinPartitions(*order).mapInArrow(partial(_fly, last=True, schema=arrow), schema)
-    parts.append(stage.put(ends, "landing"))
+    parts.append(stage.put(compact(fly(table.where("extra < 0").select(*_COLUMNS).repartition("source"), True)), "landing"))
+    stage.close(*(f"level{i}" for i in range(level + 1)), "landing")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     copies = (F.col("base") + F.col("extra")).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    columns = ["doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")]
+    return out.select(*columns, *(["row_key"] if key is not None else []))
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
@@ -198,8 +214,21 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 
 
 def mixed_documents(docs: DataFrame, **kwargs) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it; rows of one id all take that id's greatest count."""
-    plan = mix(docs, **kwargs).groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("mixed_copies"))
-    joined = docs.join(plan.where("mixed_copies > 0"), F.col("doc_id").eqNullSafe(F.col("mixed_id")))
-    copies = F.explode(F.sequence(F.lit(1), F.col("mixed_copies").cast("int")))
-    return joined.select(*docs.columns, copies.alias("mixed_copy")).drop("mixed_copy")
+    """The rows of ``docs``, each as often as the mix takes it, with all their columns.
+
+    Rows are told apart by file and place, not by id, so null and repeated ids
+    and repeated rows each have their own count; documents that aren't a table
+    of files are written as one first. See mix for nulls and empty tables.
+    """
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation" or not docs.inputFiles():
+        docs = Stage(docs.sparkSession, "mixed").put(docs, "documents")
+    if not docs.inputFiles():
+        return docs
+    where = docs.metadataColumn("_metadata")
+    key = F.struct(F.xxhash64(where["file_path"]).alias("file"), where["row_index"].alias("row"))
+    plan = mix(docs, key=key, **kwargs).where("copies > 0")
+    mine, wanted, count = (fresh(n, docs.columns) for n in ("row_key", "mixed_key", "mixed_copies"))
+    plan = plan.select(F.col("row_key").alias(wanted), F.col("copies").cast("int").alias(count))
+    joined = docs.withColumn(mine, key).join(plan, F.col(mine) == F.col(wanted))
+    copies = F.explode(F.sequence(F.lit(1), F.col(count)))
+    return compact(joined.select(*docs.columns, copies.alias(fresh("mixed_copy", docs.columns))).drop(fresh("mixed_copy", docs.columns)))

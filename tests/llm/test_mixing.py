@@ -2,10 +2,8 @@ import random
 import re
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
-
 from attesta.llm.mixing import Flight, mix, mixed_documents, targets
+from attesta.session import Stage
 
 
 def water(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
@@ -18,12 +16,16 @@ def water(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
     return [min(most * s, high * x) for s, x in zip(sizes, w)]
 
 
-@given(st.lists(st.integers(0, 10**6), min_size=1, max_size=40))
-@settings(max_examples=200, deadline=None)
-def test_targets_fill_up_by_weight(sizes):
-    got = targets(sizes)
-    assert sum(got) == pytest.approx(1.5 * sum(sizes)) and all(t <= 2 * s for t, s in zip(got, sizes))
-    assert got == pytest.approx(water(sizes), rel=1e-6, abs=1e-6)
+@pytest.mark.parametrize("seed", range(6))
+def test_targets_fill_up_by_weight(spark, seed):
+    rnd = random.Random(seed)
+    sizes = [rnd.choice([0, 1, rnd.randint(0, 100), rnd.randint(0, 10**6)]) for _ in range((1, 2, 3, 17, 200, 3000)[seed])]
+    names = sorted({f"{rnd.choice('aéBz𝒳')}{rnd.random()}" for _ in sizes})[: len(sizes) - 1] + [None]
+    rows = list(zip(names, sizes, strict=True))
+    out = targets(spark.createDataFrame(rnd.sample(rows, len(rows)), "source string, size long").repartition(5), Stage(spark, "test")).collect()
+    got = {r.source: r.target for r in out}
+    assert len(out) == len(rows) and sum(got.values()) == pytest.approx(1.5 * sum(sizes)) and all(got[n] <= 2 * s for n, s in rows)
+    assert [got[n] for n in names] == pytest.approx(water(sizes), rel=1e-6, abs=1e-6)
 
 
 def test_flight_keeps_both_totals():
@@ -100,3 +102,18 @@ def test_odd_rows(spark, prose):
     assert {r.taken for r in mix(df.where("doc_id = 2")).collect()} == {0}
     out = mixed_documents(df)
     assert out.columns == df.columns and sum(words(r.text) for r in out.where("doc_id = 5").collect()) % 50_000 == 0
+
+
+def test_rows_of_null_and_repeated_ids_keep_their_own_count(spark, prose, tmp_path):
+    rnd = random.Random(2)
+    rows = [(rnd.choice([None, None, 1, 2, 3]), prose(rnd.randint(1, 60), i % 30), rnd.choice("abc"), "k") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, row_key string")
+    df.write.parquet(str(tmp_path / "docs"))
+    taken = sum(r.taken for r in mix(df).collect())
+    for docs in (df, spark.read.parquet(str(tmp_path / "docs")), df.unionAll(df.limit(0))):
+        out = mixed_documents(docs)
+        assert out.columns == df.columns
+        got = out.collect()
+        assert {(r.doc_id, r.text, r.source, "k") for r in got} <= set(rows)
+        assert sum(words(r.text) for r in got) == taken
+    assert mixed_documents(df.limit(0)).count() == 0
