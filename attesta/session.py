@@ -15,7 +15,8 @@ import tempfile
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 #: Bytes of an Arrow batch that Python functions over texts get.
@@ -119,6 +120,20 @@ class Stage:
             self.tables.discard(name)
 
 
+def with_row_keys(stage: Stage, df: DataFrame) -> tuple[DataFrame, Column]:
+    """The rows, and a column of them that tells every row from all others: a hash of its file, and its place there.
+
+    Only a table of files, read as it is, has such places that stay the same;
+    anything else is written as one first.
+    """
+    if df._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation" or not df.inputFiles():
+        df = stage.put(df, "rows")
+    if not df.inputFiles():
+        return df, F.struct(F.lit(0).cast("long").alias("file"), F.lit(0).cast("long").alias("row"))
+    where = df.metadataColumn("_metadata")
+    return df, F.struct(F.xxhash64(where["file_path"]).alias("file"), where["row_index"].alias("row"))
+
+
 def _scratch(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/attesta/{spark.sparkContext.applicationId}"
 
