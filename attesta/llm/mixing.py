@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attesta.llm._hash import fresh
-from attesta.session import Stage, compact, small_batches
+from attesta.session import Stage, compact, small_batches, with_row_keys
 
 #: Of the sources in order, null last.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -220,12 +220,7 @@ def mixed_documents(docs: DataFrame, **kwargs) -> DataFrame:
     and repeated rows each have their own count; documents that aren't a table
     of files are written as one first. See mix for nulls and empty tables.
     """
-    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation" or not docs.inputFiles():
-        docs = Stage(docs.sparkSession, "mixed").put(docs, "documents")
-    if not docs.inputFiles():
-        return docs
-    where = docs.metadataColumn("_metadata")
-    key = F.struct(F.xxhash64(where["file_path"]).alias("file"), where["row_index"].alias("row"))
+    docs, key = with_row_keys(Stage(docs.sparkSession, "mixed"), docs)
     plan = mix(docs, key=key, **kwargs).where("copies > 0")
     mine, wanted, count = (fresh(n, docs.columns) for n in ("row_key", "mixed_key", "mixed_copies"))
     plan = plan.select(F.col("row_key").alias(wanted), F.col("copies").cast("int").alias(count))

@@ -103,11 +103,11 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
         FROM f""",
     "op9_maxscore": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+        WITH v AS (SELECT vec_id, row_number() OVER () AS id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-             s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
-                   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
-             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+             s AS (SELECT q.vec_id AS query_id, q.id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+                   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.id <> q.id),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id, id ORDER BY score DESC, vec_id) AS n FROM s)
         SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 10""",
     "op10_tool_calls": """
         WITH RECURSIVE t AS (SELECT *, conv_id || '-' || turn AS id, conv_id || '-' || (turn - 1) AS before, conv_id || '-' || (turn - 2) AS second, coalesce(role = 'assistant', false) AS answer FROM conversations),

@@ -21,7 +21,7 @@ import pyarrow.dataset as pads
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attesta.session import Stage
+from attesta.session import Stage, compact, small_batches, with_row_keys
 
 K, SCALE, EVERY = 10, 1024, 100
 #: Vectors of one shard, of one block of a shard, and queries held at once.
@@ -47,16 +47,19 @@ def _fit(x: np.ndarray, d: int) -> np.ndarray:
 class Shard:
     """Vectors by dimension, in blocks, with each dimension's least and greatest component."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, rows: np.ndarray | None = None):
         order = np.argsort(ids, kind="stable")
-        self.ids, x = ids[order], x[order]
+        self.ids, x, self.rows = ids[order], x[order], (np.arange(len(ids)) if rows is None else rows)[order]
         self.low, self.high, self.top = x.min(0), x.max(0), float(np.abs(x).max(initial=0))
         self.blocks = [(i, np.ascontiguousarray(x[i : i + DOCS].T)) for i in range(0, len(x), DOCS)]
 
-    def search(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the k best vectors but the query's own, ties to the smaller id."""
+    def search(self, query_id: int, q: np.ndarray, k: int, row: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact scores of the k best vectors but the query's own, ties to the smaller id.
+
+        The query's own is that of its id and ``row``, of all that have its id if no row is given.
+        """
         if self.top * float(np.abs(q).max(initial=0)) * max(len(q), 1) >= 2.0**53:
-            return self._exact(query_id, q, k)
+            return self._exact(query_id, q, k, row)
         a, b = q * self.low, q * self.high
         least, most = np.minimum(a, b), np.maximum(a, b)
         terms = np.argsort(-(most - least), kind="stable")
@@ -78,6 +81,8 @@ class Shard:
                 done += len(more)
             mine = self.ids[at + here]
             other = mine != query_id
+            if row is not None:
+                other |= self.rows[at + here] != row
             ids, scores = np.concatenate([ids, mine[other]]), np.concatenate([scores, part[other]])
             if len(ids) > k:
                 best = np.lexsort((ids, -scores))[:k]
@@ -87,13 +92,13 @@ class Shard:
         best = np.lexsort((ids, -scores))[:k]
         return ids[best], scores[best].astype(np.int64)
 
-    def _exact(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _exact(self, query_id: int, q: np.ndarray, k: int, row: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Components too large for doubles: whole scores in Python's integers, held at the limits of 64 bits."""
         mine = [int(v) for v in q]
         found = []
         for at, block in self.blocks:
             for j, column in enumerate(block.T.tolist()):
-                if self.ids[at + j] != query_id:
+                if self.ids[at + j] != query_id or row is not None and self.rows[at + j] != row:
                     found.append((-sum(m * int(v) for m, v in zip(mine, column, strict=True)), int(self.ids[at + j])))
         found = sorted(found)[:k]
         held = [max(-(2**63), min(2**63 - 1, -s)) for s, _ in found]
@@ -104,28 +109,27 @@ def _search(batches: Iterator[pa.RecordBatch], uri: str, k: int) -> Iterator[pa.
     from pyarrow import fs as pafs
 
     system, folder = pafs.FileSystem.from_uri(uri)
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
-        d = max(x.shape[1] for _, x in held)
-        ids, x = np.concatenate([i for i, _ in held]), np.concatenate([_fit(x, d) for _, x in held])
+        d = max(x.shape[1] for _, x, _ in held)
+        shard = Shard(np.concatenate([h[0] for h in held]), np.concatenate([_fit(h[1], d) for h in held]), np.concatenate([h[2] for h in held]))
         held.clear()
-        shard = Shard(ids, x)
-        for block in pads.dataset(folder, filesystem=system, format="parquet", exclude_invalid_files=False).to_batches(columns=["vec_id", "embedding"], batch_size=QUERIES):
+        for block in pads.dataset(folder, filesystem=system, format="parquet", exclude_invalid_files=False).to_batches(columns=["vec_id", "embedding", "row"], batch_size=QUERIES):
             if not len(block):
                 continue
             q = integers(block.column(1))
             q = _fit(q, d) if q.shape[1] <= d else q[:, :d]
             out = []
-            for query_id, v in zip(block.column(0).to_pylist(), q, strict=True):
-                found, score = shard.search(query_id, v, k)
-                out.append((np.full(len(found), query_id, np.int64), found, score))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
+            for query_id, row, v in zip(block.column(0).to_pylist(), block.column(2).to_pylist(), q, strict=True):
+                found, score = shard.search(query_id, v, k, row)
+                out.append((np.full(len(found), query_id, np.int64), np.full(len(found), row, np.int64), found, score))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "query_row", "vec_id", "score"])
 
     rows = 0
     for batch in batches:
         if len(batch):
-            held.append((batch.column(0).to_numpy(), integers(batch.column(1))))
+            held.append((batch.column(0).to_numpy(), integers(batch.column(1)), batch.column(2).to_numpy()))
             rows += len(batch)
         if rows >= SHARD:
             yield from flush()
@@ -137,20 +141,20 @@ def _search(batches: Iterator[pa.RecordBatch], uri: str, k: int) -> Iterator[pa.
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of the k vectors of greatest inner product for each query.
 
-    Queries are the rows whose id ``every`` divides; candidates are all rows but
-    those of the query's own id. Components are floor(1024 x), scores integers,
+    Queries are the rows whose id ``every`` divides, each for itself; candidates
+    are all rows but the query's own, those that share its id included. Rows are
+    told apart by file and place. Components are floor(1024 x), scores integers,
     ties go to the smaller id. Null vectors, vectors with a null or non-finite
     component and rows of a null id take no part; missing dimensions count as 0
-    and an empty vector scores 0. Of query rows that share an id the smallest
-    vector is the query; as candidates repeated rows each count. Scores beyond
-    64 bits are held at the limit. Other columns are ignored; an empty table
-    gives an empty result.
+    and an empty vector scores 0. Scores beyond 64 bits are held at the limit.
+    Other columns are ignored; an empty table gives an empty result.
     """
     stage = Stage(vectors.sparkSession, "topk")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
+    vectors, key = with_row_keys(stage, vectors)
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"), F.xxhash64(key).alias("row"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
-    stage.put(rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
-    found = rows.mapInArrow(partial(_search, uri=stage.path("queries"), k=k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    stage.put(compact(rows.where(F.col("vec_id") % every == 0)), "queries")
+    found = small_batches(rows).mapInArrow(partial(_search, uri=stage.path("queries"), k=k), "query_id long, query_row long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -11,11 +11,11 @@ VECTORS = "vec_id long, embedding array<float>"
 def brute(rows, k=10):
     ints = [(i, [math.floor(1024 * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(np.float32(x)) for x in v)]
     out = []
-    for q in sorted({i for i, _ in ints if i % 100 == 0}):
-        mine = min(v for i, v in ints if i == q)
-        found = sorted((-sum(a * b for a, b in zip(mine, v)), i) for i, v in ints if i != q)[:k]
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
-    return out
+    for place, (q, mine) in enumerate(ints):
+        if q % 100 == 0:
+            found = sorted((-sum(a * b for a, b in zip(mine, v)), i) for n, (i, v) in enumerate(ints) if n != place)[:k]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
+    return sorted(out)
 
 
 def result(df):
@@ -47,7 +47,7 @@ def test_shards_and_blocks(spark, monkeypatch, kind):
 
 def test_odd_rows(spark):
     rows = [
-        (0, [1.0, 0.5]), (100, [0.5]), (200, []), (300, None), (400, [float("nan"), 1.0]), (500, [None, 1.0]), (600, [float("inf")]), (1, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [-1.0, 0.1, 3.0]), (None, [9.0, 9.0]), (-100, [0.3, 0.3]), (3, [1e30, 1.0]),
+        (0, [1.0, 0.5]), (100, [0.5]), (200, []), (300, None), (400, [float("nan"), 1.0]), (500, [None, 1.0]), (600, [float("inf")]), (1, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [-1.0, 0.1, 3.0]), (None, [9.0, 9.0]), (700, [0.2, 0.1]), (700, [0.2, 0.1]), (700, [0.5, -0.1]), (-100, [0.3, 0.3]), (3, [1e30, 1.0]),
     ]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], VECTORS + ", score int, rank int")
     want = [(q, r, i, max(-(2**63), min(2**63 - 1, s))) for q, r, i, s in brute(rows)]
