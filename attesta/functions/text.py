@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import re
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
@@ -14,11 +17,15 @@ BOILERPLATE_LINES = ("accept all cookies", "back to top", "cookie preferences",
 #: Words that navigation bars consist of (fixed values).
 NAVIGATION_WORDS = ("about", "blog", "contact", "home", "in", "log", "login", "menu", "news", "pricing", "privacy", "products", "search", "services", "sign", "subscribe")
 NAVIGATION_MOST = 8
+#: Patterns of lines (fixed values).
 _COPYRIGHT = r"(?i)^(?:©|copyright\b).{0,100}\ball rights reserved\.?$"
 _HEADING = r"^\s{0,3}#{1,6}\s+\S"
-_HEADING_TEXT = r"(?m)^[ \t]{0,3}#{1,6}[ \t]+(.+?)[ \t]*#*[ \t]*$"
 _LIST = r"^\s*(?:[-*+]\s+|\d+[.)]\s+)"
 _FENCE = r"^\s*(```|~~~)"
+_TABLE = r"^\s*\|(?:[^|]*\|){2,}\s*$"
+#: What a line of page furniture begins with: anything else needs no closer look.
+_MAYBE = r"(?i)^[^\p{L}\p{N}]*(?:©|copyright|" + "|".join(sorted({w.split(" ")[0] for w in (*BOILERPLATE_LINES, *NAVIGATION_WORDS)})) + ")"
+_HEADING_TEXT = r"(?m)^[ \t]{0,3}#{1,6}[ \t]+(.+?)[ \t]*#*[ \t]*$"
 _WORD = r"[\p{L}\p{N}]+(?:[’'\-][\p{L}\p{N}]+)*"
 _ENTITY = r"(?<![\p{L}\p{N}_])[A-ZÜĞŞÇÖ][a-züğşçö]+(?:\s+[A-ZÜĞŞÇÖ][a-züğşçö]+)*(?![\p{L}\p{N}_])"
 TURKISH = "[çğışöüÇĞİŞÖÜ]"
@@ -56,17 +63,18 @@ def token_estimate(text: Column) -> Column:
     return F.coalesce(in_words + marks, F.lit(0).cast("long"))
 
 
-def is_table_line(line: Column) -> Column:
-    t = strip(line)
-    return t.startswith("|") & t.endswith("|") & (F.length(t) - F.length(F.replace(t, F.lit("|"), F.lit(""))) >= 3)
-
-
 def is_boilerplate(line: Column) -> Column:
     """Page furniture: a set phrase, a copyright line, or a few words that are all navigation."""
     tidy = F.regexp_replace(F.lower(strip(line)), r"^[ .:;|\-]+|[ .:;|\-]+$", "")
     tokens = F.regexp_extract_all(tidy, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    navigation = (F.size(tokens) >= 1) & (F.size(tokens) <= NAVIGATION_MOST) & F.forall(tokens, lambda t: t.isin(*NAVIGATION_WORDS))
-    return F.coalesce((tidy != "") & (tidy.isin(*BOILERPLATE_LINES) | strip(line).rlike(_COPYRIGHT) | navigation), F.lit(False))
+    navigation = F.size(tokens).between(1, NAVIGATION_MOST) & (F.size(F.array_except(tokens, F.array(*(F.lit(w) for w in NAVIGATION_WORDS)))) == 0)
+    closer = (tidy != "") & (tidy.isin(*BOILERPLATE_LINES) | strip(line).rlike(_COPYRIGHT) | navigation)
+    return F.coalesce(F.when(line.rlike(_MAYBE), closer).otherwise(False), F.lit(False))
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def clean_plain(text: Column) -> Column:
@@ -75,58 +83,62 @@ def clean_plain(text: Column) -> Column:
     Line ends become LF and no-break spaces blanks; headings, list items and
     table lines keep their form; other lines have their blanks collapsed and go
     if they are page furniture; runs of empty lines become one, none is left at
-    either end.
+    either end. Each line's form is made once, and looked at afterwards.
     """
-    lines = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n|\r", "\n"), "\n", -1)
-    lines = F.transform(lines, lambda x: F.regexp_replace(F.translate(x, "\u00a0", " "), r"\s+$", ""))
+    blanks = F.lit(" \t\x0b\x0c")
+    tidy = F.translate(F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n|\r", "\n"), "\u00a0", " ")
+    lines = F.split(F.regexp_replace(tidy, r"(?m)[^\S\n]+$", ""), "\n", -1)
 
-    def line(x: Column) -> Column:
-        whole = x.rlike(_HEADING) | is_table_line(x)
-        tidy = strip(F.regexp_replace(x, r"[\t ]+", " "))
-        form = F.when(whole, strip(x)).when(x.rlike(_LIST), x).otherwise(tidy)
-        return F.struct(form.alias("line"), (~whole & ~x.rlike(_LIST) & is_boilerplate(tidy)).alias("drop"))
+    def form(x: Column) -> Column:
+        whole, listed = x.rlike(f"{_HEADING}|{_TABLE}"), x.rlike(_LIST)
+        collapsed = F.btrim(F.regexp_replace(x, r"[\t ]+", " "), blanks)
+        return F.when(whole, F.struct(F.btrim(x, blanks).alias("line"), F.lit(False).alias("plain"))).when(listed, F.struct(x.alias("line"), F.lit(False).alias("plain"))).otherwise(F.struct(collapsed.alias("line"), F.lit(True).alias("plain")))
 
-    done = F.transform(lines, line)
-    kept = F.transform(F.filter(done, lambda x: ~x["drop"]), lambda x: x["line"])
-    content = F.regexp_replace(F.regexp_replace(F.array_join(kept, "\n"), r"\n{3,}", "\n\n"), r"^\n+|\n+$", "")
-    return F.struct(content.alias("content"), F.size(F.filter(done, lambda x: x["drop"])).alias("removed"))
+    def joined(kept: Column) -> Column:
+        return F.btrim(F.regexp_replace(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"), r"\n{3,}", "\n\n"), F.lit("\n"))
+
+    stays = lambda x: ~(x["plain"] & is_boilerplate(x["line"]))
+    return _let(F.transform(lines, form), lambda all_: _let(F.filter(all_, stays), lambda kept: F.struct(joined(kept).alias("content"), (F.size(all_) - F.size(kept)).alias("removed"))))
 
 
 def needs_exact_cleaning(text: Column) -> Column:
     """Whether a text has code fences or any character that NFC or Unicode white space might concern."""
-    return F.coalesce(text.rlike(r"(?m)^\s*(```|~~~)") | text.rlike(r"[\x1c-\x1f\x85]|[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]"), F.lit(False))
+    return F.coalesce(text.rlike(r"(?m)^[^\S\n]*(```|~~~)") | text.rlike(r"[\x1c-\x1f\x85]|[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]"), F.lit(False))
+
+
+_IS_FENCE, _IS_LIST, _IS_WHOLE, _IS_COPYRIGHT = (re.compile(p) for p in (_FENCE, _LIST, f"{_HEADING}|{_TABLE}", _COPYRIGHT))
+
+
+def _furniture(line: str) -> bool:
+    """is_boilerplate for one line."""
+    phrase = line.casefold().strip(" .:;|-")
+    names = re.findall(r"[^\W_]+", phrase)
+    all_navigation = 1 <= len(names) <= NAVIGATION_MOST and frozenset(NAVIGATION_WORDS).issuperset(names)
+    return phrase != "" and (all_navigation or phrase in BOILERPLATE_LINES or _IS_COPYRIGHT.match(line) is not None)
 
 
 def exact_clean(text: str | None) -> tuple[str, int]:
-    """clean_plain for one text, with NFC and with code fences kept word for word."""
-    import re
-    import unicodedata
-
-    out: list[str] = []
-    removed, fenced = 0, False
-    for raw in unicodedata.normalize("NFC", text or "").replace("\r\n", "\n").replace("\r", "\n").split("\n"):
-        row = raw.replace("\u00a0", " ").rstrip()
-        fence = re.match(_FENCE, row)
-        fenced ^= bool(fence)
-        if fence or fenced:
-            out.append(row.strip() if fence else row)
-            continue
-        trimmed = row.strip()
-        table = trimmed.startswith("|") and trimmed.endswith("|") and trimmed.count("|") >= 3
-        if table or re.match(_HEADING, row):
-            row = trimmed
-        elif not re.match(_LIST, row):
-            row = re.sub(r"[\t ]+", " ", row).strip()
-            tidy = row.casefold().strip(" .:;|-")
-            tokens = re.findall(r"[^\W_]+", tidy)
-            if tidy and (tidy in BOILERPLATE_LINES or re.match(_COPYRIGHT, row) or (0 < len(tokens) <= NAVIGATION_MOST and set(tokens) <= set(NAVIGATION_WORDS))):
-                removed += 1
-                continue
-        if row or (out and out[-1]):
-            out.append(row)
-    while out and not out[-1]:
-        out.pop()
-    return "\n".join(out), removed
+    """clean_plain for one text, with NFC and with code fences kept word for word.
+
+    One pass marks the fences, one gives each line its form, one leaves out page
+    furniture and what blank lines there are too many.
+    """
+    lines = [x.replace("\u00a0", " ").rstrip() for x in re.split("\r\n|\r|\n", unicodedata.normalize("NFC", text or ""))]
+    marks = [_IS_FENCE.match(x) is not None for x in lines]
+    code = [mark or opened % 2 == 1 for mark, opened in zip(marks, itertools.accumulate(marks), strict=True)]
+    plain = [not c and not _IS_WHOLE.match(x) and not _IS_LIST.match(x) for c, x in zip(code, lines, strict=True)]
+
+    def form(x: str, mark: bool, c: bool, p: bool) -> str:
+        if p:
+            return re.sub(r"[\t ]+", " ", x).strip()
+        return x.strip() if mark or not c and _IS_WHOLE.match(x) else x
+
+    formed = list(map(form, lines, marks, code, plain))
+    stays = [not (p and _furniture(x)) for p, x in zip(plain, formed, strict=True)]
+    kept = [(x, c) for x, c, s in zip(formed, code, stays, strict=True) if s]
+    before = ["", *(x for x, _ in kept)]
+    content = "\n".join(x for (x, c), last in zip(kept, before, strict=False) if x or c or last)
+    return content.rstrip("\n"), len(stays) - sum(stays)
 
 
 @F.pandas_udf(T.StructType([T.StructField("content", T.StringType()), T.StructField("removed", T.IntegerType())]))
@@ -142,8 +154,6 @@ def nfc(text: pd.Series) -> pd.Series:
 @F.pandas_udf(T.StringType())
 def folded(text: pd.Series) -> pd.Series:
     """NFKC, case-folded, white space collapsed: the form that identities are compared in."""
-    import unicodedata
-
     return text.map(lambda t: None if t is None else " ".join(unicodedata.normalize("NFKC", t).casefold().split()))
 
 
