@@ -76,20 +76,20 @@ def _leaves(elem: np.ndarray, weight: np.ndarray, low: np.ndarray) -> tuple[np.n
 def signatures(row: np.ndarray, elem: np.ndarray, weight: np.ndarray, rows: int, registers: int = BANDS * ROWS) -> np.ndarray:
     """(rows, registers) identities of the earliest points; row, elem and weight give the bags. A row without elements has zeros.
 
-    Root processes are followed about _UNITS units of weight at a time, so memory doesn't grow with a bag.
+    About _UNITS units of weight are followed at a time, so memory doesn't grow with a bag.
     """
     best, ident = np.full(rows * registers, np.inf), np.zeros(rows * registers, np.uint64)
-    roots = (weight + (1 << ROOT_BITS) - 1) >> ROOT_BITS
-    done, sums = 0, np.cumsum(roots)
-    total = int(sums[-1]) if len(sums) else 0
-    step = _UNITS if total == len(elem) and (weight == 1).all() else _UNITS >> ROOT_BITS
-    while done < total:
-        nth = np.arange(done, min(done + step, total))
-        who = np.searchsorted(sums, nth, "right")
-        low = (nth - (sums[who] - roots[who])) << ROOT_BITS
-        at, key, t = _leaves(elem[who], weight[who], low)
-        _follow(best, ident, row[who[at]], key, t, rows, registers)
-        done += step
+    for some in range(0, len(elem), _UNITS):
+        part = slice(some, some + _UNITS)
+        roots = (weight[part] + (1 << ROOT_BITS) - 1) >> ROOT_BITS
+        who = np.repeat(np.arange(len(roots)), roots)
+        low = (np.arange(len(who)) - np.repeat(np.cumsum(roots) - roots, roots)) << ROOT_BITS
+        units = np.cumsum(np.minimum(weight[part][who] - low, 1 << ROOT_BITS))
+        cuts = np.searchsorted(units, np.arange(0, int(units[-1]) + _UNITS, _UNITS), "right")
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            mine = some + who[a:b]
+            at, key, t = _leaves(elem[mine], weight[mine], low[a:b])
+            _follow(best, ident, row[mine[at]], key, t, rows, registers)
     return ident.reshape(rows, registers)
 
 
@@ -308,14 +308,18 @@ def _star_links(pairs: DataFrame, bag: DataFrame, similarity: float) -> DataFram
 
 
 def _rest_links(stage: Stage, members: DataFrame, labels: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
-    """Links within the bands that hold several components: members outside their leader's component against all members.
+    """Links within the bands whose members, but for the leader, are of several components.
 
-    Of bands of the same members one is gone through. ``members``: band, leader, print.
+    Those outside the leader's component are compared with one another and with
+    those inside. Of bands of the same members one is gone through. ``members``:
+    band, leader, print.
     """
     named = members.join(labels.select(F.col("node").alias("print"), "label"), "print", "left").withColumn("label", F.coalesce("label", "print"))
-    bands = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.when(F.col("print") == F.col("leader"), F.col("label"))).alias("chief"), F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("print").cast("decimal(38,0)")).alias("sum"))
+    led = F.col("print") != F.col("leader")
+    of = lambda c: F.when(led, c)
+    bands = named.groupBy("band").agg(F.min(of(F.col("label"))).alias("low"), F.max(of(F.col("label"))).alias("high"), F.max(F.when(~led, F.col("label"))).alias("chief"), F.count_if(led).alias("n"), F.sum(of(F.xxhash64("print").cast("decimal(38,0)"))).alias("sum"))
     open_ = bands.where("low != high").groupBy("n", "sum").agg(F.min_by(F.struct("band", "chief"), "band").alias("b")).select("b.band", "b.chief")
-    rows = named.join(open_, "band").select("band", "print", "label", (F.col("label") != F.col("chief")).alias("out"))
+    rows = named.where(led).join(open_, "band").select("band", "print", "label", (F.col("label") != F.col("chief")).alias("out"))
     rows = stage.keep(rows)
     blocks = lambda c: F.ceil(F.count_if(c) / BLOCK).cast("int")
     sizes = rows.groupBy("band").agg(blocks(F.col("out")).alias("outs"), blocks(~F.col("out")).alias("ins"))
