@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import re
 import unicodedata
 from collections.abc import Mapping, Sequence
@@ -184,14 +185,38 @@ def structure_hints(markdown: Column, found_headings: Column) -> Column:
     return F.array_compact(F.array(*(F.when(test, name) for test, name in tests)))
 
 
-def evidence_slice(content: Column, candidate: Column) -> Column:
-    """The piece of content that a candidate is found as, word for word or, failing that, with any case and white space; else null."""
+def evidence_slice(content: Column, candidate: Column, folded_content: Column | None = None) -> Column:
+    """The piece of content that a candidate is found as, word for word or, failing that, with any case and white space; else null.
+
+    A pattern is only made where the folded texts hold one another, or where
+    letters occur whose case doesn't fold one to one. ``folded_content``: the
+    content's plain_folded form, where it is there already.
+    """
     want = strip(candidate)
-    at = F.instr(content, want)
     escaped = F.regexp_replace(want, r"([\\\[\](){}.*+?^$|])", r"\\$1")
     pattern = F.concat(F.lit("(?iu)"), F.regexp_replace(escaped, r"\s+", r"\\s+"))
     loose = F.call_function("regexp_extract", content, pattern, F.lit(0))
-    return F.when(want == "", None).when(at > 0, want).otherwise(empty_to_null(loose))
+    folded = plain_folded(content) if folded_content is None else folded_content
+    may = F.contains(folded, plain_folded(candidate)) | content.rlike("[\u0130\u0131\u017f\u03a3\u03c2\u03c3\u212a]")
+    return F.when(want == "", None).when(F.contains(content, want), want).when(may, empty_to_null(loose))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def nested_atoms(value: pd.Series) -> pd.Series:
+    """The scalars of a list or object in JSON, at any depth, as texts; null ones and empty ones are left out."""
+
+    def of(item) -> list[str]:
+        if isinstance(item, (list, dict)):
+            return [x for inner in (item.values() if isinstance(item, dict) else item) for x in of(inner)]
+        return [] if item in (None, "") else [str(item).strip()]
+
+    return value.map(lambda v: None if v is None else of(json.loads(v)))
+
+
+def atoms(value: Column) -> Column:
+    """The scalars that a field's value consists of: itself, or those of a list or object in JSON."""
+    nested = value.rlike(r"^\s*[\[{]") & F.coalesce(F.schema_of_variant(F.try_parse_json(value)).rlike("^(ARRAY|OBJECT)"), F.lit(False))
+    return F.coalesce(nested_atoms(F.when(nested, value)), F.array(strip(value)))
 
 
 def entities(text: Column) -> Column:

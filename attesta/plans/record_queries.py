@@ -76,10 +76,10 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items as evidence to be found in every source."""
     items = table(spark, sf_dir, "benchmark")
     names = documents(spark, sf_dir).select(F.col("source").alias("source_url")).distinct()
-    return items.select("item_id", F.regexp_extract("text", r"^\S+(?:\s+\S+){0,5}", 0).alias("candidate")).join(F.broadcast(names)).withColumn("key", F.concat_ws("|", F.col("item_id").cast("string"), "source_url")).withColumn("preferred_chunk_id", F.lit("c29"))
+    return items.select("item_id", F.col("text").alias("candidate")).join(F.broadcast(names)).withColumn("key", F.concat_ws("|", F.col("item_id").cast("string"), "source_url")).withColumn("preferred_chunk_id", F.lit("c29"))
 
 
-_CAND = r"(SELECT item_id, regexp_extract(text, '^\S+(?:\s+\S+){0,5}') AS candidate FROM benchmark)"
+_CAND = "(SELECT item_id, text AS candidate FROM benchmark)"
 _HIT = rf"(SELECT i.item_id, i.candidate, d.doc_id, d.source, d.text FROM {_CAND} i JOIN documents d ON contains(d.text, i.candidate))"
 
 

@@ -19,12 +19,15 @@ from attesta.operators.sources import pending
 FETCHED = "ord long, url string, redirected_url string, success boolean, error string, raw_markdown string, fit_markdown string, html string, cache_status string, metadata map<string,string>"
 #: Answers that another attempt doesn't change (fixed values).
 FINAL_CODES = (400, 401, 403, 404, 422)
-FINAL_WORDS = ("invalid", "unauthorized", "forbidden", "not found", "validation")
+#: Words of errors that another attempt doesn't change (fixed values).
+FINAL_WORDS = ("api key", "authentication", "unauthorized", "forbidden", "invalid model", "unsupported model", "invalid schema", "validation error", "configuration")
 
 
 def is_retryable(error: BaseException) -> bool:
-    code = getattr(error, "status_code", getattr(error, "code", None))
-    return code not in FINAL_CODES and not isinstance(error, (TypeError, ValueError)) and not any(w in str(error).lower() for w in FINAL_WORDS)
+    """Whether a provider's error may pass: it has no final code or word and is no validation error."""
+    codes = {getattr(error, name, None) for name in ("status_code", "status")}
+    said = str(error).lower()
+    return codes.isdisjoint(FINAL_CODES) and "ValidationError" not in {k.__name__ for k in type(error).__mro__} and not any(w in said for w in FINAL_WORDS)
 
 
 def with_retries(call: Callable, *args, retries: int = 2, wait: Callable[[float], None] = time.sleep):

@@ -66,10 +66,18 @@ def test_retries():
 
     assert providers.with_retries(flaky, retries=2, wait=waits.append) == "ok" and waits == [1.0, 2.0]
     with pytest.raises(ValueError):
-        providers.with_retries(lambda: (_ for _ in ()).throw(ValueError("bad")), wait=waits.append)
+        providers.with_retries(lambda: (_ for _ in ()).throw(ValueError("Authentication failed")), wait=waits.append)
     assert len(waits) == 2
 
 
+def test_errors_that_may_pass():
+    coded = lambda name, code: type("Coded", (Exception,), {name: code})()
+    final = [Exception(m) for m in ("Authentication failed", "missing API key", "bad configuration", "Invalid model x", "VALIDATION ERROR", "Forbidden")]
+    final += [coded("status_code", 404), coded("status", 422), type("ValidationError", (ValueError,), {})("x")]
+    assert not any(map(providers.is_retryable, final))
+    assert all(map(providers.is_retryable, [Exception("invalid response"), Exception("not found"), ValueError("bad"), coded("status_code", 503), TimeoutError()]))
+
+
 def test_search_seeds_and_preview_cache(spark):
     hits = providers.search(spark, ["q"], lambda q, n: [{"url": "http://a.com", "title": "A"}, {"title": "no url"}], 5)
     assert [(r.url, r.origin) for r in hits.union(providers.seeds(spark, ["http://s.com"])).orderBy("ord").collect()] == [("http://s.com", "seed"), ("http://a.com", "search:q")]

@@ -214,3 +214,15 @@ def test_metrics(spark):
     assert metrics.precision_at(rows, 2).first().precision_at_2 == 0.5 and metrics.precision_at(rows, 5).first().precision_at_5 == 0.666667
     assert metrics.largest_share(rows, "expected").first().max_share == 0.666667
     assert metrics.duplicate_share(rows.withColumn("is_duplicate", F.col("ord") == 1)).first().duplicate_rate == 0.333333
+
+
+def test_lists_and_objects_are_bound_atom_by_atom(spark):
+    chunks = spark.createDataFrame([("s", "c1", 0, "It is RED and  also blue, 3 times."), ("s", "c2", 1, "green")], "source_url string, chunk_id string, ord int, content string")
+    schema = [{"field_name": n, "type": "array", "required": True} for n in ("a", "b", "c", "d", "e", "f")]
+    values = {"a": '["red", "blue"]', "b": '["red", "green"]', "c": '{"x": ["red"], "n": {"k": 3, "none": null}}', "d": '["red", "black"]', "e": "[]", "f": '[""]'}
+    no = spark.createDataFrame([], "record_id string, field string, source_url string, chunk_id string, evidence_text string")
+    for method, bound in (("semantic", {"a", "c"}), ("table", {"a", "b", "c"})):
+        fields = spark.createDataFrame([("r", "s", "c1", method, k, v) for k, v in values.items()], "record_id string, source_url string, chunk_id string, extraction_method string, field string, value string")
+        got = {r.field: r for r in evidence.bind(fields, no, chunks, schema).collect()}
+        assert {f for f, r in got.items() if r.action == "bound"} == bound and all(r.action == "quarantine" for f, r in got.items() if f not in bound)
+        assert [(e.chunk_id, e.evidence_text) for e in got["a"].evidence] == [("c1", "RED"), ("c1", "blue")]
