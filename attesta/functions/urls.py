@@ -64,6 +64,12 @@ def idna_host(url: pd.Series) -> pd.Series:
     return url.map(one)
 
 
+def any_canonical_url(url: Column) -> Column:
+    """canonical_url, also of hosts outside ASCII, which alone go through the Arrow function."""
+    odd = F.coalesce(_part(url, 2).rlike(r"[^\x00-\x7f]"), F.lit(False))
+    return F.when(odd, canonical_url(url, idna_host(F.when(odd, url)))).otherwise(canonical_url(url))
+
+
 def host_of(url: Column) -> Column:
     """Lower-cased host without port and user information; empty if there is none."""
     netloc = F.regexp_replace(_part(url, 2), r"^.*@", "")

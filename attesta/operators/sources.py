@@ -36,7 +36,7 @@ def registry_upsert(found: DataFrame) -> DataFrame:
     there stay; flags are or-ed; of a metadata key the first value stays. Rows
     whose URL has no canonical form are dropped; see rejected_urls.
     """
-    rows = found.withColumn("canonical_url", urls.canonical_url(F.col("url"))).where("canonical_url is not null")
+    rows = found.withColumn("canonical_url", urls.any_canonical_url(F.col("url"))).where("canonical_url is not null")
     first = lambda c: F.min_by(text.empty_to_null(F.col(c)), F.when(F.col(c) != "", F.col("ord")))
     providers = F.array_sort(F.collect_list(F.when(F.col("provider") != "", F.struct("ord", "provider"))))
     merged = rows.groupBy("canonical_url").agg(
@@ -55,7 +55,7 @@ def registry_upsert(found: DataFrame) -> DataFrame:
 
 
 def rejected_urls(found: DataFrame) -> DataFrame:
-    return found.where(urls.canonical_url(F.col("url")).isNull())
+    return found.where(urls.any_canonical_url(F.col("url")).isNull())
 
 
 def registry_decisions(registry: DataFrame, evaluations: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def compatibility(rows: DataFrame, most: int) -> DataFrame:
 
 def exploration_starts(candidates: DataFrame, most: int) -> DataFrame:
     """The first canonical URL of each host, selected candidates before seeds, ``most`` hosts. ``candidates``: ord, url, selected, user_seed."""
-    rows = candidates.where("selected or user_seed").withColumn("canonical_url", urls.canonical_url(F.col("url"))).where("canonical_url is not null")
+    rows = candidates.where("selected or user_seed").withColumn("canonical_url", urls.any_canonical_url(F.col("url"))).where("canonical_url is not null")
     rows = rows.withColumn("domain", urls.host_of(F.col("canonical_url"))).withColumn("turn", F.when(F.col("selected"), 0).otherwise(1))
     return first_by(rows, ["domain"], ["turn", "ord"]).orderBy("turn", "ord").limit(most).drop("turn")
 
@@ -176,7 +176,7 @@ def explored(pages: DataFrame, max_depth: int, max_pages: int, same_domain: bool
     form, isn't the start's, isn't a file and is on the start's host (if asked);
     of a canonical URL the first counts, of a start the first ``max_pages``.
     """
-    rows = pages.withColumn("canonical_url", urls.canonical_url(F.col("url"))).withColumn("start_canonical", urls.canonical_url(F.col("start_url")))
+    rows = pages.withColumn("canonical_url", urls.any_canonical_url(F.col("url"))).withColumn("start_canonical", urls.any_canonical_url(F.col("start_url")))
     keep = F.col("success") & F.col("depth").between(1, max_depth) & F.col("canonical_url").isNotNull() & (F.col("canonical_url") != F.col("start_canonical")) & urls.is_page_url(F.col("canonical_url"))
     if same_domain:
         keep = keep & (urls.host_of(F.col("canonical_url")) == urls.host_of(F.col("start_canonical")))

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 _LOCAL_SCRATCH: dict[str, str] = {}
 #: Bytes of an Arrow batch that Python functions over texts get.
 BATCH_BYTES = 4 << 20
-#: Partitions that a table is written in, at most, for each core of the cluster.
-FILES_A_CORE = 2
+#: Rows that are written to an executor's disk at once.
+KEPT_ROWS = 1000
+#: Partitions that a table is written in: for each core of the cluster, and one for so many of a shuffle.
+FILES_A_CORE, MERGED = 2, 16
 
 
 def build_session(app: str = "attesta", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -70,12 +72,13 @@ def small_batches(df: DataFrame) -> DataFrame:
 
 
 def compact(df: DataFrame) -> DataFrame:
-    """The same rows in no more than FILES_A_CORE partitions a core, without a shuffle.
+    """The same rows in fewer partitions, without a shuffle: FILES_A_CORE for each core, or one for MERGED partitions of a shuffle, whichever is more.
 
     For the last step before a table is written: filters and joins leave many
     small partitions, and each would be a file.
     """
-    return df.coalesce(max(1, FILES_A_CORE * df.sparkSession.sparkContext.defaultParallelism))
+    spark = df.sparkSession
+    return df.coalesce(max(1, FILES_A_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // MERGED))
 
 
 class Stage:
@@ -105,6 +108,9 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def keep(self, df: DataFrame) -> DataFrame:
+        conf, name = self.spark.conf, "spark.sql.inMemoryColumnarStorage.batchSize"
+        if int(conf.get(name)) > KEPT_ROWS:  # rows that are put together in memory on their way to the disk
+            conf.set(name, str(KEPT_ROWS))
         self.kept.append(df.persist(StorageLevel.DISK_ONLY))
         return df
 

@@ -226,3 +226,61 @@ def test_lists_and_objects_are_bound_atom_by_atom(spark):
         got = {r.field: r for r in evidence.bind(fields, no, chunks, schema).collect()}
         assert {f for f, r in got.items() if r.action == "bound"} == bound and all(r.action == "quarantine" for f, r in got.items() if f not in bound)
         assert [(e.chunk_id, e.evidence_text) for e in got["a"].evidence] == [("c1", "RED"), ("c1", "blue")]
+
+
+def test_lists_unite_by_normalised_values(spark):
+    rows = [(0, "r0", '["Red","x"]'), (1, "r1", '["red ","y", 1]'), (2, "r2", "[1, 2]")]
+    df = spark.createDataFrame([(o, "s", r, "c", "semantic", 0.9 - o / 10, {"name": '"n"', "colours": v}, {}) for o, r, v in rows], "ord long, source_url string, local_record_id string, chunk_id string, extraction_method string, confidence double, data map<string,string>, field_confidence map<string,double>")
+    got = records.resolve(df, [{"field_name": "name", "type": "string"}, {"field_name": "colours", "type": "array"}], ["name"]).collect()
+    assert json.loads(got[0].data["colours"]) == ["Red", "x", "y", 1, 2] and got[0].field_confidence["colours"] == pytest.approx(0.7)
+    alone = records.resolve(df.limit(1).withColumn("data", F.create_map(F.lit("colours"), F.lit('["a","A"]'))), [{"field_name": "colours", "type": "array"}]).collect()
+    assert json.loads(alone[0].data["colours"]) == ["a", "A"]
+
+
+def test_hosts_outside_ascii_reach_the_registry(spark):
+    found = spark.createDataFrame([(0, "http://münchen.de/a", "s", "t", "", "p", False, False), (1, "HTTP://XN--MNCHEN-3YA.de:80/a#x", "s", "", "", "p", True, False), (2, "http://日本.jp", "s", "", "", "p", False, False), (3, "http://a..bé/", "s", "", "", "p", False, False)], "ord long, url string, origin string, title string, description string, provider string, seed boolean, preferred boolean")
+    got = {r.canonical_url: r for r in sources.registry_upsert(found).collect()}
+    assert set(got) == {"http://xn--mnchen-3ya.de/a", "http://xn--wgv71a.jp/"} and got["http://xn--mnchen-3ya.de/a"].user_seed
+    assert [r.ord for r in sources.rejected_urls(found).collect()] == [3]
+
+
+def test_a_thousand_equal_records_fold_in_order(spark):
+    rnd = random.Random(3)
+    rows = [(i, [f"http://u{rnd.randint(0, 400)}.com/" for _ in range(rnd.randint(1, 3))], [f"h{rnd.randint(0, 900)}"], '{"a": "X  y"}' if i % 2 else '{"a": "x y"}', None, rnd.random(), [f"e{rnd.randint(0, 50)}" for _ in range(3)], [f"c{i}"]) for i in range(1000)]
+    got = records.deduplicate(spark.createDataFrame(rows, DEDUP)).collect()
+    want = plain_equal([dict(zip(("ord", "urls", "hashes", "data", "identity", "quality", "evidence", "contributors"), r)) for r in rows])
+    assert len(got) == 1 and (got[0].ord, got[0].quality) == (want["ord"], want["quality"])
+    assert got[0].source_urls == want["urls"] and got[0].contributors == want["contributors"] and set(got[0].evidence) == set(want["evidence"])
+    assert {s: sum(x.stage == s for x in got[0].absorbed) for s in ("source_or_content", "exact_normalized_record")} == want["stages"]
+
+
+def plain_equal(rows):
+    """The fold over one fingerprint, step by step."""
+    score = lambda r: (r["quality"], 1, len(r["evidence"]))
+    keys = lambda r: [*(f"h{h}" for h in sorted(set(r["hashes"]))), *dict.fromkeys(r["urls"])]
+    stages = {"source_or_content": 0, "exact_normalized_record": 0}
+
+    def join(a, b, stage):
+        stages[stage] += 1
+        kept, gone = (b, a) if score(b) > score(a) else (a, b)
+        quality = min(a["quality"], b["quality"])
+        for c in ("urls", "hashes", "evidence", "contributors"):
+            kept[c] = list(dict.fromkeys([*kept[c], *gone[c]]))
+        kept["quality"] = quality
+        return kept
+
+    seen, after = {}, []
+    for r in rows:
+        for c in ("urls", "hashes", "evidence"):
+            r[c] = list(dict.fromkeys(r[c]))
+        slot = next((seen[k] for k in keys(r) if k in seen), None)
+        if slot is None:
+            slot = len(after)
+            after.append(r)
+        else:
+            after[slot] = join(after[slot], r, "source_or_content")
+        seen |= dict.fromkeys(keys(after[slot]), slot)
+    one = after[0]
+    for r in after[1:]:
+        one = join(one, r, "exact_normalized_record")
+    return one | {"stages": stages}
