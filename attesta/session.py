@@ -13,6 +13,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 _LOCAL_SCRATCH: dict[str, str] = {}
 #: Bytes of an Arrow batch that Python functions over texts get.
 BATCH_BYTES = 4 << 20
+_PLACE_BITS = 33  # of monotonically_increasing_id
 #: Rows that are written to an executor's disk at once.
 KEPT_ROWS = 1000
 #: Partitions that a table is written in: for each core of the cluster, and one for so many of a shuffle.
@@ -126,6 +128,23 @@ class Stage:
             self.tables.discard(name)
 
 
+def numbered(stage: Stage, df: DataFrame, order: Sequence[Column], column: str, name: str = "numbered") -> DataFrame:
+    """The rows with their number from 0 in a total order, without gathering them in one task.
+
+    They are sorted by range and written; a row's number is its place in its
+    partition and the sizes of those before, which alone come to the driver.
+    """
+    at, part = "_at", F.shiftrightunsigned("_at", _PLACE_BITS)
+    rows = stage.put(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id()), name)
+    before, starts = 0, []
+    for r in sorted(rows.groupBy(part.alias("_part")).count().collect()):
+        starts.append((r["_part"], before))
+        before += r["count"]
+    starts = F.broadcast(stage.spark.createDataFrame(starts, "_part long, _start long"))
+    rows = rows.withColumn("_part", part).join(starts, "_part")
+    return rows.withColumn(column, F.col("_start") + F.col(at).bitwiseAND((1 << _PLACE_BITS) - 1)).drop("_part", "_start", at)
+
+
 def with_row_keys(stage: Stage, df: DataFrame) -> tuple[DataFrame, Column]:
     """The rows, and a column of them that tells every row from all others: a hash of its file, and its place there.
 
