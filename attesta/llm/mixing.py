@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attesta.llm._hash import fresh
-from attesta.session import Stage, compact, small_batches, with_row_keys
+from attesta.session import Stage, compact, numbered, small_batches, with_row_keys
 
 #: Of the sources in order, null last.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -41,27 +41,15 @@ FAN_IN = 1000
 #: Sources up to which the table of targets is broadcast; a longer one is joined by shuffle.
 BROADCAST_SOURCES = 10_000
 _EPS = 1e-9
-_PLACE_BITS = 33  # of monotonically_increasing_id
 
 
 def targets(sources: DataFrame, stage: Stage, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """Adds target: words to take of each source (source, size), by weight, but no more than ``most`` times its size; what is over goes to the others by weight.
 
-    Weights go round by the sources' order, null last. The table is sorted by
-    range, so a source's place is its place in its partition and the sizes of
-    those before, which alone come to the driver.
+    Weights go round by the sources' order, null last.
     """
-    order = [F.col("source").isNull(), F.col("source")]
-    placed = stage.put(sources.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "placed")
-    part = F.shiftrightunsigned("at", _PLACE_BITS)
-    before, offsets = 0, []
-    for r in sorted(placed.groupBy(part.alias("part")).count().collect()):
-        offsets.append((r["part"], before % len(weights)))
-        before += r["count"]
-    starts = F.broadcast(placed.sparkSession.createDataFrame(offsets, "part long, start long"))
-    rank = F.col("start") + F.col("at").bitwiseAND((1 << _PLACE_BITS) - 1)
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (rank % len(weights) + 1).cast("int"))
-    placed = placed.withColumn("part", part).join(starts, "part").withColumn("weight", weight).drop("at", "part", "start")
+    placed = numbered(stage, sources, [F.col("source").isNull(), F.col("source")], "rank", "placed")
+    placed = placed.withColumn("weight", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("rank") % len(weights) + 1).cast("int"))).drop("rank")
     limit, level = F.col("size") * float(most), 0.0
     some = F.col("size") > 0
     while True:

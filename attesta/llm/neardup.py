@@ -353,10 +353,10 @@ def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: in
 
     nodes = signed.where(F.size("bands") > 0).groupBy("print").agg(F.first("bands").alias("bands")).select(F.explode("bands").alias("band"), "print")
     shared = nodes.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stage.put(compact(nodes.join(shared, "band")), "members")
+    members = stage.keep(nodes.join(shared, "band"))
     central = members.groupBy("print").agg(F.sum("n").alias("degree"))
     ranked = members.join(central, "print").groupBy("band").agg(F.max(F.struct("degree", "print")).alias("top")).select("band", F.col("top.print").alias("leader"))
-    led = stage.put(compact(members.select("band", "print").join(ranked, "band")), "led")
+    led = stage.keep(members.select("band", "print").join(ranked, "band"))
 
     wanted = spark.sparkContext.broadcast(_filter_of(led.select("print").distinct()))
     bag = small_batches(rows.select("text")).mapInArrow(partial(_bags, wanted=wanted), "print binary, bag binary")
