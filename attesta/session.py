@@ -116,6 +116,11 @@ class Stage:
         self.kept.append(df.persist(StorageLevel.DISK_ONLY))
         return df
 
+    def release(self, df: DataFrame) -> None:
+        """Give up one that was kept, when what is left to do has read it."""
+        df.unpersist()
+        self.kept.remove(df)
+
     def close(self, *but: str) -> None:
         while self.kept:
             self.kept.pop().unpersist()
