@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attesta.functions import text
 from attesta.operators.evidence import traced
 from attesta.operators.records import filled
+from attesta.session import Stage, numbered
 
 PROFILES = ("structured", "rag", "graphrag")
 
@@ -83,6 +84,25 @@ def graph_entities(claim_rows: DataFrame, identity_fields: Sequence[str]) -> Dat
     return claim_rows.where(wanted).select("resolution_key", plain_value(F.col("value")).alias("name"), F.col("predicate").alias("field_name"), "evidence")
 
 
+def graph_records(records: DataFrame, claim_rows: DataFrame, identity_fields: Sequence[str], relation_rows: DataFrame | None, schema_name: str, schema_version: str) -> DataFrame:
+    """A record each: record_key, entities, claims, relations, provenance, quality and the schema's name and version.
+
+    ``records``: as resolve gives them; ``relation_rows``: resolution_key and
+    relation (a struct), those that backed_relations lets through.
+    """
+    claim = claim_rows.groupBy("resolution_key").agg(F.array_sort(F.collect_list(F.struct("predicate", "claim_id", "value", "evidence"))).alias("claims"))
+    named = graph_entities(claim_rows, identity_fields).groupBy("resolution_key").agg(F.array_sort(F.collect_list(F.struct("field_name", "name", "evidence"))).alias("entities"))
+    out = records.join(claim, "resolution_key", "left").join(named, "resolution_key", "left")
+    if relation_rows is not None:
+        out = out.join(relation_rows.groupBy("resolution_key").agg(F.array_sort(F.collect_list("relation")).alias("relations")), "resolution_key", "left")
+    else:
+        out = out.withColumn("relations", F.array().cast("array<string>"))
+    return out.select(
+        F.col("resolution_key").alias("record_key"), "entities", "claims", "relations", F.struct("source_url", "source_urls", "contributors", "resolution_method", "resolution_key").alias("provenance"),
+        F.struct("evidence_quality_score", F.col("evidence_support_statuses").alias("support_statuses")).alias("quality"), F.lit(schema_name).alias("schema_name"), F.lit(schema_version).alias("schema_version"),
+    )
+
+
 def backed_relations(relations: DataFrame, chunks: DataFrame) -> DataFrame:
     """Relations all of whose references are traceable. ``relations``: relation_id, source, target, type, references (array)."""
     refs = relations.select("relation_id", F.explode("references").alias("r")).select("relation_id", "r.*")
@@ -100,7 +120,11 @@ def structured_records(records: DataFrame, schema: Sequence[Mapping], schema_nam
 
 
 def legacy_records(documents: DataFrame) -> DataFrame:
-    """Records of the older layout: a random id, a running title, the content and a few tags. ``documents``: ord, domain, cleaned_content, category, confidence_score."""
-    n = F.row_number().over(Window.orderBy("ord"))  # titles are numbered through the whole output
+    """Records of the older layout: a random id, a running title, the content and a few tags. ``documents``: ord, domain, cleaned_content, category, confidence_score.
+
+    Titles are numbered through the whole output.
+    """
+    rows = numbered(Stage(documents.sparkSession, "legacy"), documents, [F.col("ord")], "_n")
     short = F.substring(F.regexp_replace(F.uuid(), "-", ""), 1, 6)
-    return documents.select("ord", F.concat("domain", F.lit("-"), short).alias("id"), "domain", F.concat(F.lit("Extracted Knowledge "), n.cast("string")).alias("title"), F.col("cleaned_content").alias("content"), F.array("category").alias("tags"), "confidence_score", F.lit("validated").alias("validation_status"))
+    title = F.concat(F.lit("Extracted Knowledge "), (F.col("_n") + 1).cast("string"))
+    return rows.select("ord", F.concat("domain", F.lit("-"), short).alias("id"), "domain", title.alias("title"), F.col("cleaned_content").alias("content"), F.array("category").alias("tags"), "confidence_score", F.lit("validated").alias("validation_status"))

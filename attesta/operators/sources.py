@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions import scores, text, urls
+from attesta.session import Stage, numbered
 
 #: Quality that a new domain, or a new source type, may cost against the best one left.
 DOMAIN_TOLERANCE, TYPE_TOLERANCE = 0.15, 0.08
@@ -100,6 +101,30 @@ def evaluate(sources: DataFrame, policy: Mapping) -> DataFrame:
     return out.withColumn("decision", scores.decision(F.col("hard_reasons"), F.col("preview_success"), F.col("topic_relevance_score"), F.col("final_score")))
 
 
+def with_previews(candidates: DataFrame, seen: DataFrame) -> DataFrame:
+    """Candidates with what was seen of them: preview_success and preview_text, false and empty without a preview. ``seen`` as previews gives it; the URLs are compared canonically."""
+    key = lambda c: F.coalesce(urls.any_canonical_url(F.col(c)), F.col(c))
+    side = seen.groupBy(key("url").alias("_key")).agg(F.max(F.struct(F.coalesce("fetch_success", F.lit(False)).alias("ok"), F.coalesce("relevant_text", F.lit("")).alias("text"))).alias("_seen"))
+    out = candidates.withColumn("_key", key("url")).join(side, "_key", "left")
+    return out.withColumn("preview_success", F.coalesce("_seen.ok", F.lit(False))).withColumn("preview_text", F.coalesce("_seen.text", F.lit(""))).drop("_key", "_seen")
+
+
+def seed_fallback(evaluated: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Where nothing was evaluated, the user's own sources in their order: url, ord, rank, reason and selection_origin. ``candidates``: ord, url, user_seed."""
+    none = evaluated.agg((F.count(F.lit(1)) == 0).alias("_none"))  # one row
+    seeds = candidates.where("user_seed").join(F.broadcast(none)).where("_none")
+    return seeds.select("url", "ord", F.row_number().over(Window.orderBy("ord")).alias("rank"), F.lit("chosen by the user; nothing was evaluated").alias("reason"), F.lit("manual_override").alias("selection_origin"))
+
+
+def schema_previews(selected: DataFrame, seen: DataFrame) -> DataFrame:
+    """What was seen of the selected sources, by rank, each canonical URL once; has_preview is false where a schema can't be drawn from a source. ``selected``: url, rank."""
+    key = lambda c: F.coalesce(urls.any_canonical_url(F.col(c)), F.col(c))
+    first = first_by(selected.select(key("url").alias("_key"), "url", "rank"), ["_key"], ["rank"])
+    side = seen.withColumn("_key", key("url")).drop("url", "error")
+    out = first.join(first_by(side, ["_key"], [F.desc("fetch_success")]), "_key", "left")
+    return out.withColumn("has_preview", F.coalesce("fetch_success", F.lit(False))).drop("_key", "fetch_success")
+
+
 def mark_preview_duplicates(rows: DataFrame, quality: str = "quality", preview: str = "preview_text") -> DataFrame:
     """duplicate_of: the URL of the best row (then the earliest) of equal preview text, for all others of it.
 
@@ -149,11 +174,12 @@ def eligible() -> Column:
 
 
 def compatibility(rows: DataFrame, most: int) -> DataFrame:
-    """Adds kept (the ``most`` selected rows of greatest score) and priority: the kept by score, then all others in input order."""
-    best = Window.partitionBy("decision").orderBy(F.desc("final_score"), "ord")
-    out = rows.withColumn("_rank", F.row_number().over(best)).withColumn("kept", (F.col("decision") == "select") & (F.col("_rank") <= most))
-    rest = F.row_number().over(Window.partitionBy("kept").orderBy("ord")) + F.sum(F.col("kept").cast("int")).over(Window.partitionBy())
-    return out.withColumn("priority", F.when(F.col("kept"), F.col("_rank")).otherwise(rest).cast("int")).drop("_rank")
+    """Adds kept (the ``most`` selected rows of greatest score, the earlier of equals) and priority: the kept by score, then all others in input order. ``rows``: ord is unique."""
+    best = rows.where("decision = 'select'").orderBy(F.desc("final_score"), "ord").limit(most).select("ord", "final_score")
+    best = best.select(F.col("ord").alias("_ord"), F.row_number().over(Window.orderBy(F.desc("final_score"), "ord")).alias("_rank"))  # ``most`` rows
+    out = rows.join(F.broadcast(best), F.col("ord") == F.col("_ord"), "left").withColumn("kept", F.col("_rank").isNotNull())
+    out = numbered(Stage(rows.sparkSession, "compatibility"), out, [~F.col("kept"), F.col("ord")], "_n")
+    return out.withColumn("priority", F.coalesce("_rank", F.col("_n") + 1).cast("int")).drop("_rank", "_ord", "_n")
 
 
 def exploration_starts(candidates: DataFrame, most: int) -> DataFrame:

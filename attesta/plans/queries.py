@@ -196,12 +196,13 @@ def policy_decision(spark, sf_dir):
 
 
 @query(
-    """WITH c AS (SELECT {canonical} AS u FROM pages WHERE page_id % 5 <> 0), p AS (SELECT {canonical} AS u FROM pages WHERE page_id % 3 <> 0 UNION ALL SELECT {canonical} FROM pages WHERE page_id % 7 = 0), pc AS (SELECT u, count(*) AS n FROM p GROUP BY 1), cc AS (SELECT u, count(*) AS n FROM c GROUP BY 1)
+    """WITH c AS (SELECT {canonical} || CASE WHEN page_id % 5 = 0 THEN '?c' ELSE '' END AS u FROM pages), p AS (SELECT {canonical} || CASE WHEN page_id % 3 = 0 THEN '?p' ELSE '' END AS u FROM pages UNION ALL SELECT {canonical} || CASE WHEN page_id % 7 <> 0 THEN '?' || page_id ELSE '' END FROM pages), pc AS (SELECT u, count(*) AS n FROM p GROUP BY 1), cc AS (SELECT u, count(*) AS n FROM c GROUP BY 1)
     SELECT coalesce(pc.u, cc.u) AS canonical_url, coalesce(pc.n, 0) AS proposals, coalesce(cc.n, 0) AS candidates, CASE WHEN cc.n IS NULL THEN 'unknown' WHEN pc.n IS NULL THEN 'missing' WHEN pc.n > 1 THEN 'duplicate' ELSE 'ok' END AS issue FROM pc FULL JOIN cc ON pc.u = cc.u"""
 )
 def eval_integrity(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", urls.canonical_url(F.col("url")).alias("canonical_url"))
-    return sources.integrity(rows.where("page_id % 3 <> 0").union(rows.where("page_id % 7 = 0")), rows.where("page_id % 5 <> 0"))
+    other = lambda when, mark: rows.select(F.concat("canonical_url", F.when(F.expr(when), mark).otherwise("")).alias("canonical_url"))
+    return sources.integrity(other("page_id % 3 = 0", F.lit("?p")).union(other("page_id % 7 <> 0", F.concat(F.lit("?"), "page_id"))), other("page_id % 5 = 0", F.lit("?c")))
 
 
 _QUALITY = "round(greatest(0.0, least(1.0, (fs * 0.70::DOUBLE + information_density_score * 0.10::DOUBLE + extractability_score * 0.10::DOUBLE + technical_depth_score * 0.15::DOUBLE) / 1.05::DOUBLE)), 6)"
@@ -218,7 +219,7 @@ def selection_quality(spark, sf_dir):
     return qualified(spark, sf_dir).select("page_id", "quality")
 
 
-_PREVIEW = "trim(regexp_replace(left(title, 1 + (page_id % 3)::INTEGER), '\\s+', ' ', 'g'))"
+_PREVIEW = "trim(regexp_replace(title, '\\s+', ' ', 'g'))"
 
 
 @query(
@@ -226,7 +227,7 @@ _PREVIEW = "trim(regexp_replace(left(title, 1 + (page_id % 3)::INTEGER), '\\s+',
     b AS (SELECT *, first_value(url) OVER (PARTITION BY body ORDER BY quality DESC, page_id) AS best FROM q) SELECT page_id, CASE WHEN body <> '' AND best <> url THEN best END AS duplicate_of FROM b"""
 )
 def preview_duplicates(spark, sf_dir):
-    rows = qualified(spark, sf_dir).withColumn("preview_text", F.expr("left(title, 1 + cast(page_id % 3 as int))"))
+    rows = qualified(spark, sf_dir).withColumn("preview_text", F.col("title"))
     return sources.mark_preview_duplicates(rows).select("page_id", "duplicate_of")
 
 
@@ -458,12 +459,14 @@ def language_heuristic(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", text.language_guess(F.col("content")).alias("language"))
 
 
-_ASCII = "(SELECT doc_id, regexp_replace(left(text, 400), '[^\\x00-\\x7f]+', ' ', 'g') AS text FROM documents)"
-_NAMES = rf"(SELECT doc_id, list_filter(l, lambda x, i: list_position(l, x) = i) AS names FROM (SELECT doc_id, regexp_extract_all(text, '\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\b') AS l FROM {_ASCII}))"
+_SPACE, _CAPITAL = r"[\t\n\x0b\f\r ]+", "[A-ZÜĞŞÇÖ][a-züğşçö]+"
+# Words that aren't capitalised, and marks, become a mark of their own; what is left between marks are names.
+_MARKED = rf"array_to_string(list_transform(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|{_SPACE}|[^\p{{L}}\p{{N}}_\t\n\x0b\f\r ]+'), lambda w: CASE WHEN regexp_full_match(w, '{_CAPITAL}|{_SPACE}') THEN w ELSE chr(1) END), '')"
+_NAMES = rf"""(SELECT doc_id, list(name ORDER BY i) AS names FROM (SELECT doc_id, name, min(i) AS i FROM (SELECT doc_id, unnest(l) AS name, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, regexp_extract_all({_MARKED}, '{_CAPITAL}(?:{_SPACE}{_CAPITAL})*') AS l FROM documents)) GROUP BY 1, 2) GROUP BY 1)"""
 
 
 def whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents' whole texts; the SQL beside reads only what _ASCII leaves of them."""
+    """The documents' whole texts."""
     return documents(spark, sf_dir).withColumn("cleaned_content", F.col("content"))
 
 

@@ -97,13 +97,13 @@ def locate_evidence(spark, sf_dir):
     return out.where("evidence_text is not null").select("item_id", "source_url", "evidence_chunk_id", "evidence_text")
 
 
-_REF = r"(SELECT doc_id, source, CASE doc_id % 4 WHEN 0 THEN 'c-1' ELSE 'c' || doc_id END AS chunk_id, CASE doc_id % 4 WHEN 1 THEN 'qqqq' ELSE regexp_extract(text, '\S+\s\S+') END AS evidence FROM documents)"
+_REF = r"(SELECT doc_id, source, CASE doc_id % 4 WHEN 0 THEN 'c-1' ELSE 'c' || doc_id END AS chunk_id, CASE doc_id % 4 WHEN 1 THEN 'qqqq' ELSE trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) END AS evidence FROM documents)"
 
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id") % 4
     return documents(spark, sf_dir).select(
-        "doc_id", F.col("source").alias("source_url"), F.when(d == 0, "c-1").otherwise(F.concat(F.lit("c"), F.col("doc_id").cast("string"))).alias("chunk_id"), F.when(d == 1, "qqqq").otherwise(F.regexp_extract("content", r"\S+\s\S+", 0)).alias("evidence_text"), "content",
+        "doc_id", F.col("source").alias("source_url"), F.when(d == 0, "c-1").otherwise(F.concat(F.lit("c"), F.col("doc_id").cast("string"))).alias("chunk_id"), F.when(d == 1, "qqqq").otherwise(text.strip(F.col("content"))).alias("evidence_text"), "content",
     )
 
 
@@ -333,7 +333,7 @@ def schema_validate(spark, sf_dir):
 
 
 @query(
-    """WITH g AS (SELECT doc_id % 7 AS page, doc_id AS id, quality, toxic FROM labels), p AS (SELECT doc_id % 7 AS page, CASE WHEN doc_id % 5 = 0 THEN doc_id - 7 ELSE doc_id END AS id, doc_id AS o, length(text) % 2 AS quality, 0 AS toxic FROM documents WHERE doc_id % 3 <> 0),
+    """WITH g AS (SELECT doc_id % 7 AS page, doc_id AS id, quality, toxic FROM labels), p AS (SELECT doc_id % 7 AS page, CASE WHEN doc_id % 3 = 0 THEN -doc_id - 1 WHEN doc_id % 5 = 0 THEN doc_id - 7 ELSE doc_id END AS id, doc_id AS o, length(text) % 2 AS quality, 0 AS toxic FROM documents),
     j AS (SELECT p.*, g.id IS NOT NULL AS hit, (g.quality = p.quality)::INTEGER AS cq, (g.toxic = p.toxic)::INTEGER AS ct, row_number() OVER (PARTITION BY p.page, p.id ORDER BY o) AS i, row_number() OVER (PARTITION BY p.page, p.id, p.quality ORDER BY o) AS f FROM p LEFT JOIN g ON g.page = p.page AND g.id = p.id)
     SELECT (SELECT count(*) FROM g) AS expected_records, count(*) AS predicted_records, round(count(*) FILTER (hit AND i = 1) / count(*)::DOUBLE, 6) AS record_precision, round(count(*) FILTER (hit AND i = 1) / (SELECT count(*) FROM g)::DOUBLE, 6) AS record_recall, round(sum(coalesce(cq, 0) + coalesce(ct, 0)) / (2 * count(*))::DOUBLE, 6) AS field_precision,
         round(((SELECT count(*) FROM (SELECT DISTINCT page, id FROM j WHERE cq = 1)) + (SELECT count(*) FROM (SELECT DISTINCT page, id FROM j WHERE ct = 1))) / (2 * (SELECT count(*) FROM g))::DOUBLE, 6) AS field_recall, round(count(*) FILTER (o % 4 <> 0) / count(*)::DOUBLE, 6) AS schema_valid_rate,
@@ -342,7 +342,7 @@ def schema_validate(spark, sf_dir):
 def extraction_metrics(spark, sf_dir):
     d = F.col("doc_id")
     gold = table(spark, sf_dir, "labels").select((d % 7).alias("page_id"), d.alias("identity"), F.create_map(F.lit("quality"), F.col("quality").cast("string"), F.lit("toxic"), F.col("toxic").cast("string")).alias("fields"))
-    docs = documents(spark, sf_dir).where("doc_id % 3 <> 0").withColumn("id", F.when(d % 5 == 0, d - 7).otherwise(d)).withColumn("q", (F.length("content") % 2).cast("string"))
+    docs = documents(spark, sf_dir).withColumn("id", F.when(d % 3 == 0, -d - 1).when(d % 5 == 0, d - 7).otherwise(d)).withColumn("q", (F.length("content") % 2).cast("string"))
     field = lambda n, v, t: F.struct(F.lit(n).alias("field"), v.alias("value"), t.alias("traceable"))
     fields = F.array(field("quality", F.col("q"), d % 6 != 1), field("toxic", F.lit("0"), F.lit(True)))
     predicted = docs.select((d % 7).alias("page_id"), d.alias("ord"), F.col("id").alias("identity"), F.concat_ws("|", F.col("id").cast("string"), "q").alias("fingerprint"), (d % 4 != 0).alias("schema_valid"), fields.alias("fields"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-from pathlib import Path
+from collections.abc import Iterable, Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,46 +22,88 @@ def safe_name(name: str) -> str:
     return re.sub(r"[^A-Za-z0-9._-]+", "_", name).strip("._") or "run"
 
 
+def _file(spark: SparkSession, uri: str):
+    """A path and its file system, whatever store it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, uri: str, pieces: Iterable[str]) -> None:
+    """One UTF-8 file in any store that Spark writes to."""
+    path, system = _file(spark, uri)
+    out = system.create(path, True)
+    try:
+        for piece in pieces:
+            out.write(bytearray(piece.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, uri: str) -> str | None:
+    """The file's text; null if there is none."""
+    path, system = _file(spark, uri)
+    if not system.exists(path):
+        return None
+    stream = system.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def write_records(records: DataFrame, path: str, form: str = "jsonl") -> None:
-    """``jsonl``: a folder of JSON lines, written in parallel; ``json``: one array, indented, streamed through the driver row by row; ``parquet``."""
+    """``jsonl``: a folder of JSON lines, written in parallel; ``json``: one array, indented, streamed through the driver in pieces of about a megabyte; ``parquet``."""
     if form == "jsonl":
         records.write.mode("overwrite").json(path)
     elif form == "parquet":
         records.write.mode("overwrite").parquet(path)
     elif form == "json":
-        with open(path, "w", encoding="utf-8") as out:
-            glue = "[\n"
-            for row in records.select(F.to_json(F.struct("*")).alias("j")).toLocalIterator():
-                out.write(glue + "\n".join("  " + x for x in json.dumps(json.loads(row.j), ensure_ascii=False, indent=2).splitlines()))
-                glue = ",\n"
-            out.write("[]\n" if glue == "[\n" else "\n]\n")
+        write_text(records.sparkSession, path, _array_pieces(records))
     else:
         raise ValueError(f"unknown output format: {form}")
 
 
+def _array_pieces(records: DataFrame, most: int = 1 << 20) -> Iterator[str]:
+    held, size, glue = [], 0, "[\n"
+    for row in records.select(F.to_json(F.struct("*")).alias("j")).toLocalIterator():
+        item = glue + "\n".join("  " + x for x in json.dumps(json.loads(row.j), ensure_ascii=False, indent=2).splitlines())
+        held.append(item)
+        size, glue = size + len(item), ",\n"
+        if size > most:
+            yield "".join(held)
+            held, size = [], 0
+    yield "".join(held) + ("[]\n" if glue == "[\n" else "\n]\n")
+
+
 class Run:
-    """A run's folder: a manifest of its settings and status, and a Parquet table for each stage that ended."""
+    """A run's folder: a manifest of its settings and status, and a Parquet table for each stage that ended.
+
+    Stages are kept under a hash of ``made_of`` (request, schema and settings):
+    when any of these changes, stages are made anew. A run of the same name and
+    making goes on with the inputs that it began with.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, name: str):
-        self.spark, self.folder = spark, f"{folder.rstrip('/')}/{safe_name(name)}"
+        self.spark, self.folder, self.made_of = spark, f"{folder.rstrip('/')}/{safe_name(name)}", ""
 
     def save_manifest(self, **values: Any) -> None:
-        path = Path(self.folder.removeprefix("file://")) / "manifest.json"
-        path.parent.mkdir(parents=True, exist_ok=True)
-        path.write_text(json.dumps(self.manifest() | values, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
+        write_text(self.spark, f"{self.folder}/manifest.json", [json.dumps(self.manifest() | values, ensure_ascii=False, indent=2, default=str)])
 
     def manifest(self) -> dict[str, Any]:
-        path = Path(self.folder.removeprefix("file://")) / "manifest.json"
-        return json.loads(path.read_text(encoding="utf-8")) if path.exists() else {}
+        return json.loads(read_text(self.spark, f"{self.folder}/manifest.json") or "{}")
+
+    def of(self, *parts: Any) -> None:
+        self.made_of = hashlib.sha256(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()[:16]
+
+    def path(self, stage: str) -> str:
+        return f"{self.folder}/{self.made_of or 'tables'}/{stage}"
 
     def has(self, stage: str) -> bool:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{stage}/_SUCCESS")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        path, system = _file(self.spark, f"{self.path(stage)}/_SUCCESS")
+        return system.exists(path)
 
     def stage(self, stage: str, make) -> DataFrame:
         """The stage's table: read if an earlier run has written it, else made and written."""
-        path = f"{self.folder}/{stage}"
         if not self.has(stage):
-            make().write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+            make().write.mode("overwrite").parquet(self.path(stage))
+        return self.spark.read.parquet(self.path(stage))

@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from attesta.operators import sources
 from attesta.plans.engine import Engine, NotApproved
 from attesta.sources import config, files, planning, providers
 from attesta.streaming import ingest
@@ -26,17 +27,26 @@ def inputs(spark):
 
 def test_a_run_from_candidates_to_files(spark, tmp_path):
     candidates, fetched = inputs(spark)
-    settings = config.Settings(minimum_content_words=5)
+    settings = config.Settings(minimum_content_words=5, output_format="jsonl")
     engine = Engine(spark, str(tmp_path / "runs"), "people run/1", REQUEST, settings)
     with pytest.raises(NotApproved):
         engine.execute(candidates, fetched, str(tmp_path / "out"))
     engine.approve("tester")
     counts = engine.execute(candidates, fetched, str(tmp_path / "out"))
-    assert counts == {"structured": 3, "rag": 3, "graphrag": 6}
+    assert counts == {"structured": 3, "rag": 3, "graphrag": 3}
     rag = [json.loads(x) for p in Path(tmp_path, "out/rag").glob("part-*") for x in p.read_text().splitlines()]
     assert sorted(r["text"] for r in rag) == ["Full Name: Ada\nAge: 36", "Full Name: Bob\nAge: 7", "Full Name: Cy\nAge: 7"]
     ada = next(r for r in rag if "Ada" in r["text"])
     assert len(ada["source_urls"]) == 3
+    graph = [json.loads(x) for p in Path(tmp_path, "out/graphrag").glob("part-*") for x in p.read_text().splitlines()]
+    assert all([e["name"] for e in g["entities"]] == [c["value"].strip('"') for c in g["claims"] if c["predicate"] == "full_name"] and g["record_key"] for g in graph)
+    manifest = engine.run.manifest()
+    m = manifest["metrics"]
+    assert manifest["status"] == "completed" and manifest["outputs"] == counts
+    assert (m["evaluation_select"], m["requested"], m["routing_table"], m["routing_regex"], m["gate_true"], m["resolution_total"], m["resolution_cross_source"], m["output_records"]) == (3, 3, 2, 1, 5, 3, 1, 3)
+    gold = {r.title + r.resolution_key: r for r in spark.read.parquet(engine.run.path("gold")).collect()}
+    assert sorted(len(r.contributors) for r in gold.values()) == [1, 1, 3] and all(len(r.source_titles) == len(r.source_urls) for r in gold.values())
+    assert spark.read.parquet(engine.run.path("registry_after")).where("selection_state = 'selected'").count() == 3
     again = Engine(spark, str(tmp_path / "runs"), "people run/1", REQUEST, settings)
     assert again.execute(candidates.limit(0), fetched.limit(0), str(tmp_path / "out")) == counts
     again.cancel()
@@ -44,6 +54,43 @@ def test_a_run_from_candidates_to_files(spark, tmp_path):
         again.schema()
 
 
+def test_what_stages_turn_away_and_another_request(spark, tmp_path):
+    candidates, fetched = inputs(spark)
+    bad = spark.createDataFrame([(7, "http://d.com/none", "p7", "doc", "deep", 0.9, 0.8, 0.9, 0.9, None, ["x"], 0.9, True), (8, "http://e.com/poor", "p8", "doc", "deep", 0.1, 0.1, 0.1, 0.1, None, ["x"], 0.1, True), (9, "junk", "p9", "doc", "deep", 0.9, 0.8, 0.9, 0.9, None, ["x"], 0.9, True)], PROFILE)
+    settings = config.Settings(minimum_content_words=5, output_format="json", save_clean_content=True)
+    engine = Engine(spark, str(tmp_path / "runs"), "r", REQUEST, settings)
+    engine.approve("tester")
+    crawled = spark.createDataFrame([("http://a.com/table", 0, "http://a.com/more", "t", 1, "http://a.com/table", True), ("http://a.com/table", 1, "http://z.com/x", "t", 1, "http://a.com/table", True)], "start_url string, ord long, url string, title string, depth int, parent_url string, success boolean")
+    engine.execute(candidates.union(bad), fetched, str(tmp_path / "out"), crawled=crawled)
+    gone = {(r.stage, r.what) for r in spark.read.parquet(engine.run.path("rejections")).collect()}
+    assert {("evaluation", "http://e.com/poor"), ("acquisition", "http://d.com/none")} <= gone and not any("junk" in w for _, w in gone)
+    assert [r.url for r in spark.read.parquet(engine.run.path("explored")).collect()] == ["http://a.com/more"]
+    assert len(json.loads((tmp_path / "out/structured.json").read_text())) == 3 and len(json.loads((tmp_path / "out/clean.json").read_text())) == 3
+    other = Engine(spark, str(tmp_path / "runs"), "r", REQUEST | {"max_sources": 1}, settings)
+    assert other.execute(candidates, fetched, str(tmp_path / "out2"))["structured"] < 3
+
+
+def test_previews_decide_and_seeds_fill_in(spark, tmp_path):
+    candidates, fetched = inputs(spark)
+    seen = spark.createDataFrame([("http://a.com/table", True, "a text", "T"), ("HTTP://B.com/prose", True, "b text", "T"), ("http://c.com/copy", False, "", "T")], "url string, fetch_success boolean, relevant_text string, title string").withColumn("error", F.lit(None).cast("string"))
+    settings = config.Settings(minimum_content_words=5)
+    engine = Engine(spark, str(tmp_path / "runs"), "p", REQUEST, settings)
+    evaluated = engine.evaluate(candidates.drop("preview_success", "preview_text"), seen)
+    assert {(r.url, r.preview_text, r.decision) for r in evaluated.collect()} == {("http://a.com/table", "a text", "select"), ("http://b.com/prose", "b text", "select"), ("http://c.com/copy", "", "reject")}
+    drawn = sources.schema_previews(engine.select(evaluated), seen)
+    assert sorted((r.url, r.has_preview) for r in drawn.collect()) == [("http://a.com/table", True), ("http://b.com/prose", True)]
+    seeds = spark.createDataFrame([(2, "http://y.com/", True), (1, "http://x.com/", True), (0, "http://w.com/", False)], "ord long, url string, user_seed boolean")
+    assert [(r.url, r["rank"]) for r in sources.seed_fallback(evaluated.limit(0), seeds).orderBy("rank").collect()] == [("http://x.com/", 1), ("http://y.com/", 2)]
+    assert sources.seed_fallback(evaluated, seeds).count() == 0
+
+
+def test_nothing_acquired_ends_the_run(spark, tmp_path):
+    candidates, fetched = inputs(spark)
+    engine = Engine(spark, str(tmp_path / "runs"), "n", REQUEST, config.Settings(require_schema_approval=False))
+    with pytest.raises(RuntimeError):
+        engine.execute(candidates, fetched.limit(0), str(tmp_path / "out"))
+
+
 def test_acquisition_keeps_order_and_failures(spark):
     def fetch(url):
         if "bad" in url:
