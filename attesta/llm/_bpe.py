@@ -128,7 +128,7 @@ class Tokenizer:
     emptied when either is full, so memory does not grow with the corpus.
     """
 
-    def __init__(self, path: str, slots: int = 1 << 19, ids: bool = True):
+    def __init__(self, path: str, slots: int = 1 << 20, ids: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer as Library
 

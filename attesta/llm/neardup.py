@@ -358,13 +358,17 @@ def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: in
     ranked = members.join(central, "print").groupBy("band").agg(F.max(F.struct("degree", "print")).alias("top")).select("band", F.col("top.print").alias("leader"))
     led = stage.keep(members.select("band", "print").join(ranked, "band"))
 
-    wanted = spark.sparkContext.broadcast(_filter_of(led.select("print").distinct()))
+    wanted = spark.sparkContext.broadcast(_filter_of(led.select("print").distinct()))  # reads all of led
+    stage.release(members)
     bag = small_batches(rows.select("text")).mapInArrow(partial(_bags, wanted=wanted), "print binary, bag binary")
     bag = stage.keep(bag.groupBy("print").agg(F.first("bag").alias("bag")))
     pairs = stage.keep(led.where("leader != print").select("leader", "print").distinct())
     links = _star_links(pairs, bag, similarity)
     labels = components(stage, links, "stars")
+    stage.release(pairs)
     rest = _rest_links(stage, led, labels, bag, similarity)
+    stage.release(led)
+    stage.release(bag)
     if not rest.isEmpty():
         labels = components(stage, labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(rest), "labels")
 

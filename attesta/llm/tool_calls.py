@@ -49,7 +49,8 @@ def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column
 def depths(stage: Stage, calls: DataFrame) -> DataFrame:
     """call_id and depth (0 for a call that comes after none); depth is null on a cycle and after one."""
     known = calls.select(F.col("call_id").alias("known_id"))
-    at = calls.join(known, F.col("after") == F.col("known_id"), "left").select("call_id", F.col("known_id").alias("up"), F.when(F.col("known_id").isNull(), 0).otherwise(1).alias("depth"))
+    first = calls.where("after is null").select("call_id", F.lit(None).cast("string").alias("up"), F.lit(0).alias("depth"))
+    at = calls.where("after is not null").join(known, F.col("after") == F.col("known_id"), "left").select("call_id", F.col("known_id").alias("up"), F.when(F.col("known_id").isNull(), 0).otherwise(1).alias("depth")).unionByName(first)
     at = stage.put(at, "depth-0")
     rounds, limit = 0, max(1, calls.count()).bit_length() + 1
     while rounds < limit and not at.where("up is not null").isEmpty():
@@ -88,10 +89,12 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, by_c
     named = every.where("call_id is not null").groupBy("call_id").agg(F.min(whole).alias("c")).select("call_id", "c.*")
     named = stage.put(named, "named")
     deep = stage.put(depths(stage, named), "depths")
-    placed = named.join(deep, "call_id").unionByName(every.where("call_id is null").withColumn("depth", F.lit(0)))
+    placed = named.join(deep, "call_id")
     answers = results.select(F.col("conv_id").alias("result_conv"), key("call_id").alias("result_of"), F.col("call_id").alias("result_id"), F.col("ord").cast("long").alias("result_ord"), "content")
     answers = stage.put(answers, "answers")
-    linked = placed.join(answers, F.col("call_id") == F.col("result_of"), "left")
+    nothing = {c: F.lit(None).cast(answers.schema[c].dataType) for c in answers.columns}  # null ids meet in no join, where they would all be one key
+    lone = every.where("call_id is null").withColumn("depth", F.lit(0)).withColumns(nothing)
+    linked = placed.join(answers, F.col("call_id") == F.col("result_of"), "left").unionByName(lone)
     value = F.coalesce(F.to_json(F.try_parse_json("arguments")), quoted(F.col("arguments")))
     has_result = F.col("result_of").isNotNull()
     json = F.concat(
@@ -100,7 +103,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, by_c
     )
     errors = argument_errors(F.coalesce("name", F.lit("")), F.col("arguments"), schemas)
     found = linked.select("conv_id", F.col("id").alias("call_id"), "ord", "depth", "result_ord", F.when(has_result, "linked").otherwise("no_result").alias("status"), errors.alias("errors"), json.alias("json"))
-    orphans = answers.join(named.select(F.col("call_id").alias("known_id")), F.col("result_of") == F.col("known_id"), "left_anti")
+    orphans = answers.where("result_of is not null").join(named.select(F.col("call_id").alias("known_id")), F.col("result_of") == F.col("known_id"), "left_anti").unionByName(answers.where("result_of is null"))
     orphans = orphans.select(F.col("result_conv").alias("conv_id"), F.col("result_id").alias("call_id"), F.lit(None).cast("long").alias("ord"), F.lit(None).cast("int").alias("depth"), "result_ord", F.lit("orphan_result").alias("status"), F.lit(None).cast("array<string>").alias("errors"), F.lit(None).cast("string").alias("json"))
     out = found.unionByName(orphans)
     if by_conversation:

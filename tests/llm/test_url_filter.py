@@ -1,7 +1,11 @@
+import math
+from collections import Counter, defaultdict
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from attesta.llm.queries import URL_RULES
-from attesta.llm.url_filter import SIZE, CharModel, _grams, url_filter
+from attesta.llm.url_filter import _CODE, END, MIN_CONTEXT, ORDER, SIZE, CharModel, _grams, url_filter
 
 URLS = "page_id long, url string"
 
@@ -65,3 +69,58 @@ def test_nothing_to_learn_from(spark):
 def test_clashing_columns(spark):
     df = spark.createDataFrame([(1, "http://x.org/", "h", 1.0)], URLS + ", host string, score double")
     assert url_filter(df, URL_RULES).first().host == "x.org"
+
+
+def symbols(url):
+    return [_CODE[b] for b in url.encode()] + [END]
+
+
+def plain_model(urls):
+    """Counts of each symbol after 0 to ORDER symbols; before a URL's start there are ends."""
+    counts = defaultdict(Counter)
+    for url in urls:
+        padded = [END] * ORDER + symbols(url)
+        for i in range(ORDER, len(padded)):
+            for k in range(ORDER + 1):
+                counts[tuple(padded[i - k : i])][padded[i]] += 1
+    return counts
+
+
+def plain_log(counts, url):
+    padded, total = [END] * ORDER + symbols(url), 0.0
+    for i in range(ORDER, len(padded)):
+        p = 1 / SIZE
+        for k in range(ORDER + 1):
+            seen = counts.get(tuple(padded[i - k : i]), {})
+            n = sum(seen.values())
+            if seen and (k == 0 or n >= MIN_CONTEXT):
+                p = (seen.get(padded[i], 0) + len(seen) * p) / (n + len(seen))
+        total += math.log(p)
+    return total
+
+
+def test_scores_and_verdicts_are_those_of_a_plain_count(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    more = [(10_000 + i, f"http://shop{i % 13}.com/{'fr' if i % 2 else 'de'}/item-{i * 7919 % 1000}?q={i}") for i in range(300)] + [(20_000 + i, u) for i, u in enumerate(ODD) if u]
+    pages = pages.union(spark.createDataFrame(more, URLS))
+    rows = [(r.page_id, r.url or "", r.held) for r in pages.withColumn("held", F.pmod(F.xxhash64("url"), F.lit(5)) == 0).collect()]
+    said = {True: "allow", False: "block"}
+    models = {v: plain_model([u for _, u, held in rows if not held and rule_of(u)[1] == said[v]]) for v in (True, False)}
+    score = {u: (plain_log(models[True], u) - plain_log(models[False], u)) / (len(u.encode()) + 1) for _, u, _ in rows}
+    held = [(score[u], rule_of(u)[1] == "allow") for _, u, h in rows if h and rule_of(u)[1]]
+    x, y = np.array([s for s, _ in held]), np.array([g for _, g in held], float)
+    w = np.where(y == 1, 1 / y.sum(), 1 / (1 - y).sum())
+    a, b = 1.0, 0.0
+    for _ in range(20_000):  # the same curve by plain descent
+        g = w * (1 / (1 + np.exp(-(a * x + b))) - y)
+        a, b = a - 0.5 * ((g * x).sum() + 1e-3 * (a - 1)), b - 0.5 * (g.sum() + 1e-3 * b)
+    got = url_filter(pages, URL_RULES).collect()
+    unsure = 0
+    for r, (_, u, _) in zip(sorted(got, key=lambda r: r.page_id), sorted(rows), strict=True):
+        assert math.isclose(r.score, score[u], abs_tol=1e-9)
+        p = 1 / (1 + math.exp(-(a * score[u] + b)))
+        assert abs(p - r.p_allow) < 0.03
+        unsure += abs(p - 0.5) < 0.03
+        if not rule_of(u)[1] and abs(p - 0.5) >= 0.03:
+            assert r.verdict == ("allow" if p >= 0.5 else "block")
+    assert unsure < len(rows) / 10 and len(held) > 20
