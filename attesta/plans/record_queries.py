@@ -42,11 +42,16 @@ def regex_extract(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.array_join(found, ",").alias("numbers"), (F.size(found) == 1).alias("single"))
 
 
-@query(r"SELECT doc_id, t::INTEGER AS table_no, r::INTEGER AS row_no, CASE r WHEN 0 THEN 'Name,Size' ELSE 'w' || (doc_id + r) || ',' || r END AS cells FROM documents, (SELECT unnest([0, 1]) AS t), (SELECT unnest([0, 1, 2]) AS r) WHERE (t = 0 OR doc_id % 2 = 0) AND (r < 2 OR doc_id % 3 = 0)")
+_WORDS = r"(SELECT doc_id, regexp_extract_all(text, '[A-Z][a-z]+') AS w FROM documents)"
+
+
+@query(rf"SELECT doc_id, 0 AS table_no, 0 AS row_no, 'Name,Size' AS cells FROM {_WORDS} WHERE len(w) > 0 UNION ALL SELECT doc_id, 0, r::INTEGER, w[r] || ',' || length(w[r]) FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS r FROM {_WORDS})")
 def md_tables(spark, sf_dir):
-    d = F.col("doc_id")
-    body = F.concat(F.lit("| Name | Size |\n|:---|---:|\n| w"), (d + 1).cast("string"), F.lit(" | 1 |\n"), F.when(d % 3 == 0, F.concat(F.lit("| w"), (d + 2).cast("string"), F.lit(" | 2 |\n"))).otherwise(""))
-    docs = documents(spark, sf_dir).withColumn("content", F.concat(F.lit("Some prose.\n\n"), body, F.lit("\nmore\n\n"), F.when(d % 2 == 0, body).otherwise("")))
+    """Each document's capitalised words as a table of words and their lengths between its own lines."""
+    words = F.regexp_extract_all("content", F.lit("[A-Z][a-z]+"), F.lit(0))
+    rows = F.array_join(F.transform(words, lambda w: F.concat(F.lit("| "), w, F.lit(" | "), F.length(w).cast("string"), F.lit(" |"))), "\n")
+    prose = F.translate(F.coalesce("content", F.lit("")), "|", "/")
+    docs = documents(spark, sf_dir).withColumn("content", F.concat(prose, F.lit("\n\n| Name | Size |\n|:---|---:|\n"), rows, F.lit("\n\n"), prose))
     return extraction.table_cells(docs).select(F.col("ord").alias("doc_id"), "table_no", "row_no", F.array_join("cells", ",").alias("cells"))
 
 
@@ -310,25 +315,34 @@ def dup_rate(spark, sf_dir):
     return records.duplicate_rate(documents(spark, sf_dir).select(F.sha2(F.encode(key, "UTF-8"), 256).alias("fingerprint")))
 
 
-@query("SELECT a.doc_id, a.doc_id % 4 IN (0, 1) AS within FROM documents a")
+_NEXT = "(SELECT doc_id - 1 AS doc_id, lang AS lang2, source AS source2, regexp_extract(text, '[A-Za-z]+') AS first2 FROM documents)"
+
+
+@query(f"SELECT a.doc_id, lang = lang2 AND (source = '' OR source = source2) AND (n_chars % 2 = 0 OR regexp_extract(text, '[A-Za-z]+') IN ('', first2)) AS within FROM documents a JOIN {_NEXT} b ON a.doc_id = b.doc_id")
 def subset_records(spark, sf_dir):
-    d = F.col("doc_id")
-    q = lambda s: F.lit(f'"{s}"')
-    whole = F.create_map(F.lit("a"), q("x"), F.lit("b"), F.to_json(d.cast("variant")), F.lit("c"), q("z"))
-    part = F.when(d % 4 == 0, F.create_map(F.lit("b"), F.to_json(d.cast("variant")), F.lit("c"), q(""))).when(d % 4 == 1, whole).when(d % 4 == 2, F.create_map(F.lit("a"), q("y"))).otherwise(F.create_map(F.lit("a"), q("")))
-    return documents(spark, sf_dir).select("doc_id", records.is_subset(part, whole).alias("within"))
+    """Whether a document's record of language, source and, of every second one, first word holds for the next document."""
+    docs = table(spark, sf_dir, "documents").withColumn("first", F.regexp_extract("text", "[A-Za-z]+", 0))
+    quoted = lambda c: F.to_json(F.col(c).cast("variant"))
+    whole = F.create_map(F.lit("lang"), quoted("lang"), F.lit("source"), quoted("source"), F.lit("first"), quoted("first"))
+    part = F.when(F.col("n_chars") % 2 == 0, F.create_map(F.lit("lang"), quoted("lang"), F.lit("source"), quoted("source"))).otherwise(whole)
+    after = docs.select((F.col("doc_id") - 1).alias("doc_id"), whole.alias("whole"))
+    return docs.select("doc_id", part.alias("part")).join(after, "doc_id").select("doc_id", records.is_subset(F.col("part"), F.col("whole")).alias("within"))
 
 
 # Validation, metrics, outputs
 
 
-@query(r"SELECT doc_id, CASE WHEN r = '' THEN 'validated' WHEN doc_id % 10 < 3 THEN 'review' ELSE 'rejected' END AS validation_status, r AS reasons FROM (SELECT doc_id, array_to_string(list_filter([CASE WHEN doc_id % 4 = 0 THEN 'missing:name' WHEN doc_id % 4 = 1 THEN 'type:name' END, CASE WHEN doc_id % 3 = 1 THEN 'type:size' END, CASE WHEN doc_id % 10 < 3 THEN 'low_confidence' END], lambda x: x IS NOT NULL), ',') AS r FROM documents)")
+_TRAITS = r"(SELECT doc_id, regexp_extract(text, '[A-Z][a-z]+') AS name, regexp_matches(text, '[0-9]') AS digits, lang, (n_chars % 100) / 100.0::DOUBLE AS confidence FROM documents)"
+
+
+@query(rf"SELECT doc_id, CASE WHEN r = '' THEN 'validated' WHEN confidence < 0.7 THEN 'review' ELSE 'rejected' END AS validation_status, r AS reasons FROM (SELECT *, array_to_string(list_filter([CASE WHEN name = '' THEN 'missing:name' WHEN lang = 'de' THEN 'type:name' END, CASE WHEN digits THEN 'type:size' END, CASE WHEN confidence < 0.7 THEN 'low_confidence' END], lambda x: x IS NOT NULL), ',') AS r FROM {_TRAITS})")
 def schema_validate(spark, sf_dir):
-    d = F.col("doc_id")
-    name = F.when(d % 4 == 0, "").when(d % 4 == 1, '"name":true,').otherwise('"name":"n",')
-    size = F.when(d % 3 == 0, "null").when(d % 3 == 1, "true").otherwise("12")
-    data = F.concat(F.lit("{"), name, F.lit('"size":'), size, F.lit(',"lang":"en"}'))
-    rows = documents(spark, sf_dir).withColumn("data", data).withColumn("confidence", F.when(d % 10 < 3, 0.2).otherwise(0.9))
+    """Records of a document's first name (a list in German ones), its length (a text where it has digits) and language."""
+    quoted = lambda c: F.to_json(c.cast("variant"))
+    first = F.regexp_extract("content", "[A-Z][a-z]+", 0)
+    name = F.when(first == "", "").when(F.col("lang") == "de", F.concat(F.lit('"name":['), quoted(first), F.lit("],"))).otherwise(F.concat(F.lit('"name":'), quoted(first), F.lit(",")))
+    size = F.when(F.col("content").rlike("[0-9]"), quoted(F.length("content").cast("string"))).otherwise(F.length("content").cast("string"))
+    rows = documents(spark, sf_dir).withColumn("data", F.concat(F.lit("{"), name, F.lit('"size":'), size, F.lit(',"lang":'), quoted(F.col("lang")), F.lit("}"))).withColumn("confidence", (F.col("n_chars") % 100) / 100.0)
     return records.validate(rows, SCHEMA, False, low_action="review").select("doc_id", "validation_status", F.array_join("reasons", ",").alias("reasons"))
 
 
