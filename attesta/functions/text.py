@@ -185,6 +185,11 @@ def structure_hints(markdown: Column, found_headings: Column) -> Column:
     return F.array_compact(F.array(*(F.when(test, name) for test, name in tests)))
 
 
+def folds_oddly(content: Column) -> Column:
+    """Whether letters occur whose case doesn't fold one to one."""
+    return content.rlike("[\u0130\u0131\u017f\u03a3\u03c2\u03c3\u212a]")
+
+
 def evidence_slice(content: Column, candidate: Column, folded_content: Column | None = None) -> Column:
     """The piece of content that a candidate is found as, word for word or, failing that, with any case and white space; else null.
 
@@ -197,7 +202,7 @@ def evidence_slice(content: Column, candidate: Column, folded_content: Column |
     pattern = F.concat(F.lit("(?iu)"), F.regexp_replace(escaped, r"\s+", r"\\s+"))
     loose = F.call_function("regexp_extract", content, pattern, F.lit(0))
     folded = plain_folded(content) if folded_content is None else folded_content
-    may = F.contains(folded, plain_folded(candidate)) | content.rlike("[\u0130\u0131\u017f\u03a3\u03c2\u03c3\u212a]")
+    may = F.contains(folded, plain_folded(candidate)) | folds_oddly(content)
     return F.when(want == "", None).when(F.contains(content, want), want).when(may, empty_to_null(loose))
 
 
