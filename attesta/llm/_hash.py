@@ -143,9 +143,15 @@ def word_hashes(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         if len(raw) <= SLICE_BYTES:
             h, _, _, firsts = words(*low(raw, offsets))
         else:
-            h = np.concatenate([words(*low(part, np.array([0, len(part)])))[0] for part in windows(raw)])
-            firsts = np.array([0, len(h)])
-        yield at, h, firsts
+            h, n = np.empty(len(raw) // 2 + 1, np.uint64), 0  # as many words as there can be; what isn't written takes no memory
+            for part in windows(raw):
+                found = words(*low(part, np.array([0, len(part)])))[0]
+                h[n : n + len(found)] = found
+                n += len(found)
+            h, firsts = h[:n], np.array([0, n])
+        given = [h]
+        del h  # the caller's alone
+        yield at, given.pop(), firsts
 
 
 def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -222,14 +228,24 @@ def _stepped(acc: np.ndarray, h: np.ndarray, k: int) -> np.ndarray:
 
 
 def bags(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, element and multiplicity of the distinct shingles of each row, sorted by row and element."""
+    """Row, element and multiplicity of the distinct shingles of each row, sorted by row and element. ``hashes`` of a single row are sorted in place."""
     if len(firsts) == 2:
-        h = np.sort(hashes)
-        r = np.broadcast_to(np.int64(0), h.shape)
-    else:
-        rows = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-        order = np.lexsort((hashes, rows))
-        r, h = rows[order], hashes[order]
+        hashes.sort()
+        new = np.ones(len(hashes), bool)
+        np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+        n = int(new.sum())
+        if n == len(hashes):
+            return np.broadcast_to(np.int64(0), n), hashes, np.broadcast_to(np.int64(1), n)
+        at = np.flatnonzero(new)
+        del new
+        elem = hashes[at]
+        counts = np.empty(n, np.int64)
+        np.subtract(at[1:], at[:-1], out=counts[:-1])
+        counts[-1:] = len(hashes) - at[-1:]
+        return np.broadcast_to(np.int64(0), n), elem, counts
+    rows = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+    order = np.lexsort((hashes, rows))
+    r, h = rows[order], hashes[order]
     if not len(h):
         return r, h, np.zeros(0, np.int64)
     new = np.empty(len(h), bool)

@@ -134,12 +134,26 @@ def _prints(hashes: np.ndarray, firsts: np.ndarray) -> list[bytes]:
 def _sign(batches: Iterator[pa.RecordBatch], bands: int, width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, h, firsts in word_hashes(batch.column(1)):
-            n = len(firsts) - 1
-            keys = band_keys(signatures(*bags(*shingles(h, firsts)), n, bands * width), bands, width)
-            some = np.diff(firsts) > 0
+            n, some, prints = len(firsts) - 1, np.diff(firsts) > 0, _prints(h, firsts)
+            grams, firsts = shingles(h, firsts)
+            del h
+            keys = band_keys(signatures(*bags(grams, firsts), n, bands * width), bands, width)
+            del grams
             ends = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(_prints(h, firsts), pa.binary()), lists], ["doc_id", "print", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(prints, pa.binary()), lists], ["doc_id", "print", "bands"])
+
+
+def _units(elem: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Hashes of each unit of weight, sorted."""
+    out, at = np.empty(int(weight.sum()), np.uint64), 0
+    for some in range(0, len(elem), _UNITS):
+        w = weight[some : some + _UNITS]
+        nth = np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
+        out[at : at + len(nth)] = mix(np.repeat(elem[some : some + _UNITS], w) + nth.astype(np.uint64) * _GAP)
+        at += len(nth)
+    out.sort()
+    return out
 
 
 def _bags(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
@@ -154,9 +168,8 @@ def _bags(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]
             for i in keep.tolist():
                 grams, first = shingles(h[firsts[i] : firsts[i + 1]], np.array([0, firsts[i + 1] - firsts[i]]))
                 _, elem, weight = bags(grams, first)
-                who = np.repeat(np.arange(len(elem)), weight)
-                nth = np.arange(len(who)) - np.repeat(np.cumsum(weight) - weight, weight)
-                out.append(np.sort(mix(elem[who] + nth.astype(np.uint64) * _GAP)).tobytes())
+                out.append(_units(elem, weight).tobytes())
+                del grams, elem, weight
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([prints[i] for i in keep.tolist()], pa.binary()), pa.array(out, pa.binary())], ["print", "bag"])
 
