@@ -1,9 +1,11 @@
 """WARC archives in which equal payloads are stored once.
 
-Headers alone (id, URL, digest, size) are shuffled by payload digest to find
+Headers alone (id, URL, digest, place) are shuffled by payload digest to find
 each digest's original; revisit records are joined to their originals, and the
 archives are then written with fresh headers: one response record for each
-payload, a revisit record without the payload for every other capture.
+payload, a revisit record without the payload for every other capture. Payloads
+are never shuffled, nor is what was found broadcast: it is written in buckets by
+input file, and a task that writes the records of a file looks up that file's.
 
 Archives are written by Spark's own text writer, a record a row: the rows are
 separated by the two line ends that close a WARC record. So the files reach any
@@ -15,15 +17,21 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as pads
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.session import Stage
+from attesta.session import Stage, compact, small_batches, with_row_keys
 
 #: Payloads of fewer bytes are always stored.
 MIN_REVISIT_BYTES = 100
+#: Buckets that revisits are written in, at most; as many as there are input files, if these are fewer.
+BUCKETS = 4096
 CRLF, GAP = "\r\n", "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A fixed date keeps archives of equal input equal.
@@ -40,18 +48,58 @@ def _clean(url: Column) -> Column:
     return F.regexp_replace(F.coalesce(url, F.lit("")), r"[\x00-\x20\x7f]", "%20")
 
 
-def with_digests(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
+def with_digests(pages: DataFrame, key: Column, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
     body = F.coalesce(F.col(body_col), F.lit(""))
-    return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), body.alias("body"), F.octet_length(body).cast("long").alias("n"), F.sha2(F.encode(body, "UTF-8"), 256).alias("digest"))
+    return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), body.alias("body"), F.octet_length(body).cast("long").alias("n"), F.sha2(F.encode(body, "UTF-8"), 256).alias("digest"), key["file"].alias("file"), key["row"].alias("row"))
 
 
-def revisits(stage: Stage, rows: DataFrame, min_bytes: int) -> DataFrame:
-    """page_id, digest and the original's id and URL of each record to be written as a revisit."""
-    heads = rows.where(F.col("n") >= min_bytes).select("page_id", "url", "digest")
+def revisits(stage: Stage, rows: DataFrame, min_bytes: int, buckets: int) -> None:
+    """Write file, row and the original's id and URL of each record that is to be a revisit, in buckets by file."""
+    heads = stage.keep(rows.where(F.col("n") >= min_bytes).select("page_id", "url", "digest", "file", "row"))
     originals = heads.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.min_by("url", F.struct(F.col("page_id").isNull(), "page_id", "url")).alias("first_url"), F.count(F.lit(1)).alias("copies"))
-    originals = stage.put(originals.where("copies > 1 and first_id is not null").drop("copies"), "originals")
-    found = heads.join(originals, "digest").where("page_id > first_id").groupBy("page_id", "digest").agg(F.min("first_id").alias("first_id"), F.min("first_url").alias("first_url"))
-    return stage.put(found, "revisits")
+    originals = originals.where("copies > 1 and first_id is not null").drop("copies")
+    found = heads.join(originals, "digest").where("page_id > first_id").select("file", "row", "first_id", "first_url", F.pmod("file", F.lit(buckets)).alias("bucket"))
+    found = compact(found.repartition("bucket")).sortWithinPartitions("bucket", "file", "row")
+    found.write.mode("overwrite").partitionBy("bucket").parquet(stage.path("revisits"))
+    stage.tables.add("revisits")
+
+
+class _Revisits:
+    """What was found for one input file at a time."""
+
+    def __init__(self, uri: str, buckets: int):
+        (self.system, self.folder), self.buckets, self.file = pafs.FileSystem.from_uri(uri), buckets, None
+
+    def of(self, file: int) -> pa.Table:
+        if file != self.file:
+            folder = f"{self.folder}/bucket={file % self.buckets}"
+            self.file, self.table = file, None
+            if self.system.get_file_info(folder).type == pafs.FileType.Directory:
+                found = pads.dataset(folder, filesystem=self.system, format="parquet", exclude_invalid_files=False).to_table(columns=["row", "first_id", "first_url"], filter=pads.field("file") == file)
+                self.table = found.sort_by("row").combine_chunks() if len(found) else None
+        return self.table
+
+
+def _marked(batches: Iterator[pa.RecordBatch], uri: str, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows with the original's id and URL instead of file and row; both null for a response."""
+    known = _Revisits(uri, buckets)
+    names = ["page_id", "url", "body", "n", "digest", "first_id", "first_url"]
+    for batch in batches:
+        files, rows = batch.column(5).to_numpy(), batch.column(6).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(files)) + 1).tolist(), len(files)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            part, found = batch.slice(a, b - a), known.of(int(files[a]))
+            if found is None:
+                first = [pa.nulls(b - a, pa.int64()), pa.nulls(b - a, pa.string())]
+            else:
+                have = found.column("row").to_numpy()
+                at = np.minimum(np.searchsorted(have, rows[a:b]), len(have) - 1)
+                places = pa.array(at, mask=have[at] != rows[a:b])
+                first = [found.column(c).combine_chunks().take(places).cast(k) for c, k in (("first_id", pa.int64()), ("first_url", pa.string()))]
+                first = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in first]
+            yield pa.RecordBatch.from_arrays([*part.columns[:5], *first], names)
 
 
 def record_text(rows: DataFrame) -> DataFrame:
@@ -87,10 +135,14 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
     Other columns are ignored; an empty table gives no record.
     """
     stage = Stage(pages.sparkSession, "warc")
-    rows = with_digests(pages, id_col, url_col, body_col)
-    found = revisits(stage, rows, min_bytes)
-    record_text(rows.join(found, ["page_id", "digest"], "left")).write.mode("overwrite").option("lineSep", GAP).option("compression", "gzip").text(path)
-    stage.drop("")
+    pages, key = with_row_keys(stage, pages)
+    rows = with_digests(pages, key, id_col, url_col, body_col)
+    buckets = max(1, min(BUCKETS, len(pages.inputFiles())))
+    revisits(stage, rows, min_bytes, buckets)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    marked = small_batches(rows).mapInArrow(partial(_marked, uri=stage.path("revisits"), buckets=buckets), f"page_id {kinds['page_id']}, url string, body string, n long, digest string, first_id long, first_url string")
+    record_text(marked).write.mode("overwrite").option("lineSep", GAP).option("compression", "gzip").text(path)
+    stage.close()
 
 
 def _records(blocks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
