@@ -22,10 +22,17 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     return df.withColumn("_first", F.row_number().over(w)).where("_first = 1").drop("_first")
 
 
-def ordered_distinct(value: Column, ord_col: Column) -> Column:
-    """Aggregate: the values in order, without nulls, empties and repeats."""
-    rows = F.array_sort(F.collect_list(F.struct(ord_col.alias("o"), value.alias("v"))))
-    return F.array_distinct(F.filter(F.transform(rows, lambda x: x["v"]), lambda v: v.isNotNull() & (v != "")))
+def ordered_lists(rows: DataFrame, key: str, columns: Mapping[str, Column], folded: Sequence[str] = ()) -> DataFrame:
+    """For each key the values of each column, once each and in order, without nulls and empties; those of ``folded`` columns whatever their case.
+
+    Repeats are combined before they are shuffled, so a key that a great part of
+    the rows share costs no more than its different values. ``rows`` has ord.
+    """
+    each = F.explode(F.array(*(F.struct(F.lit(n).alias("n"), c.alias("v"), (F.lower(c) if n in folded else c).alias("k")) for n, c in columns.items())))
+    one = rows.select(key, "ord", each.alias("x")).where("x.v is not null and x.v != ''").groupBy(key, "x.n", "x.k").agg(F.min("ord").alias("ord"), F.min_by("x.v", "ord").alias("v"))
+    per = one.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("ord", "n", "v"))).alias("_all"))
+    of = lambda n: F.transform(F.filter("_all", lambda x: x["n"] == n), lambda x: x["v"]).alias(n)
+    return per.select(key, *(of(n) for n in columns))
 
 
 def registry_upsert(found: DataFrame) -> DataFrame:
@@ -39,15 +46,12 @@ def registry_upsert(found: DataFrame) -> DataFrame:
     """
     rows = found.withColumn("canonical_url", urls.any_canonical_url(F.col("url"))).where("canonical_url is not null")
     first = lambda c: F.min_by(text.empty_to_null(F.col(c)), F.when(F.col(c) != "", F.col("ord")))
-    providers = F.array_sort(F.collect_list(F.when(F.col("provider") != "", F.struct("ord", "provider"))))
     merged = rows.groupBy("canonical_url").agg(
-        F.min("ord").alias("ord"), ordered_distinct(text.strip(F.col("url")), F.col("ord")).alias("original_urls"), ordered_distinct(F.col("origin"), F.col("ord")).alias("origins"),
-        F.coalesce(first("title"), F.lit("")).alias("title"), F.coalesce(first("description"), F.lit("")).alias("description"), providers.alias("p"),
+        F.min("ord").alias("ord"), F.coalesce(first("title"), F.lit("")).alias("title"), F.coalesce(first("description"), F.lit("")).alias("description"),
         F.bool_or(F.coalesce("seed", F.lit(False))).alias("user_seed"), F.bool_or(F.coalesce("preferred", F.lit(False))).alias("preferred_domain_match"),
     )
-    names = F.transform("p", lambda x: x["provider"])
-    once = F.filter(F.transform(names, lambda n, i: F.when(F.array_position(F.transform(names, F.lower), F.lower(n)) == i + 1, n)), lambda n: n.isNotNull())
-    merged = merged.withColumn("providers", once).drop("p").withColumn("domain", urls.host_of(F.col("canonical_url")))
+    lists = ordered_lists(rows, "canonical_url", {"original_urls": text.strip(F.col("url")), "origins": F.col("origin"), "providers": F.col("provider")}, folded=["providers"])
+    merged = merged.join(lists, "canonical_url").withColumn("domain", urls.host_of(F.col("canonical_url")))
     if "metadata" not in found.columns:
         return merged
     pairs = first_by(rows.select("canonical_url", "ord", F.explode("metadata").alias("k", "v")), ["canonical_url", "k"], ["ord"])
@@ -143,11 +147,15 @@ def diverse_top(rows: DataFrame, most: int, request: str = "request_id") -> Data
 
     ``rows``: request, ord, url, domain, source_type, quality; those that are
     eligible. The choice looks at what is chosen before, so each request is one
-    group; it first keeps, for each domain and type, the best ``most`` rows:
-    no other can be chosen.
+    group; it first keeps, for each type, the best ``most`` domains, and of each
+    of these the best ``most`` rows: no other can be chosen, since what is chosen
+    is the best row of some type but for rows and domains chosen before.
     """
     w = Window.partitionBy(request, "domain", "source_type").orderBy(F.desc("quality"), "ord")
-    few = rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= most).drop("_r")
+    few = rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= most)
+    of = Window.partitionBy(request, "source_type").orderBy(F.desc("quality"), "ord")
+    heads = few.where("_r = 1").withColumn("_d", F.row_number().over(of)).where(F.col("_d") <= most).select(request, "source_type", "domain")
+    few = few.drop("_r").join(heads, [request, "source_type", "domain"], "left_semi")
 
     def choose(frame: pd.DataFrame) -> pd.DataFrame:
         left = frame.sort_values(["quality", "ord"], ascending=[False, True])
