@@ -33,7 +33,7 @@ MAGIC = b"ATBPS1\r\n"
 #: Ids of a block; a block is what a reader has to decode to get at one id.
 BLOCK = 1 << 16
 #: Bytes of text of a shard, about, with DOC_BYTES for each document's entry; there are as many shards as cores at least.
-SHARD_BYTES, DOC_BYTES = 64 << 20, 32
+SHARD_BYTES, DOC_BYTES = 32 << 20, 32
 _DOCS, _CHUNKS = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")]), np.dtype([("offset", "<u8"), ("first", "<u8"), ("n", "<u4")])
 
 
