@@ -35,6 +35,14 @@ def largest_share(rows: DataFrame, column: str) -> DataFrame:
     return per.agg(ratio(F.max("n"), F.sum("n")).alias("max_share"), F.count(F.lit(1)).alias("distinct_values"))
 
 
+def selection_metrics(rows: DataFrame) -> DataFrame:
+    """One row: how many were evaluated and selected, the selected ones' domains, and their count by type (``type=n``, in order). ``rows``: decision, domain, source_type."""
+    chosen = F.col("decision") == "select"
+    per = rows.where(chosen).groupBy("source_type").agg(F.count(F.lit(1)).alias("n"))
+    types = per.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("source_type", "n"))), lambda x: F.concat(x["source_type"], F.lit("="), x["n"].cast("string"))), ",").alias("count_by_type"))
+    return rows.agg(F.count(F.lit(1)).alias("evaluated"), F.count_if(chosen).alias("selected"), F.countDistinct(F.when(chosen, F.col("domain"))).alias("selected_domains")).join(types)
+
+
 def duplicate_share(rows: DataFrame, flag: str = "is_duplicate") -> DataFrame:
     return rows.agg(ratio(F.count_if(flag), F.count(F.lit(1))).alias("duplicate_rate"))
 

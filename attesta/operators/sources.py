@@ -230,6 +230,11 @@ def distinct_queries(df: DataFrame, most: int, column: str = "query") -> DataFra
     return first_by(rows, ["_k"], ["ord"]).drop("_k").orderBy("ord").limit(most)
 
 
+def links(html: Column) -> Column:
+    """Targets of a page's links in order, trimmed."""
+    return F.transform(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit('href="([^"]*)"'), F.lit(1)), text.strip)
+
+
 def normalise_acquired(df: DataFrame) -> DataFrame:
     """Documents of a provider in one form: source_url, canonical_url, title, domain, content_hash and the rest.
 

@@ -105,8 +105,7 @@ _LINKS = r"regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)"
 
 @query(rf"SELECT page_id, n_links, n_distinct, first_link FROM (SELECT page_id, len(l) AS n_links, len(list_distinct(l)) AS n_distinct, l[1] AS first_link FROM (SELECT page_id, {_LINKS} AS l FROM pages))")
 def page_links(spark, sf_dir):
-    links = F.transform(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)), text.strip)
-    rows = table(spark, sf_dir, "pages").select("page_id", links.alias("l"))
+    rows = table(spark, sf_dir, "pages").select("page_id", sources.links(F.col("html")).alias("l"))
     return rows.select("page_id", F.size("l").cast("long").alias("n_links"), F.size(F.array_distinct("l")).cast("long").alias("n_distinct"), F.get("l", F.lit(0)).alias("first_link"))
 
 
@@ -236,16 +235,22 @@ def preview_duplicates(spark, sf_dir):
     SELECT count(*) AS evaluated, count(*) FILTER (page_id IN (SELECT page_id FROM s)) AS selected, (SELECT count(DISTINCT h) FROM s) AS selected_domains, (SELECT string_agg(t || '=' || n, ',' ORDER BY t) FROM (SELECT source_type AS t, count(*) AS n FROM s GROUP BY 1)) AS count_by_type FROM q"""
 )
 def selection_metrics(spark, sf_dir):
-    rows = qualified(spark, sf_dir)
-    chosen = F.col("decision") == "select"
-    per = rows.where(chosen).groupBy("source_type").agg(F.count(F.lit(1)).alias("n"))
-    types = per.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("source_type", "n"))), lambda x: F.concat(x["source_type"], F.lit("="), x["n"].cast("string"))), ",").alias("count_by_type"))
-    return rows.agg(F.count(F.lit(1)).alias("evaluated"), F.count_if(chosen).alias("selected"), F.countDistinct(F.when(chosen, F.col("domain"))).alias("selected_domains")).join(types)
+    return metrics.selection_metrics(qualified(spark, sf_dir))
 
 
-@query()
+_POOL = "CASE WHEN n > 0 AND len(list_filter({pool}, lambda x: NOT list_contains({seen}, x.{column}) AND x.quality >= rest[1].quality - {tolerance}::DOUBLE)) > 0 THEN list_filter({pool}, lambda x: NOT list_contains({seen}, x.{column}) AND x.quality >= rest[1].quality - {tolerance}::DOUBLE) ELSE {pool} END"
+
+
+@query(
+    f"""WITH RECURSIVE q AS (SELECT *, {_QUALITY} AS quality FROM (SELECT *, {_FINAL} AS fs FROM {_EVAL}) WHERE len(hard) = 0 AND preview_success AND topic_relevance_score >= 0.5 AND fs >= 0.55),
+    s AS (SELECT page_id % 4 AS request_id, 0 AS n, list({{'ord': page_id, 'url': url, 'domain': h, 'source_type': source_type, 'quality': quality}} ORDER BY quality DESC, page_id) AS rest, []::VARCHAR[] AS domains, []::VARCHAR[] AS kinds, NULL::STRUCT(ord BIGINT, url VARCHAR, domain VARCHAR, source_type VARCHAR, quality DOUBLE) AS one, false AS d, false AS k FROM q GROUP BY 1
+        UNION ALL
+        SELECT request_id, n + 1, list_filter(rest, lambda x: x.ord <> one.ord), list_append(domains, one.domain), list_append(kinds, one.source_type), one, n > 0 AND NOT list_contains(domains, one.domain), n > 0 AND NOT list_contains(kinds, one.source_type)
+        FROM (SELECT * EXCLUDE (one, d, k, pool), ({_POOL.format(pool="pool", seen="kinds", column="source_type", tolerance="0.08")})[1] AS one FROM (SELECT *, {_POOL.format(pool="rest", seen="domains", column="domain", tolerance="0.15")} AS pool FROM s WHERE n < 5 AND len(rest) > 0)))
+    SELECT request_id, one.ord, one.url, one.domain, one.source_type, one.quality, n AS rank, d AS adds_domain, k AS adds_type FROM s WHERE n > 0"""
+)
 def diverse_topk(spark, sf_dir):
-    """Greedy choice in 4 requests; each step depends on the ones before, so it is tested against a loop."""
+    """Greedy choice in 4 requests."""
     rows = qualified(spark, sf_dir).withColumn("request_id", F.col("page_id") % 4).where("decision = 'select'")
     return sources.diverse_top(rows, 5)
 
@@ -278,6 +283,11 @@ def precision_at_k(spark, sf_dir):
     return metrics.precision_at(crossed(spark, sf_dir), 10)
 
 
+@query(f"SELECT policy_id, round(count(*) FILTER (expected = 'select') / count(*)::DOUBLE, 6) AS precision_at_5 FROM (SELECT *, row_number() OVER (PARTITION BY policy_id ORDER BY score DESC, page_id) AS r FROM {_CROSS}) WHERE r <= 5 GROUP BY 1")
+def precision_at_5(spark, sf_dir):
+    return metrics.precision_at(crossed(spark, sf_dir), 5)
+
+
 @query(f"SELECT count(*) FILTER (d > 1) AS changed_outcomes, count(*) AS candidates FROM (SELECT page_id, count(DISTINCT expected) AS d FROM {_CROSS} GROUP BY 1)")
 def changed_outcomes(spark, sf_dir):
     return metrics.changed_outcomes(crossed(spark, sf_dir), "page_id")

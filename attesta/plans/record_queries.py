@@ -301,9 +301,18 @@ def dedup_exact(spark, sf_dir):
     return out.select(first.alias("first_ord"), (F.size("absorbed") + 1).cast("long").alias("n"), F.size("source_urls").cast("long").alias("n_sources"))
 
 
-@query()
+@query(
+    r"""WITH t AS (SELECT doc_id, source, lang, regexp_replace(regexp_replace(lower(text), '\s+', ' ', 'g'), '^ | $', '', 'g') AS k FROM documents), g AS (SELECT k, lang, source, min(doc_id) AS o, count(*) AS c FROM t GROUP BY ALL),
+    u AS (SELECT *, c > coalesce(sum(c) OVER (PARTITION BY k, lang ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS wins FROM g),
+    e AS (SELECT k, lang, max(o) FILTER (wins) AS ord, arg_max(source, o) FILTER (wins) AS source, sum(c) - 1 AS gone, list(source) AS urls FROM u GROUP BY k, lang),
+    n AS (SELECT *, 'http://x.org/' || source || ':' || lang AS identity, row_number() OVER w AS place, count(*) OVER (PARTITION BY source, lang) AS size FROM e WINDOW w AS (PARTITION BY source, lang ORDER BY ord)),
+    b AS (SELECT identity, place, gone AS blank_gone, urls AS blank_urls FROM n WHERE k = ''),
+    m AS (SELECT n.*, blank_gone, blank_urls, b.place AS blank, CASE WHEN b.place = 1 AND size > 1 THEN 2 ELSE 1 END AS head FROM n LEFT JOIN b USING (identity))
+    SELECT ord, identity, (gone + CASE WHEN place = head AND blank IS NOT NULL AND size > 1 THEN blank_gone + 1 ELSE 0 END)::INTEGER AS n_absorbed, len(list_distinct(list_concat(urls, CASE WHEN place = head AND blank IS NOT NULL AND size > 1 THEN blank_urls ELSE [] END)))::INTEGER AS n_sources,
+        0.9::DOUBLE AS quality, (CASE WHEN place = head THEN size - 1 - CASE WHEN blank IS NOT NULL AND size > 1 THEN 1 ELSE 0 END ELSE 0 END)::INTEGER AS conflicts FROM m WHERE place = head OR k <> ''"""
+)
 def dedup_identity(spark, sf_dir):
-    """Records of one source and language as one identity; the fold depends on its order, tested against a loop."""
+    """Records of one source and language as one identity: an empty text is absorbed, other texts conflict."""
     rows = doc_records(spark, sf_dir).withColumn("identity", F.concat_ws(":", F.element_at("source_urls", 1), "lang"))
     out = records.deduplicate(rows)
     return out.select("ord", "identity", F.size("absorbed").alias("n_absorbed"), F.size("source_urls").alias("n_sources"), "quality", "conflicts")
