@@ -135,7 +135,7 @@ class Engine:
 
     def chunk(self, docs: DataFrame) -> DataFrame:
         s = self.settings
-        return self.run.stage("chunks", lambda: silver.chunk(docs.where("content_status != 'empty'"), s.chunk_target_tokens, s.chunk_overlap_tokens, s.chunking_enabled))
+        return self.run.stage("chunks", lambda: silver.chunk(docs.where("content_status != 'empty'"), s.chunk_target_tokens, s.chunk_overlap_tokens, s.chunking_enabled, silver.RankCounter(s.token_ranks) if s.token_ranks else None))
 
     def extract(self, docs: DataFrame, chunks: DataFrame) -> DataFrame:
         schema = self.schema()

@@ -20,6 +20,7 @@ class Settings:
     chunking_enabled: bool = True
     chunk_target_tokens: int = 6000
     chunk_overlap_tokens: int = 300
+    token_ranks: str = ""
     minimum_content_words: int = 30
     minimum_confidence: float = 0.70
     minimum_evidence_quality: float = 0.70

@@ -308,3 +308,15 @@ def test_locating_agrees_with_a_plain_search(spark):
             assert not found or r.evidence_chunk_id is not None
         else:
             assert r.evidence_chunk_id == (found[0] if found else None)
+
+
+def test_chunks_by_a_rank_file(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    by = silver.RankCounter(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rnd = random.Random(4)
+    content = "# Title\n\n" + "\n\n".join(" ".join(rnd.choice(["alpha", "beta.", "naïve", "x!", "longer" * 20]) for _ in range(rnd.randint(1, 60))) for _ in range(20))
+    docs = spark.createDataFrame([(1, "u", "T", content)], "ord long, source string, title string, cleaned_content string")
+    got = silver.chunk(docs, 50, 10, by=by).orderBy("chunk_index").collect()
+    assert len(got) > 5 and all(r.token_count == by.count(r.content) <= 52 and r.heading == "Title" for r in got)
+    assert [w for r in got for w in r.content.split()][:3] == content.split()[2:5]
+    assert [r.token_count for r in silver.chunk(docs, 50, 10, enabled=False, by=by).collect()] == [by.count(content)]
