@@ -74,9 +74,17 @@ def registry_decisions(registry: DataFrame, evaluations: DataFrame) -> DataFrame
     out = registry.join(seen, "canonical_url", "left")
     state = F.when(F.col("decision") == "select", "selected").when(F.col("decision").isNotNull(), "rejected").otherwise("pending")
     reasons = F.when(F.col("decision") == "reject", F.col("reasons")).otherwise(F.array().cast("array<string>"))
+    out = out.withColumn("evaluation_status", F.when(F.col("decision").isNull(), "pending").otherwise("completed"))
     return out.withColumn("selection_state", state).withColumn("selected", F.coalesce(F.col("decision") == "select", F.lit(False))).withColumn("rejection_reasons", reasons).drop("decision", "reasons")
 
 
+def registry_previews(registry: DataFrame, seen: DataFrame) -> DataFrame:
+    """The registry with each candidate's preview_status: success, failed or pending. ``seen``: url, fetch_success."""
+    side = seen.groupBy(urls.any_canonical_url(F.col("url")).alias("canonical_url")).agg(F.bool_or(F.coalesce("fetch_success", F.lit(False))).alias("_ok"))
+    out = registry.join(side, "canonical_url", "left")
+    return out.withColumn("preview_status", F.when(F.col("_ok"), "success").when(~F.col("_ok"), "failed").otherwise("pending")).drop("_ok")
+
+
 def pending(work: DataFrame, done: DataFrame, key: str = "canonical_url") -> DataFrame:
     """What isn't done yet."""
     return work.join(done.select(key).distinct(), key, "left_anti")

@@ -349,7 +349,8 @@ class Engine:
         if previews is not None:
             self.run.stage("schema_previews", lambda: sources.schema_previews(selected, previews))
         decisions = evaluated.select("canonical_url", "decision", F.col("hard_reasons").alias("reasons"))
-        self.run.stage("registry_after", lambda: sources.registry_decisions(registry, decisions))
+        none = evaluated.select("url", F.lit(True).alias("fetch_success")).where("false")
+        self.run.stage("registry_after", lambda: sources.registry_previews(sources.registry_decisions(registry, decisions), none if previews is None else previews))
         bronze = self.acquire(fetched, selected)
         docs = self.clean(bronze)
         chunks = self.chunk(docs)

@@ -78,15 +78,16 @@ def url_domain(spark, sf_dir):
 
 
 _FOUND = r"""(SELECT page_id * 3 + k AS ord, CASE k WHEN 0 THEN url WHEN 1 THEN url || '#again' ELSE replace(url, 'example', 'EXAMPLE') END AS url, CASE k WHEN 0 THEN 'search' WHEN 1 THEN 'seed' ELSE 'search' END AS origin,
-    CASE WHEN k = 0 AND page_id % 2 = 0 THEN '' ELSE 'title ' || k END AS title, CASE k WHEN 0 THEN 'Web' WHEN 1 THEN 'web' ELSE 'crawl' END AS provider, k = 1 AND page_id % 5 = 0 AS seed FROM (SELECT *, unnest([0, 1, 2]) AS k FROM pages))"""
+    CASE WHEN k = 0 AND page_id % 2 = 0 THEN '' ELSE 'title ' || k END AS title, CASE k WHEN 0 THEN 'Web' WHEN 1 THEN 'web' ELSE 'crawl' END AS provider, k = 1 AND page_id % 5 = 0 AS seed, page_id, k FROM (SELECT *, unnest([0, 1, 2]) AS k FROM pages))"""
 
 
 @query(
     r"""WITH f AS (SELECT *, {canonical} AS canonical_url FROM """ + _FOUND + r"""),
     u AS (SELECT canonical_url, url, min(ord) AS o FROM f GROUP BY ALL), g AS (SELECT canonical_url, origin, min(ord) AS o FROM f GROUP BY ALL), q AS (SELECT canonical_url, lower(provider) AS l, min(ord) AS o, arg_min(provider, ord) AS provider FROM f GROUP BY ALL),
-    a AS (SELECT canonical_url, min(ord) AS ord, coalesce(arg_min(title, ord) FILTER (title <> ''), '') AS title, bool_or(seed) AS user_seed FROM f GROUP BY 1)
+    a AS (SELECT canonical_url, min(ord) AS ord, coalesce(arg_min(title, ord) FILTER (title <> ''), '') AS title, bool_or(seed) AS user_seed FROM f GROUP BY 1),
+    d AS (SELECT canonical_url, key, arg_min(v, ord) AS v FROM (SELECT canonical_url, ord, 'page' AS key, page_id AS v FROM f UNION ALL SELECT canonical_url, ord, 'round' || k, ord FROM f) GROUP BY 1, 2)
     SELECT a.*, (SELECT string_agg(url, ' ' ORDER BY o) FROM u WHERE u.canonical_url = a.canonical_url) AS original_urls, (SELECT string_agg(origin, ' ' ORDER BY o) FROM g WHERE g.canonical_url = a.canonical_url) AS origins,
-           (SELECT string_agg(provider, ' ' ORDER BY o) FROM q WHERE q.canonical_url = a.canonical_url) AS providers FROM a"""
+           (SELECT string_agg(provider, ' ' ORDER BY o) FROM q WHERE q.canonical_url = a.canonical_url) AS providers, (SELECT string_agg(key || '=' || v, ' ' ORDER BY key) FROM d WHERE d.canonical_url = a.canonical_url) AS metadata FROM a"""
 )
 def registry_upsert(spark, sf_dir):
     found = table(spark, sf_dir, "pages").select("page_id", "url", F.explode(F.array(*(F.lit(k) for k in range(3)))).alias("k"))
@@ -94,10 +95,11 @@ def registry_upsert(spark, sf_dir):
     found = found.select(
         (p * 3 + k).alias("ord"), F.when(k == 0, F.col("url")).when(k == 1, F.concat("url", F.lit("#again"))).otherwise(F.regexp_replace("url", "example", "EXAMPLE")).alias("url"), F.when(k == 1, "seed").otherwise("search").alias("origin"),
         F.when((k == 0) & (p % 2 == 0), "").otherwise(F.concat(F.lit("title "), k.cast("string"))).alias("title"), F.lit("").alias("description"), F.when(k == 0, "Web").when(k == 1, "web").otherwise("crawl").alias("provider"),
-        ((k == 1) & (p % 5 == 0)).alias("seed"), F.lit(False).alias("preferred"),
+        ((k == 1) & (p % 5 == 0)).alias("seed"), F.lit(False).alias("preferred"), F.create_map(F.lit("page"), p.cast("string"), F.concat(F.lit("round"), k.cast("string")), (p * 3 + k).cast("string")).alias("metadata"),
     )
     out = sources.registry_upsert(found)
-    return out.select("canonical_url", "ord", "title", "user_seed", *(F.array_join(c, " ").alias(c) for c in ("original_urls", "origins", "providers")))
+    entries = F.transform(F.array_sort(F.map_entries("metadata")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return out.select("canonical_url", "ord", "title", "user_seed", F.array_join(entries, " ").alias("metadata"), *(F.array_join(c, " ").alias(c) for c in ("original_urls", "origins", "providers")))
 
 
 _LINKS = r"regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)"

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.functions.urls import canonical_url
+from attesta.functions.urls import any_canonical_url
 from attesta.operators.silver import clean
 
 
 def new_candidates(arriving: DataFrame, late: str = "1 hour") -> DataFrame:
     """The first arrival of each canonical URL within the watermark. ``arriving``: a stream of url, seen_at (timestamp) and more."""
-    rows = arriving.withColumn("canonical_url", canonical_url(F.col("url"))).where("canonical_url is not null")
+    rows = arriving.withColumn("canonical_url", any_canonical_url(F.col("url"))).where("canonical_url is not null")
     return rows.withWatermark("seen_at", late).dropDuplicatesWithinWatermark(["canonical_url"])
 
 

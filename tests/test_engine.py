@@ -77,6 +77,8 @@ def test_previews_decide_and_seeds_fill_in(spark, tmp_path):
     engine = Engine(spark, str(tmp_path / "runs"), "p", REQUEST, settings)
     evaluated = engine.evaluate(candidates.drop("preview_success", "preview_text"), seen)
     assert {(r.url, r.preview_text, r.decision) for r in evaluated.collect()} == {("http://a.com/table", "a text", "select"), ("http://b.com/prose", "b text", "select"), ("http://c.com/copy", "", "reject")}
+    state = sources.registry_previews(sources.registry_decisions(engine.register(candidates), evaluated.select("canonical_url", "decision", F.col("hard_reasons").alias("reasons"))), seen.limit(2))
+    assert sorted((r.canonical_url[7], r.preview_status, r.evaluation_status, r.selection_state) for r in state.collect()) == [("a", "success", "completed", "selected"), ("b", "success", "completed", "selected"), ("c", "pending", "completed", "rejected")]
     drawn = sources.schema_previews(engine.select(evaluated), seen)
     assert sorted((r.url, r.has_preview) for r in drawn.collect()) == [("http://a.com/table", True), ("http://b.com/prose", True)]
     seeds = spark.createDataFrame([(2, "http://y.com/", True), (1, "http://x.com/", True), (0, "http://w.com/", False)], "ord long, url string, user_seed boolean")
