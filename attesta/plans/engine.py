@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from attesta.functions import text
 from attesta.functions.scores import selection_quality
-from attesta.functions.urls import any_canonical_url, host_of
+from attesta.functions.urls import any_canonical_url, host_of, matches_any
 from attesta.operators import enrich, evidence, extraction, metrics, outputs, records, silver, sources
+from attesta.sources import planning, providers
 from attesta.sources.config import Settings
 from attesta.sources.files import Run, write_records
 
@@ -60,6 +61,38 @@ class Engine:
             raise NotApproved(f"run is {manifest.get('status', 'new')}")
         return manifest["approved_schema"]
 
+    # Research
+
+    def plan(self) -> dict[str, Any]:
+        """The research plan of the request's topic, kept in the manifest."""
+        made = planning.plan(self.request, str(self.request.get("topic", "")), self.settings.max_queries)
+        self.run.save_manifest(plan=made)
+        return made
+
+    def search(self, find: Callable[[str, int], list[Mapping]]) -> DataFrame:
+        """Candidates: the user's own sources, then what ``find`` (query, most) has for each of the plan's queries."""
+
+        def make() -> DataFrame:
+            queries = list(dict.fromkeys(q.strip() for q in self.plan().get("search_queries", ()) if q.strip()))
+            wanted = (self.request.get("sources") or {}).get("preferred_domains") or []
+            rows = providers.seeds(self.spark, list((self.request.get("sources") or {}).get("seed_urls") or ())).unionByName(providers.search(self.spark, queries, find, self.settings.search_limit))
+            return rows.withColumn("preferred", matches_any(host_of(F.col("url")), wanted)) if wanted else rows
+
+        return self.run.stage("candidates", make)
+
+    def preview(self, candidates: DataFrame, fetch: Callable[[str], Mapping], cache: DataFrame | None = None) -> DataFrame:
+        """Bounded previews of the candidates, each URL fetched once; ``cache`` has url, query and the previews of earlier runs, which aren't fetched again."""
+        s = self.settings
+
+        def make() -> DataFrame:
+            wanted = sources.first_by(candidates.select("ord", "url", F.lit(None).cast("string").alias("query")), ["url"], ["ord"])
+            todo = wanted if cache is None else providers.missing_previews(wanted, cache)
+            got = providers.acquire(todo.select("ord", "url"), fetch, s.fetch_concurrency, s.fetch_retries, s.fetch_delay_seconds)
+            seen = sources.previews(sources.normalise_acquired(got), s.preview_words)
+            return seen if cache is None else seen.unionByName(cache.drop("query").join(wanted.select("url"), "url", "left_semi"), allowMissingColumns=True)
+
+        return self.run.stage("previews", make)
+
     # Candidates
 
     def register(self, candidates: DataFrame) -> DataFrame:

@@ -86,6 +86,24 @@ def test_previews_decide_and_seeds_fill_in(spark, tmp_path):
     assert sources.seed_fallback(evaluated, seeds).count() == 0
 
 
+def test_research_finds_and_previews_candidates(spark, tmp_path):
+    request = {"topic": "Birds", "research": {"queries": ["owls", "owls ", "crows"]}, "sources": {"seed_urls": ["http://seed.org/"], "preferred_domains": ["b.com"]}}
+    engine = Engine(spark, str(tmp_path / "runs"), "s", request, config.Settings(fetch_delay_seconds=0.0, fetch_retries=0))
+    found = engine.search(lambda query, most: [{"url": f"http://{x}.com/{query}", "title": query} for x in "ab"] + [{"title": "no url"}])
+    rows = found.orderBy("ord").collect()
+    assert [(r.url, r.seed, r.preferred) for r in rows] == [("http://seed.org/", True, False), ("http://a.com/owls", False, False), ("http://b.com/owls", False, True), ("http://a.com/crows", False, False), ("http://b.com/crows", False, True)]
+    assert engine.run.manifest()["plan"]["research_topic"] == "Birds"
+
+    def fetch(url):
+        if "crows" in url:
+            raise ValueError("unauthorized")
+        return {"raw_markdown": f"# Head\n\ntext of {url}", "metadata": {"title": "T"}}
+
+    cache = spark.createDataFrame([("http://seed.org/", None, True, "known")], "url string, query string, fetch_success boolean, relevant_text string")
+    seen = {r.url: r for r in engine.preview(found, fetch, cache).collect()}
+    assert len(seen) == 5 and seen["http://seed.org/"].relevant_text == "known" and seen["http://a.com/owls"].headings == ["Head"] and not seen["http://b.com/crows"].fetch_success
+
+
 def test_nothing_acquired_ends_the_run(spark, tmp_path):
     candidates, fetched = inputs(spark)
     engine = Engine(spark, str(tmp_path / "runs"), "n", REQUEST, config.Settings(require_schema_approval=False))
