@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from attesta.plans import queries, record_queries  # noqa: F401
+from attesta.plans import queries, record_queries, stage_queries  # noqa: F401
 
 NAMES = sorted(queries.QUERIES)
 
