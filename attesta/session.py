@@ -73,14 +73,16 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def compact(df: DataFrame) -> DataFrame:
+def compact(df: DataFrame, share: float = 1.0) -> DataFrame:
     """The same rows in fewer partitions, without a shuffle: FILES_A_CORE for each core, or one for MERGED partitions of a shuffle, whichever is more.
 
     For the last step before a table is written: filters and joins leave many
-    small partitions, and each would be a file.
+    small partitions, and each would be a file. ``share``: of that number, for
+    tables of a few narrow columns.
     """
     spark = df.sparkSession
-    return df.coalesce(max(1, FILES_A_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // MERGED))
+    most = max(FILES_A_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // MERGED)
+    return df.coalesce(max(1, int(most * share)))
 
 
 class Stage:
@@ -140,7 +142,7 @@ def numbered(stage: Stage, df: DataFrame, order: Sequence[Column], column: str,
     partition and the sizes of those before, which alone come to the driver.
     """
     at, part = "_at", F.shiftrightunsigned("_at", _PLACE_BITS)
-    rows = stage.put(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id()), name)
+    rows = stage.put(compact(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())), name)
     before, starts = 0, []
     for r in sorted(rows.groupBy(part.alias("_part")).count().collect()):
         starts.append((r["_part"], before))
