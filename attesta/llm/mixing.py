@@ -185,7 +185,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         tasks, level = -(-tasks // FAN_IN), level + 1
         table = stage.put(compact(fly(table.where("extra < 0").select(*_COLUMNS).repartition(tasks, "seed"), False)), f"level{level}")
         parts.append(table.where("extra >= 0"))
-    parts.append(stage.put(compact(fly(table.where("extra < 0").select(*_COLUMNS).repartition("source"), True)), "landing"))
+    parts.append(stage.put(compact(fly(table.where("extra < 0").select(*_COLUMNS).repartition("source"), True), 0.25), "landing"))
     stage.close(*(f"level{i}" for i in range(level + 1)), "landing")
     out = parts[0]
     for part in parts[1:]:

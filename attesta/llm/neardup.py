@@ -44,6 +44,8 @@ ROOT_BITS = 8
 BLOCK, PART = 128, 1024
 #: Least and most bits of the broadcast filter for candidates; what it lets through in excess, a join removes.
 FILTER_BITS = (1 << 16, 1 << 26)
+#: Share of a table's partitions that tables of links, labels and ids are written in.
+NARROW = 0.25
 #: Units of weight whose points are drawn at once.
 _UNITS = 1 << 16
 _LEVEL = [salt(100 + i) for i in range(ROOT_BITS + 1)]
@@ -275,7 +277,7 @@ def components(stage: Stage, edges: DataFrame, name: str) -> DataFrame:
     together at the end.
     """
     pair = lambda x, y: (F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
-    left = stage.put(compact(edges.where("a != b").select(*pair("a", "b")).distinct()), f"{name}-0")
+    left = stage.put(compact(edges.where("a != b").select(*pair("a", "b")).distinct(), NARROW), f"{name}-0")
     hooks: list[DataFrame] = []
     while not left.isEmpty():
         near = left.select(F.col("a").alias("node"), F.col("b").alias("near")).union(left.select("b", "a")).groupBy("node").agg(F.min("near").alias("near"))
@@ -287,14 +289,14 @@ def components(stage: Stage, edges: DataFrame, name: str) -> DataFrame:
         hanging = hook.where("node != up").join(hook.select(F.col("up").alias("node")).distinct(), "node", "left_semi").select(*pair("node", "up"))
         after = across.union(hanging).where("a != b").distinct()
         hooks.append(hook)
-        left = stage.put(compact(after), f"{name}-{len(hooks)}")
+        left = stage.put(compact(after, NARROW), f"{name}-{len(hooks)}")
     if not hooks:
         return left.select(F.col("a").alias("node"), F.col("b").alias("label"))
     labels = hooks[-1].select("node", F.col("up").alias("label"))
     for hook in reversed(hooks[:-1]):
         above = labels.select(F.col("node").alias("up"), "label")
         labels = hook.join(above, "up", "left").select("node", F.coalesce("label", "up").alias("label"))
-    return stage.put(compact(labels), f"{name}-labels")
+    return stage.put(compact(labels, NARROW), f"{name}-labels")
 
 
 def _filter_of(prints: DataFrame) -> np.ndarray:
@@ -389,7 +391,7 @@ def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: in
     named = stage.keep(first.join(labels.select(F.col("node").alias("print"), "label"), "print", "left").withColumn("label", F.coalesce("label", "print")))
     lowest = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
     classes = named.join(lowest, "label").select("print", "class_id")
-    out = stage.put(compact(ids.join(classes, "print").select("doc_id", "class_id")), "classes")
+    out = stage.put(compact(ids.join(classes, "print").select("doc_id", "class_id"), NARROW), "classes")
     stage.close("classes")
     wanted.unpersist()
     return out
@@ -410,7 +412,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     key = F.struct(name.isNull().alias("lost"), F.coalesce(name, F.lit("0").cast(docs.schema[id_col].dataType)).alias("id"), body.isNull().alias("void"), sha.alias("sha"))
     classes = duplicate_classes(docs.select(key.alias("row_key"), body.alias("row_text")), id_col="row_key", text_col="row_text", **kwargs)
     mine, kept = fresh("row_key", docs.columns), fresh("kept_key", docs.columns)
-    keep = stage.put(compact(classes.where("doc_id = class_id").select(F.col("doc_id").alias(kept)).distinct()), "keep")
+    keep = stage.put(compact(classes.where("doc_id = class_id").select(F.col("doc_id").alias(kept)).distinct(), NARROW), "keep")
     left = docs.withColumn(mine, key).join(keep, F.col(mine) == F.col(kept), "left_semi")
     return compact(left.dropDuplicates([mine]).drop(mine))
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm._hash import SLICE_BYTES, slices, words
-from attesta.session import small_batches
+from attesta.session import compact, small_batches
 
 PASSAGE = 64
 #: Labelled rows that the model is fitted on, at most; drawn by a hash of the id.
@@ -275,7 +275,7 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, s
     empty table gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs.select("doc_id", "text"), labels, sample))
-    return small_batches(docs).mapInArrow(partial(_accept, model=model, threshold=threshold, column=docs.columns.index("text")), docs.schema)
+    return compact(small_batches(docs).mapInArrow(partial(_accept, model=model, threshold=threshold, column=docs.columns.index("text")), docs.schema))
 
 
 def _accept(batches: Iterator[pa.RecordBatch], model, threshold: float, column: int) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from attesta.llm._hash import token_parts
 from attesta.llm.token_counts import loaded
-from attesta.session import Stage, small_batches
+from attesta.session import Stage, compact, small_batches
 
 MAGIC = b"ATBPS1\r\n"
 #: Ids of a block; a block is what a reader has to decode to get at one id.
@@ -246,9 +246,9 @@ def _read(batches: Iterator[pa.RecordBatch], uri: str) -> Iterator[pa.RecordBatc
 
 
 def read_shards(spark: SparkSession, uri: str, shards: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of every document, decoded from the files, one task a shard."""
+    """doc_id, start, n_tokens and ids_crc32 of every document, decoded from the files, shard by shard."""
     n = max(1, shards.count())
-    return shards.repartition(n, "shard").mapInArrow(partial(_read, uri=uri), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return compact(shards.repartition(n, "shard").mapInArrow(partial(_read, uri=uri), "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
 def token_shards(docs: DataFrame, path: str, end_id: int | None = 2, block: int = BLOCK, bits: int = 8) -> DataFrame:
