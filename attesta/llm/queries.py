@@ -11,6 +11,7 @@ from attesta.session import table
 #: Rules of the URL filter's query.
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -82,6 +83,16 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_tool_calls(calls, results, TURN_SCHEMAS, by_conversation=True).withColumn("errors", F.array_join("errors", ";"))
 
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from attesta.llm.sentence_pieces import decode_pieces, encode_pieces
+
+    path = tokenizer_path(PIECES)
+    rows = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), path), path)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), "n_mended")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_warc_revisits": op2_warc_revisits,
@@ -93,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_maxscore": op9_maxscore,
     "op10_tool_calls": op10_tool_calls,
+    "op11_sentence_pieces": op11_sentence_pieces,
 }
 ORACLES: dict[str, str] = {
     "op2_warc_revisits": """
