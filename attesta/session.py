@@ -106,9 +106,10 @@ class Stage:
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}"
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
+    def put(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+        """``by``: columns of few values that get a folder each, so that reading one of them reads no other."""
         self.tables.add(name)
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").partitionBy(*by).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def keep(self, df: DataFrame) -> DataFrame:
