@@ -93,6 +93,18 @@ def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), "n_mended")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from attesta.llm.filter_audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from attesta.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("n_ends")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_warc_revisits": op2_warc_revisits,
@@ -105,8 +117,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_maxscore": op9_maxscore,
     "op10_tool_calls": op10_tool_calls,
     "op11_sentence_pieces": op11_sentence_pieces,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {
+    "op12_filter_audit": r"""
+        WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+             w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false) AS copy FROM t),
+             d AS (SELECT part, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic,
+                          (len(words) < 100)::INTEGER + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INTEGER + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::INTEGER
+                          + 8 * regexp_matches(text, '[#$%&*|]')::INTEGER + 16 * copy::INTEGER AS mask FROM w),
+             m AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM d GROUP BY 1, 2),
+             l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+             o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM l a, l b, l c, l d, l e
+                   WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+             s AS (SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit, list_sum([0] || list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65)))::INTEGER AS before
+                   FROM o, (SELECT unnest(range(1, 6)) AS step)),
+             r AS (SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+                          sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                          sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN g ELSE 0 END) AS good_lost, sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN x ELSE 0 END) AS toxic_lost FROM m, s GROUP BY ALL)
+        SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+               toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r""",
+    "op13_prefix_trie": """
+        WITH t AS (SELECT conv_id, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, length(coalesce(text, '')) AS chars,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), digest) AS p FROM conversations WHERE conv_id IS NOT NULL),
+             n AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base,
+                          xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+                              lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda s, z: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END)), 4294967295) % 6 AS h
+                   FROM t GROUP BY conv_id),
+             c AS (SELECT n.*, least(n.h, coalesce(b.n, 0)) AS k FROM n LEFT JOIN n b ON b.conv_id = n.base),
+             r AS (SELECT c.conv_id, p AS depth, digest, chars FROM c JOIN t ON t.conv_id = c.base AND p <= h
+                   UNION ALL SELECT conv_id, p - h + k, digest, chars FROM c JOIN t USING (conv_id) WHERE p > h),
+             m AS (SELECT conv_id, depth, chars, string_agg(digest, '') OVER w AS key, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+                   UNION ALL SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM r) FROM c),
+             v AS (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256 FROM m GROUP BY key, depth),
+             k AS (SELECT left(key, -64) AS key, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY 1),
+             e AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN k USING (key)),
+             u AS (SELECT a.key, count(*) FILTER (d.n_children = 0) AS n_leaves, sum((d.n_convs - 1) * d.chars)::BIGINT AS saved_tokens FROM e a JOIN e d ON starts_with(d.key, a.key) GROUP BY a.key)
+        SELECT e.conv_id, e.depth, p.conv_id AS parent_conv_id, e.n_convs, e.n_children, u.n_leaves, u.saved_tokens, e.ends_sha256
+        FROM e JOIN u USING (key) LEFT JOIN v p ON e.depth > 0 AND p.key = left(e.key, -64) AND p.depth = e.depth - 1""",
     "op2_warc_revisits": """
         WITH d AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
              f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
