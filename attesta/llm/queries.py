@@ -158,10 +158,8 @@ ORACLES: dict[str, str] = {
         FROM e JOIN u USING (key) LEFT JOIN v p ON e.depth > 0 AND p.key = left(e.key, -64) AND p.depth = e.depth - 1""",
     "op2_warc_revisits": """
         WITH d AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
-             f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
-        SELECT page_id, payload_bytes, payload_digest,
-               CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+             f AS (SELECT *, payload_bytes >= 100 AND row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) > 1 AS again, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_id END AS refers_to
         FROM f""",
     "op9_maxscore": """
         WITH v AS (SELECT vec_id, row_number() OVER () AS id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings

@@ -3,9 +3,11 @@
 Headers alone (id, URL, digest, place) are shuffled by payload digest to find
 each digest's original; revisit records are joined to their originals, and the
 archives are then written with fresh headers: one response record for each
-payload, a revisit record without the payload for every other capture. Payloads
-are never shuffled, nor is what was found broadcast: it is written in buckets by
-input file, and a task that writes the records of a file looks up that file's.
+payload, a revisit record without the payload for every other capture. What was
+found meets the payloads by file and place. Files are dealt into passes whose
+findings are about BROADCAST_BYTES, so that each file is read in one pass, with
+the findings broadcast and no payload shuffled; a pass of more than twice as many
+(a file that has most) joins its rows by shuffle.
 
 Archives are written by Spark's own text writer, a record a row: the rows are
 separated by the two line ends that close a WARC record. So the files reach any
@@ -17,21 +19,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.dataset as pads
-from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.session import Stage, compact, small_batches, with_row_keys
+from attesta.session import Stage, compact, with_row_keys
 
 #: Payloads of fewer bytes are always stored.
 MIN_REVISIT_BYTES = 100
-#: Buckets that revisits are written in, at most; as many as there are input files, if these are fewer.
-BUCKETS = 4096
+#: Bytes of findings (FOUND_BYTES and a URL each) that are broadcast at once.
+BROADCAST_BYTES, FOUND_BYTES = 64 << 20, 64
 CRLF, GAP = "\r\n", "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A fixed date keeps archives of equal input equal.
@@ -53,58 +51,32 @@ def with_digests(pages: DataFrame, key: Column, id_col: str = "page_id", url_col
     return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), body.alias("body"), F.octet_length(body).cast("long").alias("n"), F.sha2(F.encode(body, "UTF-8"), 256).alias("digest"), key["file"].alias("file"), key["row"].alias("row"))
 
 
-def revisits(stage: Stage, rows: DataFrame, min_bytes: int, buckets: int) -> None:
-    """Write file, row and the original's id and URL of each record that is to be a revisit, in buckets by file."""
+def revisits(stage: Stage, rows: DataFrame, min_bytes: int) -> DataFrame:
+    """File, row and the original's id and URL of each record that is to be a revisit.
+
+    The original of a payload is the record of its smallest id, null ids last,
+    the first by file and place of equal ones.
+    """
     heads = stage.keep(rows.where(F.col("n") >= min_bytes).select("page_id", "url", "digest", "file", "row"))
-    originals = heads.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.min_by("url", F.struct(F.col("page_id").isNull(), "page_id", "url")).alias("first_url"), F.count(F.lit(1)).alias("copies"))
-    originals = originals.where("copies > 1 and first_id is not null").drop("copies")
-    found = heads.join(originals, "digest").where("page_id > first_id").select("file", "row", "first_id", "first_url", F.pmod("file", F.lit(buckets)).alias("bucket"))
-    found = compact(found.repartition("bucket")).sortWithinPartitions("bucket", "file", "row")
-    found.write.mode("overwrite").partitionBy("bucket").parquet(stage.path("revisits"))
-    stage.tables.add("revisits")
-
-
-class _Revisits:
-    """What was found for one input file at a time."""
-
-    def __init__(self, uri: str, buckets: int):
-        (self.system, self.folder), self.buckets, self.file = pafs.FileSystem.from_uri(uri), buckets, None
-
-    def of(self, file: int) -> pa.Table:
-        if file != self.file:
-            folder = f"{self.folder}/bucket={file % self.buckets}"
-            self.file, self.table = file, None
-            if self.system.get_file_info(folder).type == pafs.FileType.Directory:
-                found = pads.dataset(folder, filesystem=self.system, format="parquet", exclude_invalid_files=False).to_table(columns=["row", "first_id", "first_url"], filter=pads.field("file") == file)
-                self.table = found.sort_by("row").combine_chunks() if len(found) else None
-        return self.table
-
-
-def _marked(batches: Iterator[pa.RecordBatch], uri: str, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows with the original's id and URL instead of file and row; both null for a response."""
-    known = _Revisits(uri, buckets)
-    names = ["page_id", "url", "body", "n", "digest", "first_id", "first_url"]
-    for batch in batches:
-        files, rows = batch.column(5).to_numpy(), batch.column(6).to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(files)) + 1).tolist(), len(files)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if a == b:
-                continue
-            part, found = batch.slice(a, b - a), known.of(int(files[a]))
-            if found is None:
-                first = [pa.nulls(b - a, pa.int64()), pa.nulls(b - a, pa.string())]
-            else:
-                have = found.column("row").to_numpy()
-                at = np.minimum(np.searchsorted(have, rows[a:b]), len(have) - 1)
-                places = pa.array(at, mask=have[at] != rows[a:b])
-                first = [found.column(c).combine_chunks().take(places).cast(k) for c, k in (("first_id", pa.int64()), ("first_url", pa.string()))]
-                first = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in first]
-            yield pa.RecordBatch.from_arrays([*part.columns[:5], *first], names)
+    first = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "file", "row", "url")
+    originals = heads.groupBy("digest").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("digest", "first")
+    found = heads.join(originals, "digest").where("file <> first.file or row <> first.row")
+    return stage.put(compact(found.select("file", "row", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"), F.lit(True).alias("again"))), "revisits")
+
+
+def _passes(found: DataFrame, limit: int) -> Iterator[tuple[Column, bool]]:
+    """A condition on ``file`` for each pass, and whether its findings may be broadcast."""
+    size = F.sum(F.coalesce(F.octet_length("first_url"), F.lit(0)) + FOUND_BYTES)
+    n = max(1, -(-(found.agg(size).first()[0] or 0) // limit))
+    share = F.pmod("file", F.lit(n))
+    sizes = {r[0]: r[1] for r in found.groupBy(share).agg(size).collect()} if n > 1 else {}
+    for i in range(n):
+        yield share == i, sizes.get(i, 0) <= 2 * limit
 
 
 def record_text(rows: DataFrame) -> DataFrame:
     """One column, the record up to the line ends that close it."""
-    is_revisit = F.col("first_id").isNotNull()
+    is_revisit = F.coalesce("again", F.lit(False))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=UTF-8{CRLF}Content-Length: "), F.col("n").cast("string"), F.lit(GAP))
     field = lambda name, value: F.concat(F.lit(f"{CRLF}{name}: "), value)
     head = F.concat(
@@ -117,7 +89,7 @@ def record_text(rows: DataFrame) -> DataFrame:
         field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         F.when(is_revisit, F.concat(
             field("WARC-Profile", F.lit(PROFILE)), field("WARC-Refers-To", _record_id(F.col("first_id"), F.col("digest"), F.col("first_url"))),
-            field("WARC-Refers-To-Target-URI", _clean(F.col("first_url"))), field("X-Refers-To-Page-ID", F.col("first_id").cast("string")),
+            field("WARC-Refers-To-Target-URI", _clean(F.col("first_url"))), F.coalesce(field("X-Refers-To-Page-ID", F.col("first_id").cast("string")), F.lit("")),
         )).otherwise(""),
         field("Content-Type", F.lit("application/http; msgtype=response")),
         field("Content-Length", (F.octet_length(http) + F.when(is_revisit, 0).otherwise(F.col("n"))).cast("string")),
@@ -125,23 +97,26 @@ def record_text(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat(head, F.lit(GAP), http, F.when(is_revisit, "").otherwise(F.col("body"))).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> None:
+def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", limit: int = BROADCAST_BYTES) -> None:
     """Write one record for each row, payloads in UTF-8, into gzip archives under ``path``.
 
     Of records with equal payloads of ``min_bytes`` or more, the one with the
-    smallest id is a response and those with greater ids revisit it. A null
-    payload is empty. Rows of a null id, and rows that repeat the id of the
-    response, are responses themselves. A null URL is empty in the header.
-    Other columns are ignored; an empty table gives no record.
+    smallest id is a response and all others revisit it: those of null ids and
+    those that repeat the id too, of which the first by file and place is the
+    response if there is no smaller one. A null payload is empty. A null URL is
+    empty in the header, a null id in none. Other columns are ignored; an empty
+    table gives no record.
     """
     stage = Stage(pages.sparkSession, "warc")
     pages, key = with_row_keys(stage, pages)
     rows = with_digests(pages, key, id_col, url_col, body_col)
-    buckets = max(1, min(BUCKETS, len(pages.inputFiles())))
-    revisits(stage, rows, min_bytes, buckets)
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    marked = small_batches(rows).mapInArrow(partial(_marked, uri=stage.path("revisits"), buckets=buckets), f"page_id {kinds['page_id']}, url string, body string, n long, digest string, first_id long, first_url string")
-    record_text(marked).write.mode("overwrite").option("lineSep", GAP).option("compression", "gzip").text(path)
+    found = revisits(stage, rows, min_bytes)
+    stage.close("revisits", "rows")
+
+    for k, (share, fits) in enumerate(_passes(found, limit)):
+        some = found.where(share)
+        marked = rows.where(share).join(F.broadcast(some) if fits else some, ["file", "row"], "left")
+        record_text(marked).write.mode("append" if k else "overwrite").option("lineSep", GAP).option("compression", "gzip").text(path)
     stage.close()
 
 

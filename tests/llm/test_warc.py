@@ -15,16 +15,17 @@ ROWS = [
 
 
 def brute(rows):
-    first = {}
+    """Of equal payloads one record of the smallest id, null last, is the response; all others refer to it."""
+    groups = {}
     for i, _, html in rows:
-        if i is not None and len((html or "").encode()) >= 100:
-            first[html] = min(first.get(html, i), i)
+        groups.setdefault((html or "").encode(), []).append(i)
     out = []
-    for i, _, html in rows:
-        body = (html or "").encode()
-        of = first.get(html)
-        revisit = i is not None and of is not None and i > of
-        out.append((i, len(body), hashlib.sha256(body).hexdigest(), "revisit" if revisit else "response", of if revisit else None))
+    for body, ids in groups.items():
+        digest = hashlib.sha256(body).hexdigest()
+        ids.sort(key=lambda i: (i is None, i))
+        for k, i in enumerate(ids):
+            again = k > 0 and len(body) >= 100
+            out.append((i, len(body), digest, "revisit" if again else "response", ids[0] if again else None))
     return sorted(out, key=str)
 
 
@@ -37,6 +38,24 @@ def test_null_ids_repeats_and_clashing_columns(spark):
     df = spark.createDataFrame([(*r, "d", 1) for r in rows], PAGES + ", digest string, n long")
     assert sorted(map(tuple, warc_dedup(df).collect()), key=str) == brute(rows)
     assert warc_dedup(spark.createDataFrame([], PAGES)).count() == 0
+    lost = [(None, "u", LONG), (None, "v", LONG), (None, "w", "short")]
+    assert sorted(map(tuple, warc_dedup(spark.createDataFrame(lost, PAGES)).collect()), key=str) == brute(lost)
+
+
+@pytest.mark.parametrize(("limit", "files"), [(1000, 5), (1000, 1), (3000, 3)])
+def test_findings_in_passes(spark, tmp_path, limit, files):
+    rows = [(i, f"http://h/{i}", LONG + str(i % 7)) for i in range(60)]
+    spark.createDataFrame(rows, PAGES).repartition(files).write.parquet(str(tmp_path / "in"))
+    write_archives(spark.read.parquet(str(tmp_path / "in")), str(tmp_path / "out"), limit=limit)
+    assert sorted(map(tuple, read_archives(spark, str(tmp_path / "out")).collect()), key=str) == brute(rows)
+
+
+def test_any_store(spark, store, sf_dir):
+    rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    pages = spark.read.parquet(store(f"{sf_dir}/pages.parquet"))
+    path = store.new("archives")
+    write_archives(pages, path)
+    assert sorted(map(tuple, read_archives(spark, path).collect()), key=str) == brute(rows)
 
 
 def test_whole_table(spark, sf_dir):
