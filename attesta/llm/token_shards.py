@@ -1,17 +1,23 @@
 """Token ids in binary shards of plane-shuffled, compressed blocks.
 
 Shard file: MAGIC, the blocks, a footer (zstandard), the footer's offset as an
-unsigned 64-bit integer, MAGIC. A block holds up to BLOCK ids, which are
+unsigned 64-bit integer, MAGIC, a line end. A block holds up to BLOCK ids, which are
 transposed into byte planes (or bit planes), each compressed with zstandard by
 itself: the planes of the high bytes are nearly constant and take next to
 nothing. Block header: ids (u32), kind (u8, 1 or 8 bits a plane), planes (u8),
-then each plane's length (u32). The footer has the chunk index (offset and
-first id of each block) and the document index (id, whether it is null, ids).
-All integers are little-endian.
+then each plane's length (u32). The footer has the number of the task that wrote
+the shard, the shard's number there and the ids of the task before it, the chunk
+index (offset and first id of each block) and the document index (id, whether it
+is null, ids). All integers are little-endian.
+
+A task writes many shards, one after another. Each is a row that Spark's text
+writer puts into a file of its own, and Spark's binary reader reads it back: so
+shards go to any store, and what a failed attempt wrote is never seen.
 """
 
 from __future__ import annotations
 
+import io
 import struct
 import zlib
 from collections.abc import Iterator
@@ -20,20 +26,20 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta.llm._hash import token_parts
 from attesta.llm.token_counts import loaded
-from attesta.session import Stage, compact, small_batches
+from attesta.session import Stage, small_batches
 
 MAGIC = b"ATBPS1\r\n"
 #: Ids of a block; a block is what a reader has to decode to get at one id.
 BLOCK = 1 << 16
-#: Bytes of text of a shard, about, with DOC_BYTES for each document's entry; there are as many shards as cores at least.
-SHARD_BYTES, DOC_BYTES = 32 << 20, 32
+#: Bytes of text of a shard and of a task, about, with DOC_BYTES for each document's entry; there are as many tasks as cores at least.
+SHARD_BYTES, TASK_BYTES, DOC_BYTES = 32 << 20, 1 << 30, 32
+END = b"\n"
 _DOCS, _CHUNKS = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")]), np.dtype([("offset", "<u8"), ("first", "<u8"), ("n", "<u4")])
 
 
@@ -63,8 +69,10 @@ def unpack_block(data: bytes) -> np.ndarray:
 
 
 class ShardWriter:
-    def __init__(self, out, block: int = BLOCK, bits: int = 8):
-        self.out, self.block, self.bits = out, block, bits
+    """One shard; ``task``, ``number`` and ``first`` say who writes it, which of the task's it is, and how many ids the task wrote before."""
+
+    def __init__(self, out, block: int = BLOCK, bits: int = 8, task: int = 0, number: int = 0, first: int = 0):
+        self.out, self.block, self.bits, self.place = out, block, bits, (task, number, first)
         self.held, self.held_n, self.docs, self.chunks, self.total = [], 0, [], [], 0
         out.write(MAGIC)
         self.at = len(MAGIC)
@@ -94,7 +102,7 @@ class ShardWriter:
             self._write(np.concatenate(self.held))
         docs = np.concatenate(self.docs) if self.docs else np.zeros(0, _DOCS)
         chunks = np.array(self.chunks, _CHUNKS)
-        self.out.write(zstandard.compress(struct.pack("<QQ", len(chunks), len(docs)) + chunks.tobytes() + docs.tobytes()))
+        self.out.write(zstandard.compress(struct.pack("<QQQQQ", *self.place, len(chunks), len(docs)) + chunks.tobytes() + docs.tobytes()))
         self.out.write(struct.pack("<Q", self.at) + MAGIC)
 
 
@@ -102,16 +110,17 @@ class ShardReader:
     """Random access by the chunk index, or documents one after another."""
 
     def __init__(self, source):
-        self.source, size = source, source.size()
-        source.seek(size - 16)
-        offset, magic = struct.unpack("<Q8s", source.read(16))
-        if magic != MAGIC:
-            raise ValueError("not a token shard, or one whose writing did not end")
+        """``source``: a file that can seek."""
+        self.source, size = source, source.seek(0, io.SEEK_END) - len(END)
+        source.seek(max(0, size - 16))
+        offset, magic, end = struct.unpack("<Q8s1s", source.read(16 + len(END)).rjust(16 + len(END)))
+        if magic != MAGIC or end != END:
+            raise ValueError("not a token shard")
         source.seek(offset)
         footer = zstandard.decompress(source.read(size - 16 - offset))
-        n_chunks, n_docs = struct.unpack_from("<QQ", footer)
-        self.chunks = np.frombuffer(footer, _CHUNKS, n_chunks, 16)
-        self.docs = np.frombuffer(footer, _DOCS, n_docs, 16 + n_chunks * _CHUNKS.itemsize)
+        self.task, self.number, self.first, n_chunks, n_docs = struct.unpack_from("<QQQQQ", footer)
+        self.chunks = np.frombuffer(footer, _CHUNKS, n_chunks, 40)
+        self.docs = np.frombuffer(footer, _DOCS, n_docs, 40 + n_chunks * _CHUNKS.itemsize)
         self.end = offset
 
     def chunk(self, i: int) -> np.ndarray:
@@ -155,107 +164,98 @@ class ShardReader:
             doc += 1
 
 
-def opened(uri: str):
-    """File system and path of a URI in the shared folder."""
-    return pafs.FileSystem.from_uri(uri)
-
-
-#: How the files of attempts that have not ended begin.
-DRAFT = ".draft-"
-
-
-def _write(batches: Iterator[pa.RecordBatch], uri: str, path: str, end_id: int | None, block: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """Each task writes one shard under a name of its own attempt and renames it: a repeated task leaves the same file."""
-    task = TaskContext.get()
-    shard = task.partitionId()
-    system, folder = opened(uri)
-    name, draft = f"{folder}/shard-{shard:08d}.atb", f"{folder}/{DRAFT}{shard:08d}.{task.taskAttemptId()}"
-    model, n_docs, begun = loaded(path, True), 0, 0
-    with system.open_output_stream(draft) as out:
-        writer = ShardWriter(out, block, bits)
-        for batch in batches:
-            for at, raw, offsets, whole in token_parts(batch.column(1), model.cuts):
-                ids, n = model.run(raw, offsets)
-                if not whole:
-                    begun += len(ids)
-                    writer.add(ids, np.zeros(0, _DOCS))
-                    continue
-                if end_id is not None:
-                    ids = np.insert(ids, np.cumsum(n), end_id)
-                    n = n + 1
-                docs = np.zeros(len(n), _DOCS)
-                key = batch.column(0).slice(at, len(n))
-                docs["id"], docs["null"], docs["n"] = key.fill_null(0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False), n
-                docs["n"][0] += begun
-                begun = 0
-                writer.add(ids, docs)
-                n_docs += len(n)
-        writer.close()
-    if n_docs:
-        system.move(draft, name)
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [f"shard-{shard:08d}.atb"], "docs": [n_docs], "ids": [writer.total]})
-    else:
-        system.delete_file(draft)
+def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None, block: int, bits: int, shard_bytes: int) -> Iterator[pa.RecordBatch]:
+    """A row for each shard of a task."""
+    task, number, first = TaskContext.get().partitionId(), 0, 0
+    model, begun, size = loaded(path, True), 0, 0
+    out = io.BytesIO()
+    writer = ShardWriter(out, block, bits, task)
 
+    def shard() -> pa.RecordBatch:
+        writer.close()
+        return pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["value"])
 
-def write_shards(docs: DataFrame, uri: str, path: str, end_id: int | None = 2, block: int = BLOCK, bits: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every whole text and write shards in ascending order of ``id_col``; returns the shards' table.
-
-    Rows are dealt by range, so each shard holds the ids between those of its
-    neighbours. A null id comes first, rows of equal ids are ordered by their
-    text, a null text is empty, repeated rows are written each; other columns
-    are ignored. The returned table (shard, file, docs, ids, start) has one row
-    a shard: it is collected to add up where each shard starts. A very long text
-    is encoded and written in parts. What failed attempts have left goes at the
-    end; an empty table gives no shard.
+    for batch in batches:
+        for at, raw, offsets, whole in token_parts(batch.column(1), model.cuts):
+            ids, n = model.run(raw, offsets)
+            size += len(raw) + DOC_BYTES * len(n)
+            if not whole:
+                begun += len(ids)
+                writer.add(ids, np.zeros(0, _DOCS))
+                continue
+            if end_id is not None:
+                ids = np.insert(ids, np.cumsum(n), end_id)
+                n = n + 1
+            docs = np.zeros(len(n), _DOCS)
+            key = batch.column(0).slice(at, len(n))
+            docs["id"], docs["null"], docs["n"] = key.fill_null(0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False), n
+            docs["n"][0] += begun
+            begun = 0
+            writer.add(ids, docs)
+            if size >= shard_bytes:
+                yield shard()
+                number, first, size, out = number + 1, first + writer.total, 0, io.BytesIO()
+                writer = ShardWriter(out, block, bits, task, number, first)
+    if writer.docs:
+        yield shard()
+
+
+def write_shards(docs: DataFrame, uri: str, path: str, end_id: int | None = 2, block: int = BLOCK, bits: int = 8, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, task_bytes: int = TASK_BYTES) -> None:
+    """Encode every whole text and write shards in ascending order of ``id_col`` into the folder ``uri``.
+
+    Rows are dealt by range to tasks of about ``task_bytes`` of text, each of which
+    writes shards of about ``shard_bytes``. A null id comes first, rows of equal
+    ids are ordered by a hash of their text, a null text is empty, repeated rows
+    are written each; other columns are ignored. A very long text is encoded in
+    parts and makes its shard longer. An empty table gives no shard.
     """
-    spark = docs.sparkSession
-    system, folder = opened(uri)
-    system.create_dir(folder, recursive=True)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text").cast("long") + DOC_BYTES).alias("n")).collect()[0]["n"] or 0
-    shards = max(spark.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
-    rows = rows.repartitionByRange(shards, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    done = small_batches(rows).mapInArrow(partial(_write, uri=uri, path=path, end_id=end_id, block=block, bits=bits), "shard long, file string, docs long, ids long").collect()
-    for info in system.get_file_info(pafs.FileSelector(folder)):
-        if info.base_name.startswith(DRAFT):
-            system.delete_file(info.path)
-    start, table = 0, []
-    for r in sorted(done, key=lambda r: r.shard):
-        table.append((r.shard, r.file, r.docs, r.ids, start))
-        start += r.ids
-    return spark.createDataFrame(table, "shard long, file string, docs long, ids long, start long")
-
-
-def _read(batches: Iterator[pa.RecordBatch], uri: str) -> Iterator[pa.RecordBatch]:
-    system, folder = opened(uri)
+    size = rows.agg(F.sum(F.octet_length("text").cast("long") + DOC_BYTES).alias("n")).first()["n"] or 0
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // task_bytes))
+    rows = rows.repartitionByRange(tasks, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    shards = small_batches(rows).mapInArrow(partial(_write, path=path, end_id=end_id, block=block, bits=bits, shard_bytes=shard_bytes), "value binary")
+    shards.select(F.col("value").cast("string").alias("value")).write.mode("overwrite").option("lineSep", END.decode()).option("maxRecordsPerFile", 1).text(uri)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for file, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
-            with system.open_input_file(f"{folder}/{file}") as source:
-                reader = ShardReader(source)
-                crc, out = 0, np.zeros(len(reader.docs), np.int64)
-                for doc, ids, ends in reader.parts():
-                    crc = zlib.crc32(np.ascontiguousarray(ids, "<u4"), crc)
-                    if ends:
-                        out[doc], crc = crc, 0
-                n = reader.docs["n"].astype(np.int64)
-                key = pa.array(reader.docs["id"].astype(np.int64), mask=reader.docs["null"].astype(bool))
-                whole = pa.RecordBatch.from_arrays([key, pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array(out)], ["doc_id", "start", "n_tokens", "ids_crc32"])
-                for i in range(0, len(whole), 10_000):
-                    yield whole.slice(i, 10_000)
-
-
-def read_shards(spark: SparkSession, uri: str, shards: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of every document, decoded from the files, shard by shard."""
-    n = max(1, shards.count())
-    return compact(shards.repartition(n, "shard").mapInArrow(partial(_read, uri=uri), "doc_id long, start long, n_tokens long, ids_crc32 long"))
-
-
-def token_shards(docs: DataFrame, path: str, end_id: int | None = 2, block: int = BLOCK, bits: int = 8) -> DataFrame:
+        for content in batch.column(0):
+            reader = ShardReader(pa.BufferReader(content.as_buffer()))
+            crc, out = 0, np.zeros(len(reader.docs), np.int64)
+            for doc, ids, ends in reader.parts():
+                crc = zlib.crc32(np.ascontiguousarray(ids, "<u4"), crc)
+                if ends:
+                    out[doc], crc = crc, 0
+            n = reader.docs["n"].astype(np.int64)
+            key = pa.array(reader.docs["id"].astype(np.int64), mask=reader.docs["null"].astype(bool))
+            whole = pa.RecordBatch.from_arrays([pa.array(np.full(len(n), reader.task, np.int64)), key, pa.array(reader.first + np.cumsum(n) - n), pa.array(n), pa.array(out)], ["task", "doc_id", "at", "n_tokens", "ids_crc32"])
+            for i in range(0, len(whole), 10_000):
+                yield whole.slice(i, 10_000)
+
+
+def read_shards(spark: SparkSession, uri: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of every document, decoded from the files under ``uri``.
+
+    What is decoded is written as a narrow table; the ids of each task, a row for
+    each, come to the driver to add up where tasks start.
+    """
+    stage = Stage(spark, "index")
+    files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(uri).where("length > 0").select("content")
+    docs = stage.put(small_batches(files).mapInArrow(_read, "task long, doc_id long, at long, n_tokens long, ids_crc32 long"), "docs")
+    before, starts = 0, []
+    for r in sorted(docs.groupBy("task").agg(F.max(F.col("at") + F.col("n_tokens")).alias("n")).collect()):
+        starts.append((r["task"], before))
+        before += r["n"]
+    starts = F.broadcast(spark.createDataFrame(starts, "task long, first long"))
+    return docs.join(starts, "task").select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def token_shards(docs: DataFrame, path: str, end_id: int | None = 2, block: int = BLOCK, bits: int = 8, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write shards into the shared folder and read them back."""
     spark = docs.sparkSession
     uri = Stage(spark, "shards").path("ids")
-    return read_shards(spark, uri, write_shards(docs, uri, path, end_id, block, bits))
+    write_shards(docs, uri, path, end_id, block, bits, shard_bytes=shard_bytes)
+    return read_shards(spark, uri)
 
 
 __all__ = ["BLOCK", "ShardReader", "ShardWriter", "pack_block", "read_shards", "token_shards", "unpack_block", "write_shards"]

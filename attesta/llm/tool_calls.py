@@ -62,24 +62,25 @@ def depths(stage: Stage, calls: DataFrame) -> DataFrame:
     return at.select("call_id", F.when(F.col("up").isNull(), F.col("depth")).cast("int").alias("depth"))
 
 
-def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, by_conversation: bool = False) -> DataFrame:
+def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, by_conversation: bool = True) -> DataFrame:
     """One row for each call and result of its: conv_id, call_id, ord, depth, status, errors and json.
 
     ``calls`` has conv_id, call_id, ord, name, arguments (JSON text) and after
     (the id of the call it follows, or null); ``results`` conv_id, call_id, ord
     and content. Status is linked, no_result or orphan_result (a result of no
     known call; depth, errors and json are null there). A call after an unknown
-    id has depth 0; calls on a cycle, and after one, have none. Of calls that
-    share an id the one of smallest ord (then arguments, name, after, conv_id)
-    counts, the others are dropped as repeats of it; each result is kept.
+    id has depth 0; calls on a cycle, and after one, have none. Ids hold within
+    their conversation. Of calls that share one the one of smallest ord (then
+    arguments, name, after) counts; those equal in full are repeats of it,
+    different ones are kept with the status duplicate_id, without depth or
+    result. Each result is kept.
     Calls and results of a null id are kept and link to nothing. ``errors`` lists
     what is wrong with the arguments by schema (not_json, not_an_object,
     unknown_tool, missing:f, type:f, unknown:f). ``json`` has its keys in order;
     arguments that don't parse are a string in it. Other columns are ignored.
 
-    ``by_conversation``: ids hold within their conversation, and only calls equal
-    in full are repeats; different ones that share an id are kept with the status
-    duplicate_id, without depth or result.
+    ``by_conversation=False``: ids hold across conversations, and of the calls
+    that share one only the first counts, the others are dropped as repeats.
     """
     scope = F.coalesce(F.concat(F.length(F.col("conv_id").cast("string")).cast("string"), F.lit(":"), F.col("conv_id").cast("string")), F.lit("-"))
     key = (lambda c: F.concat(scope, F.lit("/"), F.col(c))) if by_conversation else F.col

@@ -8,6 +8,11 @@ least, stay below it are non-essential. The essential terms are traversed for
 all vectors of a block; the others are probed, widest first, only for vectors
 that can still reach the threshold, and those that survive have their exact
 score. Shards' lists are merged by rank.
+
+Queries are broadcast a bounded block at a time. One row in FIRST is searched
+before all others: the k-th best score there is a bound that no better list falls
+below, and it goes along with the query to every shard, which starts with it and
+hands on only what reaches it: about k x FIRST rows a query, however many shards.
 """
 
 from __future__ import annotations
@@ -17,20 +22,21 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.dataset as pads
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.session import Stage, compact, small_batches, with_row_keys
 
 K, SCALE, EVERY = 10, 1024, 100
-#: Vectors of one shard, of one block of a shard, and queries held at once.
-SHARD, DOCS, QUERIES = 200_000, 2048, 4096
+#: Vectors of one shard and of one block of a shard; components of the queries that are broadcast at once.
+SHARD, DOCS, QUERY_CELLS = 200_000, 2048, 8 << 20
+#: One row in so many is searched first.
+FIRST = 32
 #: Non-essential terms probed before the survivors are looked at again.
 PROBE = 8
 
 
-def integers(lists: pa.Array) -> np.ndarray:
+def integers(lists: pa.ListArray) -> np.ndarray:
     """floor(SCALE * x) as doubles, a row for each vector; shorter vectors end in zeros."""
     n = lists.value_lengths().to_numpy(zero_copy_only=False)
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -53,19 +59,19 @@ class Shard:
         self.low, self.high, self.top = x.min(0), x.max(0), float(np.abs(x).max(initial=0))
         self.blocks = [(i, np.ascontiguousarray(x[i : i + DOCS].T)) for i in range(0, len(x), DOCS)]
 
-    def search(self, query_id: int, q: np.ndarray, k: int, row: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the k best vectors but the query's own, ties to the smaller id.
+    def search(self, query_id: int, q: np.ndarray, k: int, row: int | None = None, bound: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact scores of the k best vectors but the query's own, ties to the smaller id; only of those that reach ``bound``.
 
         The query's own is that of its id and ``row``, of all that have its id if no row is given.
         """
         if self.top * float(np.abs(q).max(initial=0)) * max(len(q), 1) >= 2.0**53:
-            return self._exact(query_id, q, k, row)
+            return self._exact(query_id, q, k, row, bound)
         a, b = q * self.low, q * self.high
         least, most = np.minimum(a, b), np.maximum(a, b)
         terms = np.argsort(-(most - least), kind="stable")
         after = np.concatenate([np.cumsum(most[terms][::-1])[::-1], [0.0]])  # greatest sum of the terms from here on
         floor = np.concatenate([[0.0], np.cumsum(least[terms])])  # least sum of the terms before
-        ids, scores, threshold = np.zeros(0, np.int64), np.zeros(0), -np.inf
+        ids, scores, threshold = np.zeros(0, np.int64), np.zeros(0), bound
         for at, block in self.blocks:
             here = np.arange(block.shape[1])
             essential = len(terms) if threshold == -np.inf else int(np.argmax(floor + after < threshold)) if (floor + after < threshold).any() else len(terms)
@@ -88,11 +94,11 @@ class Shard:
                 best = np.lexsort((ids, -scores))[:k]
                 ids, scores = ids[best], scores[best]
             if len(ids) == k:
-                threshold = scores.min()
+                threshold = max(bound, scores.min())
         best = np.lexsort((ids, -scores))[:k]
         return ids[best], scores[best].astype(np.int64)
 
-    def _exact(self, query_id: int, q: np.ndarray, k: int, row: int | None) -> tuple[np.ndarray, np.ndarray]:
+    def _exact(self, query_id: int, q: np.ndarray, k: int, row: int | None, bound: float) -> tuple[np.ndarray, np.ndarray]:
         """Components too large for doubles: whole scores in Python's integers, held at the limits of 64 bits."""
         mine = [int(v) for v in q]
         found = []
@@ -101,28 +107,25 @@ class Shard:
                 if self.ids[at + j] != query_id or row is not None and self.rows[at + j] != row:
                     found.append((-sum(m * int(v) for m, v in zip(mine, column, strict=True)), int(self.ids[at + j])))
         found = sorted(found)[:k]
-        held = [max(-(2**63), min(2**63 - 1, -s)) for s, _ in found]
-        return np.array([i for _, i in found], np.int64), np.array(held, np.int64)
-
+        held = [(max(-(2**63), min(2**63 - 1, -s)), i) for s, i in found]
+        held = [(s, i) for s, i in held if s >= bound]
+        return np.array([i for _, i in held], np.int64), np.array([s for s, _ in held], np.int64)
 
-def _search(batches: Iterator[pa.RecordBatch], uri: str, k: int) -> Iterator[pa.RecordBatch]:
-    from pyarrow import fs as pafs
 
-    system, folder = pafs.FileSystem.from_uri(uri)
+def _search(batches: Iterator[pa.RecordBatch], queries, k: int) -> Iterator[pa.RecordBatch]:
+    """The best of each shard for every query of the broadcast block: ids, rows, vectors and bounds."""
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
         d = max(x.shape[1] for _, x, _ in held)
         shard = Shard(np.concatenate([h[0] for h in held]), np.concatenate([_fit(h[1], d) for h in held]), np.concatenate([h[2] for h in held]))
         held.clear()
-        for block in pads.dataset(folder, filesystem=system, format="parquet", exclude_invalid_files=False).to_batches(columns=["vec_id", "embedding", "row"], batch_size=QUERIES):
-            if not len(block):
-                continue
-            q = integers(block.column(1))
-            q = _fit(q, d) if q.shape[1] <= d else q[:, :d]
+        ids, rows, q, bounds = queries.value
+        q = _fit(q, d) if q.shape[1] <= d else q[:, :d]
+        for first in range(0, len(ids), 1024):
             out = []
-            for query_id, row, v in zip(block.column(0).to_pylist(), block.column(2).to_pylist(), q, strict=True):
-                found, score = shard.search(query_id, v, k, row)
+            for query_id, row, v, bound in zip(*(x[first : first + 1024] for x in (ids.tolist(), rows.tolist(), q, bounds.tolist())), strict=True):
+                found, score = shard.search(query_id, v, k, row, bound)
                 out.append((np.full(len(found), query_id, np.int64), np.full(len(found), row, np.int64), found, score))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "query_row", "vec_id", "score"])
 
@@ -138,6 +141,22 @@ def _search(batches: Iterator[pa.RecordBatch], uri: str, k: int) -> Iterator[pa.
         yield from flush()
 
 
+def _block(queries: DataFrame) -> tuple[np.ndarray, ...]:
+    """Ids, rows, integer vectors and bounds, as yet none, of a block of queries."""
+    rows = queries.toArrow()
+    ids, places = rows.column("vec_id").to_numpy(), rows.column("row").to_numpy()
+    return ids, places, integers(pa.concat_arrays(rows.column("embedding").chunks) if len(ids) else pa.array([], pa.list_(pa.float64()))), np.full(len(ids), -np.inf)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def _one_in(rows: DataFrame, n: int, pick: Column) -> DataFrame:
+    return rows.where(F.pmod(F.xxhash64("row"), F.lit(n)) == pick)
+
+
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of the k vectors of greatest inner product for each query.
 
@@ -154,7 +173,24 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"), F.xxhash64(key).alias("row"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
-    stage.put(compact(rows.where(F.col("vec_id") % every == 0)), "queries")
-    found = small_batches(rows).mapInArrow(partial(_search, uri=stage.path("queries"), k=k), "query_id long, query_row long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    queries = stage.put(compact(rows.where(F.col("vec_id") % every == 0)), "queries")
+    cells = queries.agg(F.sum(F.size("embedding") + 4)).first()[0] or 0
+    passes = -(-cells // QUERY_CELLS)
+    kind, spark, done = "query_id long, query_row long, vec_id long, score long", vectors.sparkSession, []
+    for i in range(passes):
+        block = _block(_one_in(queries, passes, F.lit(i)))
+        if not len(block[0]):
+            continue
+        first = small_batches(_one_in(rows, FIRST, F.lit(0))).mapInArrow(partial(_search, queries=spark.sparkContext.broadcast(block), k=k), kind)
+        bounds = _best(first, k).where(F.col("rank") == k).select("query_id", "query_row", F.col("score").alias("bound"))
+        known = {(r["query_id"], r["query_row"]): float(r["bound"]) for r in bounds.collect()}  # a row a query of the block
+        held = np.array([known.get(x, -np.inf) for x in zip(block[0].tolist(), block[1].tolist(), strict=True)])
+        found = small_batches(rows).mapInArrow(partial(_search, queries=spark.sparkContext.broadcast((*block[:3], held)), k=k), kind)
+        done.append(stage.put(compact(_best(found, k)).select("query_id", "rank", "vec_id", "score"), f"best-{i}"))
+    if not done:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    stage.drop("queries")
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out

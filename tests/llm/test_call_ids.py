@@ -9,7 +9,7 @@ CALLS, RESULTS = "conv_id long, call_id string, ord long, name string, arguments
 def test_ids_hold_within_their_conversation(spark):
     calls = [(1, "a", 0, "f", "{}", None), (1, "b", 1, "f", "{}", "a"), (2, "a", 0, "f", "{}", None), (2, "a", 3, "f", "[]", None), (2, "a", 3, "f", "[]", None), (None, "a", 5, "f", "{}", None), (2, "b", 6, "f", "{}", "gone")]
     results = [(1, "a", 9, "x"), (2, "a", 9, "y"), (None, "a", 9, "z"), (3, "a", 9, "o")]
-    rows = link_tool_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), {"f": {}}, by_conversation=True).collect()
+    rows = link_tool_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), {"f": {}}).collect()
     got = sorted(((r.conv_id, r.call_id, r.ord, r.depth, r.status) for r in rows), key=str)
     assert got == sorted([(1, "a", 0, 0, "linked"), (1, "b", 1, 1, "no_result"), (2, "a", 0, 0, "linked"), (2, "a", 3, None, "duplicate_id"), (None, "a", 5, 0, "linked"), (2, "b", 6, 0, "no_result"), (3, "a", None, None, "orphan_result")], key=str)
     assert all('"id":"a"' in r.json for r in rows if r.status == "linked")

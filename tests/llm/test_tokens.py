@@ -9,7 +9,7 @@ from tokenizers import Tokenizer as Library
 from attesta.llm import _bpe
 from attesta.llm._hash import slices
 from attesta.llm.token_counts import token_counts
-from attesta.llm.token_shards import ShardReader, ShardWriter, opened, pack_block, token_shards, unpack_block, write_shards
+from attesta.llm.token_shards import ShardReader, ShardWriter, pack_block, read_shards, token_shards, unpack_block, write_shards
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -118,15 +118,33 @@ def test_repeated_rows_and_no_end_id(spark, docs_of):
     assert [(r[0], r[1], r[2]) for r in got] == [(1, 0, 1), (1, 1, 1), (2, 2, 0), (3, 2, 0)]
 
 
+def test_many_shards_a_task(spark, docs_of, prose, tmp_path):
+    rows = [(i * 3, prose(20_000, i)) for i in range(40)] + [(500, ""), (None, "x")]  # of parts of 256 kB
+    check(rows, [tuple(r) for r in token_shards(docs_of(rows), PATH, shard_bytes=3000).collect()])
+    write_shards(docs_of(rows), f"file://{tmp_path}/ids", PATH, shard_bytes=3000, task_bytes=1 << 21)
+    readers = [ShardReader(p.open("rb")) for p in tmp_path.glob("ids/part-*")]
+    assert len(readers) > 2 * len({r.task for r in readers})
+    for task in {r.task for r in readers}:
+        own = sorted((r.number, r.first, int(r.docs["n"].sum())) for r in readers if r.task == task)
+        assert [n for n, _, _ in own] == list(range(len(own)))
+        assert all(b[1] == a[1] + a[2] for a, b in zip(own[:-1], own[1:], strict=True))
+
+
+def test_any_store(spark, store, sf_dir):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    write_shards(spark.read.parquet(store(f"{sf_dir}/documents.parquet")), store.new("ids"), PATH)
+    check(rows, [tuple(r) for r in read_shards(spark, store.new("ids")).collect()])
+
+
 def test_random_access_and_broken_files(spark, tmp_path, prose, docs_of):
-    uri = f"file://{tmp_path}/ids"
-    table = write_shards(docs_of([(i, prose(50, i)) for i in range(20)]), uri, PATH, block=64).orderBy("shard").collect()
-    system, folder = opened(uri)
-    with system.open_input_file(f"{folder}/{table[0].file}") as f:
+    write_shards(docs_of([(i, prose(50, i)) for i in range(20)]), f"file://{tmp_path}/ids", PATH, block=64)
+    with next(tmp_path.glob("ids/part-*")).open("rb") as f:
         reader = ShardReader(f)
-        whole = reader.ids(0, table[0].ids)
-        assert len(whole) == table[0].ids and reader.ids(70, 200).tolist() == whole[70:200].tolist() and len(reader.ids(5, 5)) == 0
+        n = int(reader.docs["n"].sum())
+        whole = reader.ids(0, n)
+        assert len(whole) == n and reader.ids(70, 200).tolist() == whole[70:200].tolist() and len(reader.ids(5, 5)) == 0
     with open(tmp_path / "bad", "wb") as out:
         ShardWriter(out).add(np.arange(3, dtype=np.uint32), np.zeros(0, [("id", "<i8"), ("null", "u1"), ("n", "<u8")]))
-    with pytest.raises(ValueError), system.open_input_file(str(tmp_path / "bad")) as f:
+    with pytest.raises(ValueError), open(tmp_path / "bad", "rb") as f:
         ShardReader(f)
+

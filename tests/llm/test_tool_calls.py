@@ -16,14 +16,14 @@ def test_arguments_against_schemas(spark):
     assert [got[i] for i in range(len(cases))] == [want for _, _, want in cases]
 
 
-def link(spark, calls, results, schemas=SCHEMAS):
-    return link_tool_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), schemas).collect()
+def link(spark, calls, results, schemas=SCHEMAS, **more):
+    return link_tool_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), schemas, **more).collect()
 
 
 def test_links_order_and_json(spark):
     chain = [(1, f"c{i}", i, "add", '{"b": 2, "a": 1, "o": {"z": 1, "y": "é\\n"}}', f"c{i - 1}" if i else None) for i in range(40)]
     odd = [(1, "loop1", 50, "add", '{"a": 1}', "loop2"), (1, "loop2", 51, "add", '{"a": 1}', "loop1"), (1, "tail", 52, "add", '{"a": 1}', "loop1"), (1, "self", 53, "add", '{"a": 1}', "self"), (1, "lost", 54, "add", "{bad", "gone"), (1, None, 55, "add", '{"a": 1}', None), (1, None, 55, "add", '{"a": 1}', None)]
-    rows = link(spark, [*chain, *odd, chain[3], (2, "c3", 99, "none", "{}", None)], [(1, "c3", 1, "x"), (1, "c3", 2, "y"), (1, "c4", 3, None), (1, "who", 4, "o"), (1, None, 5, "n")])
+    rows = link(spark, [*chain, *odd, chain[3], (2, "c3", 99, "none", "{}", None)], [(1, "c3", 1, "x"), (1, "c3", 2, "y"), (1, "c4", 3, None), (1, "who", 4, "o"), (1, None, 5, "n")], by_conversation=False)
     depth = {r.call_id: r.depth for r in rows if r.status != "orphan_result"}
     assert all(depth[f"c{i}"] == i for i in range(40)) and depth["lost"] == 0 and [depth[k] for k in ("loop1", "loop2", "tail", "self")] == [None] * 4
     assert len(rows) == 40 + 7 + 1 + 2

@@ -54,3 +54,31 @@ def test_odd_rows(spark):
     assert result(top_k(df)) == want
     assert top_k(df.limit(0)).count() == 0
     assert result(top_k(df.where("vec_id = 0"))) == []
+
+
+def test_blocks_of_queries_and_first_rows(spark, monkeypatch):
+    from attesta.llm import topk
+
+    monkeypatch.setattr(topk, "QUERY_CELLS", 40)
+    rnd = np.random.default_rng(4)
+    rows = [(i * 50, [float(x) for x in rnd.standard_normal(8)]) for i in range(12)] + [(i, [float(x) for x in rnd.standard_normal(8)]) for i in range(1, 90)]
+    assert result(top_k(spark.createDataFrame(rows, VECTORS))) == brute(rows)
+
+
+@pytest.mark.parametrize("kind", ["dense", "equal"])
+def test_a_bound_leaves_out_only_what_is_below_it(kind):
+    rnd = np.random.default_rng(3)
+    x = np.floor(1024 * (rnd.standard_normal((500, 16)) if kind == "dense" else np.full((500, 16), 0.5)))
+    shard = Shard(np.arange(500), x)
+    for q in range(0, 500, 50):
+        scores = x @ x[q]
+        found, score = shard.search(q, x[q], 10)
+        bound = float(np.sort(np.delete(scores, q))[-4])
+        near, high = shard.search(q, x[q], 10, bound=bound)
+        keep = score >= bound
+        assert near.tolist() == found[keep].tolist() and high.tolist() == score[keep].tolist()
+
+
+def test_any_store(spark, store, sf_dir):
+    df = spark.read.parquet(store(f"{sf_dir}/embeddings.parquet"))
+    assert result(top_k(df)) == brute([(r.vec_id, r.embedding) for r in df.collect()])
