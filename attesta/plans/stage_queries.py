@@ -217,3 +217,18 @@ def dedup_rejections(spark, sf_dir):
 def structured_records(spark, sf_dir):
     out = outputs.structured_records(records.resolve(turn_records(spark, sf_dir), _IDS, ["id"]), _IDS, "s", "1.0")
     return out.select("provenance.resolution_key", F.size("provenance.contributing_record_ids").cast("long").alias("n_records"), "quality.evidence_quality_score", F.col("schema_metadata.name").alias("schema_name"))
+
+
+#: Tokens of two letters beside one for each byte; no letter is in two of them, so SQL can count what merges.
+_PAIRS = ("th", "en", "ou", "is")
+
+
+@query(
+    "SELECT doc_id, (octet_length(encode(t)) - " + " - ".join(f"(length(b) - length(replace(b, '{p}', ''))) // 2" for p in _PAIRS) + r""")::INTEGER AS tokens
+    FROM (SELECT doc_id, t, regexp_replace(t, '''(s|d|m|t|ll|ve|re)', '''\1|', 'gi') AS b FROM (SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM documents) WHERE t <> '')"""
+)
+def rank_token_count(spark, sf_dir):
+    """Tokens of whole documents by a table of ranks."""
+    ranks = {bytes([b]): b for b in range(256)} | {p.encode(): 256 + i for i, p in enumerate(_PAIRS)}
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), "source", F.lit("").alias("title"), F.col("text").alias("cleaned_content"))
+    return silver.chunk(docs, enabled=False, by=silver.RankCounter(ranks=ranks)).select(F.col("ord").alias("doc_id"), F.col("token_count").alias("tokens"))
