@@ -6,19 +6,15 @@ tells an absent field from a null one.
 
 from __future__ import annotations
 
-import json
-import unicodedata
-from collections.abc import Iterator, Mapping, Sequence
-from functools import partial
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions import text
 from attesta.functions.urls import canonical_url
+from attesta.operators.duplicates import deduplicate
 from attesta.operators.extraction import type_ok
-from attesta.session import small_batches
 
 EMPTY_JSON = ("null", '""', "[]", "{}")
 IDENTITIES = ("explicit_identity", "normalized_identity", "composite_identity")
@@ -165,206 +161,6 @@ def is_subset(a: Column, b: Column) -> Column:
     return (F.size(mine) > 0) & F.forall(F.map_entries(mine), lambda e: F.coalesce(F.element_at(b, e["key"]) == e["value"], F.lit(False)))
 
 
-def _folded(value):
-    if isinstance(value, str):
-        return " ".join(unicodedata.normalize("NFKC", value).casefold().split())
-    if isinstance(value, dict):
-        return {str(k): _folded(value[k]) for k in sorted(value, key=str)}
-    return [_folded(v) for v in value] if isinstance(value, list) else value
-
-
-#: Lists of texts that duplicates give to the record that stays.
-_GIVEN = ("source_urls", "content_hashes", "evidence", "contributors")
-_COLUMNS = ("ord", "source_urls", "content_hashes", "data", "identity", "quality", "evidence", "contributors", "provenance", "stages", "absorbed", "conflicts")
-_RECORD = "ord long, source_urls array<string>, content_hashes array<string>, data string, identity string, quality double, evidence array<string>, contributors array<string>, provenance map<string,array<string>>, stages array<string>, absorbed array<struct<ord:long,stage:string>>, conflicts int"
-
-
-def _is_filled(value) -> bool:
-    return value not in (None, "", [], {})
-
-
-class _Kept:
-    """A record that stays for now, with those that it took in.
-
-    They are held as a tree, read in order at the end, and their evidence as one
-    set, so taking in a record costs what that record has, whichever of the two
-    stays.
-    """
-
-    def __init__(self, row: dict):
-        self.row, self.tree, self.quality, self.conflicts = row, row, row["quality"], row["conflicts"]
-        self.filled = sum(map(_is_filled, json.loads(row["data"]).values()))
-        self.evidence, self.stages = set(row["evidence"]), dict.fromkeys(row["stages"])
-
-    def score(self) -> tuple:
-        return self.quality, self.filled, len(self.evidence)
-
-    def meet(self, other: _Kept, stage: str, other_stays: bool) -> None:
-        """Become the union of both, as the record of one of them."""
-        first, second = (other, self) if other_stays else (self, other)
-        stages = first.stages | {stage: None}
-        self.row, self.tree, self.filled, self.stages = first.row, (first.tree, second.tree), first.filled, stages
-        small, large = sorted((self.evidence, other.evidence), key=len)
-        large |= small
-        self.evidence, self.quality = large, min(self.quality, other.quality)
-
-    def rows(self) -> Iterator[dict]:
-        """All records taken in, the one that stays first."""
-        waiting = [self.tree]
-        while waiting:
-            node = waiting.pop()
-            if isinstance(node, tuple):
-                waiting += node[::-1]
-            else:
-                yield node
-
-    def result(self, absorbed: list[tuple[int, str]]) -> dict:
-        out, given = dict(self.row), {name: {} for name in _GIVEN}
-        more: dict[str, dict] = {}
-        for row in self.rows():
-            for name in _GIVEN:
-                given[name].update(dict.fromkeys(row[name]))
-            for name, values in dict(row["provenance"] or ()).items():
-                more.setdefault(name, {}).update(dict.fromkeys(values))
-        before = [x for row in self.rows() for x in row["absorbed"]]
-        return out | {k: list(v) for k, v in given.items()} | {"provenance": {k: list(v) for k, v in more.items()}, "quality": self.quality, "stages": list(self.stages), "absorbed": [*before, *({"ord": o, "stage": s} for o, s in absorbed)], "conflicts": self.conflicts}
-
-
-def _source_keys(row: dict) -> list[str]:
-    return [*(f"hash:{h}" for h in sorted(row["content_hashes"])), *(f"url:{u}" for u in row["source_urls"])]
-
-
-class EqualFold:
-    """Records of one fingerprint in order: first those that share a source URL or content hash, then the rest, become one.
-
-    The better one stays (quality, filled fields, evidence; the earlier of
-    equals) with the provenance of both and the lower quality, so what stays can
-    change as the fold goes on.
-    """
-
-    def __init__(self):
-        self.slots: list[_Kept] = []
-        self.holders: dict[str, list[int]] = {}  # slots that have a key; it stands for the one that changed last
-        self.changed: list[int] = []
-        self.absorbed: list[tuple[int, str]] = []
-
-    def _take(self, kept: _Kept, new: _Kept, stage: str) -> None:
-        better = new.score() > kept.score()
-        self.absorbed.append((kept.row["ord"] if better else new.row["ord"], stage))
-        kept.meet(new, stage, better)
-
-    def add(self, row: dict) -> Iterator[dict]:
-        keys, new = _source_keys(row), _Kept(row)
-        known = next((k for k in keys if k in self.holders), None)
-        if known is None:
-            slot = len(self.slots)
-            self.slots.append(new)
-            self.changed.append(row["ord"])
-        else:
-            slot = max(self.holders[known], key=self.changed.__getitem__)
-            self._take(self.slots[slot], new, "source_or_content")
-            self.changed[slot] = row["ord"]
-        for k in keys:
-            have = self.holders.setdefault(k, [])
-            if slot not in have:
-                have.append(slot)
-        return iter(())
-
-    def end(self) -> Iterator[dict]:
-        one, *rest = self.slots
-        for other in rest:
-            self._take(one, other, "exact_normalized_record")
-        yield one.result(self.absorbed)
-
-
-def _within(a: dict, b: dict) -> bool:
-    """Whether ``b`` has all fields of ``a``, which has some."""
-    return bool(a) and all(k in b and b[k] == v for k, v in a.items())
-
-
-class IdentityFold:
-    """Records of one identity in order: a record that holds another's fields absorbs it, others go on as they are; the conflicts are counted."""
-
-    def __init__(self):
-        self.kept: _Kept | None = None
-        self.absorbed: list[tuple[int, str]] = []
-
-    def add(self, row: dict) -> Iterator[dict]:
-        part = {k: _folded(v) for k, v in json.loads(row["data"]).items() if _is_filled(v)}
-        if self.kept is None:
-            self.kept, self.part = _Kept(row), part
-        elif _within(part, self.part):
-            self._take(row, False)
-        elif _within(self.part, part):
-            self._take(row, True)
-            self.part = part
-        else:
-            self.kept.conflicts += 1
-            yield row
-
-    def _take(self, row: dict, new_stays: bool) -> None:
-        self.absorbed.append((self.kept.row["ord"] if new_stays else row["ord"], "schema_identity"))
-        self.kept.meet(_Kept(row), "schema_identity", new_stays)
-
-    def end(self) -> Iterator[dict]:
-        yield self.kept.result(self.absorbed)
-
-
-def _folds(batches: Iterator[pa.RecordBatch], fold: type) -> Iterator[pa.RecordBatch]:
-    """Each run of rows of one key (the last column), folded row by row: what is held of a key is what its result will have."""
-    held, at, schema, out = None, None, None, []
-
-    def packed() -> pa.RecordBatch:
-        rows = [{c: row[c] for c in _COLUMNS} | {"provenance": list(dict(row["provenance"] or ()).items())} for row in out]
-        out.clear()
-        return pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    for batch in batches:
-        schema = schema or pa.schema([batch.schema.field(c) for c in _COLUMNS])
-        for row in batch.to_pylist():
-            key = row.pop(batch.schema.names[-1])
-            if held is None or key != at:
-                if held is not None:
-                    out += held.end()
-                held, at = fold(), key
-            out += held.add(row)
-        if out:
-            yield packed()
-    if held is not None:
-        out += held.end()
-        yield packed()
-
-
-def deduplicate(records: DataFrame) -> DataFrame:
-    """The records that stay, with what they absorbed (ord and stage) and, on one row of each identity, its conflicts.
-
-    ``records``: ord, source_urls, content_hashes, data (JSON text), identity
-    (null: none), quality, evidence and contributors (arrays of text) and, if
-    there is more to unite, provenance (name to array of texts). Equal
-    fingerprints meet in one shuffle for the first two stages, identities in a
-    second; records without identity skip it. Rows of a key pass by one by one
-    in their order, and are not gathered. URLs are compared canonically.
-    """
-    rows = records.withColumn("source_urls", F.array_distinct(F.transform("source_urls", lambda u: F.coalesce(canonical_url(u), u))))
-    if "provenance" not in records.columns:
-        rows = rows.withColumn("provenance", F.create_map().cast("map<string,array<string>>"))
-    rows = rows.withColumn("stages", F.array().cast("array<string>")).withColumn("absorbed", F.array().cast("array<struct<ord:bigint,stage:string>>")).withColumn("conflicts", F.lit(0))
-    rows = rows.select(*_COLUMNS)
-    print_of = F.pandas_udf(lambda s: s.map(lambda d: json.dumps(_folded(json.loads(d)), ensure_ascii=False, sort_keys=True, separators=(",", ":"))), "string")
-    printed = rows.withColumn("fingerprint", F.sha2(print_of("data"), 256))
-    equal = _folded_groups(printed, "fingerprint", EqualFold)
-    named = _folded_groups(equal.where("identity is not null"), "identity", IdentityFold)
-    return named.unionByName(equal.where("identity is null"))
-
-
-def _folded_groups(rows: DataFrame, key: str, fold: type) -> DataFrame:
-    """Each group of two or more folded; a row that is alone in its group stays as it is and never leaves the JVM."""
-    sized = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
-    alone = sized.where("_n = 1").select(*_COLUMNS)
-    grouped = sized.where("_n > 1").select(*_COLUMNS, F.col(key).alias("fold_key")).repartition("fold_key").sortWithinPartitions("fold_key", "ord")
-    return small_batches(grouped).mapInArrow(partial(_folds, fold=fold), _RECORD).unionByName(alone)
-
-
 def dedup_metrics(before: DataFrame, after: DataFrame) -> DataFrame:
     """input_records, output_records, duplicates_removed, one count a stage and identity_conflicts_retained."""
     stages = ("source_or_content", "exact_normalized_record", "schema_identity")
