@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions import text
-from attesta.functions.urls import canonical_url
+from attesta.operators import merging
 from attesta.operators.duplicates import deduplicate
 from attesta.operators.extraction import type_ok
+from attesta.session import Stage
 
 EMPTY_JSON = ("null", '""', "[]", "{}")
 IDENTITIES = ("explicit_identity", "normalized_identity", "composite_identity")
@@ -74,19 +75,38 @@ def contributions(records: DataFrame, group: Sequence[str]) -> DataFrame:
     return rows.select(*group, "ord", "nth", "field", "value", key_form(F.col("value"), compatible=False).alias("key"), sure.cast("double").alias("confidence"), "source_url", "chunk_id")
 
 
-_CONFLICT = "struct<kept:string,existing_confidence:double,incoming_confidence:double,incoming_source_url:string,source_chunk_id:string,existing_value:string,incoming_value:string>"
+_CONFLICT = merging.CONFLICT
 
 
-def merge_fields(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+def merge_fields(rows: DataFrame, group: Sequence[str], chunk: int = merging.CHUNK) -> DataFrame:
     """One value of each group and field, its confidence and the conflicts on the way.
 
     Contributions are taken in order: equal values keep the lower confidence, a
     different value replaces the one held only if its confidence is greater, and
-    either way is noted. Lists are united, items compared as values are. The fold is an expression over each
-    (group, field)'s contributions.
+    either way is noted. Lists are united, items compared as values are. Up to
+    ``chunk`` contributions of a field are folded by an expression, more of them
+    in chunks side by side (attesta.operators.merging).
     """
+    keys = [*group, "field"]
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.bool_and(F.col("value").startswith("[")).alias("lists"), F.min("confidence").alias("least"), F.min(F.struct("ord", "nth")).alias("first"))
+    no_conflicts = F.array().cast(f"array<{_CONFLICT}>")
+    single = F.from_json("value", "array<variant>").alias("items")
+    lists = merging.united_lists(rows.join(sizes.where("lists and n > 1").select(*keys), keys, "left_semi"), group, key_form_plain)
+    lists = lists.join(sizes.where("lists and n > 1"), keys).select(*keys, F.col("united").alias("value"), F.col("least").alias("confidence"), no_conflicts.alias("conflicts"), "first")
+    alone = rows.join(sizes.where("lists and n = 1").select(*keys), keys, "left_semi").select("*", single)
+    alone = alone.select(*keys, F.concat(F.lit("["), F.array_join(F.transform("items", lambda v: F.to_json(v)), ","), F.lit("]")).alias("value"), "confidence", no_conflicts.alias("conflicts"), F.struct("ord", "nth").alias("first"))
+    some = _folded_fields(rows.join(sizes.where(~F.col("lists") & (F.col("n") <= chunk)).select(*keys), keys, "left_semi"), keys)
+    out = lists.unionByName(alone).unionByName(some)
+    if not sizes.where(~F.col("lists") & (F.col("n") > chunk)).isEmpty():
+        many = rows.join(sizes.where(~F.col("lists") & (F.col("n") > chunk)).select(*keys), keys, "left_semi")
+        out = out.unionByName(merging.merged_in_chunks(Stage(rows.sparkSession, "merge"), many, group, chunk))
+    return out
+
+
+def _folded_fields(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The fold as an expression over each field's contributions, which are few."""
     items = F.array_sort(F.collect_list(F.struct("ord", "nth", "value", "key", "confidence", "source_url", "chunk_id")))
-    got = rows.groupBy(*group, "field").agg(items.alias("items"))
+    got = rows.groupBy(*keys).agg(items.alias("items"))
     start = F.struct(F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("double").alias("confidence"), F.array().cast(f"array<{_CONFLICT}>").alias("conflicts"))
 
     def step(held: Column, new: Column) -> Column:
@@ -101,16 +121,7 @@ def merge_fields(rows: DataFrame, group: Sequence[str]) -> DataFrame:
         return F.struct(pick("value").alias("value"), pick("key").alias("key"), sure.alias("confidence"), notes.alias("conflicts"))
 
     folded = got.withColumn("m", F.aggregate("items", start, step))
-    lists = F.forall("items", lambda x: x["value"].startswith("["))
-    united = F.transform(F.flatten(F.transform("items", lambda x: F.from_json(x["value"], "array<variant>"))), lambda v: F.struct(key_form_plain(F.to_json(v)).alias("k"), F.to_json(v).alias("v")))
-    first = lambda x, i: F.array_position(F.transform("every", lambda y: y["k"]), x["k"]) == i + 1
-    out = folded.withColumn("every", F.when(lists, united))
-    texts = F.transform(F.when(F.size("items") > 1, F.filter("every", first)).otherwise(F.col("every")), lambda x: x["v"])
-    out = out.withColumn("united", F.when(lists, F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))))
-    return out.select(
-        *group, "field", F.coalesce("united", "m.value").alias("value"), F.when(F.col("united").isNotNull(), F.array_min(F.transform("items", lambda x: x["confidence"]))).otherwise(F.col("m.confidence")).alias("confidence"),
-        F.when(F.col("united").isNotNull(), F.array().cast(f"array<{_CONFLICT}>")).otherwise(F.col("m.conflicts")).alias("conflicts"), F.struct(F.element_at("items", 1)["ord"], F.element_at("items", 1)["nth"]).alias("first"),
-    )
+    return folded.select(*keys, "m.value", "m.confidence", "m.conflicts", F.struct(F.element_at("items", 1)["ord"], F.element_at("items", 1)["nth"]).alias("first"))
 
 
 def resolve(records: DataFrame, schema: Sequence[Mapping], identity_fields: Sequence[str] = ()) -> DataFrame:
