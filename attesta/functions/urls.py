@@ -34,19 +34,27 @@ def canonical_url(url: Column, ascii_host: Column | None = None) -> Column:
     ASCII need ``ascii_host`` (see idna_host), else they give null.
     """
     clean = strip(url)
-    scheme, netloc = F.lower(_part(url, 1)), _part(url, 2)
-    host = F.regexp_extract(netloc, _NETLOC, 1)
-    host = F.lower(F.regexp_replace(host, r"\.+$", "")) if ascii_host is None else ascii_host
-    port = F.regexp_extract(netloc, _NETLOC, 2)
-    number = F.when(port.rlike(r"^[0-9]{1,9}$"), port.cast("int"))
-    valid = (
-        ~clean.rlike(r"[\x00-\x1f]") & clean.rlike(_URL) & scheme.isin("http", "https") & ~netloc.contains("@") & netloc.rlike(_NETLOC)
-        & (host != "") & host.rlike(r"^[\x21-\x7e]+$") & ((port == "") | (number <= 65535))
+    netloc = F.regexp_extract(clean, _URL, 2)
+    parts = F.struct(
+        clean.alias("clean"), F.lower(F.regexp_extract(clean, _URL, 1)).alias("scheme"), netloc.alias("netloc"), F.regexp_extract(clean, _URL, 3).alias("path"), F.regexp_extract(clean, _URL, 4).alias("query"),
+        (_plain_host(netloc) if ascii_host is None else ascii_host).alias("host"), F.regexp_extract(netloc, _NETLOC, 2).alias("port"),
     )
-    default = F.when(scheme == "http", 80).otherwise(443)
-    shown_port = F.when((port != "") & (number != default), F.concat(F.lit(":"), number.cast("string"))).otherwise("")
-    path = F.when(_part(url, 3) == "", "/").otherwise(_part(url, 3))
-    return F.when(valid, F.concat(scheme, F.lit("://"), host, shown_port, path, _part(url, 4)))
+
+    def put_together(p: Column) -> Column:
+        number = F.when(p["port"].rlike(r"^[0-9]{1,9}$"), p["port"].cast("int"))
+        valid = (
+            (p["scheme"].isin("http", "https")) & ~p["clean"].rlike(r"[\x00-\x1f]") & ~p["netloc"].contains("@") & p["netloc"].rlike(_NETLOC)
+            & (p["host"] != "") & p["host"].rlike(r"^[\x21-\x7e]+$") & ((p["port"] == "") | (number <= 65535))
+        )
+        default = F.when(p["scheme"] == "http", 80).otherwise(443)
+        shown_port = F.when((p["port"] != "") & (number != default), F.concat(F.lit(":"), number.cast("string"))).otherwise("")
+        return F.when(valid, F.concat(p["scheme"], F.lit("://"), p["host"], shown_port, F.when(p["path"] == "", "/").otherwise(p["path"]), p["query"]))
+
+    return F.get(F.transform(F.array(parts), put_together), F.lit(0))  # the parts are taken once, whatever uses them
+
+
+def _plain_host(netloc: Column) -> Column:
+    return F.lower(F.regexp_replace(F.regexp_extract(netloc, _NETLOC, 1), r"\.+$", ""))
 
 
 @F.pandas_udf(T.StringType())
@@ -66,8 +74,9 @@ def idna_host(url: pd.Series) -> pd.Series:
 
 def any_canonical_url(url: Column) -> Column:
     """canonical_url, also of hosts outside ASCII, which alone go through the Arrow function."""
-    odd = F.coalesce(_part(url, 2).rlike(r"[^\x00-\x7f]"), F.lit(False))
-    return F.when(odd, canonical_url(url, idna_host(F.when(odd, url)))).otherwise(canonical_url(url))
+    netloc = _part(url, 2)
+    odd = F.coalesce(netloc.rlike(r"[^\x00-\x7f]"), F.lit(False))
+    return canonical_url(url, F.when(odd, idna_host(F.when(odd, url))).otherwise(_plain_host(netloc)))
 
 
 def host_of(url: Column) -> Column:

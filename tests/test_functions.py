@@ -84,3 +84,12 @@ def test_scores(spark):
     assert one(spark, scores.ratio(F.col("a"), F.col("b")), a=1, b=0) == 0.0
     assert [one(spark, scores.bounded(F.col("s")), s=s) for s in ("0.4", "7", "-1", "x", None)] == [0.4, 1.0, 0.0, 0.5, 0.5]
     assert one(spark, scores.record_quality([F.lit(1.0), F.lit(1.0), F.lit(1.0), F.lit(0.8), F.lit(1.0), F.lit(0.5)])  , a=1) == 0.883333
+
+
+def test_a_urls_parts_are_taken_once(spark):
+    """The expression stays small where it is copied into filters and keys, so that it compiles."""
+    df = spark.createDataFrame([("http://a/b",)], "url string")
+    out = df.withColumn("c", urls.any_canonical_url(df.url)).where("c is not null").groupBy("c").count()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") < 60
+    assert len(plan) < 12_000
