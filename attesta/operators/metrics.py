@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions.scores import ratio
@@ -77,4 +77,9 @@ def extraction_metrics(predicted: DataFrame, gold: DataFrame) -> DataFrame:
 
 def stage_counts(rows: DataFrame, column: str, values: Sequence[str], prefix: str = "") -> DataFrame:
     """One row with a count for each of a fixed set of values, zeros included, and the total."""
-    return rows.agg(F.count(F.lit(1)).alias(f"{prefix}total"), *(F.count_if(F.col(column) == v).alias(f"{prefix}{v}") for v in values))
+    return rows.agg(*(c.alias(n) for n, c in stage_counters(column, values, prefix).items()))
+
+
+def stage_counters(column: str, values: Sequence[str], prefix: str = "") -> dict[str, Column]:
+    """The same as aggregates, to be taken while a stage is written."""
+    return {f"{prefix}total": F.count(F.lit(1))} | {f"{prefix}{v}": F.count_if(F.col(column) == v) for v in values}

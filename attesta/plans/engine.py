@@ -10,7 +10,9 @@ in the table of rejections, how much in the manifest's metrics.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +22,21 @@ from attesta.functions import text
 from attesta.functions.scores import selection_quality
 from attesta.functions.urls import any_canonical_url, host_of, matches_any
 from attesta.operators import enrich, evidence, extraction, metrics, outputs, records, silver, sources
+from attesta.session import Stage, numbered
 from attesta.sources import planning, providers
 from attesta.sources.config import Settings
 from attesta.sources.files import Run, write_records
+from attesta.sources.ledger import Ledger
 
 DEFAULT_SCHEMA = [{"field_name": "content", "type": "string", "required": True, "nullable": False}]
 
 
+def fingerprint(df: DataFrame) -> str:
+    """What a table holds, whatever the order of its rows."""
+    whole = F.xxhash64(F.to_json(F.struct("*")))
+    return "-".join(str(x) for x in df.agg(F.count(F.lit(1)), F.sum(whole.cast("decimal(20,0)"))).first())
+
+
 class NotApproved(RuntimeError):
     """The schema draft waits for approval."""
 
@@ -38,6 +48,7 @@ class Engine:
         self.spark, self.request, self.provider = spark, request, provider
         self.settings = settings or Settings.load(spark)
         self.run = Run(spark, folder, name)
+        self.run.of(request, vars(self.settings))  # of the stages before a schema is approved
 
     # Approval
 
@@ -101,12 +112,24 @@ class Engine:
         rows = candidates.withColumns({c: v for c, v in empty.items() if c not in candidates.columns})
         return self.run.stage("registry", lambda: sources.registry_upsert(rows.select("ord", "url", *empty, *(["metadata"] if "metadata" in rows.columns else []))))
 
-    def evaluate(self, candidates: DataFrame, previews: DataFrame | None = None) -> DataFrame:
-        """The policy's decision on each candidate that has a canonical URL, the first of equal ones."""
+    def evaluate(self, candidates: DataFrame, previews: DataFrame | None = None, proposals: DataFrame | None = None) -> DataFrame:
+        """The policy's decision on each candidate that has a canonical URL, the first of equal ones.
+
+        ``proposals``: url and the profile that a model proposes for it (source type,
+        scores and so on). One for an unknown URL, two for one or none for another
+        end the stage.
+        """
 
         def make() -> DataFrame:
             rows = candidates.withColumn("canonical_url", any_canonical_url(F.col("url"))).where("canonical_url is not null")
             rows = sources.first_by(rows, ["canonical_url"], ["ord"])
+            if proposals is not None:
+                said = proposals.withColumn("canonical_url", F.coalesce(any_canonical_url(F.col("url")), "url")).drop("url")
+                wrong = sources.integrity(said, rows).where("issue <> 'ok'")
+                found = [f"{r['issue']}: {r['canonical_url']}" for r in wrong.orderBy("canonical_url").limit(5).collect()]
+                if found:
+                    self.fail(f"proposals and candidates don't agree ({'; '.join(found)})")
+                rows = rows.drop(*(c for c in said.columns if c in rows.columns and c != "canonical_url")).join(said, "canonical_url")
             rows = rows if previews is None else sources.with_previews(rows, previews)
             policy = self.request.get("policy") or {}
             rows = sources.evaluate(rows, policy)
@@ -114,7 +137,12 @@ class Engine:
             q = selection_quality(F.col("final_score"), F.col("information_density_score"), F.col("extractability_score"), F.col("technical_depth_score"), importance)
             return sources.mark_preview_duplicates(rows.withColumn("quality", q).withColumn("domain", host_of(F.col("url"))))
 
-        return self.run.stage("evaluated", make)
+        return self.run.stage("evaluated", make, metrics.stage_counters("decision", ("select", "reject"), "evaluation_"))
+
+    def fail(self, why: str) -> None:
+        """End the run: its status says why."""
+        self.run.save_manifest(status="failed", error=why)
+        raise RuntimeError(why)
 
     def explore(self, registry: DataFrame, evaluated: DataFrame, crawled: DataFrame) -> DataFrame:
         """New candidates from the sites of the chosen and the user's sources. ``crawled``: start_url, ord, url, title, depth, parent_url, success."""
@@ -129,6 +157,18 @@ class Engine:
 
         return self.run.stage("explored", make)
 
+    def register_explored(self, candidates: DataFrame, explored: DataFrame) -> DataFrame:
+        """The registry with the pages that exploration found, after all others in order."""
+
+        def make() -> DataFrame:
+            empty = {"origin": F.lit("request"), "title": F.lit(""), "description": F.lit(""), "provider": F.lit(""), "seed": F.lit(False), "preferred": F.lit(False)}
+            rows = candidates.withColumns({c: v for c, v in empty.items() if c not in candidates.columns}).select(F.col("ord").cast("long").alias("ord"), "url", *empty, *(["metadata"] if "metadata" in candidates.columns else []))
+            last = candidates.agg(F.coalesce(F.max("ord"), F.lit(0)).cast("long").alias("_last"))  # one row
+            found = explored.join(F.broadcast(last)).select((F.col("_last") + 1 + F.col("ord")).alias("ord"), "url", F.concat(F.lit("exploration:"), "start_url").alias("origin"), F.coalesce("title", F.lit("")).alias("title"), F.lit("").alias("description"), F.lit("exploration").alias("provider"), F.lit(False).alias("seed"), F.lit(False).alias("preferred"))
+            return sources.registry_upsert(rows.unionByName(found, allowMissingColumns=True))
+
+        return self.run.stage("registry_explored", make)
+
     def select(self, evaluated: DataFrame, registry: DataFrame | None = None) -> DataFrame:
         """The bounded, diverse choice; the user's own sources where nothing was evaluated."""
 
@@ -154,9 +194,13 @@ class Engine:
             mine = mine.withColumn("metadata", F.coalesce("metadata", F.create_map().cast("map<string,string>")))
             return sources.normalise_acquired(mine).join(mine.select(F.col("url").alias("source_url"), "ord", "html"), "source_url")
 
-        out = self.run.stage("bronze", make)
-        if out.where("success").isEmpty() and not out.isEmpty():
-            raise RuntimeError("no selected source could be acquired")
+        out = self.run.stage("bronze", make, {"requested": F.count(F.lit(1)), "successful": F.count_if(F.col("success")), "failed": F.count_if(~F.col("success"))})
+        wanted = selected.select("url").distinct().count()
+        had = self.run.counted("bronze") or {}
+        if had.get("requested", wanted) != wanted:
+            self.fail(f"{wanted} sources were selected, {had['requested']} acquired")
+        if wanted and not had.get("successful", 1):
+            self.fail("no selected source could be acquired")
         return out
 
     # Silver
@@ -164,7 +208,7 @@ class Engine:
     def clean(self, bronze: DataFrame) -> DataFrame:
         docs = sources.as_pipeline_documents(bronze).join(bronze.where("success").select(F.coalesce(text.empty_to_null(F.col("canonical_url")), "source_url").alias("source"), "ord", "html", "domain", "content_hash"), "source")
         docs = sources.first_by(docs, ["source"], ["ord"])
-        return self.run.stage("silver", lambda: silver.clean(docs, self.settings.minimum_content_words))
+        return self.run.stage("silver", lambda: silver.clean(docs, self.settings.minimum_content_words), metrics.stage_counters("content_status", ("empty", "thin", "usable"), "content_"))
 
     def chunk(self, docs: DataFrame) -> DataFrame:
         s = self.settings
@@ -173,11 +217,13 @@ class Engine:
     def extract(self, docs: DataFrame, chunks: DataFrame) -> DataFrame:
         schema = self.schema()
         pages = docs.where("content_status != 'empty'").select(F.col("source").alias("source_url"), F.col("cleaned_content").alias("content"), "html")
-        routes = self.run.stage("routes", lambda: extraction.route(pages, schema, self.request.get("rules", ()), bool(self.request.get("auto_table", True)), bool(self.request.get("router", True))))
+        routes = self.run.stage("routes", lambda: extraction.route(pages, schema, self.request.get("rules", ()), bool(self.request.get("auto_table", True)), bool(self.request.get("router", True))), metrics.stage_counters("method", ("table", "regex", "css", "xpath", "semantic"), "routing_"))
 
         def make() -> DataFrame:
             fixed = extraction.routed_records(routes, chunks).withColumn("error", F.lit(None).cast("string"))
-            return fixed.unionByName(extraction.semantic_extract(chunks, routes, self.provider))
+            ledger = Ledger(self.settings.call_ledger) if self.settings.call_ledger else None
+            provider = self.provider and partial(providers.with_retries, self.provider, retries=self.settings.extraction_retries)
+            return fixed.unionByName(extraction.semantic_extract(chunks, routes, provider, ledger, json.dumps(schema, sort_keys=True)))
 
         return self.run.stage("extracted", make)
 
@@ -229,7 +275,8 @@ class Engine:
             scored = evidence.source_scores(known, selected.select("url", F.col("quality").alias("score"), "ord"))
             return evidence.gate(scored, self.settings.minimum_evidence_quality, self.settings.allow_partially_supported).withColumn("local_record_id", F.col("record_id"))
 
-        return self.run.stage("gated", make)
+        counters = metrics.stage_counters("status", ("supported", "partially_supported", "unsupported", "contradicted"), "evidence_")
+        return self.run.stage("gated", make, counters | {"gate_total": F.count(F.lit(1)), "gate_true": F.count_if(F.col("accepted")), "gate_false": F.count_if(~F.col("accepted"))})
 
     # Gold
 
@@ -246,11 +293,12 @@ class Engine:
             places = chunks.select("source_url", "chunk_id", F.col("ord").alias("_source"), F.col("chunk_index").cast("long").alias("_chunk"))
             rows = rows.join(places, ["source_url", "chunk_id"])
             nth = F.coalesce(F.regexp_extract("record_id", r"([0-9]+)$", 1).try_cast("long"), F.lit(0))
-            rows = rows.withColumn("ord", F.shiftleft("_source", 40).bitwiseOR(F.shiftleft("_chunk", 20)).bitwiseOR(nth)).drop("_source", "_chunk")
+            rows = numbered(Stage(self.spark, "contributions"), rows.withColumn("_nth", nth), [F.col(c) for c in ("_source", "_chunk", "_nth", "record_id", "source_url")], "ord").drop("_source", "_chunk", "_nth")
             rows = rows.withColumn("local_record_id", F.col("record_id")).withColumn("field_confidence", F.create_map().cast("map<string,double>"))
             return records.resolve(rows, self.schema(), self.request.get("identity_fields", ()))
 
-        return self.run.stage("resolved", make)
+        counters = metrics.stage_counters("resolution_method", (*records.IDENTITIES, "local_record"), "resolution_")
+        return self.run.stage("resolved", make, counters | {"resolution_cross_source": F.count_if(F.size("source_urls") > 1), "resolution_conflicts": F.coalesce(F.sum(F.size("merge_conflicts")), F.lit(0))})
 
     def references(self, fields: DataFrame, resolved: DataFrame) -> DataFrame:
         """resolution_key, field, source_url, chunk_id and evidence_text of every piece of evidence behind a resolved record."""
@@ -281,7 +329,7 @@ class Engine:
             s = self.settings
             return records.validate(judged, self.schema(), True, s.minimum_confidence, s.low_confidence_action)
 
-        return self.run.stage("validated", make)
+        return self.run.stage("validated", make, metrics.stage_counters("validation_status", ("validated", "rejected", "review"), "validation_"))
 
     def deduplicate(self, validated: DataFrame, references: DataFrame, docs: DataFrame) -> DataFrame:
         """What stays of the valid records, with the provenance of all it stands for."""
@@ -320,13 +368,14 @@ class Engine:
 
         return self.run.stage("gold", make)
 
-    def rejections(self, evaluated: DataFrame, bronze: DataFrame, docs: DataFrame, bound: DataFrame, assessed: DataFrame, validated: DataFrame, deduplicated: DataFrame) -> DataFrame:
+    def rejections(self, candidates: DataFrame, evaluated: DataFrame, bronze: DataFrame, docs: DataFrame, bound: DataFrame, assessed: DataFrame, validated: DataFrame, deduplicated: DataFrame) -> DataFrame:
         """All that a stage turned away: stage, what (a URL or record) and reasons."""
 
         def make() -> DataFrame:
             row = lambda df, stage, what, reasons: df.select((F.lit(stage) if isinstance(stage, str) else stage).alias("stage"), F.col(what).cast("string").alias("what"), reasons.alias("reasons"))
             gone = records.dedup_rejections(deduplicated).join(validated.select("ord", "resolution_key"), "ord")
             parts = [
+                row(sources.rejected_urls(candidates), "registry", "url", F.array(F.lit("no absolute HTTP URL"))),
                 row(evaluated.where("decision = 'reject'"), "evaluation", "url", F.col("hard_reasons")), row(bronze.where("not success"), "acquisition", "source_url", F.array(F.coalesce("error", F.lit("")))),
                 row(silver.empty_errors(docs), "chunking", "source_url", F.array("error")), row(bound.where("action = 'quarantine'").select("record_id", "field").distinct(), "evidence", "record_id", F.array(F.concat(F.lit("no evidence:"), F.col("field")))),
                 row(assessed.where("not accepted"), "quality_gate", "record_id", F.col("reasons")), row(validated.where("validation_status != 'validated'"), "validation", "resolution_key", F.col("reasons")), row(gone, F.col("stage"), "resolution_key", F.array(F.lit("duplicate"))),
@@ -335,21 +384,31 @@ class Engine:
 
         return self.run.stage("rejections", make)
 
-    def stage_counts(self, evaluated: DataFrame, bronze: DataFrame, docs: DataFrame, routes: DataFrame, assessed: DataFrame, resolved: DataFrame, validated: DataFrame, deduplicated: DataFrame) -> dict[str, int]:
-        """Counters of the stages: one aggregate each, a row each."""
-        kinds = (
-            (evaluated, "decision", ("select", "reject"), "evaluation_"), (docs, "content_status", ("empty", "thin", "usable"), "content_"), (routes, "method", ("table", "regex", "css", "xpath", "semantic"), "routing_"),
-            (assessed, "status", ("supported", "partially_supported", "unsupported", "contradicted"), "evidence_"), (assessed.withColumn("accepted", F.col("accepted").cast("string")), "accepted", ("true", "false"), "gate_"),
-            (validated, "validation_status", ("validated", "rejected", "review"), "validation_"), (resolved, "resolution_method", (*records.IDENTITIES, "local_record"), "resolution_"),
-        )
+    def stage_counts(self, validated: DataFrame, deduplicated: DataFrame) -> dict[str, int]:
+        """Counters of the stages, as they were taken while each was written."""
         out: dict[str, int] = {}
-        for df, column, values, prefix in kinds:
-            out |= metrics.stage_counts(df, column, values, prefix).first().asDict()
-        out |= resolved.agg(F.count_if(F.size("source_urls") > 1).alias("resolution_cross_source"), F.coalesce(F.sum(F.size("merge_conflicts")), F.lit(0)).alias("resolution_conflicts")).first().asDict()
-        out |= sources.acquisition_metrics(bronze.withColumn("cache_status", F.lit(None).cast("string"))).first().asDict()
+        for stage in ("evaluated", "bronze", "silver", "routes", "gated", "validated", "resolved"):
+            out |= self.run.counted(stage) or {}
+        out["cache_hits"] = 0
         return out | records.dedup_metrics(validated.where("validation_status = 'validated'"), deduplicated).first().asDict()
 
-    def publish(self, gold: DataFrame, references: DataFrame, chunks: DataFrame, bronze: DataFrame, docs: DataFrame, folder: str) -> dict[str, int]:
+    def graph_relations(self, gold: DataFrame, relations: DataFrame, enriched: DataFrame, chunks: DataFrame) -> DataFrame:
+        """resolution_key and relation (source, target, type, source_url, chunk_id) of the relations of a record's own document that a chunk of it shows whole."""
+
+        def make() -> DataFrame:
+            of = enriched.select("ord", F.col("source").alias("source_url")).join(gold.select("source_url").distinct(), "source_url", "left_semi")
+            rows = relations.join(of, "ord")
+            places = chunks.select("source_url", "chunk_id", "chunk_index", "content")
+            shown = rows.join(places, "source_url").where(F.contains("content", F.col("source_entity")) & F.contains("content", F.col("target_entity")))
+            first = shown.groupBy("source_url", "ord", "i", "j", "source_entity", "target_entity", "relation_type").agg(F.min_by("chunk_id", "chunk_index").alias("chunk_id"))
+            ident = F.concat_ws(":", F.col("ord").cast("string"), F.col("i").cast("string"), F.col("j").cast("string"))
+            reference = lambda c: F.struct("source_url", "chunk_id", F.col(c).alias("evidence_text"))
+            kept = outputs.backed_relations(first.select(ident.alias("relation_id"), F.col("source_entity").alias("source"), F.col("target_entity").alias("target"), F.col("relation_type").alias("type"), "source_url", "chunk_id", F.array(reference("source_entity"), reference("target_entity")).alias("references")), chunks)
+            return gold.select("resolution_key", "source_url").join(kept, "source_url").select("resolution_key", F.struct("source", "target", "type", "source_url", "chunk_id").alias("relation"))
+
+        return self.run.stage("graph_relations", make)
+
+    def publish(self, gold: DataFrame, references: DataFrame, chunks: DataFrame, bronze: DataFrame, docs: DataFrame, folder: str, relations: Callable[[], DataFrame] | None = None) -> dict[str, int]:
         """Write the profiles asked for and return how many records each has."""
         schema, name, s = self.schema(), str(self.request.get("name", "dataset")), self.settings
         form = str(self.request.get("output_format", s.output_format))
@@ -357,7 +416,7 @@ class Engine:
         identity = self.request.get("identity_fields") or ([guess] if guess else [])
         made = {
             "structured": lambda: outputs.structured_records(gold, schema, name, "1.0"), "rag": lambda: outputs.rag_records(gold, chunks, schema, name, "1.0"),
-            "graphrag": lambda: outputs.graph_records(gold, outputs.claims(gold, references, chunks), identity, None, name, "1.0"),
+            "graphrag": lambda: outputs.graph_records(gold, outputs.claims(gold, references, chunks), identity, relations() if relations else None, name, "1.0"),
         }
         counts, where = {}, lambda what: f"{folder}/{what}.json" if form == "json" else f"{folder}/{what}"
         for profile in outputs.profiles(self.request.get("profiles"), True):
@@ -369,16 +428,24 @@ class Engine:
                 write_records(df, where(what), form)
         return counts
 
-    def execute(self, candidates: DataFrame, fetched: DataFrame, folder: str, previews: DataFrame | None = None, crawled: DataFrame | None = None) -> dict[str, int]:
-        """All stages, from candidates and what was fetched of them to files."""
+    def execute(self, candidates: DataFrame, fetched: DataFrame, folder: str, previews: DataFrame | None = None, crawled: DataFrame | None = None, proposals: DataFrame | None = None) -> dict[str, int]:
+        """All stages, from candidates and what was fetched of them to files.
+
+        Stages are those of the request, the schema, the settings and the contents of
+        candidates, previews, crawled pages and proposals; pages fetched anew for the
+        same candidates need a run of another name. Without an eligible source, and
+        without any content, the run ends as failed.
+        """
         self.draft_schema()
         schema = self.schema() if self.settings.require_schema_approval else self.request.get("schema") or DEFAULT_SCHEMA
-        self.run.of(self.request, schema, vars(self.settings))
+        self.run.of(self.request, schema, vars(self.settings), *(None if df is None else fingerprint(df) for df in (candidates, previews, crawled, proposals)))
         registry = self.register(candidates)
-        evaluated = self.evaluate(candidates, previews)
+        evaluated = self.evaluate(candidates, previews, proposals)
         if crawled is not None:
-            self.explore(registry, evaluated, crawled)
+            registry = self.register_explored(candidates, self.explore(registry, evaluated, crawled))
         selected = self.select(evaluated, registry)
+        if selected.isEmpty():
+            self.fail("no source is eligible")
         if previews is not None:
             self.run.stage("schema_previews", lambda: sources.schema_previews(selected, previews))
         decisions = evaluated.select("canonical_url", "decision", F.col("hard_reasons").alias("reasons"))
@@ -387,6 +454,8 @@ class Engine:
         bronze = self.acquire(fetched, selected)
         docs = self.clean(bronze)
         chunks = self.chunk(docs)
+        if chunks.isEmpty():
+            self.fail("no source has content")
         extracted = self.extract(docs, chunks)
         bound = self.bind(extracted, chunks)
         fields = self.validate_evidence(bound)
@@ -394,13 +463,12 @@ class Engine:
         resolved = self.resolve(fields, assessed, chunks)
         enriched = self.enrich(docs, extracted)
         self.run.stage("entities", lambda: enrich.mentions(enriched, self.request.get("entity_types", {})))
-        self.run.stage("relations", lambda: enrich.relations(enriched, self.request.get("relation_rules", ())))
+        relations = self.run.stage("relations", lambda: enrich.relations(enriched, self.request.get("relation_rules", ())))
         validated = self.validate(resolved, enriched)
         references = self.run.stage("references", lambda: self.references(fields, resolved))
         deduplicated = self.deduplicate(validated, references, docs)
         gold = self.gold(validated, deduplicated)
-        self.rejections(evaluated, bronze, docs, bound, assessed, validated, deduplicated)
-        counts = self.publish(gold, references, chunks, bronze, docs, folder)
-        metrics_ = self.stage_counts(evaluated, bronze, docs, self.run.stage("routes", lambda: None), assessed, resolved, validated, deduplicated)
-        self.run.save_manifest(status="completed", outputs=counts, metrics=metrics_)
+        self.rejections(candidates, evaluated, bronze, docs, bound, assessed, validated, deduplicated)
+        counts = self.publish(gold, references, chunks, bronze, docs, folder, lambda: self.graph_relations(gold, relations, enriched, chunks))
+        self.run.save_manifest(status="completed", outputs=counts, metrics=self.stage_counts(validated, deduplicated))
         return counts

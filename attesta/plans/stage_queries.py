@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta.functions import text, urls
-from attesta.operators import enrich, evidence, extraction, outputs, records, silver, sources
+from attesta.operators import crawl, enrich, evidence, extraction, outputs, records, silver, sources
 from attesta.plans.queries import _EVAL, _FINAL, _PREVIEW, _QUALITY, documents, profiled, qualified, query
 from attesta.plans.record_queries import _IDS, _TURNS, doc_chunks, doc_records, turn_records
-from attesta.session import table
-from attesta.sources import providers
+from attesta.session import Stage, table
+from attesta.sources import pages, providers, registry
 
 _TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
 
@@ -232,3 +232,55 @@ def rank_token_count(spark, sf_dir):
     ranks = {bytes([b]): b for b in range(256)} | {p.encode(): 256 + i for i, p in enumerate(_PAIRS)}
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), "source", F.lit("").alias("title"), F.col("text").alias("cleaned_content"))
     return silver.chunk(docs, enabled=False, by=silver.RankCounter(ranks=ranks)).select(F.col("ord").alias("doc_id"), F.col("token_count").alias("tokens"))
+
+
+# Sources as they grow
+
+
+def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("page_id")
+    pages = table(spark, sf_dir, "pages")
+    one = pages.select(p.alias("ord"), "url", F.lit("search").alias("origin"), F.lit("").alias("title"), F.lit("").alias("description"), F.lit("Web").alias("provider"), F.lit(False).alias("seed"), F.lit(False).alias("preferred"), p.alias("page_id"))
+    two = pages.select((-1 - p).alias("ord"), F.concat("url", F.lit("#again")).alias("url"), F.lit("crawl").alias("origin"), F.concat(F.lit("t"), p.cast("string")).alias("title"), F.lit("").alias("description"), F.lit("WEB").alias("provider"), (p % 5 == 0).alias("seed"), F.lit(False).alias("preferred"), p.alias("page_id"))
+    return one.unionByName(two)
+
+
+@query("SELECT {canonical} AS canonical_url, min(-1 - page_id) AS ord, arg_max('t' || page_id, page_id) AS title, bool_or(page_id % 5 = 0) AS user_seed, count(DISTINCT url) + count(DISTINCT url || '#again') AS n_urls, 'crawl search' AS origins, 'WEB' AS providers FROM pages GROUP BY 1")
+def registry_in_batches(spark, sf_dir):
+    """Pages found twice, taken into a registry in two batches of which the later comes first in order."""
+    stage = Stage(spark, "registry")
+    held = registry.Registry(spark, stage.path("facts"), 8)
+    found = _found(spark, sf_dir)
+    for rows in (found.where("ord >= 0"), found.where("ord < 0")):
+        held.merge(rows.drop("page_id"))
+    return held.read().select("canonical_url", "ord", "title", "user_seed", F.size("original_urls").cast("long").alias("n_urls"), F.array_join("origins", " ").alias("origins"), F.array_join("providers", " ").alias("providers"))
+
+
+def _site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A site whose pages are the targets of pages' first links, each linking to the targets that come after."""
+    targets = F.filter(sources.links(F.col("html")), lambda x: x.rlike(r"^/[A-Za-z]+$"))
+    rows = table(spark, sf_dir, "pages").select(targets.alias("l")).where(F.size("l") > 1)
+    at = lambda c: F.concat(F.lit("http://site.org"), c)
+    return rows.select(at(F.get("l", F.lit(0))).alias("url"), F.explode(F.slice("l", 2, 1000)).alias("t")).select("url", at(F.col("t")).alias("link"), F.substring("t", 2, 100).alias("title")).distinct()
+
+
+@query(
+    r"""WITH RECURSIVE l AS (SELECT list_filter(list_transform(regexp_extract_all(html, 'href="([^"]*)"', 1), lambda x: trim(x)), lambda x: regexp_matches(x, '^/[A-Za-z]+$')) AS l FROM pages),
+    e AS (SELECT DISTINCT l[1] AS a, unnest(l[2:]) AS b FROM l WHERE len(l) > 1),
+    s AS (SELECT a FROM e GROUP BY a ORDER BY count(*) DESC, a LIMIT 1),
+    r AS (SELECT a AS page, 0 AS depth FROM s UNION SELECT e.b, depth + 1 FROM r JOIN e ON e.a = r.page WHERE depth < 3)
+    SELECT 'http://site.org' || page AS url, min(depth) AS depth FROM r, s WHERE page <> a GROUP BY page"""
+)
+def crawl_frontier(spark, sf_dir):
+    """All pages of a site within three links of the one with most links; the round takes whole depths, so a page's depth is the least."""
+    site = Stage(spark, "site").put(_site(spark, sf_dir), "links")
+    start = site.groupBy("url").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "url").limit(1).select("url")
+    found = crawl.crawl(start, lambda wanted: wanted.join(site, "url").select("url", "link", "title"), ["the"], max_depth=3, max_pages=1 << 30, a_round=1 << 30)
+    return found.select("url", "depth")
+
+
+@query(r"SELECT url, html, true AS success FROM pages WHERE url IS NOT NULL")
+def pages_source(spark, sf_dir):
+    """Pages read through the data source, its fixture being the table."""
+    pages.register(spark)
+    return spark.read.format(pages.NAME).option("path", f"{sf_dir}/pages.parquet").load().select("url", "html", "success")

@@ -34,21 +34,14 @@ class Settings:
     max_depth: int = 2
     max_pages_per_domain: int = 10
     max_start_domains: int = 5
-    output_format: str = "json"
+    output_format: str = "jsonl"
     save_raw_content: bool = False
     save_clean_content: bool = False
     require_schema_approval: bool = True
-    data_source_provider: str = "mock"
     search_limit: int = 10
-    request_timeout: int = 60
     fetch_delay_seconds: float = 0.25
-    page_timeout_ms: int = 60000
-    cache_mode: str = "enabled"
-    pruning_threshold: float = 0.45
-    model_retries: int = 2
     extraction_retries: int = 3
-    structured_output_mode: str = "auto"
-    output_directory: str = "knowledge/datasets"
+    call_ledger: str = ""
     log_level: str = "INFO"
 
     @classmethod

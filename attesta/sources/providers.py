@@ -1,8 +1,9 @@
 """Connectors: what fetches, searches or extracts comes in as a function and runs on the executors.
 
 A provider's call fails for its own row alone: the failure becomes a row with
-success = false and its error, and retries happen inside the call, so that
-Spark never repeats a call that was paid for because another one failed.
+success = false and its error, and retries happen inside the call. A task that is
+repeated, because its executor was lost, makes its calls again, but for those
+that a ledger has (attesta.sources.ledger).
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attesta.functions.urls import host_of
 from attesta.operators.sources import pending
+from attesta.session import Stage, numbered
 
 FETCHED = "ord long, url string, redirected_url string, success boolean, error string, raw_markdown string, fit_markdown string, html string, cache_status string, metadata map<string,string>"
 #: Answers that another attempt doesn't change (fixed values).
@@ -42,23 +45,61 @@ def with_retries(call: Callable, *args, retries: int = 2, wait: Callable[[float]
     return None
 
 
-def acquire(urls: DataFrame, fetch: Callable[[str], Mapping], concurrency: int = 4, retries: int = 2, pause: float = 0.0) -> DataFrame:
-    """One row for each URL (ord, url), fetched in ``concurrency`` lanes; ``ord`` is the order of the request."""
+def fetched_row(o: int, url: str, fetch: Callable[[str], Mapping], retries: int) -> tuple:
+    """A row of FETCHED; a failure is one too."""
+    try:
+        got = with_retries(fetch, url, retries=retries)
+        return o, url, got.get("redirected_url"), True, None, got.get("raw_markdown", ""), got.get("fit_markdown"), got.get("html"), got.get("cache_status"), {str(k): str(v) for k, v in (got.get("metadata") or {}).items()}
+    except Exception as error:  # noqa: BLE001
+        return o, url, None, False, f"{type(error).__name__}: {error}", "", None, None, None, {}
+
+
+def with_slots(urls: DataFrame, lanes: int, delay: float, per_host: bool = True) -> DataFrame:
+    """The rows (ord, url) with ``starts``, the seconds after the beginning when each may start, and its lane.
+
+    The n-th URL of a host (or of all, if not ``per_host``) starts at n x ``delay``.
+    Lanes take slots in turn, whatever their hosts: a host of a third of all URLs
+    is in every lane. Numbers come from the global order, so no host is one task.
+    """
+    host = F.coalesce(host_of(F.col("url")), F.lit("")) if per_host else F.lit("")
+    rows = numbered(Stage(urls.sparkSession, "slots"), urls.select("ord", "url", host.alias("_host")), [F.col("_host"), F.col("ord"), F.col("url")], "_n")
+    first = rows.groupBy("_host").agg(F.min("_n").alias("_first"))
+    rows = rows.join(first, "_host").withColumn("_slot", F.col("_n") - F.col("_first"))
+    return rows.select("ord", "url", (F.col("_slot") * F.lit(float(delay))).alias("starts"), F.pmod(F.col("_slot") + F.xxhash64("_host"), F.lit(lanes)).cast("int").alias("lane"))
+
+
+def acquire(urls: DataFrame, fetch: Callable[[str], Mapping], concurrency: int = 4, retries: int = 2, pause: float = 0.0, per_host: bool = True, clock: Callable[[], float] = time.time, wait: Callable[[float], None] = time.sleep) -> DataFrame:
+    """One row for each URL (ord, url), fetched in ``concurrency`` lanes; ``ord`` is the order of the request.
+
+    With a ``pause`` the starts of a host's URLs are that far apart over all lanes
+    (with_slots), counted from when this is called; a lane goes through its slots
+    in their order. Rows come out in the order of starts within a lane: order by
+    ``ord`` for that of the request.
+    """
+    began = clock()
+    fields = [c.split(" ")[0] for c in FETCHED.split(", ")]
+    if not pause:
+        dealt = urls.select("ord", "url", F.lit(0.0).alias("starts"), F.lit(0).alias("lane")).repartition(concurrency, "url")
+    else:
+        dealt = with_slots(urls, concurrency, pause, per_host).repartitionByRange(concurrency, "lane").sortWithinPartitions("starts", "ord")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for o, url in zip(frame["ord"], frame["url"], strict=True):
-                try:
-                    got = with_retries(fetch, url, retries=retries)
-                    rows.append((o, url, got.get("redirected_url"), True, None, got.get("raw_markdown", ""), got.get("fit_markdown"), got.get("html"), got.get("cache_status"), {str(k): str(v) for k, v in (got.get("metadata") or {}).items()}))
-                except Exception as error:  # noqa: BLE001
-                    rows.append((o, url, None, False, f"{type(error).__name__}: {error}", "", None, None, None, {}))
-                if pause:
-                    time.sleep(pause)
-            yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in FETCHED.split(", ")])
-
-    return urls.select("ord", "url").repartition(concurrency, "url").mapInPandas(run, FETCHED)
+            for o, url, starts in zip(frame["ord"], frame["url"], frame["starts"], strict=True):
+                while pause and (left := began + starts - clock()) > 0:
+                    wait(left)
+                rows.append(fetched_row(o, url, fetch, retries))
+            yield pd.DataFrame(rows, columns=fields)
+
+    return dealt.mapInPandas(run, FETCHED)
+
+
+def in_request_order(urls: DataFrame, got: DataFrame) -> DataFrame:
+    """A row for each URL asked for, numbered by ``ord``: what the provider left out is a failure, what it gave beyond is dropped."""
+    return urls.select("ord", "url").join(got.drop("ord").dropDuplicates(["url"]), "url", "left").withColumns({
+        "error": F.when(F.col("success").isNull(), "the provider gave no result").otherwise(F.col("error")), "success": F.coalesce("success", F.lit(False)), "raw_markdown": F.coalesce("raw_markdown", F.lit("")),
+    })
 
 
 def search(spark: SparkSession, queries: list[str], find: Callable[[str, int], list[Mapping]], limit: int) -> DataFrame:

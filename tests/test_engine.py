@@ -48,7 +48,7 @@ def test_a_run_from_candidates_to_files(spark, tmp_path):
     assert sorted(len(r.contributors) for r in gold.values()) == [1, 1, 3] and all(len(r.source_titles) == len(r.source_urls) for r in gold.values())
     assert spark.read.parquet(engine.run.path("registry_after")).where("selection_state = 'selected'").count() == 3
     again = Engine(spark, str(tmp_path / "runs"), "people run/1", REQUEST, settings)
-    assert again.execute(candidates.limit(0), fetched.limit(0), str(tmp_path / "out")) == counts
+    assert again.execute(candidates, fetched.limit(0), str(tmp_path / "out")) == counts
     again.cancel()
     with pytest.raises(NotApproved):
         again.schema()
@@ -63,8 +63,11 @@ def test_what_stages_turn_away_and_another_request(spark, tmp_path):
     crawled = spark.createDataFrame([("http://a.com/table", 0, "http://a.com/more", "t", 1, "http://a.com/table", True), ("http://a.com/table", 1, "http://z.com/x", "t", 1, "http://a.com/table", True)], "start_url string, ord long, url string, title string, depth int, parent_url string, success boolean")
     engine.execute(candidates.union(bad), fetched, str(tmp_path / "out"), crawled=crawled)
     gone = {(r.stage, r.what) for r in spark.read.parquet(engine.run.path("rejections")).collect()}
-    assert {("evaluation", "http://e.com/poor"), ("acquisition", "http://d.com/none")} <= gone and not any("junk" in w for _, w in gone)
+    assert {("evaluation", "http://e.com/poor"), ("acquisition", "http://d.com/none")} <= gone and ("registry", "junk") in gone
     assert [r.url for r in spark.read.parquet(engine.run.path("explored")).collect()] == ["http://a.com/more"]
+    known = {r.canonical_url: r for r in spark.read.parquet(engine.run.path("registry_after")).collect()}
+    assert known["http://a.com/more"].origins == ["exploration:http://a.com/table"] and known["http://a.com/more"].selection_state == "pending"
+    assert len(known) == 6
     assert len(json.loads((tmp_path / "out/structured.json").read_text())) == 3 and len(json.loads((tmp_path / "out/clean.json").read_text())) == 3
     other = Engine(spark, str(tmp_path / "runs"), "r", REQUEST | {"max_sources": 1}, settings)
     assert other.execute(candidates, fetched, str(tmp_path / "out2"))["structured"] < 3
