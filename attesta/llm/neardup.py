@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm._hash import SHINGLE, bags, fresh, mix, salt, shingles, unit, word_hashes
-from attesta.session import Stage, compact, small_batches
+from attesta.session import Stage, compact, small_batches, with_row_keys
 
 SIMILARITY = 0.8
 #: Bands and registers a band: a pair of similarity 0.8 meets in some band but for 3 in a million.
@@ -44,6 +44,10 @@ ROOT_BITS = 8
 BLOCK, PART = 128, 1024
 #: Least and most bits of the broadcast filter for candidates; what it lets through in excess, a join removes.
 FILTER_BITS = (1 << 16, 1 << 26)
+#: Prints that a task remembers, so as to make the bag of copies once.
+SEEN = 1 << 18
+#: Rows that go, as (file, row) pairs of _ROW_BYTES, that are broadcast at once.
+DROP_BYTES, _ROW_BYTES = 64 << 20, 32
 #: Share of a table's partitions that tables of links, labels and ids are written in.
 NARROW = 0.25
 #: Units of weight whose points are drawn at once.
@@ -159,13 +163,15 @@ def _units(elem: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def _bags(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
-    """print and bag of the texts that the filter lets through: their distinct (shingle, unit of weight) hashes, sorted."""
-    bits = wanted.value
+    """print and bag of the texts that the filter lets through: their distinct (shingle, unit of weight) hashes, sorted. Of copies that a task has seen, SEEN at most, it gives one."""
+    bits, seen = wanted.value, set()
     for batch in batches:
         for _, h, firsts in word_hashes(batch.column(0)):
             prints = _prints(h, firsts)
             place = np.frombuffer(b"".join(p[:8] for p in prints), "<u8") % np.uint64(64 * len(bits))
             keep = np.flatnonzero(bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1))
+            keep = np.array([i for i in keep.tolist() if not (prints[i] in seen or seen.add(prints[i]))], np.int64)
+            seen = seen if len(seen) < SEEN else set()
             out = []
             for i in keep.tolist():
                 grams, first = shingles(h[firsts[i] : firsts[i + 1]], np.array([0, firsts[i + 1] - firsts[i]]))
@@ -397,24 +403,40 @@ def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: in
     return out
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = DROP_BYTES, **kwargs) -> DataFrame:
     """One row of each class, that of the smallest id, decided for each row by its id and text.
 
     Rows without id come after those with one: a class without ids keeps one row.
     Texts that share an id stand for themselves, each in its own class. Of equal
     ids in a class the text of the smallest SHA-256 stays, of rows equal in both
-    one. Null and empty texts are a class; all columns stay, whatever their
-    names; an empty table gives an empty result.
+    that of the smallest hash of all columns (maps aside), and of wholly equal ones
+    one. Null and empty texts are a class; all columns stay, whatever their names;
+    an empty table gives an empty result.
+
+    Rows are told apart by file and place, and the ones that go meet the table by
+    these, broadcast in passes of ``limit`` bytes that each read files of their own:
+    no text is shuffled. A pass of more than twice as many joins by shuffle.
     """
     stage = Stage(docs.sparkSession, "dedup")
-    name, body = F.col(id_col), F.col(text_col)
+    docs, place = with_row_keys(stage, docs)
+    body = F.col(text_col)
     sha = F.substring(F.unhex(F.sha2(F.coalesce(body, F.lit("")), 256)), 1, 16)
-    key = F.struct(name.isNull().alias("lost"), F.coalesce(name, F.lit("0").cast(docs.schema[id_col].dataType)).alias("id"), body.isNull().alias("void"), sha.alias("sha"))
+    plain = [F.col(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    zero = F.lit("0").cast(docs.schema[id_col].dataType)
+    key = F.struct(F.col(id_col).isNull().alias("lost"), F.coalesce(F.col(id_col), zero).alias("id"), body.isNull().alias("void"), sha.alias("sha"), F.xxhash64(*plain).alias("all"), place["file"].alias("file"), place["row"].alias("row"))
     classes = duplicate_classes(docs.select(key.alias("row_key"), body.alias("row_text")), id_col="row_key", text_col="row_text", **kwargs)
-    mine, kept = fresh("row_key", docs.columns), fresh("kept_key", docs.columns)
-    keep = stage.put(compact(classes.where("doc_id = class_id").select(F.col("doc_id").alias(kept)).distinct(), NARROW), "keep")
-    left = docs.withColumn(mine, key).join(keep, F.col(mine) == F.col(kept), "left_semi")
-    return compact(left.dropDuplicates([mine]).drop(mine))
+    file, row = fresh("gone_file", docs.columns), fresh("gone_row", docs.columns)
+    gone = classes.where("doc_id != class_id").select(F.col("doc_id.file").alias(file), F.col("doc_id.row").alias(row))
+    gone = stage.put(compact(gone, NARROW), "gone")
+    passes = max(1, -(-gone.count() * _ROW_BYTES // limit))
+    share = F.pmod(file, F.lit(passes))
+    sizes = {r[0]: r[1] * _ROW_BYTES for r in gone.groupBy(share).count().collect()} if passes > 1 else {}
+    placed, out = docs.withColumns({file: place["file"], row: place["row"]}), None
+    for i in range(passes):
+        some = gone.where(share == i)
+        left = placed.where(share == i).join(F.broadcast(some) if sizes.get(i, 0) <= 2 * limit else some, [file, row], "left_anti")
+        out = left if out is None else out.unionByName(left)
+    return compact(out.drop(file, row))
 
 
 __all__ = ["SHINGLE", "deduplicated", "duplicate_classes", "overlap", "signatures"]

@@ -164,3 +164,21 @@ def test_components(spark):
     out = neardup.components(Stage(spark, "test"), spark.createDataFrame(edges, "a long, b long"), "c")
     assert {r.node: r.label for r in out.collect()} == {n: u for n, u in up.items() if n not in lone}
     assert neardup.components(Stage(spark, "test"), spark.createDataFrame([], "a long, b long"), "c").count() == 0
+
+
+def test_survivors_are_the_same_each_time_and_in_passes(spark, prose, docs_of):
+    text = prose(80, 5)
+    rows = [(i, text if i % 2 else prose(60, i), "s", "en", i % 7) for i in range(40)] + [(3, text, "t", "de", 1), (3, text, "a", "fr", 2), (1, text, "q", "es", 4), (1, text, "p", "es", 4)] * 2
+    want = None
+    for parts, limit in ((1, 1 << 20), (5, 200), (3, 40)):
+        got = sorted(map(tuple, deduplicated(docs_of(rows).repartition(parts), limit=limit).collect()), key=str)
+        assert len(got) == 21 and sum(r[1] == text for r in got) == 1
+        assert want in (None, got)
+        want = got
+
+
+def test_pages_of_one_template_stay_apart(spark, prose, docs_of):
+    frame = prose(110, 9)
+    rows = [(i, f"{frame} {prose(40, 1000 + i)}") for i in range(60)]
+    got = duplicate_classes(docs_of(rows)).collect()
+    assert all(r["doc_id"] == r["class_id"] for r in got)
