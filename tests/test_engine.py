@@ -204,3 +204,43 @@ def test_streams(spark, tmp_path):
     q = ingest.clean_into(ingest.stream_of(spark, str(tmp_path / "docs"), "content string"), str(tmp_path / "clean"), str(tmp_path / "c2")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert [r.cleaned_content for r in spark.read.parquet(str(tmp_path / "clean")).collect()] == ["Hello there"]
+
+
+def test_proposals_that_dont_agree_end_the_run(spark, tmp_path):
+    candidates, fetched = inputs(spark)
+    plain = candidates.select("ord", "url", "preview_text", "preview_success")
+    said = candidates.drop("ord", "preview_text", "preview_success")
+    settings = config.Settings(minimum_content_words=5, require_schema_approval=False)
+    bad = said.where("url <> 'http://c.com/copy'").unionByName(said.limit(1)).unionByName(said.limit(1).withColumn("url", F.lit("http://x.org/")))
+    engine = Engine(spark, str(tmp_path / "runs"), "bad", REQUEST, settings)
+    with pytest.raises(RuntimeError, match="duplicate: http://a.com/table; missing: http://c.com/copy; unknown: http://x.org/"):
+        engine.evaluate(plain, proposals=bad)
+    assert engine.run.manifest()["status"] == "failed"
+    good = Engine(spark, str(tmp_path / "runs"), "good", REQUEST, settings)
+    assert {r.decision for r in good.evaluate(plain, proposals=said).collect()} == {"select"}
+
+
+def test_nothing_eligible_ends_the_run(spark, tmp_path):
+    candidates, fetched = inputs(spark)
+    poor = candidates.withColumns({"topic_relevance_score": F.lit(0.0), "authority_score": F.lit(0.0)})
+    engine = Engine(spark, str(tmp_path / "runs"), "poor", REQUEST, config.Settings(require_schema_approval=False))
+    with pytest.raises(RuntimeError, match="eligible"):
+        engine.execute(poor, fetched, str(tmp_path / "out"))
+    assert engine.run.manifest()["status"] == "failed"
+
+
+def test_searches_of_one_name_are_kept_apart(spark, tmp_path):
+    find = lambda query, most: [{"url": f"http://{query}.org/"}]
+    urls = [[r.url for r in Engine(spark, str(tmp_path / "runs"), "people", {"topic": topic}, config.Settings()).search(find).collect()] for topic in ("alpha", "beta", "alpha")]
+    assert urls == [["http://alpha.org/"], ["http://beta.org/"], ["http://alpha.org/"]]
+
+
+def test_relations_of_a_records_document(spark, tmp_path):
+    candidates, fetched = inputs(spark)
+    texts = fetched.withColumn("raw_markdown", F.when(F.col("url") == "http://b.com/prose", F.lit("Name: Ada. Grace Hopper met Alan Turing. " + "More words are here to read. " * 4)).otherwise(F.col("raw_markdown")))
+    engine = Engine(spark, str(tmp_path / "runs"), "graph", REQUEST | {"profiles": ["graph_rag"]}, config.Settings(minimum_content_words=5, require_schema_approval=False))
+    engine.execute(candidates.where("ord = 1"), texts, str(tmp_path / "out"))
+    graph = [json.loads(x) for p in Path(tmp_path, "out/graphrag").glob("part-*") for x in p.read_text().splitlines()]
+    pairs = {(r["source"], r["target"], r["type"]) for g in graph for r in g["relations"]}
+    assert ("Grace Hopper", "Alan Turing", "RELATED_TO") in pairs
+    assert all(r["source_url"] == "http://b.com/prose" and r["chunk_id"] for g in graph for r in g["relations"])
