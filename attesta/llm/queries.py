@@ -83,6 +83,22 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_tool_calls(calls, results, TURN_SCHEMAS).withColumn("errors", F.array_join("errors", ";"))
 
 
+def call_argument_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with calls made of turns: the length is a text where the turn has several lines, long texts are left out, a note comes with texts that have a comma."""
+    from pyspark.sql import functions as F
+
+    from attesta.llm.tool_calls import TURN_SCHEMAS, argument_errors, quoted
+
+    said = F.coalesce("text", F.lit(""))
+    length = F.char_length(said).cast("string")
+    fields = F.array(
+        F.concat(F.lit('"turn":'), F.coalesce(F.col("turn").cast("string"), F.lit("0"))), F.concat(F.lit('"chars":'), F.when(F.contains(said, F.lit("\n")), quoted(length)).otherwise(length)),
+        F.when(F.char_length(said) <= 100, F.concat(F.lit('"text":'), quoted(said))), F.when(F.contains(said, F.lit(",")), F.lit('"note":true')),
+    )
+    calls = table(spark, sf_dir, "conversations").withColumn("arguments", F.concat(F.lit("{"), F.array_join(F.array_compact(fields), ","), F.lit("}")))
+    return calls.select("conv_id", "turn", F.array_join(argument_errors(F.coalesce("role", F.lit("")), F.col("arguments"), TURN_SCHEMAS), ";").alias("errors"))
+
+
 def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -119,8 +135,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_sentence_pieces": op11_sentence_pieces,
     "op12_filter_audit": op12_filter_audit,
     "op13_prefix_trie": op13_prefix_trie,
+    "call_argument_errors": call_argument_errors,
 }
 ORACLES: dict[str, str] = {
+    "call_argument_errors": r"""
+        SELECT conv_id, turn, CASE WHEN coalesce(role, '') NOT IN ('user', 'system') THEN 'unknown_tool' ELSE array_to_string(list_filter([CASE WHEN contains(t, chr(10)) THEN 'type:chars' END, CASE WHEN length(t) > 100 THEN 'missing:text' END,
+               CASE WHEN contains(t, ',') THEN 'unknown:note' END], lambda x: x IS NOT NULL), ';') END AS errors FROM (SELECT *, coalesce(text, '') AS t FROM conversations)""",
     "op12_filter_audit": r"""
         WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
              w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false) AS copy FROM t),

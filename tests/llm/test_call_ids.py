@@ -1,6 +1,6 @@
 """Calls whose ids restart in each conversation, or repeat within one."""
 
-from attesta.llm.queries import op10_tool_calls
+from attesta.llm.queries import ORACLES, call_argument_errors, op10_tool_calls
 from attesta.llm.tool_calls import link_tool_calls
 
 CALLS, RESULTS = "conv_id long, call_id string, ord long, name string, arguments string, after string", "conv_id long, call_id string, ord long, content string"
@@ -20,3 +20,14 @@ def test_the_query_keeps_different_turns_of_one_number(spark, tmp_path):
     rows = [(1, 0, "user", "hello"), (1, 0, "user", "other"), (1, 0, "user", "other"), (1, 1, "assistant", "hi")]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     assert sorted(r.status for r in op10_tool_calls(spark, str(tmp_path)).collect()) == ["duplicate_id", "linked"]
+
+
+def test_argument_errors_from_data(spark, sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf_dir}/conversations.parquet'")
+    want = sorted(con.execute(ORACLES["call_argument_errors"]).fetchall())
+    assert sorted(map(tuple, call_argument_errors(spark, sf_dir).collect())) == want
+    found = {e for r in want for e in r[2].split(";")}
+    assert {"type:chars", "missing:text", "unknown:note", "unknown_tool"} <= found
