@@ -149,8 +149,3 @@ def united_lists(rows: DataFrame, group: Sequence[str], form) -> DataFrame:
     once = items.groupBy(*keys, form(F.col("v")).alias("k")).agg(F.min(F.struct("ord", "nth", "at", "v")).alias("x"))
     joined = once.groupBy(*keys).agg(F.array_sort(F.collect_list("x")).alias("xs"))
     return joined.select(*keys, F.concat(F.lit("["), F.array_join(F.transform("xs", lambda x: x["v"]), ","), F.lit("]")).alias("united"))
-
-
-def hot(sizes: DataFrame, chunk: int) -> bool:
-    return not sizes.where(F.col("n") > chunk).isEmpty()
-
