@@ -44,8 +44,6 @@ ROOT_BITS = 8
 BLOCK, PART = 128, 1024
 #: Least and most bits of the broadcast filter for candidates; what it lets through in excess, a join removes.
 FILTER_BITS = (1 << 16, 1 << 26)
-#: Prints that a task remembers, so as to make the bag of copies once.
-SEEN = 1 << 18
 #: Rows that go, as (file, row) pairs of _ROW_BYTES, that are broadcast at once.
 DROP_BYTES, _ROW_BYTES = 64 << 20, 32
 #: Share of a table's partitions that tables of links, labels and ids are written in.
@@ -163,15 +161,13 @@ def _units(elem: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def _bags(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
-    """print and bag of the texts that the filter lets through: their distinct (shingle, unit of weight) hashes, sorted. Of copies that a task has seen, SEEN at most, it gives one."""
-    bits, seen = wanted.value, set()
+    """print and bag of the texts that the filter lets through: their distinct (shingle, unit of weight) hashes, sorted."""
+    bits = wanted.value
     for batch in batches:
         for _, h, firsts in word_hashes(batch.column(0)):
             prints = _prints(h, firsts)
             place = np.frombuffer(b"".join(p[:8] for p in prints), "<u8") % np.uint64(64 * len(bits))
             keep = np.flatnonzero(bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1))
-            keep = np.array([i for i in keep.tolist() if not (prints[i] in seen or seen.add(prints[i]))], np.int64)
-            seen = seen if len(seen) < SEEN else set()
             out = []
             for i in keep.tolist():
                 grams, first = shingles(h[firsts[i] : firsts[i + 1]], np.array([0, firsts[i + 1] - firsts[i]]))
