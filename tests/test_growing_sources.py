@@ -6,8 +6,11 @@ import heapq
 import json
 from collections import defaultdict
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attesta.operators import crawl, extraction, sources
 from attesta.sources import files, pages, providers
@@ -103,6 +106,45 @@ def test_the_pages_source(spark, sf_dir, tmp_path):
     assert [(r["url"], r["success"], r["error"]) for r in some] == [(one, True, None), ("http://none.org/x", False, "LookupError: not found")]
 
 
+def test_a_whole_fixture_is_read_by_row_groups(spark, tmp_path):
+    pages.register(spark)
+    rows = [(f"http://a.org/{i % 40}" if i % 10 else None, f"page {i}" if i % 7 else None) for i in range(1000)]
+    for n in range(2):
+        pq.write_table(pa.table({"url": [u for u, _ in rows[n::2]], "html": [h for _, h in rows[n::2]]}), tmp_path / f"{n}.parquet", row_group_size=90)
+    rows = rows[::2] + rows[1::2]
+    read = lambda **o: spark.read.format(pages.NAME).options(path=str(tmp_path), **o).load()
+    got = sorted((r["ord"], r["url"], r["html"], r["raw_markdown"], r["success"]) for r in read().collect())
+    assert got == [(o, u, h, h or "", True) for o, (u, h) in enumerate(rows) if u]  # repeated URLs have their own pages
+    one = read().where(F.col("url") == "http://a.org/3")
+    assert sorted(r["ord"] for r in one.collect()) == [o for o, (u, _) in enumerate(rows) if u == "http://a.org/3"]
+    assert sorted(r["ord"] for r in read(limit=123).collect()) == [o for o, (u, _) in enumerate(rows[:123]) if u]
+
+
+def test_a_fixture_is_read_once_for_all_urls_and_never_listed(spark, tmp_path, monkeypatch):
+    pq.write_table(pa.table({"url": [f"http://a.org/{i}" for i in range(1000)], "html": [f"page {i}" for i in range(1000)]}), tmp_path / "p.parquet", row_group_size=100)
+    passes, whole = [], pq.ParquetFile.iter_batches
+    monkeypatch.setattr(pq.ParquetFile, "iter_batches", lambda self, size, groups, columns: passes.extend(groups) or whole(self, size, groups, columns))
+    schema = T.StructType.fromDDL(providers.FETCHED)
+
+    def run(reader, parts):
+        return sorted((r["ord"], r["url"], r["html"], r["error"]) for p in parts for b in reader.read(p) for r in b.to_pylist())
+
+    reader = pages.PagesReader({"path": str(tmp_path), "urls": "\n".join(f"http://a.org/{i}" for i in range(300, 1100)), "lanes": "1"}, schema)
+    got = run(reader, reader.partitions())
+    assert got[0] == (0, "http://a.org/300", "page 300", None) and got[-1] == (799, "http://a.org/1099", None, "LookupError: not found")
+    assert len(got) == 800 and passes == list(range(3, 10))
+    monkeypatch.setattr(pages, "PART_BYTES", 1)
+    reader = pages.PagesReader({"path": str(tmp_path)}, schema)
+    assert [len(p.pieces) for p in reader.partitions()] == [1] * 10
+    stream = pages.PagesStream({"path": str(tmp_path), "batch": "150"}, schema)
+    at, seen = stream.initialOffset(), []
+    for _ in range(8):
+        end = stream.latestOffset()
+        seen += [o for o, *_ in run(stream, stream.partitions(at, end))] if end != at else []
+        at = end
+    assert seen == list(range(1000))
+
+
 def test_pages_as_a_stream(spark, sf_dir, tmp_path):
     pages.register(spark)
     known = [r["url"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").orderBy("page_id").limit(7).collect()]
