@@ -40,6 +40,8 @@ TASK_ROWS = 50_000
 FAN_IN = 1000
 #: Sources up to which the table of targets is broadcast; a longer one is joined by shuffle.
 BROADCAST_SOURCES = 10_000
+#: Takes, as rows of _TAKE_BYTES, that are broadcast at once.
+TAKE_BYTES, _TAKE_BYTES = 64 << 20, 40
 _EPS = 1e-9
 
 
@@ -201,17 +203,29 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def mixed_documents(docs: DataFrame, **kwargs) -> DataFrame:
+def mixed_documents(docs: DataFrame, limit: int = TAKE_BYTES, **kwargs) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with all their columns.
 
     Rows are told apart by file and place, not by id, so null and repeated ids
     and repeated rows each have their own count; documents that aren't a table
     of files are written as one first. See mix for nulls and empty tables.
+
+    What is taken meets the table by file and place, broadcast in passes of
+    ``limit`` bytes that each read files of their own: no text is shuffled. A pass
+    of more than twice as many joins by shuffle.
     """
-    docs, key = with_row_keys(Stage(docs.sparkSession, "mixed"), docs)
-    plan = mix(docs, key=key, **kwargs).where("copies > 0")
-    mine, wanted, count = (fresh(n, docs.columns) for n in ("row_key", "mixed_key", "mixed_copies"))
-    plan = plan.select(F.col("row_key").alias(wanted), F.col("copies").cast("int").alias(count))
-    joined = docs.withColumn(mine, key).join(plan, F.col(mine) == F.col(wanted))
+    stage = Stage(docs.sparkSession, "mixed")
+    docs, key = with_row_keys(stage, docs)
+    file, row, count = (fresh(n, docs.columns) for n in ("mixed_file", "mixed_row", "mixed_copies"))
+    plan = mix(docs, key=key, **kwargs).where("copies > 0").select(F.col("row_key.file").alias(file), F.col("row_key.row").alias(row), F.col("copies").cast("int").alias(count))
+    plan = stage.put(compact(plan, 0.25), "takes")
+    passes = max(1, -(-plan.count() * _TAKE_BYTES // limit))
+    share = F.pmod(file, F.lit(passes))
+    sizes = {r[0]: r[1] * _TAKE_BYTES for r in plan.groupBy(share).count().collect()} if passes > 1 else {}
+    placed, joined = docs.withColumns({file: key["file"], row: key["row"]}), None
+    for i in range(passes):
+        some = plan.where(share == i)
+        part = placed.where(share == i).join(F.broadcast(some) if sizes.get(i, 0) <= 2 * limit else some, [file, row])
+        joined = part if joined is None else joined.unionByName(part)
     copies = F.explode(F.sequence(F.lit(1), F.col(count)))
     return compact(joined.select(*docs.columns, copies.alias(fresh("mixed_copy", docs.columns))).drop(fresh("mixed_copy", docs.columns)))

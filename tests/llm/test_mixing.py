@@ -117,3 +117,19 @@ def test_rows_of_null_and_repeated_ids_keep_their_own_count(spark, prose, tmp_pa
         assert {(r.doc_id, r.text, r.source, "k") for r in got} <= set(rows)
         assert sum(words(r.text) for r in got) == taken
     assert mixed_documents(df.limit(0)).count() == 0
+
+
+def test_no_text_is_shuffled_and_passes_give_the_same_rows(spark, prose, tmp_path):
+    rnd = random.Random(3)
+    rows = [(i % 150, prose(rnd.randint(1, 60), i % 90), rnd.choice("abc")) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(9).write.parquet(str(tmp_path / "docs"))
+    docs, name = spark.read.parquet(str(tmp_path / "docs")), "spark.sql.autoBroadcastJoinThreshold"
+    held = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        whole = mixed_documents(docs)
+        plan = whole._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.set(name, held)
+    assert sorted(map(tuple, mixed_documents(docs, limit=2000).collect())) == sorted(map(tuple, whole.collect()))
