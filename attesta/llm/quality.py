@@ -231,11 +231,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, passages: int
     """
     spark = docs.sparkSession
     learn = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
-    learn = learn.withColumn("key", F.xxhash64("doc_id")).orderBy("key", "doc_id", "quality").limit(sample).collect()
-    if not learn:
+    learn = learn.withColumn("key", F.xxhash64("doc_id")).orderBy("key", "doc_id", "quality").limit(sample).select(F.col("doc_id").alias("label_id"), "quality").toArrow()
+    if not len(learn):
         return AttentionModel().fit([], np.zeros(0))
     kind = labels.schema["doc_id"].dataType.simpleString()
-    chosen = F.broadcast(spark.createDataFrame([(r["doc_id"], r["quality"]) for r in learn], f"label_id {kind}, quality int"))
+    chosen = F.broadcast(spark.createDataFrame(learn, f"label_id {kind}, quality int"))
     texts = docs.join(chosen, F.col("doc_id") == F.col("label_id")).groupBy("label_id", "quality").agg(F.min("text").alias("text"))
     rows = texts.mapInArrow(partial(_encode, most=passages), f"label_id {kind}, quality int, bag binary").collect()
     rows.sort(key=lambda r: (r["label_id"], r["quality"]))

@@ -10,9 +10,11 @@ the shard, the shard's number there and the ids of the task before it, the chunk
 index (offset and first id of each block) and the document index (id, whether it
 is null, ids). All integers are little-endian.
 
-A task writes many shards, one after another. Each is a row that Spark's text
-writer puts into a file of its own, and Spark's binary reader reads it back: so
-shards go to any store, and what a failed attempt wrote is never seen.
+A task writes many shards, one after another. Each is handed over in ROWS rows
+while it is made, so no task holds one whole; Spark's text writer puts so many
+rows into a file of its own, each with a line end, which no offset leads to.
+Spark's binary reader reads the file back: so shards go to any store, and what a
+failed attempt wrote is never seen.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from attesta.llm._hash import token_parts
 from attesta.llm.token_counts import loaded
-from attesta.session import Stage, small_batches
+from attesta.session import Stage, of_longs, small_batches
 
 MAGIC = b"ATBPS1\r\n"
 #: Ids of a block; a block is what a reader has to decode to get at one id.
@@ -40,6 +42,8 @@ BLOCK = 1 << 16
 #: Bytes of text of a shard and of a task, about, with DOC_BYTES for each document's entry; there are as many tasks as cores at least.
 SHARD_BYTES, TASK_BYTES, DOC_BYTES = 32 << 20, 1 << 30, 32
 END = b"\n"
+#: Rows that make a shard: whole blocks, after them empty rows, and in the last one what is left and the footer.
+ROWS = 64
 _DOCS, _CHUNKS = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")]), np.dtype([("offset", "<u8"), ("first", "<u8"), ("n", "<u4")])
 
 
@@ -165,15 +169,23 @@ class ShardReader:
 
 
 def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None, block: int, bits: int, shard_bytes: int) -> Iterator[pa.RecordBatch]:
-    """A row for each shard of a task."""
+    """ROWS rows for each shard of a task, of about equal texts; what a text that is longer than a shard has beyond that is in the last one."""
     task, number, first = TaskContext.get().partitionId(), 0, 0
-    model, begun, size = loaded(path, True), 0, 0
+    model, begun, size, row = loaded(path, True), 0, 0, 0
     out = io.BytesIO()
     writer = ShardWriter(out, block, bits, task)
 
-    def shard() -> pa.RecordBatch:
+    def handed(rows: list[bytes]) -> pa.RecordBatch:
+        out.seek(0)
+        out.truncate()
+        writer.at += len(END) * len(rows)
+        return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["value"])
+
+    def rest() -> Iterator[pa.RecordBatch]:
+        if row < ROWS - 1:
+            yield handed([out.getvalue(), *[b""] * (ROWS - 2 - row)])
         writer.close()
-        return pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["value"])
+        yield handed([out.getvalue()])
 
     for batch in batches:
         for at, raw, offsets, whole in token_parts(batch.column(1), model.cuts):
@@ -182,6 +194,9 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None, blo
             if not whole:
                 begun += len(ids)
                 writer.add(ids, np.zeros(0, _DOCS))
+                if row < ROWS - 1 and size * ROWS >= (row + 1) * shard_bytes:
+                    yield handed([out.getvalue()])
+                    row += 1
                 continue
             if end_id is not None:
                 ids = np.insert(ids, np.cumsum(n), end_id)
@@ -193,11 +208,14 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None, blo
             begun = 0
             writer.add(ids, docs)
             if size >= shard_bytes:
-                yield shard()
-                number, first, size, out = number + 1, first + writer.total, 0, io.BytesIO()
+                yield from rest()
+                number, first, size, row = number + 1, first + writer.total, 0, 0
                 writer = ShardWriter(out, block, bits, task, number, first)
+            elif row < ROWS - 1 and size * ROWS >= (row + 1) * shard_bytes:
+                yield handed([out.getvalue()])
+                row += 1
     if writer.docs:
-        yield shard()
+        yield from rest()
 
 
 def write_shards(docs: DataFrame, uri: str, path: str, end_id: int | None = 2, block: int = BLOCK, bits: int = 8, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, task_bytes: int = TASK_BYTES) -> None:
@@ -214,7 +232,7 @@ def write_shards(docs: DataFrame, uri: str, path: str, end_id: int | None = 2, b
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // task_bytes))
     rows = rows.repartitionByRange(tasks, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     shards = small_batches(rows).mapInArrow(partial(_write, path=path, end_id=end_id, block=block, bits=bits, shard_bytes=shard_bytes), "value binary")
-    shards.select(F.col("value").cast("string").alias("value")).write.mode("overwrite").option("lineSep", END.decode()).option("maxRecordsPerFile", 1).text(uri)
+    shards.select(F.col("value").cast("string").alias("value")).write.mode("overwrite").option("lineSep", END.decode()).option("maxRecordsPerFile", ROWS).text(uri)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +264,7 @@ def read_shards(spark: SparkSession, uri: str) -> DataFrame:
     for r in sorted(docs.groupBy("task").agg(F.max(F.col("at") + F.col("n_tokens")).alias("n")).collect()):
         starts.append((r["task"], before))
         before += r["n"]
-    starts = F.broadcast(spark.createDataFrame(starts, "task long, first long"))
+    starts = F.broadcast(of_longs(spark, starts, "task", "first"))
     return docs.join(starts, "task").select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -130,6 +130,22 @@ def test_many_shards_a_task(spark, docs_of, prose, tmp_path):
         assert all(b[1] == a[1] + a[2] for a, b in zip(own[:-1], own[1:], strict=True))
 
 
+def test_a_shard_is_handed_over_in_small_rows(spark, docs_of, prose):
+    from functools import partial
+
+    from attesta.llm.token_shards import ROWS, _write
+
+    rows = [(i, prose(4000, i)) for i in range(300)] + [(300, prose(400_000, 7))]  # two shards, the last text in parts
+    docs = docs_of(rows).coalesce(1).sortWithinPartitions("doc_id").select("doc_id", "text")
+    sizes = [len(r.value) for r in docs.mapInArrow(partial(_write, path=PATH, end_id=2, block=1 << 12, bits=8, shard_bytes=1 << 22), "value binary").collect()]
+    assert len(sizes) == 2 * ROWS and sum(sizes) > 2 << 20 and max(sizes) < 1 << 18
+
+
+def test_starts_of_tasks_need_no_python_workers(spark, docs_of):
+    plan = token_shards(docs_of([(1, "a"), (2, "b")]), PATH)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" in plan and "LogicalRDD" not in plan
+
+
 def test_any_store(spark, store, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     write_shards(spark.read.parquet(store(f"{sf_dir}/documents.parquet")), store.new("ids"), PATH)
