@@ -275,8 +275,8 @@ def components(stage: Stage, edges: DataFrame, name: str) -> DataFrame:
     Each round hooks every node to its smallest neighbour, takes that one's hook,
     and goes on with the edges between hooks, far fewer each time (half the nodes
     go at least). Only whether edges are left comes to the driver. Each round's
-    edges are written out, so the lineage stays short. The rounds' hooks are put
-    together at the end.
+    hooks and edges are written out, so lineage and plans stay short. The rounds'
+    hooks are put together at the end.
     """
     pair = lambda x, y: (F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
     left = stage.put(compact(edges.where("a != b").select(*pair("a", "b")).distinct(), NARROW), f"{name}-0")
@@ -284,7 +284,9 @@ def components(stage: Stage, edges: DataFrame, name: str) -> DataFrame:
     while not left.isEmpty():
         near = left.select(F.col("a").alias("node"), F.col("b").alias("near")).union(left.select("b", "a")).groupBy("node").agg(F.min("near").alias("near"))
         first = stage.keep(near.select("node", F.least("node", "near").alias("up")))
-        hook = stage.keep(first.join(first.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up")))
+        hook = first.join(first.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up"))
+        hook = stage.put(compact(hook, NARROW), f"{name}-hook-{len(hooks)}")
+        stage.release(first)
         side = lambda c, h=hook: h.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}"))
         across = left.join(side("a"), "a").join(side("b"), "b").select(*pair("up_a", "up_b"))
         # A hook that itself hangs on another one keeps that edge.
@@ -370,13 +372,13 @@ def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: in
 
     nodes = signed.where(F.size("bands") > 0).groupBy("print").agg(F.first("bands").alias("bands")).select(F.explode("bands").alias("band"), "print")
     shared = nodes.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stage.keep(nodes.join(shared, "band"))
+    members = stage.put(compact(nodes.join(shared, "band")), "members")
     central = members.groupBy("print").agg(F.sum("n").alias("degree"))
     ranked = members.join(central, "print").groupBy("band").agg(F.max(F.struct("degree", "print")).alias("top")).select("band", F.col("top.print").alias("leader"))
-    led = stage.keep(members.select("band", "print").join(ranked, "band"))
+    led = stage.put(compact(members.select("band", "print").join(ranked, "band")), "led")
+    stage.drop("members")
 
-    wanted = spark.sparkContext.broadcast(_filter_of(led.select("print").distinct()))  # reads all of led
-    stage.release(members)
+    wanted = spark.sparkContext.broadcast(_filter_of(led.select("print").distinct()))
     bag = small_batches(rows.select("text")).mapInArrow(partial(_bags, wanted=wanted), "print binary, bag binary")
     bag = stage.keep(bag.groupBy("print").agg(F.first("bag").alias("bag")))
     pairs = stage.keep(led.where("leader != print").select("leader", "print").distinct())
@@ -384,7 +386,7 @@ def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: in
     labels = components(stage, links, "stars")
     stage.release(pairs)
     rest = _rest_links(stage, led, labels, bag, similarity)
-    stage.release(led)
+    stage.drop("led")
     stage.release(bag)
     if not rest.isEmpty():
         labels = components(stage, labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(rest), "labels")

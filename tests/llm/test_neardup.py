@@ -182,3 +182,17 @@ def test_pages_of_one_template_stay_apart(spark, prose, docs_of):
     rows = [(i, f"{frame} {prose(40, 1000 + i)}") for i in range(60)]
     got = duplicate_classes(docs_of(rows)).collect()
     assert all(r["doc_id"] == r["class_id"] for r in got)
+
+
+def test_plans_hold_few_copies_of_the_steps_below(spark, docs_of, prose):
+    """The driver holds the plans, and each holds those of all kept tables that it reads, as often as it reads them."""
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore()
+    texts = [prose(60, seed=i) for i in range(4)]
+    rows = [(10 * i + k, " ".join(t.split(" ")[k:])) for i, t in enumerate(texts) for k in range(3)]
+    bus.waitUntilEmpty(30_000)
+    before = max([store.executionsList().apply(i).executionId() for i in range(store.executionsCount())], default=-1)
+    assert sorted(r.doc_id for r in deduplicated(docs_of(rows)).collect()) == [0, 10, 20, 30]
+    bus.waitUntilEmpty(30_000)
+    ran = [x for i in range(store.executionsCount()) if (x := store.executionsList().apply(i)).executionId() > before]
+    assert len(ran) > 5
+    assert max(x.physicalPlanDescription().count("MapInArrow") for x in ran) <= 20
